@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 from .knn import OP9_SQL, op9_topk
+from .langid import op6_langid
 from .lm import op1_lm_score
 from .matroska import op8_matroska
 from .mixing import OP2_SQL, op2_mixing
 from .packing import op10_packing
 from .sharding import op7_sharding
 from .simhash import op3_simhash
+from .toxicity import op5_toxicity
 
 QUERIES = {
     "op1_lm_score": op1_lm_score,
     "op2_mixing": op2_mixing,
     "op3_simhash": op3_simhash,
+    "op5_toxicity": op5_toxicity,
+    "op6_langid": op6_langid,
     "op7_sharding": op7_sharding,
     "op8_matroska": op8_matroska,
     "op9_topk": op9_topk,
