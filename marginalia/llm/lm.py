@@ -28,7 +28,7 @@ ORDER = 2
 PRIOR = 400.0
 ADD = 0.1  # of the base model
 #: Bytes of text of a chunk, and bytes of text that one range of the hash space answers for.
-CHUNK_BYTES = 48 << 20
+CHUNK_BYTES = 12 << 20
 RANGE_BYTES = 12 << 20
 #: Bytes of text hashed at once.
 SLICE = 2 << 20
