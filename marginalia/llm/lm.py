@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from .common import fold, stored, table
 
 ORDER = 2
-PRIOR = 400.0
+PRIOR = 50.0
 ADD = 0.1  # of the base model
 #: Bytes of text of a chunk, and bytes of text that one range of the hash space answers for.
 CHUNK_BYTES = 12 << 20
