@@ -5,11 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from marginalia.llm.common import stored, table
+from marginalia.llm.linededup import line_dedup_stage
 from marginalia.llm.mixing import mixing_stage
 from marginalia.llm.packing import packing_stage
+from marginalia.llm.simhash import simhash_stage
+from marginalia.llm.toxicity import toxicity_stage
 
 #: In the order they run; each takes (spark, docs, sf_dir).
 STAGES = [
+    ("toxicity", toxicity_stage),
+    ("line_dedup", line_dedup_stage),
+    ("simhash", simhash_stage),
     ("mixing", mixing_stage),
     ("packing", packing_stage),
 ]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .knn import OP9_SQL, op9_topk
 from .langid import op6_langid
+from .linededup import OP4_SQL, op4_line_dedup
 from .lm import op1_lm_score
 from .matroska import op8_matroska
 from .mixing import OP2_SQL, op2_mixing
@@ -16,6 +17,7 @@ QUERIES = {
     "op1_lm_score": op1_lm_score,
     "op2_mixing": op2_mixing,
     "op3_simhash": op3_simhash,
+    "op4_line_dedup": op4_line_dedup,
     "op5_toxicity": op5_toxicity,
     "op6_langid": op6_langid,
     "op7_sharding": op7_sharding,
@@ -24,4 +26,4 @@ QUERIES = {
     "op10_packing": op10_packing,
 }
 
-ORACLE_SQL = {"op2_mixing": OP2_SQL, "op9_topk": OP9_SQL}
+ORACLE_SQL = {"op2_mixing": OP2_SQL, "op4_line_dedup": OP4_SQL, "op9_topk": OP9_SQL}
