@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 
-def queries():
-    return {}
+from pyspark.sql import DataFrame, SparkSession
 
+from . import q_aggregates  # noqa: F401
+from .base import QUERIES, SQL
 
-def oracle_sql():
-    return {}
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return QUERIES["confidence_board"](spark, sf_dir)
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return QUERIES
+
+
+def oracle_sql() -> dict[str, str]:
+    return SQL
