@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import q_aggregates, q_joins  # noqa: F401
+from . import q_aggregates, q_joins, q_review, q_text, q_windows  # noqa: F401
 from .base import QUERIES, SQL
 
 
