@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from collections import Counter
 from itertools import combinations
 
 import numpy as np
@@ -136,33 +137,28 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text", pred: str
 
     def run(batches):
         place: dict[str, int] = {}
-        sums: list[np.ndarray] = []
-        lengths: list[int] = []
+        sums, lengths = np.zeros((1 << 14, model.weights.shape[1] if model else 0)), np.zeros(1 << 14)
         for batch in batches:
             found = []
             for t in batch.column(at):
-                words = _words(t.as_py()) if model else []
+                words = Counter(_words(t.as_py()) if model else [])
                 if not words:
                     found.append(("und", 0.0))
                     continue
                 if len(place) > 300_000:
                     place.clear()
-                    sums.clear()
-                    lengths.clear()
                 ids = []
                 for w in words:
                     k = place.get(w)
                     if k is None:
                         grams = word_features(w)
-                        k = place[w] = len(sums)
-                        sums.append(model.weights[grams].sum(axis=0))
-                        lengths.append(len(grams))
+                        k = place[w] = len(place)
+                        if k == len(sums):
+                            sums, lengths = np.concatenate((sums, np.zeros_like(sums))), np.concatenate((lengths, np.zeros_like(lengths)))
+                        sums[k], lengths[k] = model.weights[grams].sum(axis=0), len(grams)
                     ids.append(k)
-                total = np.bincount(ids)
-                used = np.flatnonzero(total)
-                n = sum(lengths[k] * int(total[k]) for k in used)
-                s = sum(sums[k] * int(total[k]) for k in used)
-                found.append(model.predict(s / n + model.bias))
+                times = np.fromiter(words.values(), float, len(words))
+                found.append(model.predict(times @ sums[ids] / (times @ lengths[ids]) + model.bias))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], names=[*batch.schema.names, pred, score])
 
     return docs.mapInArrow(run, schema)
