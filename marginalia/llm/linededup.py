@@ -114,10 +114,10 @@ def _mark(line_no: Column, line_id: Column) -> Column:
 
 def dedup_text(docs: DataFrame, dropped: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with the dropped lines cut out of ``text``; a text may become empty.  All rows and columns stay."""
-    marks = dropped.groupBy(F.col("doc_id").alias("_key")).agg(F.collect_set(_mark(F.col("line_no"), F.col("id"))).alias("_marks"))
-    kept = F.filter(F.split(F.col(text), "\n", -1), lambda x, i: ~F.array_contains(F.col("_marks"), _mark(i, F.xxhash64(F.trim(x)))))
-    out = docs.join(marks, F.col(key) == F.col("_key"), "left")
-    return out.select(*[F.when(F.col("_marks").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n")).alias(c) if c == text else F.col(c) for c in docs.columns])
+    marks = dropped.groupBy(F.col("doc_id").alias("__m_key")).agg(F.collect_set(_mark(F.col("line_no"), F.col("id"))).alias("__m_marks"))
+    kept = F.filter(F.split(F.col(text), "\n", -1), lambda x, i: ~F.array_contains(F.col("__m_marks"), _mark(i, F.xxhash64(F.trim(x)))))
+    out = docs.join(marks, F.col(key) == F.col("__m_key"), "left")
+    return out.select(*[F.when(F.col("__m_marks").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n")).alias(c) if c == text else F.col(c) for c in docs.columns])
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -182,7 +182,7 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
     Rows with the same id and source share one decision, the one of their first copy in the mix.
     """
-    took = mix(docs, word_count(F.col("text"))).where("copies > 0").groupBy(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size")).agg(F.max("copies").alias("_copies"))
-    match = F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("source").eqNullSafe(F.col("_source")) & (word_count(F.col("text")) == F.col("_size"))
+    took = mix(docs, word_count(F.col("text"))).where("copies > 0").groupBy(F.col("doc_id").alias("__m_id"), F.col("source").alias("__m_source"), F.col("size").alias("__m_size")).agg(F.max("copies").alias("__m_copies"))
+    match = F.col("doc_id").eqNullSafe(F.col("__m_id")) & F.col("source").eqNullSafe(F.col("__m_source")) & (word_count(F.col("text")) == F.col("__m_size"))
     names = docs.columns
-    return docs.join(took, match).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*names)
+    return docs.join(took, match).withColumn("__m_copy", F.explode(F.sequence(F.lit(1), F.col("__m_copies")))).select(*names)

@@ -190,9 +190,9 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, width: int
     the id that stays, one of them is kept.
     """
     prints = stored(fingerprints(docs, width=width), "simhash-stage-prints")
-    keep = near_duplicates(prints).where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_rows"))
-    keep = stored(keep.withColumnRenamed("doc_id", "_id"), "simhash-stage-keep")
-    kept = docs.join(keep, F.col("doc_id") == F.col("_id"))
-    once = kept.where("_rows = 1").select(*docs.columns)
-    several = kept.where("_rows > 1").select(*docs.columns).dropDuplicates(["doc_id"])
+    keep = near_duplicates(prints).where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("__m_rows"))
+    keep = stored(keep.withColumnRenamed("doc_id", "__m_id"), "simhash-stage-keep")
+    kept = docs.join(keep, F.col("doc_id") == F.col("__m_id"))
+    once = kept.where("__m_rows = 1").select(*docs.columns)
+    several = kept.where("__m_rows > 1").select(*docs.columns).dropDuplicates(["doc_id"])
     return once.unionByName(several).unionByName(docs.where("doc_id is null"))

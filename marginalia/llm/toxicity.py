@@ -192,4 +192,4 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the classifier doesn't reject, with all their columns; it may learn from every label."""
     model = fit(docs, table(spark, sf_dir, "labels"), F.col("doc_id").isNotNull())
-    return score(docs, model, "_toxicity").where("_toxicity < 0.5").drop("_toxicity")
+    return score(docs, model, "__m_toxicity").where("__m_toxicity < 0.5").drop("__m_toxicity")
