@@ -28,10 +28,10 @@ ORDER = 2
 PRIOR = 50.0
 ADD = 0.1  # of the base model
 #: Bytes of text of a chunk, and bytes of text that one range of the hash space answers for.
-CHUNK_BYTES = 12 << 20
+CHUNK_BYTES = 6 << 20
 RANGE_BYTES = 12 << 20
 #: Bytes of text hashed at once.
-SLICE = 2 << 20
+SLICE = 1 << 19
 
 _rng = np.random.default_rng(7)
 _CODE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)  # a random odd number for each byte
