@@ -1,7 +1,7 @@
 """SimHash near-duplicates by bit-sliced comparison.
 
-Fingerprints that differ in at most 3 of 64 bits agree in at least two of five blocks of bits, so
-each of the ten pairs of blocks keys one candidate group.  Inside groups, fingerprints are stored
+Fingerprints that differ in at most r of 64 bits agree in at least two of r + 2 blocks of bits, so each pair of
+blocks keys one candidate group: ten keys for a radius of 3.  Inside groups, fingerprints are stored
 vertically: plane b holds bit b of 64 fingerprints a machine word.  Distances to many fingerprints
 grow together in carry-save counters, and a word of 64 lanes is abandoned once all exceed the radius.
 A large group is split into blocks, and pairs of blocks are compared by tasks of their own; each
@@ -23,8 +23,8 @@ from .components import connected_components
 
 SEED = 42
 RADIUS = 3
-#: First bit and width of the five blocks of a fingerprint.
-BLOCKS = ((0, 13), (13, 13), (26, 13), (39, 13), (52, 12))
+#: Radius of the pipeline's stage, which takes five-word shingles.
+STAGE_RADIUS = 6
 #: Fingerprints of a block of a large group.
 GROUP_BLOCK = 1024
 #: Lanes compared at once.
@@ -79,7 +79,7 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text", width
 
 
 def near_pairs(fps: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
-    """All index pairs i < j of fingerprints that differ in at most ``radius`` (3 at most) bits."""
+    """All index pairs i < j of fingerprints that differ in at most ``radius`` (7 at most) bits."""
     m = len(fps)
     words = -(-m // 64)
     bits = np.unpackbits(np.ascontiguousarray(fps).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -94,23 +94,25 @@ def near_pairs(fps: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.nd
     over = np.where(own, FULL >> (np.uint64(63) - upto), np.uint64(0))
     if m % 64:
         over[word == words - 1] |= FULL << np.uint64(m % 64)
-    ones, twos = np.zeros_like(over), np.zeros_like(over)
+    ones, twos, fours = (np.zeros_like(over) for _ in range(3))
     for b in range(64):
         x = planes[b][word] ^ flips[b][query]
         carry = ones & x
-        ones ^= x
+        ones = ones ^ x
         more = twos & carry
-        twos ^= carry
-        over |= more
-        if radius < 3:
-            at_least = {2: ones & twos, 1: twos, 0: ones | twos}[radius]
-            over |= at_least
+        twos = twos ^ carry
+        over = over | (fours & more)  # eight or more: never to come back
+        fours = fours ^ more
         if b % 8 == 7:
-            alive = np.flatnonzero(over != FULL)
-            if len(alive) < 0.75 * len(over):
-                query, word, ones, twos, over = query[alive], word[alive], ones[alive], twos[alive], over[alive]
-            if not len(alive):
-                break
+            far = {0: ones | twos | fours, 1: twos | fours, 2: ones & twos | fours, 3: fours, 4: fours & (ones | twos), 5: fours & twos, 6: fours & twos & ones, 7: np.uint64(0)}[radius]
+            out = over | far
+            alive = np.flatnonzero(out != FULL)
+            if b == 63:
+                over = out
+            elif len(alive) < 0.75 * len(over):
+                query, word, ones, twos, fours, over = query[alive], word[alive], ones[alive], twos[alive], fours[alive], over[alive]
+                if not len(alive):
+                    break
     left = np.unpackbits(np.ascontiguousarray(~over).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little") if len(over) else np.zeros((0, 64), np.uint8)
     cell, lane = np.nonzero(left)
     return query[cell], word[cell] * 64 + lane
@@ -132,12 +134,14 @@ def spanning(i: np.ndarray, j: np.ndarray, m: int) -> tuple[np.ndarray, np.ndarr
 def links(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     """``(a, b)``: edges that connect exactly the fingerprints linked by chains of at most ``radius`` differing bits."""
 
-    def block(at: int, width: int) -> Column:
-        return F.shiftrightunsigned("fp", at).bitwiseAND((1 << width) - 1)
+    edges = [64 * k // (radius + 2) for k in range(radius + 3)]
+    width = 64 // (radius + 2) + 1
 
-    keys = F.array(*[
-        F.shiftleft(block(*BLOCKS[x]), 13).bitwiseOR(block(*BLOCKS[y])).bitwiseOR(F.lit(n << 32)) for n, (x, y) in enumerate(combinations(range(len(BLOCKS)), 2))
-    ])
+    def block(k: int) -> Column:
+        return F.shiftrightunsigned("fp", edges[k]).bitwiseAND((1 << (edges[k + 1] - edges[k])) - 1)
+
+    pairs = enumerate(combinations(range(radius + 2), 2))
+    keys = F.array(*[F.shiftleft(block(x), width).bitwiseOR(block(y)).bitwiseOR(F.lit(n << 2 * width)) for n, (x, y) in pairs])
     probes = distinct.select("fp", F.explode(keys).alias("key"))
     crowds = probes.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     parts = F.ceil(F.col("n") / GROUP_BLOCK).cast("int")
@@ -183,14 +187,14 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, width: int = 5) -> DataFrame:
+def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, width: int = 5, radius: int = STAGE_RADIUS) -> DataFrame:
     """One document of each near-duplicate group, the one with the smallest id, with all its columns.
 
-    Shingles have ``width`` words.  Rows without an id can't be told apart, so all of them stay.  Where several rows carry
+    Shingles have ``width`` words; fingerprints link at ``radius`` or fewer bits.  Rows without an id can't be told apart, so all of them stay.  Where several rows carry
     the id that stays, one of them is kept.
     """
     prints = stored(fingerprints(docs, width=width), "simhash-stage-prints")
-    keep = near_duplicates(prints).where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("__m_rows"))
+    keep = near_duplicates(prints, radius).where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("__m_rows"))
     keep = stored(keep.withColumnRenamed("doc_id", "__m_id"), "simhash-stage-keep")
     kept = docs.join(keep, F.col("doc_id") == F.col("__m_id"))
     once = kept.where("__m_rows = 1").select(*docs.columns)

@@ -16,7 +16,7 @@ def fingerprint(text, width):
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
 
 
-def classes(prints):
+def classes(prints, radius=3):
     """doc -> smallest doc reachable, by comparing all pairs."""
     parent = {i: i for i in prints}
 
@@ -28,7 +28,7 @@ def classes(prints):
     ids = sorted(prints)
     for a in ids:
         for b in ids:
-            if a < b and (prints[a] ^ prints[b]).bit_count() <= 3:
+            if a < b and (prints[a] ^ prints[b]).bit_count() <= radius:
                 x, y = find(a), find(b)
                 parent[max(x, y)] = min(x, y)
     return {i: find(i) for i in ids}
@@ -44,9 +44,9 @@ def test_fingerprints_and_components(docs, corpus):
 def test_all_pairs_within_the_radius_are_found():
     rng = np.random.default_rng(5)
     base = rng.integers(0, 2**63, 40, dtype=np.uint64)
-    flips = [np.bitwise_xor.reduce([np.uint64(1) << np.uint64(b) for b in rng.choice(64, n, replace=False)]) if n else np.uint64(0) for n in rng.integers(0, 8, 400)]
+    flips = [np.bitwise_xor.reduce([np.uint64(1) << np.uint64(b) for b in rng.choice(64, n, replace=False)]) if n else np.uint64(0) for n in rng.integers(0, 10, 400)]
     fps = base[rng.integers(0, 40, 400)] ^ np.array(flips, np.uint64)
-    for radius in (0, 1, 2, 3):
+    for radius in range(8):
         i, j = simhash.near_pairs(fps, radius)
         want = {(a, b) for a in range(400) for b in range(a + 1, 400) if int(fps[a] ^ fps[b]).bit_count() <= radius}
         assert set(zip(i.tolist(), j.tolist())) == want and len(i) == len(want)
@@ -61,6 +61,12 @@ def test_large_groups_are_split_without_losing_links(spark, monkeypatch):
         prints[k] = prints[rng.randrange(k)] ^ (1 << rng.randrange(40)) ^ (1 << rng.randrange(40))
     df = spark.createDataFrame([(k, v - 2**64 if v >= 2**63 else v) for k, v in prints.items()], "doc_id long, fp long")
     assert {r.doc_id: r.component_id for r in simhash.near_duplicates(df).collect()} == classes(prints)
+    rng = np.random.default_rng(9)
+    sparse = {k: int(v) for k, v in enumerate(rng.integers(0, 2**64, 6, dtype=np.uint64))}
+    for k in range(6, 120):
+        sparse[k] = sparse[int(rng.integers(0, k))] ^ int(np.bitwise_or.reduce(np.uint64(1) << rng.choice(64, int(rng.integers(4, 9)), replace=False).astype(np.uint64)))
+    df = spark.createDataFrame([(k, v - 2**64 if v >= 2**63 else v) for k, v in sparse.items()], "doc_id long, fp long")
+    assert {r.doc_id: r.component_id for r in simhash.near_duplicates(df, 6).collect()} == classes(sparse, 6)
 
 
 def test_components_of_a_long_chain(spark):
