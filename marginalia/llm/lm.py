@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import fold, stored, table
@@ -119,8 +119,8 @@ def ngrams(words: np.ndarray, sizes: np.ndarray, order: int) -> list[tuple[np.nd
     return out
 
 
-def _chunked(docs: DataFrame, key: str, text: str, train) -> DataFrame:
-    """Rows with their chunk: a part of the scan's partition, chosen by the row's own values."""
+def _chunked(docs: DataFrame, key: str, text: str, train: Column) -> tuple[DataFrame, int]:
+    """Rows with their chunk (a part of the scan's partition, chosen by the row's own values), and the number of hash ranges."""
     seen = docs.groupBy(F.spark_partition_id().alias("p")).agg(F.sum(F.octet_length(F.col(text))).alias("b")).agg(F.max("b"), F.sum("b")).first()
     split = max(1, -(-(seen[0] or 0) // CHUNK_BYTES))
     ranges = 1 << max(0, ((seen[1] or 0) // RANGE_BYTES).bit_length())
@@ -232,7 +232,7 @@ def _scorer(order: int, prior: float, stats: dict):
     return score
 
 
-def score_corpus(docs: DataFrame, train, key: str = "doc_id", text: str = "text", order: int = ORDER, prior: float = PRIOR) -> DataFrame:
+def score_corpus(docs: DataFrame, train: Column, key: str = "doc_id", text: str = "text", order: int = ORDER, prior: float = PRIOR) -> DataFrame:
     """Score every text under a model of the rows where ``train`` (a boolean column) holds.
 
     ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` (log10).  ``docs`` must be a stored table: its

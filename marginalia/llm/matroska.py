@@ -133,7 +133,6 @@ def parse(data: bytes) -> Media:
     ticks: dict[int, int] = {}  # nanoseconds of a packet of each track
     cue_ticks: list[tuple[int, int, int]] = []
     body = 0
-    cluster_ends = lambda i: i in TOP_LEVEL
 
     def block(a: int, b: int, base: int, key: bool | None) -> None:
         track, at, _ = read_vint(data, a)
@@ -148,10 +147,9 @@ def parse(data: bytes) -> Media:
 
     def cluster(a: int, b: int | None) -> int:
         media.clusters += 1
-        base, walk, end = 0, None, len(data) if b is None else b
-        walk = elements(data, a, end)
-        for ident, start, x, y in walk:
-            if b is None and cluster_ends(ident):
+        base, end = 0, len(data) if b is None else b
+        for ident, start, x, y in elements(data, a, end):
+            if b is None and ident in TOP_LEVEL:
                 return start
             if y is None:
                 raise ValueError(f"unknown size inside a cluster at byte {start}")
@@ -198,9 +196,8 @@ def parse(data: bytes) -> Media:
                     for i, _, c, d in elements(data, p, q):
                         if i == TRACK_ENTRY:
                             entry = {k: data[e:f] for k, _, e, f in elements(data, c, d)}
-                            audio = {k: data[c2:d2] for k, _, c2, d2 in elements(entry.get(AUDIO, b""), 0, len(entry.get(AUDIO, b"")))} if AUDIO in entry else {}
-                            if AUDIO in entry:
-                                audio = {k: entry[AUDIO][c2:d2] for k, _, c2, d2 in elements(entry[AUDIO], 0, len(entry[AUDIO]))}
+                            sound = entry.get(AUDIO, b"")
+                            audio = {k: sound[e:f] for k, _, e, f in elements(sound, 0, len(sound))}
                             number = int.from_bytes(entry.get(TRACK_NUMBER, b""), "big")
                             ticks[number] = int.from_bytes(entry.get(DEFAULT_DURATION, b""), "big")
                             media.tracks.append({

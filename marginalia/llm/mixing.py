@@ -118,7 +118,7 @@ def mix(
         one = Window.orderBy("_t").rowsBetween(Window.unboundedPreceding, 0)
         cut = (
             queue.where(F.col("_bin") == last["_bin"]).withColumn("_run", F.sum("size").over(one))
-            .where(F.col("_run") + last["_before"] <= budget).agg(F.max("_t.finish"), F.max("_t")).first()
+            .where(F.col("_run") + last["_before"] <= budget).agg(F.max("_t")).first()
         )
     if last is None:
         taken = F.lit(0)
@@ -127,9 +127,10 @@ def mix(
             t = ticket(copy)
             bin_of = F.floor(t["finish"] * bins)
             inside_cut = F.lit(False)
-            if cut[1] is not None:
-                c = cut[1]
-                limit = F.struct(*[F.lit(c[n]).cast(k).alias(n) for n, k in (("finish", "double"), ("unnamed", "boolean"), ("source", "string"), ("h", "string"), ("doc_id", "long"), ("end", "long"))])
+            if cut[0] is not None:
+                c = cut[0]
+                kinds = {"finish": "double", "unnamed": "boolean", "source": "string", "h": "string", "doc_id": "long", "end": "long"}
+                limit = F.struct(*[F.lit(c[n]).cast(k).alias(n) for n, k in kinds.items()])
                 inside_cut = (bin_of == last["_bin"]) & (t <= limit)
             return enters(copy) & ((bin_of < last["_bin"]) | inside_cut)
 
