@@ -32,7 +32,7 @@ def unique_and_total(df: DataFrame, key: str, group: str, number: str) -> DataFr
     dense = (F.col("n") == F.col("d")) & (F.col("n") == F.col("m")) & (F.col("lo") == 1)
     g = per.agg(F.sum("n").alias("rows"), F.sum("m").cast("long").alias("by_maximum"), F.count_if(~dense).alias("broken_groups"))
     dup = df.groupBy(key).agg(F.count(F.lit(1)).alias("_k")).agg(F.count_if(F.col("_k") > 1).alias("duplicate_keys"), F.count(F.lit(1)).alias("keys"))
-    out = g.withColumn("_o", F.lit(1)).join(dup.withColumn("_o", F.lit(1)), "_o").drop("_o")
+    out = g.unionByName(dup, allowMissingColumns=True).agg(*[F.max(c).alias(c) for c in ("rows", "by_maximum", "broken_groups", "duplicate_keys", "keys")])
     return out.withColumn("ok", (F.col("duplicate_keys") == 0) & (F.col("rows") == F.col("by_maximum")) & (F.col("broken_groups") == 0))
 
 

@@ -289,11 +289,12 @@ def dictionary_match(tokens: DataFrame, terms: DataFrame, key: str, identifier:
     longer matches win their span, then earlier ones.  ``(key, start, size, term, rule)``."""
     parts = tokens.select(key, split_identifier(F.col(identifier)).alias("_p")).where(F.size("_p") > 0)
     free, found = parts.withColumn("_taken", F.array().cast("array<int>")), None
+    forms = terms.select("term", "rule", F.explode(F.array("term", F.concat("term", F.lit("s")))).alias("_form"))
     for size in range(longest, 0, -1):
         spans = F.transform(F.sequence(F.lit(0), F.size("_p") - size), lambda i: F.struct(i.alias("start"), F.array_join(F.slice("_p", i + 1, size), " ").alias("gram")))
         grams = free.where(F.size("_p") >= size).select(key, "_taken", F.explode(spans).alias("g")).select(key, "g.start", "g.gram", "_taken")
         open_ = grams.where(~F.exists("_taken", lambda x: (x >= F.col("start")) & (x < F.col("start") + size)))
-        hit = open_.join(terms.select("term", "rule"), (F.col("gram") == F.col("term")) | (F.col("gram") == F.concat("term", F.lit("s")))).select(key, "start", F.lit(size).alias("size"), "term", "rule")
+        hit = open_.join(forms, F.col("gram") == F.col("_form")).select(key, "start", F.lit(size).alias("size"), "term", "rule")
         # Of overlapping hits of one size the earlier wins.
         w = by(key).orderBy("start", "term")
         hit = hit.withColumn("_r", F.row_number().over(by(key, "start").orderBy("term"))).where("_r = 1").drop("_r")

@@ -26,8 +26,11 @@ def resolve(df: DataFrame, targets: DataFrame, levels: list[str]) -> DataFrame:
         at = targets.where((F.col("target") != "*") & (depth == d)).select("target", *[F.element_at(F.split("target", ":"), i + 1).alias(f"_t{i}") for i in range(d)])
         part = df.join(at, reduce(and_, [F.col(levels[i]).cast("string") == F.col(f"_t{i}") for i in range(d)])).select(*df.columns, "target")
         out = part if out is None else out.unionByName(part)
-    stars = targets.where("target = '*'").withColumn("_one", F.lit(1))
-    return out.unionByName(df.withColumn("_one", F.lit(1)).join(stars, "_one").select(*df.columns, "target"))
+    stars = targets.where("target = '*'").count()
+    if stars:
+        every = F.explode(F.array_repeat(F.lit("*"), stars))
+        out = out.unionByName(df.withColumn("target", every))
+    return out
 
 
 def parse_key(df: DataFrame, key: str) -> DataFrame:
@@ -107,8 +110,7 @@ def examples_per_group(df: DataFrame, group: str, order: list[str], k: int) -> D
 
 def page_slice(df: DataFrame, order: list[str], offset: int, n: int) -> DataFrame:
     """Rows [offset, offset + n) in order, each with the total."""
-    total = df.agg(F.count(F.lit(1)).alias("total"))
-    return df.orderBy(*order).offset(offset).limit(n).withColumn("_one", F.lit(1)).join(total.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    return df.orderBy(*order).offset(offset).limit(n).withColumn("total", F.lit(df.count()))
 
 
 def two_level_rank(df: DataFrame, group: str, member: str, reviewed: str, pinned: str | None = None, top: int = 20) -> DataFrame:

@@ -322,5 +322,5 @@ def p1_build_index(t: Tables):
 @query("SELECT count(*) AS rows, 0::BIGINT AS differing FROM documents")
 def p2_profile_projection(t: Tables):
     small, differing = P.profile_projection(t.documents, ["lang", "n_chars"], "doc_id", "text")
-    n = small.agg(F.count(F.lit(1)).alias("rows")).withColumn("_o", F.lit(1))
-    return n.join(differing.agg(F.count(F.lit(1)).alias("differing")).withColumn("_o", F.lit(1)), "_o").drop("_o")
+    n = small.agg(F.count(F.lit(1)).alias("rows")).unionByName(differing.agg(F.count(F.lit(1)).alias("differing")), allowMissingColumns=True)
+    return n.agg(F.max("rows").alias("rows"), F.max("differing").alias("differing"))
