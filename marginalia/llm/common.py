@@ -72,9 +72,8 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def public_tokenizer(name: str) -> str:
-    """Path of a vocabulary file; ``MARGINALIA_TOKENIZERS`` names another folder."""
-    folder = os.environ.get("MARGINALIA_TOKENIZERS")
+def public_tokenizer(name: str, folder: str | None = None) -> str:
+    """Path of a vocabulary file: in ``folder``, else where the installed ``public_tokenizers`` package has it."""
     if folder:
         return os.path.join(folder, name)
     import public_tokenizers

@@ -142,7 +142,7 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text", pred: str
             found = []
             for t in batch.column(at):
                 words = Counter(_words(t.as_py()) if model else [])
-                if not words:
+                if not any(c.isalpha() for w in words for c in w):
                     found.append(("und", 0.0))
                     continue
                 if len(place) > 300_000:

@@ -57,18 +57,18 @@ class Encoder:
 
 def pieces(
     docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end: int = END,
-    tokenizer: str = "byte_bpe_50k.json", ranks: str | None = "byte_bpe_50k.tiktoken", keep_ids: bool = True,
+    tokenizer: str = "byte_bpe_50k.json", ranks: str | None = "byte_bpe_50k.tiktoken", folder: str | None = None, keep_ids: bool = True,
 ) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32[, ids]`` and a ``_slot`` that is unique in its partition.
 
     A document is its ids and ``end``; a null text is empty, so it has one piece of one token.  Longer
-    ones than ``capacity`` are cut into full pieces, the first taking the remainder.
+    ones than ``capacity`` are cut into full pieces, the first taking the remainder.  Every task finds the vocabulary
+    files by name, in ``folder`` or in the installed package.
     """
-    path, fast = public_tokenizer(tokenizer), ranks and public_tokenizer(ranks)
-
     def encode(batches):
         from pyspark import TaskContext
 
+        path, fast = public_tokenizer(tokenizer, folder), ranks and public_tokenizer(ranks, folder)
         encoder, part, n = Encoder(path, fast), TaskContext.get().partitionId(), 0
         for batch in batches:
             out = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "ids", "_slot")}

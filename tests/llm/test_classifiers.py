@@ -26,7 +26,7 @@ def texts():
 def test_languages(spark, texts):
     _, rows = texts
     data = [(k, " ".join(w), lang, "s", 1) for k, lang, w in rows]
-    data += [(900, None, "en", "s", 1), (901, "", "en", "s", 1), (902, "12 !? 34", "en", "s", 1), (903, "haus", None, None, 1)]
+    data += [(900, None, "en", "s", 1), (901, "", "en", "s", 1), (902, "12 !? 34 ²", "en", "s", 1), (903, "haus", None, None, 1)]
     d = spark.createDataFrame(data, DOCS)
     model = langid.fit(d, F.col("doc_id") % 2 == 0)
     got = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(d.select("doc_id", "text"), model).collect()}
