@@ -75,7 +75,8 @@ def line_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", max_e
     members = rows.join(met, "key").select("key", "id", parts.alias("parts"), F.pmod(F.xxhash64("id", "key"), parts).cast("int").alias("own"))
     members = stored(members, "line-members")
     wanted = members.select(F.col("id").alias("_id")).distinct()
-    texts = lines.select("id", "line").join(wanted, F.col("id") == F.col("_id"), "left_semi").groupBy(F.col("id").alias("_id")).agg(F.any_value("line").alias("line"))
+    # How many lines met another has no bound, so they are never broadcast: the plan is the same at every size.
+    texts = lines.select("id", "line").join(wanted.hint("merge"), F.col("id") == F.col("_id"), "left_semi").groupBy(F.col("id").alias("_id")).agg(F.any_value("line").alias("line"))
     dealt = members.join(texts, F.col("id") == F.col("_id")).select("key", F.struct("id", "own", "line").alias("m"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
     groups = dealt.groupBy("key", F.least("m.own", "other").alias("i"), F.greatest("m.own", "other").alias("j")).agg(F.collect_list("m").alias("g"))
 
