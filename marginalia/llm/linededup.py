@@ -74,9 +74,12 @@ def line_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", max_e
     parts = F.ceil(F.col("_n") / GROUP_BLOCK).cast("int")
     members = rows.join(met, "key").select("key", "id", parts.alias("parts"), F.pmod(F.xxhash64("id", "key"), parts).cast("int").alias("own"))
     members = stored(members, "line-members")
-    wanted = members.select(F.col("id").alias("_id")).distinct()
+    # Text comes from a line's first place only, so a line that a third of all documents share is fetched once.
+    places = distinct.select(F.col("id").alias("_id"), F.col("first.doc_id").alias("_doc"), F.col("first.line_no").alias("_no"))
+    wanted = places.join(members.select(F.col("id").alias("_m")).distinct(), F.col("_id") == F.col("_m"), "left_semi")
     # How many lines met another has no bound, so they are never broadcast: the plan is the same at every size.
-    texts = lines.select("id", "line").join(wanted.hint("merge"), F.col("id") == F.col("_id"), "left_semi").groupBy(F.col("id").alias("_id")).agg(F.any_value("line").alias("line"))
+    at_first = (F.col("doc_id") == F.col("_doc")) & (F.col("line_no") == F.col("_no")) & (F.col("id") == F.col("_id"))
+    texts = lines.join(wanted.hint("merge"), at_first).groupBy("_id").agg(F.any_value("line").alias("line"))
     dealt = members.join(texts, F.col("id") == F.col("_id")).select("key", F.struct("id", "own", "line").alias("m"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
     groups = dealt.groupBy("key", F.least("m.own", "other").alias("i"), F.greatest("m.own", "other").alias("j")).agg(F.collect_list("m").alias("g"))
 
@@ -91,10 +94,13 @@ def line_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", max_e
 
     edges = groups.where(F.size("g") > 1).select(F.explode(F.flatten(F.transform("g", partners))).alias("e")).select(F.least("e.a", "e.b").alias("a"), F.greatest("e.a", "e.b").alias("b"))
     roots = connected_components(edges, "line").select(F.col("node").alias("_node"), "root")
-    known = distinct.select("id", "n", "first").join(roots, F.col("id") == F.col("_node"), "left")
-    leaders = known.where("root is not null").groupBy(F.col("root").alias("_root")).agg(F.min("first").alias("_first"))
-    known = known.join(leaders, F.col("root") == F.col("_root"), "left")
-    return known.select("id", "n", "first", F.coalesce("root", "id").alias("class"), F.coalesce("_first", "first").alias("kept_at"))
+    known = distinct.select("id", "n", "first")
+    linked = known.join(roots, F.col("id") == F.col("_node"))
+    leaders = linked.groupBy(F.col("root").alias("_root")).agg(F.min("first").alias("_first"))
+    linked = linked.join(leaders, F.col("root") == F.col("_root")).select("id", "n", "first", F.col("root").alias("class"), F.col("_first").alias("kept_at"))
+    # Lines without a link stay out of the join: as nulls they would all meet in one task.
+    alone = known.join(roots, F.col("id") == F.col("_node"), "left_anti").select("id", "n", "first", F.col("id").alias("class"), F.col("first").alias("kept_at"))
+    return linked.unionByName(alone)
 
 
 def dropped_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", max_edits: int = MAX_EDITS, min_chars: int = MIN_CHARS) -> DataFrame:
