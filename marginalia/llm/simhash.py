@@ -174,9 +174,11 @@ def near_duplicates(prints: DataFrame, radius: int = RADIUS) -> DataFrame:
     """
     nodes = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("_least")), "simhash-nodes")
     roots = connected_components(links(nodes.select("fp"), radius), "simhash")
-    classes = nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-    joined = classes.where("root is not null").groupBy("root").agg(F.min("_least").alias("_smallest"))
-    classes = classes.join(joined, "root", "left").select("fp", F.coalesce("_smallest", "_least").alias("component_id"))
+    linked = nodes.join(roots.withColumnRenamed("node", "fp"), "fp")
+    joined = linked.groupBy("root").agg(F.min("_least").alias("component_id"))
+    linked = linked.join(joined, "root").select("fp", "component_id")
+    # Fingerprints without a link stay out of the join: as nulls they would all meet in one task.
+    classes = linked.unionByName(nodes.join(roots, F.col("fp") == F.col("node"), "left_anti").select("fp", F.col("_least").alias("component_id")))
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
 
 
