@@ -90,3 +90,49 @@ def test_stage_with_repeated_rows_null_ids_and_none(spark):
     d = spark.createDataFrame([(5, "a b c d e f", None, None, None)] * 3 + [(None, "x", None, None, None)] * 2, DOCS)
     assert sorted(r.doc_id or -1 for r in simhash.simhash_stage(spark, d, "").collect()) == [-1, -1, 5]
     assert simhash.simhash_stage(spark, d.limit(0), "").collect() == []
+
+
+def similar(a, b):
+    """Jaccard similarity of the five-word shingles."""
+    x, y = ({tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in (a.split(), b.split()))
+    return len(x & y) / len(x | y)
+
+
+def changed(rng, text, n):
+    w = text.split()
+    for k in rng.sample(range(len(w) // 6), n):
+        w[6 * k + 3] += "x"
+    return " ".join(w)
+
+
+def test_stage_links_at_similarity_and_nothing_below(spark):
+    rng = random.Random(8)
+    rows, near, far = [], set(), set()
+    for k in range(120):
+        text = " ".join(f"w{rng.randrange(5000)}" for _ in range(200))
+        rows.append((k, text, "en", "s", 0))
+        other = changed(rng, text, 3 if k % 2 else 6)
+        rows.append((1000 + k, other, "en", "s", 0))
+        (near if similar(text, other) >= 0.8 else far).add(1000 + k)
+    assert len(near) == len(far) == 60
+    kept = {r.doc_id for r in simhash.simhash_stage(spark, spark.createDataFrame(rows, DOCS), "").collect()}
+    assert far <= kept and set(range(120)) <= kept and len(near & kept) <= 6
+
+
+def test_stage_works_off_groups_with_many_candidates(spark, monkeypatch):
+    monkeypatch.setattr(simhash, "TAKE", 1)
+    rng = random.Random(4)
+    text = " ".join(f"w{rng.randrange(5000)}" for _ in range(240))
+    texts = {k: changed(rng, text, 1 + k % 4) for k in range(40)}
+    parent = dict.fromkeys(texts)
+    for start in texts:  # components by comparing all pairs
+        if parent[start] is None:
+            parent[start], todo = start, [start]
+            while todo:
+                x = todo.pop()
+                for y in texts:
+                    if parent[y] is None and similar(texts[x], texts[y]) >= 0.8:
+                        parent[y] = start
+                        todo.append(y)
+    kept = simhash.simhash_stage(spark, spark.createDataFrame([(k, v, "en", "s", 0) for k, v in texts.items()], DOCS), "").collect()
+    assert {r.doc_id for r in kept} == set(parent.values())
