@@ -79,7 +79,7 @@ def g6_label_votes(t: Tables):
 
 @query()
 def g7_guarded_moves(t: Tables):
-    moves = t.li.select((F.col("l_orderkey") * 1000 + F.col("rid")).alias("id"), F.col("l_partkey").alias("src"), F.col("l_suppkey").alias("dst")).where("id % 3 = 0")
+    moves = t.li.select((F.col("l_orderkey") * 1000 + F.col("rid")).alias("id"), F.col("l_partkey").alias("src"), F.col("l_suppkey").alias("dst"))
     stock = t.lineitem.groupBy(F.col("l_partkey").alias("src")).agg(F.count_if(F.col("l_quantity") > 30).alias("n"))
     return G.guarded_moves(moves, stock, t.supplier.select(F.col("s_suppkey").alias("dst"), (F.col("s_nationkey") * 8).alias("room")))
 

@@ -174,6 +174,13 @@ def test_moves_settle(spark):
     assert {r.id: r.dropped for r in G.guarded_moves(m, stock, room).collect()} == {1: None, 2: None, 3: "over-budget", 4: "empties-source"}
 
 
+def test_every_order_line_is_a_move(spark):
+    import __spark_entry__
+
+    sf = "/root/testdata/sf0.001"
+    assert __spark_entry__.queries()["g7_guarded_moves"](spark, sf).count() == spark.read.parquet(f"{sf}/lineitem.parquet").count()
+
+
 def test_refinement_rolls_back_a_round_that_fails(spark):
     d = frame(spark, [(4,)], "v long")
     step = lambda x, k: x.withColumn("v", F.col("v") - (1 if k < 3 else -5))
