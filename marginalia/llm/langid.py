@@ -1,14 +1,14 @@
 """Language identification by hierarchical discrimination.
 
-First the family: one-versus-one linear support vector machines between language families.  Then the language: one-versus-one
-machines between the languages of that family only.  Features are shares of hashed character n-grams of
-the words and of the words themselves, so a margin is a sum over words, and every word is worked out once per task.
+First the family: one-versus-one linear support vector machines between language families.  Then the language:
+one-versus-one machines between the languages of that family only.  Features are shares of hashed character n-grams of
+the words and of the words themselves, so a margin is a sum over words; n-grams are hashed by numpy, over the distinct
+words of some MB of text at once.
 """
 
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter
 from itertools import combinations
 
@@ -22,13 +22,21 @@ from .common import fold, stored, table
 
 #: Hashed features, and rows of each language to learn from, at most about.
 DIMS, ROWS = 4096, 800
+#: Characters of text worked on at once, at most about.
+SLICE = 4 << 20
+BASE = np.uint64(0x9E3779B97F4A7C15)
 #: Families of languages by code (fixed values); a language that isn't named is a family of its own.
 FAMILIES = {
     "germanic": ("en", "de", "nl", "sv", "da", "no", "nb", "nn", "is", "af", "lb", "fy", "yi"),
     "romance": ("fr", "es", "it", "pt", "ro", "ca", "gl", "oc", "la"),
     "slavic": ("ru", "uk", "be", "pl", "cs", "sk", "bg", "mk", "sr", "hr", "bs", "sl"),
-    "uralic": ("fi", "et", "hu"), "turkic": ("tr", "az", "kk", "uz", "ky", "tk"), "indic": ("hi", "bn", "mr", "ne", "pa", "gu", "ur"),
-    "semitic": ("ar", "he", "mt", "am"), "sinitic": ("zh", "yue"), "baltic": ("lt", "lv"), "celtic": ("ga", "cy", "gd", "br"),
+    "uralic": ("fi", "et", "hu"),
+    "turkic": ("tr", "az", "kk", "uz", "ky", "tk"),
+    "indic": ("hi", "bn", "mr", "ne", "pa", "gu", "ur"),
+    "semitic": ("ar", "he", "mt", "am"),
+    "sinitic": ("zh", "yue"),
+    "baltic": ("lt", "lv"),
+    "celtic": ("ga", "cy", "gd", "br"),
 }
 _FAMILY = {code: name for name, codes in FAMILIES.items() for code in codes}
 _LETTERS = re.compile(r"[^\W\d_]+")
@@ -38,11 +46,36 @@ def family(lang: str) -> str:
     return _FAMILY.get(lang.split("-")[0].split("_")[0].lower(), lang)
 
 
-def word_features(word: str) -> list[int]:
-    """Hashed n-grams of 1 to 3 letters of a marked, lower-cased word, and the word itself."""
-    w = f"^{word}$"
-    grams = [w, *(w[k : k + n] for n in (1, 2, 3) for k in range(n == 1, len(w) - n + 1 - (n == 1)))]
-    return [zlib.crc32(g.encode()) % DIMS for g in grams]
+def _bucket(h: np.ndarray) -> np.ndarray:
+    """Polynomial hashes, mixed down to 0..DIMS-1."""
+    h = (h ^ h >> np.uint64(33)) * np.uint64(0xFF51AFD7ED558CCD)
+    h = (h ^ h >> np.uint64(33)) * np.uint64(0xC4CEB9FE1A85EC53)
+    return ((h >> np.uint64(33)) % np.uint64(DIMS)).astype(np.int64)
+
+
+def features(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashed features of lower-cased words, all at once: ``grams, whole, starts, sizes``.
+
+    A word is marked at both ends.  ``grams`` holds, for each character of the marked words laid end to end, the features of
+    the n-grams of 1, 2 and 3 characters that begin there, DIMS where there is none (a mark alone is none); ``whole`` has one
+    feature for each word, ``starts`` its first character, ``sizes`` how many features it has in all.
+    """
+    codes = np.frombuffer("".join(f"^{w}$" for w in words).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    lengths = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    starts = np.cumsum(lengths) - lengths
+    place = np.arange(len(codes)) - np.repeat(starts, lengths)
+    left = np.repeat(lengths, lengths) - place
+    grams, h = np.empty((3, len(codes)), np.int64), codes
+    for n in (1, 2, 3):
+        if n > 1:
+            h = h * BASE + np.concatenate((codes, np.zeros(n - 1, np.uint64)))[n - 1 :]
+        there = (place >= 1) & (left >= 2) if n == 1 else left >= n
+        grams[n - 1] = np.where(there, _bucket(h + np.uint64(n)), DIMS)
+    power = np.full(int(lengths.max(initial=1)), BASE)
+    power[0] = 1
+    power = np.multiply.accumulate(power)
+    whole = np.add.reduceat(codes * power[place], starts) if len(words) else np.zeros(0, np.uint64)
+    return grams, _bucket(whole), starts, 3 * lengths - 4
 
 
 def _words(text: str | None) -> list[str]:
@@ -53,113 +86,153 @@ def _sample(batches):
     for batch in batches:
         rows = []
         for t in batch.column(1):
-            counts = np.zeros(DIMS, np.float32)
-            for w in _words(t.as_py()):
-                np.add.at(counts, word_features(w), 1)
-            total = counts.sum()
-            rows.append((counts / total).astype(np.float32).tobytes() if total else None)
+            words = Counter(_words(t.as_py()))
+            times = np.fromiter(words.values(), float, len(words))
+            grams, whole, starts, sizes = features(list(words))
+            counts = np.bincount(whole, times, DIMS + 1)
+            for g in grams:
+                counts += np.bincount(g, np.repeat(times, np.diff(np.append(starts, grams.shape[1]))), DIMS + 1)
+            total = times @ sizes
+            rows.append((counts[:DIMS] / total).astype(np.float32).tobytes() if total else None)
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], names=["lang", "x"])
 
 
 def train_svm(x: np.ndarray, y: np.ndarray, rounds: int = 150, c: float = 10.0) -> tuple[np.ndarray, float]:
     """Linear support vector machine: squared hinge loss and an L2 penalty, by Adam; classes weigh the same."""
     scale = 1 / (x.std(axis=0) + 1e-4)
-    z = x * scale
-    weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum()))
-    w, b = np.zeros(x.shape[1]), 0.0
+    z, y = (x * scale).astype(np.float32), y.astype(np.float32)
+    weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y < 0).sum())).astype(np.float32)
+    w, b = np.zeros(x.shape[1], np.float32), 0.0
     m, v = np.zeros(x.shape[1] + 1), np.zeros(x.shape[1] + 1)
     for t in range(1, rounds + 1):
-        slack = np.maximum(0, 1 - y * (z @ w + b)) * weight * -y * 2 * c
-        g = np.append(z.T @ slack + w * 1e-2, slack.sum())
+        slack = np.maximum(0, 1 - y * (z @ w + np.float32(b))) * weight * -y * np.float32(2 * c)
+        g = np.append(slack @ z + w * np.float32(1e-2), slack.sum())
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         step = 0.01 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-        w, b = w - step[:-1], b - step[-1]
+        w, b = (w - step[:-1]).astype(np.float32), b - step[-1]
     return w * scale, float(b)
 
 
+def duels(langs: list[str]) -> list[tuple[str, str, str]]:
+    """``(level, a, b)`` of every machine: families at level "" first, then the languages of one family."""
+    families = sorted({family(v) for v in langs})
+    levels = [("", families), *((f, sorted(v for v in langs if family(v) == f)) for f in families)]
+    return [(level, a, b) for level, groups in levels for a, b in combinations(groups, 2)]
+
+
+def _train(rows: pa.Table) -> pa.Table:
+    """One machine from its rows ``machine, side, x``; their order doesn't matter."""
+    order = sorted(zip(rows.column("side").to_pylist(), rows.column("x").to_pylist()))
+    x = np.frombuffer(b"".join(b for _, b in order), np.float32).reshape(len(order), DIMS)
+    w, b = train_svm(x, np.array([s for s, _ in order], np.float32))
+    return pa.table({"machine": rows.column("machine")[:1], "w": pa.array([w.astype(np.float64).tobytes()], pa.binary()), "b": pa.array([b], pa.float64())})
+
+
 class Model:
-    """All machines side by side: ``weights`` (DIMS, machines), ``bias``; machines of the families first."""
-
-    def __init__(self, langs: list[str], x: np.ndarray, y: np.ndarray):
-        names = np.array([family(v) for v in y])
-        self.families = sorted(set(names))
-        self.members = {f: sorted({v for v in langs if family(v) == f}) for f in self.families}
-        self.machines, columns, biases = {}, [], []
-        for level, groups, target in [("", self.families, names), *((f, self.members[f], y) for f in self.families)]:
-            for a, b in combinations(groups, 2):
-                rows = (target == a) | (target == b)
-                w, bias = train_svm(x[rows], np.where(target[rows] == a, 1.0, -1.0))
-                self.machines[level, a, b] = len(columns)
-                columns.append(w)
-                biases.append(bias)
-        self.weights = np.stack(columns, 1) if columns else np.zeros((DIMS, 0))
-        self.bias = np.array(biases)
-
-    def choose(self, level: str, groups: list[str], margins: np.ndarray) -> tuple[str, float]:
-        """The group that wins its duels by the largest sum of log probabilities, and its share."""
-        total = dict.fromkeys(groups, 0.0)
-        for a, b in combinations(groups, 2):
-            d = float(np.clip(3 * margins[self.machines[level, a, b]], -30, 30))
-            total[a] -= np.log1p(np.exp(-d))
-            total[b] -= np.log1p(np.exp(d))
-        best = max(groups, key=lambda g: (total[g], g))
-        return best, float(np.exp(total[best]) / sum(np.exp(v) for v in total.values()))
-
-    def predict(self, margins: np.ndarray) -> tuple[str, float]:
-        f, p = self.choose("", self.families, margins)
-        lang, q = self.choose(f, self.members[f], margins)
-        return lang, p * q
+    """All machines side by side: ``weights`` (DIMS + 1, machines; the last row is zero) and ``bias``, in the order of ``duels``."""
+
+    def __init__(self, langs: list[str], weights: np.ndarray, bias: np.ndarray):
+        self.langs, self.families = sorted(langs), sorted({family(v) for v in langs})
+        self.machines = {d: k for k, d in enumerate(duels(self.langs))}
+        self.weights, self.bias = np.vstack([weights, np.zeros((1, weights.shape[1]))]), bias
+
+    def choose(self, level: str, groups: list[str], margins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For each row of margins the group that wins its duels by the largest sum of log probabilities, and its share."""
+        total = np.zeros((len(margins), len(groups)))
+        for (i, a), (j, b) in combinations(enumerate(groups), 2):
+            d = np.clip(3 * margins[:, self.machines[level, a, b]], -30, 30)
+            total[:, i] -= np.log1p(np.exp(-d))
+            total[:, j] -= np.log1p(np.exp(d))
+        best = len(groups) - 1 - total[:, ::-1].argmax(axis=1)
+        odds = np.exp(total)
+        return best, odds[np.arange(len(total)), best] / odds.sum(axis=1)
+
+    def predict(self, margins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Language and score of each row of margins: the family first, then a language of it."""
+        home, score = self.choose("", self.families, margins)
+        langs = np.empty(len(margins), object)
+        for k, f in enumerate(self.families):
+            mine, members = home == k, [v for v in self.langs if family(v) == f]
+            best, share = self.choose(f, members, margins[mine])
+            langs[mine] = np.array(members, object)[best]
+            score[mine] *= share
+        return langs, score
+
+    def margins(self, texts: list[Counter]) -> np.ndarray:
+        """Margins of texts given as counted words (at least one each): a word's weights are summed once for all of them."""
+        place: dict[str, int] = {}
+        ids = np.array([place.setdefault(w, len(place)) for t in texts for w in t], np.int64)
+        times = np.array([n for t in texts for n in t.values()], float)
+        grams, whole, starts, sizes = features(list(place))
+        at = self.weights[grams[0]] + self.weights[grams[1]] + self.weights[grams[2]]
+        worth = np.add.reduceat(at, starts, axis=0) + self.weights[whole]
+        first = np.cumsum([0, *map(len, texts[:-1])])
+        total = np.add.reduceat(times * sizes[ids], first)
+        return np.add.reduceat(times[:, None] * worth[ids], first, axis=0) / total[:, None] + self.bias
 
 
 def fit(docs: DataFrame, learn, rows: int = ROWS) -> Model | None:
-    """Fit on rows where ``learn`` holds and neither text nor lang is null; about ``rows`` of each language, picked by hash."""
+    """Fit on rows where ``learn`` holds and neither text nor lang is null; about ``rows`` of each language, picked by hash.
+
+    Every machine is trained in a task of its own, from the sample of its two sides; only weights come to the driver.
+    """
+    spark = docs.sparkSession
     usable = docs.where(learn & F.col("text").isNotNull() & F.col("lang").isNotNull()).select("doc_id", "lang", "text")
     counts = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}
     if not counts:
         return None
     dice = F.pmod(F.xxhash64("doc_id", F.lit("langid")), F.lit(1 << 30)) / float(1 << 30)
     rate = F.create_map(*[F.lit(v) for lang, n in sorted(counts.items()) for v in (lang, min(1.0, rows / n))])
-    sample = stored(usable.where(dice < rate[F.col("lang")]).select("lang", "text").mapInArrow(_sample, "lang string, x binary"), "langid-sample")
-    got = sorted(((r["lang"], bytes(r["x"])) for r in sample.where("x is not null").collect()), key=lambda r: r)
-    if not got:
+    picked = usable.where(dice < rate[F.col("lang")]).select("lang", "text")
+    sample = stored(picked.mapInArrow(_sample, "lang string, x binary").where("x is not null"), "langid-sample")
+    langs = sorted(r["lang"] for r in sample.select("lang").distinct().collect())
+    if not langs:
         return None
-    x = np.frombuffer(b"".join(b for _, b in got), np.float32).reshape(len(got), DIMS)
-    y = np.array([lang for lang, _ in got])
-    return Model(sorted(set(y)), x, y)
+    machines = duels(langs)
+    if not machines:
+        return Model(langs, np.zeros((DIMS, 0)), np.zeros(0))
+    sides = [
+        (k, lang, side) for k, (level, *pair) in enumerate(machines) for side, group in zip((1, -1), pair)
+        for lang in langs if (lang if level else family(lang)) == group
+    ]
+    # One row per machine and language: bounded by the languages, whatever the input.
+    drawn = sample.join(F.broadcast(spark.createDataFrame(sides, "machine int, lang string, side int")), "lang")
+    found = drawn.select("machine", "side", "x").groupBy("machine").applyInArrow(_train, "machine int, w binary, b double")
+    trained = sorted(found.collect(), key=lambda r: r.machine)
+    return Model(langs, np.stack([np.frombuffer(r.w, np.float64) for r in trained], 1), np.array([r.b for r in trained]))
 
 
 def identify(docs: DataFrame, model: Model | None, text: str = "text", pred: str = "lang_pred", score: str = "score") -> DataFrame:
-    """``docs`` with the language of every whole text and a score in 0..1.
+    """``docs`` with the language of every whole text and a score in 0..1, in place of columns of these names if there are any.
 
     ``und`` and 0 where the text is null or has no letter, or where there was nothing to learn from.  Equal texts agree.
     """
+    if text in (pred, score) or pred == score:
+        raise ValueError("text, pred and score must be three columns")
+    docs = docs.drop(pred, score)
     schema, at = StructType([*docs.schema.fields, StructField(pred, StringType()), StructField(score, DoubleType())]), docs.columns.index(text)
 
+    def found(column):
+        """Languages and scores of a column, a few MB of text at a time."""
+        langs, scores = np.full(len(column), "und", object), np.zeros(len(column))
+        some, held, size = [], [], 0
+        for k, t in enumerate(column):
+            body = t.as_py() or "" if model else ""
+            words = Counter(_words(body))
+            if any(c.isalpha() for w in words for c in w):
+                some.append(k)
+                held.append(words)
+                size += len(body)
+            if held and (size > SLICE or k == len(column) - 1):
+                langs[some], scores[some] = model.predict(model.margins(held))
+                some, held, size = [], [], 0
+        return langs, scores
+
     def run(batches):
-        place: dict[str, int] = {}
-        sums, lengths = np.zeros((1 << 14, model.weights.shape[1] if model else 0)), np.zeros(1 << 14)
         for batch in batches:
-            found = []
-            for t in batch.column(at):
-                words = Counter(_words(t.as_py()) if model else [])
-                if not any(c.isalpha() for w in words for c in w):
-                    found.append(("und", 0.0))
-                    continue
-                if len(place) > 300_000:
-                    place.clear()
-                ids = []
-                for w in words:
-                    k = place.get(w)
-                    if k is None:
-                        grams = word_features(w)
-                        k = place[w] = len(place)
-                        if k == len(sums):
-                            sums, lengths = np.concatenate((sums, np.zeros_like(sums))), np.concatenate((lengths, np.zeros_like(lengths)))
-                        sums[k], lengths[k] = model.weights[grams].sum(axis=0), len(grams)
-                    ids.append(k)
-                times = np.fromiter(words.values(), float, len(words))
-                found.append(model.predict(times @ sums[ids] / (times @ lengths[ids]) + model.bias))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())], names=[*batch.schema.names, pred, score])
+            langs, scores = found(batch.column(at))
+            columns = [*batch.columns, pa.array(langs.tolist(), pa.string()), pa.array(scores)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, pred, score])
 
     return docs.mapInArrow(run, schema)
 

@@ -42,6 +42,66 @@ def test_languages(spark, texts):
     assert langid.identify(d.limit(0).select("text"), model).collect() == []
 
 
+def plain_features(word):
+    """The features of one word, gram by gram, in plain integers."""
+    base, top = int(langid.BASE), 2**64
+
+    def bucket(h):
+        h = (h ^ h >> 33) * 0xFF51AFD7ED558CCD % top
+        h = (h ^ h >> 33) * 0xC4CEB9FE1A85EC53 % top
+        return (h >> 33) % langid.DIMS
+
+    w = [ord(c) for c in f"^{word}$"]
+    found = [bucket(sum(c * base**i for i, c in enumerate(w)) % top)]
+    found += [bucket((c + 1) % top) for c in w[1:-1]]
+    for n in (2, 3):
+        for k in range(len(w) - n + 1):
+            found.append(bucket((sum(c * base ** (n - 1 - i) for i, c in enumerate(w[k : k + n])) + n) % top))
+    return found
+
+
+def plain_predict(model, text):
+    """Family, then language, of one text: one gram and one duel after another."""
+    grams = [g for w in langid._words(text) for g in plain_features(w)]
+    if not grams:
+        return "und", 0.0
+    margin = model.weights[grams].sum(axis=0) / len(grams) + model.bias
+
+    def choose(level, groups):
+        total = dict.fromkeys(groups, 0.0)
+        for (lv, a, b), k in model.machines.items():
+            if lv == level:
+                d = min(30, max(-30, 3 * margin[k]))
+                total[a] -= np.log1p(np.exp(-d))
+                total[b] -= np.log1p(np.exp(d))
+        best = max(groups, key=lambda g: (total[g], g))
+        return best, np.exp(total[best]) / sum(np.exp(v) for v in total.values())
+
+    f, p = choose("", model.families)
+    lang, q = choose(f, [v for v in model.langs if langid.family(v) == f])
+    return lang, p * q
+
+
+def test_scores_equal_a_plain_scorer(spark, texts, monkeypatch):
+    rng, rows = texts
+    d = spark.createDataFrame([(k, " ".join(w), lang, "s", 1) for k, lang, w in rows], DOCS)
+    model = langid.fit(d, F.col("doc_id") % 2 == 0)
+    bodies = [" ".join(w) for _, _, w in rows[:60]] + ["ÉTÉ Straße 中文 𝔘nd x", "a", "", "7", "Haus " * 5000, "Haus " * 5000]
+    bodies += ["".join(rng.choice("abcßé中 \n9_-") for _ in range(40)) for _ in range(40)]
+    monkeypatch.setattr(langid, "SLICE", 500)
+    data = spark.createDataFrame([(k, t, "old", 7.0) for k, t in enumerate(bodies)], "k long, text string, lang_pred string, score double")
+    got = {r.k: r for r in langid.identify(data, model).collect()}
+    assert langid.identify(data, model).columns == ["k", "text", "lang_pred", "score"]
+    for k, t in enumerate(bodies):
+        lang, score = plain_predict(model, t)
+        assert got[k].lang_pred == lang and got[k].score == pytest.approx(score, abs=1e-9)
+    assert got[64][1:] == got[65][1:]
+    grams, whole, starts, sizes = langid.features(["haus", "é", "中文"])
+    for k, w in enumerate(["haus", "é", "中文"]):
+        mine = grams[:, starts[k] : starts[k] + len(w) + 2].ravel()
+        assert sorted([*mine[mine < langid.DIMS], whole[k]]) == sorted(plain_features(w)) and sizes[k] == len(plain_features(w))
+
+
 def test_families():
     assert langid.family("de-AT") == langid.family("en") == "germanic" and langid.family("fr") == "romance" and langid.family("tlh") == "tlh"
 
