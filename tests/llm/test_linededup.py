@@ -16,12 +16,12 @@ def distance(a, b):
     return row[-1]
 
 
-def brute(rows, k, least):
+def brute(rows, edits):
     places = {}
     for i, t in rows:
         for n, line in enumerate((t or "").split("\n")) if t is not None and i is not None else ():
             line = line.strip(" ")
-            if len(line) >= least:
+            if line:
                 places.setdefault(line, set()).add((i, n))
     lines = sorted(places)
     parent = {x: x for x in lines}
@@ -33,6 +33,7 @@ def brute(rows, k, least):
 
     for a in lines:
         for b in lines:
+            k = max([k for low, k in edits if low <= min(len(a), len(b))], default=0)
             if a < b and abs(len(a) - len(b)) <= k and distance(a, b) <= k:
                 parent[find(b)] = find(a)
     first = {}
@@ -65,31 +66,36 @@ def rows():
     return [*out, (90, None), (91, ""), (92, "\n\n   \n"), (93, "short"), (94, "short")]
 
 
-@pytest.mark.parametrize("edits", [0, 1, 2, 3])
+@pytest.mark.parametrize("edits", [(), ((10, 1),), ((10, 2),), ((10, 3),), ((6, 1), (20, 2), (40, 3)), ((8, 0), (30, 2))])
 def test_same_as_all_pairs(spark, rows, edits):
     d = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {(r.doc_id, r.line_no) for r in linededup.dropped_lines(d, max_edits=edits, min_chars=10).collect()}
-    assert got == brute(rows, edits, 10)
+    got = {(r.doc_id, r.line_no) for r in linededup.dropped_lines(d, edits=edits).collect()}
+    assert got == brute(rows, edits)
 
 
-def test_blocks_of_large_groups_change_nothing(spark, rows, monkeypatch):
+def test_blocks_and_filter_bits_change_nothing(spark, rows, monkeypatch):
     monkeypatch.setattr(linededup, "GROUP_BLOCK", 2)
+    monkeypatch.setattr(linededup, "FILTER_BITS", 256)
     d = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {(r.doc_id, r.line_no) for r in linededup.dropped_lines(d, max_edits=2, min_chars=10).collect()}
-    assert got == brute(rows, 2, 10)
+    got = {(r.doc_id, r.line_no) for r in linededup.dropped_lines(d, edits=((10, 2),)).collect()}
+    assert got == brute(rows, ((10, 2),))
 
 
 def test_text_loses_the_dropped_lines_only(spark):
     a, b = "this line is long enough", "another line, long enough"
-    rows = [(1, f"{a}\nhi\n{b}", "en", "s", 1), (2, f"{b}\nhi\n  {a}x ", "en", "s", 1), (3, None, None, None, None), (None, a, None, None, None), (4, "own words in this last line\n", None, None, None)]
+    rows = [
+        (1, f"{a}\nhi\n{b}", "en", "s", 1), (2, f"{b}\nho\n\n  {a}x ", "en", "s", 1), (3, None, None, None, None), (None, a, None, None, None),
+        (4, "own words in this last line\n\nhi", None, None, None),
+    ]
     d = spark.createDataFrame(rows, DOCS).withColumnRenamed("lang", "_key")
     out = {r.doc_id: r for r in linededup.line_dedup_stage(spark, d, "").collect()}
-    assert out[1].text == rows[0][1] and out[2].text == "hi" and out[2].n_chars == 2
-    assert out[3].text is None and out[None].text == a and out[4].text == rows[4][1]
+    assert out[1].text == rows[0][1] and out[2].text == "ho\n" and out[2].n_chars == 3
+    assert out[3].text is None and out[None].text == a and out[4].text == "own words in this last line\n"
 
 
 def test_empty_table_and_bad_parameters(spark):
     d = spark.createDataFrame([], DOCS)
     assert linededup.line_dedup_stage(spark, d, "").collect() == []
-    with pytest.raises(ValueError):
-        linededup.line_classes(d, max_edits=3, min_chars=3)
+    for edits in (((3, 3),), ((20, 1), (10, 2))):
+        with pytest.raises(ValueError):
+            linededup.line_classes(d, edits=edits)
