@@ -16,11 +16,14 @@ from pyspark.sql import functions as F
 
 from .common import stored, table
 
-PIVOTS = 64
+#: Pivots are as many as the root of the number of rows, within these bounds; the driver holds them and a line for each cell.
+LEAST_PIVOTS, MOST_PIVOTS = 64, 16_384
 #: Rows of a data chunk and of a query block aimed at; a task holds one of each.
 CHUNK = 4096
 BLOCK = 4096
 SCALE = 256
+#: Queries routed at once.
+ROUTED = 512
 
 
 def _usable(v: Column) -> Column:
@@ -49,14 +52,14 @@ def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a.astype(float) @ b.astype(float).T).astype(np.int64) if most < 2**53 else a @ b.T
 
 
-def local_top(ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int):
-    """Indices (query, row) and scores of each query's k best rows with another id, ties to the smaller id."""
-    order = np.argsort(ids, kind="stable")
-    ids, rows, found = ids[order], rows[order], []
+def local_top(row_ids: np.ndarray, ids: np.ndarray, rows: np.ndarray, query_rows: np.ndarray, queries: np.ndarray, k: int):
+    """Indices (query, row) and scores of each query's k best rows, its own row left out, ties to the smaller id."""
+    order = np.lexsort((row_ids, ids))
+    row_ids, rows, found = row_ids[order], rows[order], []
     least = np.iinfo(np.int64).min
     for at in range(0, len(queries), 256):
         scores = products(queries[at : at + 256], rows)
-        own = query_ids[at : at + 256, None] == ids[None, :]
+        own = query_rows[at : at + 256, None] == row_ids[None, :]
         scores[own] = least
         kth = np.partition(scores, -k, axis=1)[:, -k] if scores.shape[1] > k else np.full(len(scores), least)
         q, r = np.nonzero((scores >= kth[:, None]) & ~own)
@@ -69,92 +72,143 @@ def local_top(ids: np.ndarray, rows: np.ndarray, query_ids: np.ndarray, queries:
     return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
 
 
-def knn_join(data: DataFrame, queries: Column, k: int, pivots: int = PIVOTS, chunk: int = CHUNK, block: int = BLOCK) -> DataFrame:
-    """``query_id, rank, id, score``: each query's ``k`` best rows of ``data`` (``id, dim, q``) by inner product.
-
-    ``queries`` marks the rows that are queries too.  A query meets every row of its dimension but those with its own
-    id.  Ties go to the smaller id; equal query rows are answered once; fewer rows than ``k`` give fewer answers.
+class Pivots:
+    """Pivots of one dimension in two levels: the first ones, as many as the root of all, lead the rest."""
+
+    def __init__(self, row_ids: np.ndarray, at: np.ndarray):
+        self.row_ids, self.at = row_ids, at
+        self.leaders = at[: max(1, int(np.ceil(np.sqrt(len(at)))))].astype(float)
+        self.led = self._nearest(at.astype(float), self.leaders)
+        self.led[: len(self.leaders)] = np.arange(len(self.leaders))
+
+    @staticmethod
+    def _nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+        return ((centres**2).sum(1) - 2 * (x @ centres.T)).argmin(1)
+
+    def assign(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """A near pivot of each row, by way of the nearest leader, and the distance to it."""
+        cell, leader = np.empty(len(x), np.int64), self._nearest(x, self.leaders)
+        for k in np.unique(leader):
+            mine, members = leader == k, np.flatnonzero(self.led == k)
+            cell[mine] = members[self._nearest(x[mine], self.at[members].astype(float))]
+        return cell, np.sqrt(((x - self.at[cell]) ** 2).sum(1))
+
+
+class Cell:
+    """What bounds a cell's rows, and where they go: data group ``group`` of ``parts`` chunks, query blocks from ``block`` on."""
+
+    def __init__(self, dim: int, cell: int, n: int, radius: float, asked: int):
+        self.dim, self.cell, self.n, self.radius, self.asked = dim, cell, n, radius, asked
+        self.group = self.parts = self.block = self.blocks = 0
+
+
+def dealt(cells: list[Cell], chunk: int, block: int) -> None:
+    """Neighbouring small cells share a data group and a query block; a large cell is split into several."""
+    group = at = rows = asked = 0
+    for k, c in enumerate(cells):
+        fresh = k and cells[k - 1].dim != c.dim
+        if rows and (fresh or rows + c.n > chunk):
+            group, rows = group + 1, 0
+        if asked and (fresh or asked + c.asked > block):
+            at, asked = at + 1, 0
+        c.group, c.parts, c.block, c.blocks = group, max(1, -(-c.n // chunk)), at, max(1, -(-c.asked // block))
+        group, rows = (group + 1, 0) if c.parts > 1 else (group, rows + c.n)
+        at, asked = (at + c.blocks, 0) if c.blocks > 1 else (at, asked + c.asked)
+
+
+def needed(pivots: Pivots, cells: list[Cell], row_ids: np.ndarray, x: np.ndarray, k: int) -> np.ndarray:
+    """(queries, cells): whether a cell may hold one of the query's ``k`` best rows."""
+    near, long = products(x, pivots.at).astype(float), np.sqrt((x.astype(float) ** 2).sum(1))
+    which, radius, number = (np.array([getattr(c, f) for c in cells]) for f in ("cell", "radius", "n"))
+    slack = 1e-9 * (np.abs(near[:, which]) + long[:, None] * radius) + 1e-6
+    high = near[:, which] + long[:, None] * radius + slack
+    low = near[:, which] - long[:, None] * radius - slack
+    # The k-th best row scores at least this: k + 1 rows, for one may be the query itself, in cells bounded from below ...
+    order = np.argsort(-low, axis=1)
+    enough = np.cumsum(number[order], axis=1) >= k + 1
+    reached = np.take_along_axis(np.take_along_axis(low, order, 1), enough.argmax(1)[:, None], 1)[:, 0]
+    floor = np.where(enough.any(1), reached, -np.inf)
+    # ... or k of the pivots, which are rows themselves.
+    if len(pivots.at) > k:
+        scores = np.where(pivots.row_ids[None, :] == row_ids[:, None], -np.inf, near)
+        floor = np.maximum(floor, np.partition(scores, -k, axis=1)[:, -k])
+    return high >= floor[:, None]
+
+
+def knn_join(data: DataFrame, queries: Column, k: int, pivots: int | None = None, chunk: int = CHUNK, block: int = BLOCK) -> DataFrame:
+    """``query_id, rank, id, score``: each query row's ``k`` best rows of ``data`` (``id, dim, q``) by inner product.
+
+    ``queries`` marks the rows that are queries too.  A query meets every row of its dimension but itself; rows that repeat
+    it, or its id, are rows like others, and repeated query rows are answered one by one.  Ties go to the smaller id; fewer rows
+    than ``k`` give fewer answers.
     """
     spark = data.sparkSession
-    data = stored(data.withColumn("_query", F.coalesce(queries, F.lit(False))), "knn-rows")
+    data = data.select("id", "dim", "q", F.coalesce(queries, F.lit(False)).alias("_query"), F.monotonically_increasing_id().alias("row"))
+    data = stored(data, "knn-rows")
+    if pivots is None:
+        pivots = min(MOST_PIVOTS, max(LEAST_PIVOTS, int(data.count() ** 0.5)))
     # A bounded sample of rows, by hash: only bounds depend on it, never the answers.
-    sample = data.orderBy(F.xxhash64("id"), "id").select("id", "dim", "q").limit(pivots).collect()
-    centres = {d: (np.array([r.id for r in sample if r.dim == d]), np.array([r.q for r in sample if r.dim == d], dtype=np.int64).reshape(-1, d)) for d in {r.dim for r in sample}}
+    sample = data.orderBy(F.xxhash64("row")).select("row", "dim", "q").limit(pivots).collect()
+    distinct = {(r.dim, tuple(r.q)): r.row for r in sample}
+    centres = {
+        d: Pivots(np.array([r for (e, _), r in distinct.items() if e == d]), np.array([q for e, q in distinct if e == d], np.int64).reshape(-1, d))
+        for d in {r.dim for r in sample}
+    }
+
+    def centre(d: int) -> Pivots:
+        return centres.get(d) or Pivots(np.zeros(1, np.int64) - 1, np.zeros((1, d), np.int64))
 
     def assign(batches):
         for batch in batches:
             dims = batch.column(1).to_numpy()
             for d in np.unique(dims):
                 part = batch.filter(pa.array(dims == d))
-                x = _matrix(part.column(2), d).astype(float)
-                p = centres.get(d, (None, np.zeros((1, d))))[1].astype(float)
-                away = np.empty((len(x), len(p)))
-                for at in range(0, len(x), 1024):
-                    away[at : at + 1024] = ((x[at : at + 1024, None, :] - p[None]) ** 2).sum(2) if d * len(p) < 10_000 else np.stack([((x[at : at + 1024] - c) ** 2).sum(1) for c in p], 1)
-                cell = away.argmin(1)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(cell.astype(np.int32)), pa.array(np.sqrt(away[np.arange(len(x)), cell]))], names=[*part.schema.names, "cell", "away"])
-
-    rows = stored(data.select("id", "dim", "q", "_query").mapInArrow(assign, "id long, dim int, q array<long>, _query boolean, cell int, away double"), "knn-cells")
+                cell, away = centre(d).assign(_matrix(part.column(2), d).astype(float))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(cell.astype(np.int32)), pa.array(away)], names=[*part.schema.names, "cell", "away"])
+
+    assigned = "id long, dim int, q array<long>, _query boolean, row long, cell int, away double"
+    rows = stored(data.mapInArrow(assign, assigned), "knn-cells")
     # One line per cell and dimension: bounded by the pivots.
-    cells = rows.groupBy("dim", "cell").agg(F.count(F.lit(1)).alias("n"), F.max("away").alias("radius"), F.count_if("_query").alias("asked")).orderBy("dim", "cell").collect()
-    blocks, at, filled = {}, 0, 0
-    for c in cells:  # queries of neighbouring cells share a block; those of a large cell get several
-        if filled and (filled + c.asked > block or c.dim != dim):
-            at, filled = at + 1, 0
-        dim, split = c.dim, max(1, -(-c.asked // block))
-        blocks[c.dim, c.cell] = (at, split)
-        at, filled = (at + split, 0) if split > 1 else (at, filled + c.asked)
-    chunks = {(c.dim, c.cell): max(1, -(-c.n // chunk)) for c in cells}
+    tallies = rows.groupBy("dim", "cell").agg(F.count(F.lit(1)).alias("n"), F.max("away").alias("radius"), F.count_if("_query").alias("asked"))
+    cells = [Cell(**r.asDict()) for r in tallies.collect()]
+    cells.sort(key=lambda c: (c.dim, int(centre(c.dim).led[c.cell]), c.cell))
+    dealt(cells, chunk, block)
     summary = {d: [c for c in cells if c.dim == d] for d in {c.dim for c in cells}}
 
     def route(batches):
         for batch in batches:
-            dims, home = batch.column(1).to_numpy(), batch.column(3).to_numpy()
+            dims = batch.column(1).to_numpy()
             for d in np.unique(dims):
-                part, own = batch.filter(pa.array(dims == d)), home[dims == d]
-                ids, x = part.column(0).to_numpy(), _matrix(part.column(2), d)
-                known, p = centres.get(d, (np.zeros(0, np.int64), np.zeros((0, d), np.int64)))
-                at = p if len(p) else np.zeros((1, d), np.int64)
-                near, long = products(x, at).astype(float), np.sqrt((x.astype(float) ** 2).sum(1))
-                which, radius = np.array([c.cell for c in summary[d]]), np.array([c.radius for c in summary[d]])
-                number = np.array([c.n for c in summary[d]])
-                slack = 1e-9 * (np.abs(near[:, which]) + long[:, None] * radius) + 1e-6
-                high = near[:, which] + long[:, None] * radius + slack
-                low = near[:, which] - long[:, None] * radius - slack
-                # The k-th best row scores at least this: k + 1 rows, for one may be the query itself, in cells bounded from below ...
-                order = np.argsort(-low, axis=1)
-                enough = np.cumsum(number[order], axis=1) >= k + 1
-                floor = np.where(enough.any(1), np.take_along_axis(np.take_along_axis(low, order, 1), enough.argmax(1)[:, None], 1)[:, 0], -np.inf)
-                # ... or k of the pivots, which are rows themselves.
-                if len(p) > k:
-                    scores = np.where(known[None, :] == ids[:, None], -np.inf, near)
-                    floor = np.maximum(floor, np.partition(scores, -k, axis=1)[:, -k])
-                for i, need in enumerate(high >= floor[:, None]):
-                    first, split = blocks[d, int(own[i])]
-                    yield pa.RecordBatch.from_pydict({"id": [ids[i]], "dim": [d], "q": [x[i]], "block": [first + int(ids[i]) % split], "cells": [which[need].astype(np.int32)]}, schema=routed)
-
-    routed = pa.schema([("id", pa.int64()), ("dim", pa.int32()), ("q", pa.list_(pa.int64())), ("block", pa.int32()), ("cells", pa.list_(pa.int32()))])
-
-    def gathered(batches):
-        held = []
-        for b in route(batches):
-            held.append(b)
-            if len(held) == 500:
-                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-                held = []
-        if held:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-
-    asked = rows.where("_query").dropDuplicates(["id", "q"]).select("id", "dim", "q", "cell").mapInArrow(gathered, "id long, dim int, q array<long>, block int, cells array<int>")
-    asked = stored(asked.withColumn("cell", F.explode("cells")).drop("cells"), "knn-asked")
-    wanted = asked.select(*[F.col(c).alias(f"_{c}") for c in ("dim", "cell", "block")]).distinct()
-    parts = spark.createDataFrame([(d, c, n) for (d, c), n in chunks.items()] or [(-1, -1, 1)], "dim int, cell int, parts int")
-    sent = rows.join(F.broadcast(parts), ["dim", "cell"]).withColumn("chunk", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    sent = sent.join(wanted, (F.col("dim") == F.col("_dim")) & (F.col("cell") == F.col("_cell"))).select("dim", "cell", "chunk", F.col("_block").alias("block"), "id", "q")
-    come = asked.join(F.broadcast(parts), ["dim", "cell"]).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("dim", "cell", "chunk", "block", "id", "q")
-    place = ["dim", "cell", "chunk", "block"]
-    solved = come.groupBy(*place).cogroup(sent.groupBy(*place)).applyInArrow(_solver(k), "query_id long, qkey binary, id long, score long")
-    best = Window.partitionBy("query_id", "qkey").orderBy(F.col("score").desc(), "id")
+                whole, mine = batch.filter(pa.array(dims == d)), summary[d]
+                groups = np.array([c.group for c in mine])
+                starts = np.flatnonzero(np.append(True, groups[1:] != groups[:-1]))
+                home = {c.cell: c for c in mine}
+                for at in range(0, len(whole), ROUTED):
+                    part = whole.slice(at, ROUTED)
+                    row_ids = part.column(3).to_numpy()
+                    need = needed(centre(d), mine, row_ids, _matrix(part.column(2), d), k)
+                    query, place = np.nonzero(np.logical_or.reduceat(need, starts, axis=1))
+                    own = [home[c] for c in part.column(4).to_pylist()]
+                    blocks = np.array([c.block + int(r) % c.blocks for c, r in zip(own, row_ids)], np.int32)
+                    offsets = pa.array(np.searchsorted(query, np.arange(len(part) + 1)).astype(np.int32))
+                    met = pa.ListArray.from_arrays(offsets, pa.array(groups[starts][place].astype(np.int32)))
+                    yield pa.RecordBatch.from_arrays([*part.columns[:4], pa.array(blocks), met], names=["id", "dim", "q", "row", "block", "groups"])
+
+    routed = "id long, dim int, q array<long>, row long, block int, groups array<int>"
+    asked = rows.where("_query").select("id", "dim", "q", "row", "cell").mapInArrow(route, routed)
+    asked = stored(asked.withColumn("group", F.explode("groups")).drop("groups"), "knn-asked")
+    wanted = asked.select(F.col("group").alias("_group"), F.col("block").alias("_block")).distinct()
+    # Never more rows than pivots.
+    homes = [(c.dim, c.cell, c.group, c.parts) for c in cells] or [(-1, -1, 0, 1)]
+    homes = F.broadcast(spark.createDataFrame(homes, "dim int, cell int, group int, parts int"))
+    sent = rows.join(homes, ["dim", "cell"]).join(wanted, F.col("group") == F.col("_group"))
+    sent = sent.select("dim", "group", F.pmod(F.xxhash64("row"), F.col("parts")).cast("int").alias("chunk"), F.col("_block").alias("block"), "id", "row", "q")
+    several = F.broadcast(homes.groupBy("group").agg(F.max("parts").alias("parts")))
+    chunks = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    come = asked.join(several, "group").select("dim", "group", chunks.alias("chunk"), "block", "id", "row", "q")
+    place = ["dim", "group", "chunk", "block"]
+    solved = come.groupBy(*place).cogroup(sent.groupBy(*place)).applyInArrow(_solver(k), "query_id long, query_row long, id long, row long, score long")
+    best = Window.partitionBy("query_row").orderBy(F.col("score").desc(), "id", "row")
     return solved.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
 
 
@@ -164,13 +218,11 @@ def _solver(k: int):
             q, r, s = (np.zeros(0, np.int64),) * 3
         else:
             dim = queries.column("dim")[0].as_py()
-            ids, x = rows.column("id").to_numpy(), _matrix(rows.column("q"), dim)
-            q, r, s = local_top(ids, x, queries.column("id").to_numpy(), _matrix(queries.column("q"), dim), k)
-        mine = _matrix(queries.column("q"), dim) if len(q) else None
-        return pa.table({
-            "query_id": pa.array(queries.column("id").to_numpy()[q] if len(q) else [], pa.int64()), "qkey": pa.array([mine[i].tobytes() for i in q], pa.binary()),
-            "id": pa.array(rows.column("id").to_numpy()[r] if len(r) else [], pa.int64()), "score": pa.array(s, pa.int64()),
-        })
+            ids, row_ids, query_rows = rows.column("id").to_numpy(), rows.column("row").to_numpy(), queries.column("row").to_numpy()
+            q, r, s = local_top(row_ids, ids, _matrix(rows.column("q"), dim), query_rows, _matrix(queries.column("q"), dim), k)
+        asked, found = queries.take(pa.array(q)), rows.take(pa.array(r))
+        columns = [asked.column("id"), asked.column("row"), found.column("id"), found.column("row"), pa.array(s, pa.int64())]
+        return pa.table(columns, names=["query_id", "query_row", "id", "row", "score"])
 
     return solve
 
@@ -183,11 +235,12 @@ def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP9_SQL = """
 WITH v AS (
-  SELECT vec_id, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS q FROM embeddings
+  SELECT vec_id, row_number() OVER () AS r, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS q FROM embeddings
   WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len([1 for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
 s AS (
-  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_sum([a.q[i] * b.q[i] for i in range(1, len(a.q) + 1)]) AS BIGINT) AS score
-  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0)
+  SELECT a.vec_id AS query_id, a.r, b.vec_id, b.r AS other,
+         CAST(list_sum([a.q[i] * b.q[i] for i in range(1, len(a.q) + 1)]) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.r <> b.r AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
-FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5
+FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id, other) AS rank FROM s) WHERE rank <= 5
 """
