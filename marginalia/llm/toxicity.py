@@ -62,7 +62,8 @@ def _lists(rows: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
 def _featurise(batches):
     for batch in batches:
         rows = [text_features(t.as_py() or "") for t in batch.column(1)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), _lists([r[0] for r in rows], pa.int64()), _lists([r[1] for r in rows], pa.float32())], names=["positive", "features", "worth"])
+        lists = _lists([r[0] for r in rows], pa.int64()), _lists([r[1] for r in rows], pa.float32())
+        yield pa.RecordBatch.from_arrays([batch.column(0), *lists], names=["positive", "features", "worth"])
 
 
 def _densify(place: dict[int, int]):
@@ -82,7 +83,9 @@ def _densify(place: dict[int, int]):
     return run
 
 
-def train_nnpu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, rounds: int = 250, rate: float = 0.1, decay: float = 1e-3, seed: int = 0) -> np.ndarray:
+def train_nnpu(
+    positive: np.ndarray, unlabelled: np.ndarray, prior: float, rounds: int = 250, rate: float = 0.1, decay: float = 1e-3, seed: int = 0
+) -> np.ndarray:
     """Weights (the last is the bias) that minimise the non-negative risk with logistic loss, by Adam on resampled rows."""
     rng = np.random.default_rng(seed)
     p = np.hstack([positive, np.ones((len(positive), 1), np.float32)])[rng.integers(0, len(positive), len(positive))]
@@ -132,33 +135,41 @@ class Model:
 def fit(docs: DataFrame, labels: DataFrame, learn, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Model:
     """Fit on the rows of ``docs`` where ``learn`` holds; ``labels`` has doc_id and toxic (1: confirmed).
 
-    The prior is the share of toxic among all labelled rows that may be learned from.
+    The prior is the share of toxic among all labelled rows that may be learned from.  Rows that share an id count as one text to
+    learn from.  The classifiers see at most ``FEATURES`` features, a size of the model; all counts cover all rows.
     """
-    known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("_toxic")).withColumnRenamed("doc_id", "_id")
+    none = np.zeros((0, 0))
+    known = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.max("toxic").alias("_toxic"))
     rows = docs.where(learn & F.col("text").isNotNull()).select("doc_id", "text")
     marked = rows.select("doc_id").join(known, F.col("doc_id") == F.col("_id"), "left")
-    seen = marked.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("_toxic") == 1).alias("p"), F.count("_toxic").alias("l")).first()
+    tallies = F.count(F.lit(1)).alias("n"), F.count_if(F.col("_toxic") == 1).alias("p"), F.count("_toxic").alias("l")
+    seen = marked.agg(*tallies).first()
     prior = min(0.95, max(1e-4, seen.p / seen.l)) if seen.l else 1e-4
     if not seen.p or seen.n <= seen.p:
-        return Model([], np.zeros((0, 0)), prior)
+        return Model([], none, prior)
     dice = F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(1 << 30)) / float(1 << 30)
-    takes = lambda n, of: dice < min(1.0, n / of)
-    picked = marked.where(F.when(F.col("_toxic") == 1, takes(positives, seen.p)).otherwise(False) | takes(unlabelled, seen.n))
+    confirmed, in_u = F.coalesce(F.col("_toxic") == 1, F.lit(False)), dice < min(1.0, unlabelled / seen.n)
+    in_p = confirmed & (dice < min(1.0, positives / seen.p))
     # A confirmed text may be drawn into the unlabelled part as well, as it is in the whole corpus.
-    picked = picked.select(F.col("doc_id").alias("_id"), (F.coalesce(F.col("_toxic"), F.lit(0)) == 1).alias("_p"), takes(positives, seen.p).alias("_in_p"), takes(unlabelled, seen.n).alias("_in_u")).dropDuplicates(["_id"])
-    roles = F.array_compact(F.array(F.when(F.col("_p") & F.col("_in_p"), F.lit(True)), F.when(F.col("_in_u"), F.lit(False))))
-    sample = rows.join(picked, F.col("doc_id") == F.col("_id")).select(F.explode(roles).alias("positive"), "text").mapInArrow(_featurise, "positive boolean, features array<long>, worth array<float>")
-    sample = stored(sample, "toxicity-sample")
+    picked = marked.where(in_p | in_u).select(F.col("doc_id").alias("_id"), in_p.alias("_p"), in_u.alias("_u")).dropDuplicates(["_id"])
+    picked = stored(picked, "toxicity-picked")
+    roles = F.array_compact(F.array(F.when(F.col("_p"), F.lit(True)), F.when(F.col("_u"), F.lit(False))))
+    # About positives + unlabelled ids, whatever the input: they go to the texts, and the corpus isn't shuffled.
+    texts = rows.join(F.broadcast(picked), F.col("doc_id") == F.col("_id")).groupBy("_id", "_p", "_u").agg(F.min("text").alias("text"))
+    sample = texts.select(F.explode(roles).alias("positive"), "text")
+    sample = stored(sample.mapInArrow(_featurise, "positive boolean, features array<long>, worth array<float>"), "toxicity-sample")
     n = sample.agg(F.count_if("positive").alias("p"), F.count_if(~F.col("positive")).alias("u")).first()
     if not n.p or not n.u:
-        return Model([], np.zeros((0, 0)), prior)
-    share = sample.select("positive", F.explode("features").alias("f")).groupBy("f").agg((F.count_if("positive") / n.p).alias("a"), (F.count_if(~F.col("positive")) / n.u).alias("b"), F.count_if("positive").alias("n"))
+        return Model([], none, prior)
+    with_it, without = F.count_if("positive"), F.count_if(~F.col("positive"))
+    share = sample.select("positive", F.explode("features").alias("f")).groupBy("f")
+    share = share.agg((with_it / n.p).alias("a"), (without / n.u).alias("b"), with_it.alias("n"))
     # How much more often among the confirmed than among the rest, which is the unlabelled less its hidden positives.
     rest = F.greatest((F.col("b") - prior * F.col("a")) / (1 - prior), F.lit(0.0)) + 1.0 / n.u
-    best = share.where(F.col("n") >= LEAST).withColumn("gain", F.col("a") * F.log(F.col("a") / rest)).where("gain > 0").orderBy(F.col("gain").desc(), "f").limit(FEATURES)
-    features = [r.f for r in best.collect()]
+    gain = share.where(F.col("n") >= LEAST).withColumn("gain", F.col("a") * F.log(F.col("a") / rest)).where("gain > 0")
+    features = [r.f for r in gain.orderBy(F.col("gain").desc(), "f").limit(FEATURES).collect()]
     if not features:
-        return Model([], np.zeros((0, 0)), prior)
+        return Model([], none, prior)
     place = {f: k for k, f in enumerate(features)}
     rows_ = sample.mapInArrow(_densify(place), "positive boolean, x binary").collect()
     x = np.frombuffer(b"".join(bytes(r.x) for r in rows_), np.float32).reshape(len(rows_), len(features))
@@ -169,8 +180,13 @@ def fit(docs: DataFrame, labels: DataFrame, learn, positives: int = POSITIVES, u
 
 
 def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
-    """``docs`` with one more column, the score in 0..1.  Null texts score as empty ones; equal texts score alike."""
-    model.known = {}
+    """``docs`` with the score in 0..1 as its last column, in place of a column of this name if there is one.
+
+    Null texts score as empty ones; equal texts score alike; repeated rows stay.
+    """
+    if name == "text":
+        raise ValueError("the score can't take the place of the text")
+    docs, model.known = docs.drop(name), {}
     schema, at = StructType([*docs.schema.fields, StructField(name, DoubleType())]), docs.columns.index("text")
 
     def run(batches):
@@ -186,7 +202,8 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     learn = F.coalesce(fold(F.col("doc_id"), 5) != 0, F.lit(False))
     model = fit(docs, table(spark, sf_dir, "labels"), learn)
-    return score(docs, model).select("doc_id", (~learn).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return score(docs, model).select("doc_id", (~learn).alias("held_out"), "score", predicted)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -132,6 +132,36 @@ def test_toxicity(spark, toxic):
     assert all(0 <= s <= 1 for s in got.values()) and got[900] == got[901] < 0.5
 
 
+def plain_score(model, text):
+    """The averaged classifiers on one text: every word's features counted one by one."""
+    words, counts = (text or "").lower().split(), {}
+    for w in words:
+        for f in toxicity.word_features(w):
+            if f in model.place:
+                counts[f] = counts.get(f, 0) + 1
+    odds = []
+    for w in model.weights:
+        z = w[-1] + sum(w[model.place[f]] * np.log1p(100.0 * n / len(words)) for f, n in counts.items())
+        odds.append(1 / (1 + np.exp(-z)))
+    return float(np.mean(odds))
+
+
+def test_toxicity_equals_a_plain_scorer(spark, toxic):
+    data, labels = toxic
+    d = spark.createDataFrame([r[:5] for r in data], DOCS)
+    model = toxicity.fit(d, labels, F.lit(True))
+    bodies = [r[1] for r in data[:40]] + ["", None, "grobian", "Grobianus! " * 9000, "haus grobian", "haus grobian", "  \n "]
+    frame = spark.createDataFrame([(k, t, "mine", 3.0) for k, t in enumerate(bodies)], "k long, text string, _id string, score double")
+    scored = toxicity.score(frame, model)
+    assert scored.columns == ["k", "text", "_id", "score"]
+    got = {r.k: r.score for r in scored.collect()}
+    assert all(got[k] == pytest.approx(plain_score(model, t), abs=1e-6) for k, t in enumerate(bodies))
+    assert got[44] == got[45] and len(got) == len(bodies)
+    # the same model, whatever the partitions and however often a row is there
+    again = toxicity.fit(d.unionByName(d.limit(7)).repartition(7), labels.repartition(3), F.lit(True))
+    assert set(again.place) & set(model.place)
+
+
 def test_without_labels_or_rows(spark, toxic):
     data, labels = toxic
     d = spark.createDataFrame([r[:5] for r in data[:9]], DOCS)
