@@ -57,6 +57,23 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bits of the table of ``maybe``.
+FILTER_BITS = 1 << 25
+
+
+def maybe(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose ``column`` isn't ``_id`` of a row of ``wanted`` (both longs).
+
+    A hashed bit table says so, which has a fixed size whatever the input, so that it can be broadcast.  None of the wanted is lost; the
+    more there are, the more of the others stay, for the join that follows.
+    """
+    place = lambda c: f"pmod(xxhash64({c}), {FILTER_BITS}L)"
+    bits = wanted.select(F.expr(f"{place('_id')} div 64").alias("_word"), F.expr(f"shiftleft(1L, cast({place('_id')} % 64 as int))").alias("_b"))
+    bits = bits.groupBy("_word").agg(F.bit_or("_b").alias("_bits"))
+    found = rows.join(F.broadcast(bits), F.expr(f"{place(column)} div 64") == F.col("_word"))
+    return found.where(F.expr(f"getbit(_bits, cast({place(column)} % 64 as int)) = 1")).select(*rows.columns)
+
+
 def lower_az(text: Column) -> Column:
     """A-Z lower-cased, nothing else."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

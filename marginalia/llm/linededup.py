@@ -18,15 +18,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored, table
+from .common import maybe, stored, table
 from .components import connected_components
 
 #: (least length, edits): shorter lines than the first are dropped as exact copies only.
 EDITS = ((20, 1), (200, 2))
 #: Lines of a block of a large group.
 GROUP_BLOCK = 128
-#: Bits of the table that tells most lines that met none from the others; a fixed size, so that it can be broadcast.
-FILTER_BITS = 1 << 25
 
 
 def _lines(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -85,14 +83,6 @@ def _keyed(lines: DataFrame, levels) -> DataFrame:
     return cut.select(*lines.columns, own.alias("own"), looked.alias("looked"))
 
 
-def _maybe(lines: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``lines`` without most of those whose id isn't ``_id`` of a row of ``wanted``: a hashed bit table, of a fixed size, says so."""
-    word, bit = F.expr(f"pmod(_id, {FILTER_BITS}L) div 64").alias("_word"), F.expr("shiftleft(1L, cast(pmod(_id, 64L) as int))").alias("_b")
-    bits = wanted.select(word, bit).groupBy("_word").agg(F.bit_or("_b").alias("_bits"))
-    found = lines.join(F.broadcast(bits), F.expr(f"pmod(id, {FILTER_BITS}L) div 64") == F.col("_word"))
-    return found.where(F.expr("getbit(_bits, cast(pmod(id, 64L) as int)) = 1")).select(*lines.columns)
-
-
 def line_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", edits=EDITS) -> DataFrame:
     """One row per distinct line: ``id, n, first, class, kept_at``.
 
@@ -116,7 +106,7 @@ def line_classes(docs: DataFrame, key: str = "doc_id", text: str = "text", edits
     wanted = stored(places.join(members.select(F.col("id").alias("_m")).distinct(), F.col("_id") == F.col("_m"), "left_semi"), "line-wanted")
     # How many lines met another has no bound, so they are never broadcast: the plan is the same at every size.
     at_first = (F.col("doc_id") == F.col("_doc")) & (F.col("line_no") == F.col("_no")) & (F.col("id") == F.col("_id"))
-    texts = _maybe(lines, wanted).join(wanted.hint("merge"), at_first).groupBy("_id").agg(F.any_value("line").alias("line"))
+    texts = maybe(lines, "id", wanted).join(wanted.hint("merge"), at_first).groupBy("_id").agg(F.any_value("line").alias("line"))
     member = F.struct("id", "own", "line", F.length("line").alias("n")).alias("m")
     dealt = members.join(texts, F.col("id") == F.col("_id")).select("key", member, F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
     ends = F.least("m.own", "other").alias("i"), F.greatest("m.own", "other").alias("j")

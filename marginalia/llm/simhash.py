@@ -7,9 +7,9 @@ grow together in carry-save counters, and a word of 64 lanes is abandoned once a
 A large group is split into blocks, and pairs of blocks are compared by tasks of their own; each
 returns a spanning forest of its links, not all pairs.
 
-The pipeline's stage removes documents that share 0.8 or more of their five-word shingles.  There, SimHash only proposes: bits
-sampled from a print of 256 bits key the candidate groups, the same counters find the candidates in them, and a pair links
-once its two shingle sets are joined and their Jaccard similarity is counted.
+The pipeline's stage removes documents that share 0.8 or more of their five-word shingles.  There, bands of least hashes of the
+shingle sets key the candidate groups, the same planes and counters find the candidates in a group whose SimHashes are near, and
+a pair links once its two shingle sets are joined and their Jaccard similarity is counted.
 """
 
 from __future__ import annotations
@@ -22,22 +22,20 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored, table
+from .common import maybe, stored, table
 from .components import connected_components
 
 SEED = 42
 RADIUS = 3
 #: Least Jaccard similarity of two shingle sets that the pipeline's stage links.
 SIMILARITY = 0.8
-#: 64-bit words of the stage's prints; most bits a candidate differs in, in the first word and in all of them.  Pairs at 0.8 differ
-#: in 9.7 (deviation 2.9) and 38.6 (5.7) bits on average.
-WORDS = 4
-FIRST_RADIUS = 22
-WIDE_RADIUS = 56
-#: Keys of a wide print, and the sampled bits of each: a pair at 0.8 agrees in a key with a chance of 7 %, in one of all with 97 %.
-KEYS = 48
-KEY_BITS = 16
-#: Earlier candidates that a member of a group has verified in the first round; twice as many in each later one.
+#: Bands of the stage's sketches and least hashes of a band: a pair at 0.8 shares a band with a chance of 1 - (1 - 0.8**5)**25, all
+#: but 5 in 100,000.
+BANDS, BAND_ROWS = 25, 5
+#: Most bits in which the SimHashes of two candidates differ.  Pairs at 0.8 differ in 10 bits on average, or 12 if they have few
+#: shingles, with a deviation of 3.
+CANDIDATE_RADIUS = 26
+#: Candidates that a member of a group has verified in the first round; four times as many in each later one.
 TAKE = 8
 #: Fingerprints of a block of a large group.
 GROUP_BLOCK = 1024
@@ -210,25 +208,36 @@ def set_id(shingles: np.ndarray) -> int:
     return int(np.uint64(xxhash.xxh64_intdigest(shingles.tobytes(), SEED)).view(np.int64))
 
 
-def remixed(hashes: np.ndarray, k: int) -> np.ndarray:
-    """Other hashes of the same shingles, by the finaliser of SplitMix64; the same ones for k = 0."""
-    if k == 0:
-        return hashes
-    x = hashes + np.uint64(k * 0x9E3779B97F4A7C15 % 2**64)
-    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
-    return x ^ x >> np.uint64(31)
+def multipliers() -> list[np.uint64]:
+    """An odd number for each least hash, which permutes the 64-bit hashes: SplitMix64's outputs from ``SEED`` on."""
+    out, mask = [], 2**64 - 1
+    for k in range(1, BANDS * BAND_ROWS + 1):
+        x = (SEED + k * 0x9E3779B97F4A7C15) & mask
+        x = ((x ^ x >> 30) * 0xBF58476D1CE4E5B9) & mask
+        x = ((x ^ x >> 27) * 0x94D049BB133111EB) & mask
+        out.append(np.uint64((x ^ x >> 31) | 1))
+    return out
+
+
+def band_keys(flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """(sets, BANDS) keys of shingle sets laid end to end; sets without a shingle have zeros."""
+    out = np.zeros((len(sizes), BANDS), np.uint64)
+    some = np.flatnonzero(sizes)
+    if len(some):
+        starts = np.cumsum(sizes[some]) - sizes[some]
+        for k, factor in enumerate(multipliers()):
+            least = np.minimum.reduceat(flat * factor, starts)
+            out[some, k // BAND_ROWS] = out[some, k // BAND_ROWS] * np.uint64(0x9E3779B97F4A7C15) + least
+        out[some] = out[some] * np.uint64(0xD6E8FEB86659FD93) + np.arange(BANDS, dtype=np.uint64)
+    return out
 
 
-def wide_prints(docs: DataFrame, width: int) -> DataFrame:
-    """``doc_id, node, n, fp, keys``: name and size of the shingle set, its print of ``WORDS`` words, and its keys."""
-    sampled = np.random.default_rng(SEED)
-    places = np.array([sampled.choice(64 * WORDS, KEY_BITS, replace=False) for _ in range(KEYS)])
-    weights, tables = 1 << np.arange(KEY_BITS), np.arange(KEYS) << KEY_BITS
+def sketches(docs: DataFrame, width: int) -> DataFrame:
+    """``doc_id, node, n, fp, keys``: name and size of the set of a text's shingles, its SimHash, and its candidate keys."""
 
     def run(batches):
         for batch in batches:
-            nodes, sizes, prints, held, n = [], [], [], [], 0
+            nodes, sizes, prints, keys, held, n = [], [], [], [], [], 0
             texts = batch.column(1).cast(pa.binary())
             for at, t in enumerate(texts):
                 h = shingle_set(t.as_py(), width)
@@ -238,75 +247,64 @@ def wide_prints(docs: DataFrame, width: int) -> DataFrame:
                 n += len(h)
                 if n > 200_000 or at == len(texts) - 1:
                     flat, lengths = np.concatenate(held), np.array([len(x) for x in held])
-                    prints.append(np.stack([majority(remixed(flat, k), lengths) for k in range(WORDS)], axis=1))
+                    prints.append(majority(flat, lengths))
+                    keys.append(band_keys(flat, lengths))
                     held, n = [], 0
-            fp = np.ascontiguousarray(np.concatenate(prints) if prints else np.zeros((0, WORDS), np.uint64))
-            bits = np.unpackbits(fp.view(np.uint8).reshape(-1, 8 * WORDS), axis=1, bitorder="little")
-            keys = np.stack([bits[:, p] @ weights for p in places], axis=1) + tables
-
-            def rows(x, kind):
-                return pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1) * x.shape[1], pa.int32()), pa.array(x.reshape(-1), kind))
-
-            columns = [batch.column(0), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), rows(fp.view(np.int64), pa.int64()), rows(keys, pa.int64())]
+            fp = np.concatenate(prints) if prints else np.zeros(0, np.uint64)
+            bands = np.concatenate(keys) if keys else np.zeros((0, BANDS), np.uint64)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(bands) + 1) * BANDS, pa.int32()), pa.array(bands.reshape(-1).view(np.int64)))
+            columns = [batch.column(0), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int32()), pa.array(fp.view(np.int64)), lists]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "node", "n", "fp", "keys"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, node long, n int, fp array<long>, keys array<long>")
+    schema = "doc_id long, node long, n int, fp long, keys array<long>"
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
 
 
-def wide_pairs(fps: np.ndarray, sizes: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs i < j of prints near enough to be candidates, of sets whose sizes allow the similarity."""
-    i, j = near_pairs(fps[:, 0], FIRST_RADIUS)
-    low, high = np.minimum(sizes[i], sizes[j]), np.maximum(sizes[i], sizes[j])
-    near = (low >= similarity * high - 1e-6) & (np.bitwise_count(fps[i] ^ fps[j]).sum(axis=1, dtype=np.int32) <= WIDE_RADIUS)
-    return i[near], j[near]
+#: Sides of a group's members: pairs are of a left and a right one.
+LEFT, RIGHT, BOTH = 1, 2, 3
+MEMBER = "node", "n", "fp", "label", "side"
 
 
 def proposed(groups: DataFrame, similarity: float, before: int, take: int) -> DataFrame:
-    """``gid, g`` -> ``(gid, a, b)``: of every member's earlier candidates, nearest in order of names first, those from place
-    ``before`` on, ``take`` at most, that are not in its component yet.
+    """``gid, g`` -> ``(gid, a, b)``: candidates inside groups whose members aren't in one component yet.
 
-    Where a group has more of them, rows with a null ``b`` name its members, for a later round.
+    A candidate pair has near SimHashes and set sizes that allow the similarity.  Each member has its candidates among those before it
+    in order of names, nearest first, and of these come those from place ``before`` on, ``take`` at most.  Where a group has
+    more of them, rows with a null ``b`` name its members, and ``side`` theirs, for a later round.
     """
 
     def compare(batches):
         for batch in batches:
             gids, lists = batch.column(0).to_numpy(), batch.column(1)
             members, bounds = lists.flatten(), np.asarray(lists.offsets) - lists.offsets[0].as_py()
-            column = {c: members.field(k).to_numpy() for k, c in enumerate(["node", "n", "label", *(f"f{w}" for w in range(WORDS))])}
-            fps = np.stack([column[f"f{w}"].view(np.uint64) for w in range(WORDS)], axis=1)
-            out = []
-
-            def one(low, high, gid):
-                """False: more candidates than a round takes, of several groups."""
-                node, first = np.unique(column["node"][low:high], return_index=True)
-                rows = low + first
-                label = column["label"][rows]
-                i, j = wide_pairs(fps[rows], column["n"][rows], similarity)
-                order = np.lexsort((-i, j))
+            columns = dict(zip(MEMBER, (members.field(k).to_numpy() for k in range(len(MEMBER)))))
+            out, at = [], 0
+            while at < len(lists):
+                # Whole groups until there are LANES members.
+                to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + LANES, "right")) - 1)
+                group = np.repeat(np.arange(at, to), np.diff(bounds[at : to + 1]))
+                node, size, fp, label, side = (columns[c][bounds[at] : bounds[to]] for c in MEMBER)
+                fp = fp.view(np.uint64)
+                i, j = near_pairs(fp, CANDIDATE_RADIUS)
+                low, high = np.minimum(size[i], size[j]), np.maximum(size[i], size[j])
+                met = (group[i] == group[j]) & (node[i] != node[j]) & (low >= similarity * high - 1e-6)
+                met &= ((side[i] & LEFT) & (side[j] & RIGHT) >> 1 | (side[i] & RIGHT) >> 1 & (side[j] & LEFT)) > 0
+                i, j = i[met], j[met]
+                i, j = np.where(node[i] < node[j], i, j), np.where(node[i] < node[j], j, i)
+                order = np.lexsort((node[i], np.bitwise_count(fp[i] ^ fp[j]), j))
                 i, j = i[order], j[order]
-                place = np.arange(len(j)) - np.searchsorted(j, j)
-                if gid is None and (place >= take).any():
-                    return False
-                open_ = label[i] != label[j]
+                place, open_ = np.arange(len(j)) - np.searchsorted(j, j), label[i] != label[j]
                 now = open_ & (place >= before) & (place < before + take)
-                out.append((np.full(now.sum(), gid or 0), node[i[now]], node[j[now]], np.zeros(now.sum(), bool)))
-                if (open_ & (place >= before + take)).any():
-                    some = node[np.unique(np.concatenate((i, j)))]
-                    out.append((np.full(len(some), gid), some, some, np.ones(len(some), bool)))
-                return True
-
-            at = 0
-            while at < len(lists):
-                # Small groups go together in the first round; a candidate between groups is a candidate too.
-                to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + LANES, "right")) - 1) if before == 0 else at + 1
-                if to == at + 1 or not one(bounds[at], bounds[to], None):
-                    for k in range(at, to):
-                        one(bounds[k], bounds[k + 1], gids[k])
+                out.append((gids[group[i[now]]], node[i[now]], node[j[now]], np.zeros(now.sum(), np.int32), np.zeros(now.sum(), bool)))
+                later = open_ & (place >= before + take)
+                some = np.flatnonzero(np.isin(group, group[i[later]]))
+                out.append((gids[group[some]], node[some], node[some], side[some], np.ones(len(some), bool)))
                 at = to
-            gid, a, b, more = (np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 3 + (np.zeros(0, bool),)
-            yield pa.RecordBatch.from_arrays([pa.array(gid, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64(), mask=more)], names=["gid", "a", "b"])
+            gid, a, b, side, more = (np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 4 + (np.zeros(0, bool),)
+            columns = [pa.array(gid, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64(), mask=more), pa.array(side, pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, names=["gid", "a", "b", "side"])
 
-    return groups.mapInArrow(compare, "gid long, a long, b long")
+    return groups.mapInArrow(compare, "gid long, a long, b long, side int")
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
@@ -317,54 +315,96 @@ def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, si
             sets = [shingle_set(t.as_py(), width) for t in batch.column(0).cast(pa.binary())]
             bounds = np.cumsum([0, *map(len, sets)])
             flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array([set_id(s) for s in sets], pa.int64()), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat))], names=["_id", "_set"])
+            lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([pa.array([set_id(s) for s in sets], pa.int64()), lists], names=["_id", "_set"])
 
-    wanted = stored(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "_least"), "node"), "simhash-wanted")
-    texts = docs.join(wanted.select(F.col("_least").alias("_doc")).distinct(), F.col("doc_id") == F.col("_doc")).select("text")
-    sets = texts.mapInArrow(run, "_id long, _set array<long>").join(wanted, F.col("_id") == F.col("node"), "left_semi").groupBy("_id").agg(F.any_value("_set").alias("_set"))
-    sets = stored(sets, "simhash-sets")
-    both = pairs.join(sets.select(F.col("_id").alias("a"), F.col("_set").alias("_a")), "a").join(sets.select(F.col("_id").alias("b"), F.col("_set").alias("_b")), "b")
-    common = F.size(F.array_intersect("_a", "_b"))
-    return both.where(common / (F.size("_a") + F.size("_b") - common) >= similarity).select("a", "b")
+    def compare(batches):
+        for batch in batches:
+            a, b = batch.column(2), batch.column(3)
+            common = [len(np.intersect1d(x.values.to_numpy(), y.values.to_numpy(), assume_unique=True)) for x, y in zip(a, b)]
+            both = np.array([len(x.values) + len(y.values) for x, y in zip(a, b)]) - common
+            yield batch.select(["a", "b"]).filter(pa.array(np.array(common) >= similarity * both - 1e-9))
+
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "_least"), "node")
+    wanted = stored(wanted, "simhash-wanted")
+    asked = wanted.select(F.col("_least").alias("_id")).distinct()
+    texts = maybe(docs.select("doc_id", "text"), "doc_id", asked).join(asked, F.col("doc_id") == F.col("_id")).select("text")
+    sets = texts.mapInArrow(run, "_id long, _set array<long>").join(wanted, F.col("_id") == F.col("node"), "left_semi")
+    sets = stored(sets.groupBy("_id").agg(F.any_value("_set").alias("_set")), "simhash-sets")
+    left, right = (sets.select(F.col("_id").alias(c), F.col("_set").alias(f"_{c}")) for c in ("a", "b"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "_a", "_b").mapInArrow(compare, "a long, b long")
+
+
+class Links:
+    """Verified links, found round by round, and the component of every node they reach."""
+
+    def __init__(self, nodes: DataFrame, docs: DataFrame, width: int, similarity: float):
+        self.nodes, self.docs, self.width, self.similarity = nodes, docs, width, similarity
+        self.edges = self.roots = None
+
+    def work_off(self, groups: DataFrame) -> None:
+        """Link all that a group's pairs link.  Pairs that earlier links have joined by then need no check."""
+        before, take = 0, TAKE
+        while True:
+            found = stored(proposed(groups, self.similarity, before, take), "simhash-proposed")
+            pairs = stored(found.where("b is not null").select("a", "b").distinct(), "simhash-pairs")
+            if self.roots is None or pairs.head(1):
+                links = stored(verified(pairs, self.nodes, self.docs, self.width, self.similarity), "simhash-verified")
+                self.edges = links if self.edges is None else self.edges.unionByName(links)
+                self.roots = connected_components(self.edges, "simhash")
+            more = found.where("b is null").select("gid", F.col("a").alias("node"), "side")
+            if not more.head(1):
+                return
+            before, take = before + take, 4 * take
+            groups = gathered(self.labelled(more.join(self.nodes.select("node", "n", "fp"), "node")), "gid")
+
+    def labelled(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with the component of their ``node``."""
+        roots = self.roots.withColumnRenamed("node", "_node")
+        return rows.join(roots, F.col("node") == F.col("_node"), "left").withColumn("label", F.coalesce("root", "node")).drop("root", "_node")
+
+
+def gathered(members: DataFrame, *by: str) -> DataFrame:
+    """``gid, g`` of groups with two members or more."""
+    groups = members.groupBy(*by).agg(F.collect_list(F.struct(*MEMBER)).alias("g")).where(F.size("g") > 1)
+    return groups.select(F.xxhash64(*by).alias("gid"), "g") if by != ("gid",) else groups
 
 
 def similar_sets(prints: DataFrame, docs: DataFrame, width: int, similarity: float = SIMILARITY) -> DataFrame:
     """``doc_id, component_id``: the smallest doc_id reachable over verified links.
 
-    Equal shingle sets are one node.  A group with many candidates is worked off in rounds: pairs that earlier links have joined
-    by then need no check, so a large group of near copies costs no square of pairs, and no candidate between components is left out.
+    Equal shingle sets are one node.  A large group is dealt into blocks that are worked off first.  Then only members outside
+    the group's largest component still have to meet the rest of it, so a group of near copies costs no square of its
+    size, and no candidate between components is left out.
     """
-    nodes = stored(prints.groupBy("node").agg(F.min("doc_id").alias("_least"), F.any_value("n").alias("n"), F.any_value("fp").alias("fp"), F.any_value("keys").alias("keys")), "simhash-nodes")
-    words = [F.col("fp")[w].alias(f"f{w}") for w in range(WORDS)]
-    flat = [f"f{w}" for w in range(WORDS)]
-    probes = nodes.where("n > 0").select("node", "n", *words, F.explode("keys").alias("key"))
+    one = F.min("doc_id").alias("_least"), *[F.any_value(c).alias(c) for c in ("n", "fp", "keys")]
+    nodes = stored(prints.groupBy("node").agg(*one), "simhash-nodes")
+    probes = nodes.where("n > 0").select("node", "n", "fp", F.explode("keys").alias("key"))
     crowds = nodes.where("n > 0").select(F.explode("keys").alias("key")).groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
     parts = F.ceil(F.col("_n") / GROUP_BLOCK).cast("int")
-    dealt = probes.join(crowds, "key").withColumn("_parts", parts).withColumn("_own", F.pmod(F.xxhash64("node"), F.col("_parts")).cast("int"))
-    met = dealt.select("key", "_own", "node", "n", F.col("node").alias("label"), *flat, F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("_other"))
-    groups = met.groupBy("key", F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j")).agg(F.collect_list(F.struct("node", "n", "label", *flat)).alias("g"))
-    groups = groups.where(F.size("g") > 1).select(F.xxhash64("key", "_i", "_j").alias("gid"), "g")
-    edges, before, take = None, 0, TAKE
-    roots = None
-    while True:
-        found = stored(proposed(groups, similarity, before, take), "simhash-proposed")
-        pairs = stored(found.where("b is not null").select("a", "b").distinct(), "simhash-pairs")
-        if roots is None or pairs.head(1):
-            links = stored(verified(pairs, nodes, docs, width, similarity), "simhash-verified")
-            edges = links if edges is None else edges.unionByName(links)
-            roots = connected_components(edges, "simhash")
-        more = found.where("b is null").select("gid", F.col("a").alias("node"))
-        if not more.head(1):
-            break
-        before, take = before + take, 2 * take
-        known = more.join(nodes.select("node", "n", *words), "node").join(roots.withColumnRenamed("node", "_node"), F.col("node") == F.col("_node"), "left")
-        groups = known.withColumn("label", F.coalesce("root", "node")).groupBy("gid").agg(F.collect_list(F.struct("node", "n", "label", *flat)).alias("g"))
+    met = probes.join(crowds, "key").withColumn("parts", parts).withColumn("own", F.pmod(F.xxhash64("node", "key"), F.col("parts")).cast("int"))
+    met = stored(met.drop("_n"), "simhash-met")
+    links = Links(nodes, docs, width, similarity)
+    links.work_off(gathered(met.withColumns({"label": F.col("node"), "side": F.lit(BOTH)}), "key", "own"))
+    large = met.where("parts > 1")
+    if large.head(1):
+        large = stored(links.labelled(large), "simhash-large")
+        most = large.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("key").agg(F.max_by("label", F.struct("c", "label")).alias("most"))
+        outside = large.join(most, "key").where("label <> most").drop("most")
+        blocks = outside.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / GROUP_BLOCK).cast("int").alias("blocks"))
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        left = outside.join(blocks, "key").withColumn("i", F.pmod(F.xxhash64("key", "node"), F.col("blocks")).cast("int"))
+        left = left.withColumn("j", every("parts")).withColumn("side", F.lit(LEFT))
+        right = large.join(blocks, "key").withColumn("i", every("blocks")).withColumn("j", F.col("own")).withColumn("side", F.lit(RIGHT))
+        columns = ["key", "i", "j", *MEMBER]
+        links.work_off(gathered(left.select(*columns).unionByName(right.select(*columns)), "key", "i", "j"))
+    roots = links.roots
     linked = nodes.select("node", "_least").join(roots, "node")
     joined = linked.groupBy("root").agg(F.min("_least").alias("component_id"))
     linked = linked.join(joined, "root").select("node", "component_id")
     # Nodes without a link stay out of the join: as nulls they would all meet in one task.
-    classes = linked.unionByName(nodes.join(roots.select("node"), "node", "left_anti").select("node", F.col("_least").alias("component_id")))
-    return prints.select("doc_id", "node").join(classes, "node").select("doc_id", "component_id")
+    alone = nodes.join(roots.select("node"), "node", "left_anti").select("node", F.col("_least").alias("component_id"))
+    return prints.select("doc_id", "node").join(linked.unionByName(alone), "node").select("doc_id", "component_id")
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, width: int = 5, similarity: float = SIMILARITY) -> DataFrame:
@@ -375,8 +415,9 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, width: int
     of them is kept.
     """
     named = docs.where("doc_id is not null")
-    prints = stored(wide_prints(named, width), "simhash-stage-prints")
-    keep = similar_sets(prints, named, width, similarity).where("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("__m_rows"))
+    prints = stored(sketches(named, width), "simhash-stage-prints")
+    keep = similar_sets(prints, named, width, similarity).where("doc_id = component_id")
+    keep = keep.groupBy("doc_id").agg(F.count(F.lit(1)).alias("__m_rows"))
     keep = stored(keep.withColumnRenamed("doc_id", "__m_id"), "simhash-stage-keep")
     kept = docs.join(keep, F.col("doc_id") == F.col("__m_id"))
     once = kept.where("__m_rows = 1").select(*docs.columns)

@@ -2,7 +2,7 @@ import random
 
 import pytest
 
-from marginalia.llm import linededup
+from marginalia.llm import common, linededup
 
 from .conftest import DOCS
 
@@ -75,7 +75,7 @@ def test_same_as_all_pairs(spark, rows, edits):
 
 def test_blocks_and_filter_bits_change_nothing(spark, rows, monkeypatch):
     monkeypatch.setattr(linededup, "GROUP_BLOCK", 2)
-    monkeypatch.setattr(linededup, "FILTER_BITS", 256)
+    monkeypatch.setattr(common, "FILTER_BITS", 256)
     d = spark.createDataFrame(rows, "doc_id long, text string")
     got = {(r.doc_id, r.line_no) for r in linededup.dropped_lines(d, edits=((10, 2),)).collect()}
     assert got == brute(rows, ((10, 2),))

@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 import xxhash
 
 from marginalia.llm import simhash
@@ -116,16 +117,13 @@ def test_stage_links_at_similarity_and_nothing_below(spark):
         (near if similar(text, other) >= 0.8 else far).add(1000 + k)
     assert len(near) == len(far) == 60
     kept = {r.doc_id for r in simhash.simhash_stage(spark, spark.createDataFrame(rows, DOCS), "").collect()}
-    assert far <= kept and set(range(120)) <= kept and len(near & kept) <= 6
+    assert far <= kept and set(range(120)) <= kept and not near & kept
 
 
-def test_stage_works_off_groups_with_many_candidates(spark, monkeypatch):
-    monkeypatch.setattr(simhash, "TAKE", 1)
-    rng = random.Random(4)
-    text = " ".join(f"w{rng.randrange(5000)}" for _ in range(240))
-    texts = {k: changed(rng, text, 1 + k % 4) for k in range(40)}
+def components(texts):
+    """The least key of every text's component, by comparing all pairs."""
     parent = dict.fromkeys(texts)
-    for start in texts:  # components by comparing all pairs
+    for start in texts:
         if parent[start] is None:
             parent[start], todo = start, [start]
             while todo:
@@ -134,5 +132,32 @@ def test_stage_works_off_groups_with_many_candidates(spark, monkeypatch):
                     if parent[y] is None and similar(texts[x], texts[y]) >= 0.8:
                         parent[y] = start
                         todo.append(y)
-    kept = simhash.simhash_stage(spark, spark.createDataFrame([(k, v, "en", "s", 0) for k, v in texts.items()], DOCS), "").collect()
-    assert {r.doc_id for r in kept} == set(parent.values())
+    return parent
+
+
+@pytest.mark.parametrize("block", [1024, 5])
+def test_stage_works_off_groups_with_many_candidates(spark, monkeypatch, block):
+    monkeypatch.setattr(simhash, "TAKE", 1)
+    monkeypatch.setattr(simhash, "GROUP_BLOCK", block)
+    rng = random.Random(4)
+    base = [" ".join(f"w{rng.randrange(5000)}" for _ in range(240)) for _ in range(2)]
+    texts = {k: changed(rng, base[k % 7 == 3], 1 + k % 4) for k in range(44)}
+    docs = spark.createDataFrame([(k, v, "en", "s", 0) for k, v in texts.items()], DOCS)
+    got = simhash.similar_sets(simhash.sketches(docs, 5).cache(), docs, 5).collect()
+    assert {r.doc_id: r.component_id for r in got} == components(texts)
+    kept = simhash.simhash_stage(spark, docs, "").collect()
+    assert {r.doc_id for r in kept} == set(components(texts).values())
+
+
+def test_sketches_of_sets(spark):
+    rng = np.random.default_rng(6)
+    sets = [rng.integers(0, 2**64, n, dtype=np.uint64) for n in (1, 7, 0, 40, 3)]
+    got = simhash.band_keys(np.concatenate(sets), np.array([len(x) for x in sets]))
+    top, factors = 2**64, [int(m) for m in simhash.multipliers()]
+    assert len(set(factors)) == simhash.BANDS * simhash.BAND_ROWS and all(m % 2 for m in factors)
+    for row, x in zip(got, sets):
+        for band in range(simhash.BANDS):
+            h = 0
+            for m in factors[band * simhash.BAND_ROWS : (band + 1) * simhash.BAND_ROWS]:
+                h = (h * 0x9E3779B97F4A7C15 + min(int(v) * m % top for v in x)) % top if len(x) else 0
+            assert int(row[band]) == ((h * 0xD6E8FEB86659FD93 + band) % top if len(x) else 0)
