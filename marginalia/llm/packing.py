@@ -4,7 +4,8 @@ Documents become token sequences; every piece of at most ``capacity`` tokens get
 sequence.  Items are dealt into many groups of bounded size.  Each group packs its items by best-fit
 decreasing and proves a lower bound on its number of sequences with dual-feasible functions.  Groups
 that meet their bound are certified and closed.  The others close their full sequences and give the
-documents of the rest into an exchange: these are dealt anew into groups and packed again.
+documents of the rest into an exchange: these are dealt anew into groups and packed again, until one group holds them all or
+a round hardly closes any.  Every row says whether its sequence is certified.
 """
 
 from __future__ import annotations
@@ -22,9 +23,10 @@ from .common import public_tokenizer, stored, table
 CAPACITY = 2048
 #: The id that ends every document.
 END = 0
-#: Items per group aimed at, and rounds of exchange at most.
+#: Items per group aimed at.
 GROUP_ITEMS = 8192
-ROUNDS = 4
+#: The exchange ends when a round leaves more than this share of its items open.
+STALLED = 0.9
 
 
 class Encoder:
@@ -59,7 +61,9 @@ def pieces(
     docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end: int = END,
     tokenizer: str = "byte_bpe_50k.json", ranks: str | None = "byte_bpe_50k.tiktoken", folder: str | None = None, keep_ids: bool = True,
 ) -> DataFrame:
-    """``doc_id, piece, start, length, ids_crc32[, ids]`` and a ``_slot`` that is unique in its partition.
+    """``doc_id, row, piece, start, length, ids_crc32[, ids]`` and ``_slot``, a number of its own for every piece.
+
+    ``row`` is a number of its own for every row of ``docs``, so that pieces of repeated rows can be told apart.
 
     A document is its ids and ``end``; a null text is empty, so it has one piece of one token.  Longer
     ones than ``capacity`` are cut into full pieces, the first taking the remainder.  Every task finds the vocabulary
@@ -71,12 +75,13 @@ def pieces(
         path, fast = public_tokenizer(tokenizer, folder), ranks and public_tokenizer(ranks, folder)
         encoder, part, n = Encoder(path, fast), TaskContext.get().partitionId(), 0
         for batch in batches:
-            out = {k: [] for k in ("doc_id", "piece", "start", "length", "ids_crc32", "ids", "_slot")}
+            out = {k: [] for k in ("doc_id", "row", "piece", "start", "length", "ids_crc32", "ids", "_slot")}
             for doc, body in zip(batch.column(0).to_pylist(), batch.column(1)):
                 ids = np.append(encoder.ids(body.as_py() or ""), np.uint32(end)).astype("<u4")
-                cuts = [*range(len(ids), 0, -capacity), 0][::-1]
+                cuts, row = [*range(len(ids), 0, -capacity), 0][::-1], (part << 40) + n
                 for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                    for name, v in zip(out, (doc, k, a, b - a, zlib.crc32(ids[a:b].tobytes()), ids[a:b].astype("<i4") if keep_ids else None, (part << 40) + n)):
+                    kept = ids[a:b].astype("<i4") if keep_ids else None
+                    for name, v in zip(out, (doc, row, k, a, b - a, zlib.crc32(ids[a:b].tobytes()), kept, (part << 40) + n)):
                         out[name].append(v)
                     n += 1
                 if keep_ids and len(out["ids"]) > 2000:
@@ -84,14 +89,15 @@ def pieces(
                     out = {k: [] for k in out}
             yield batch_of(out)
 
-    types = {"doc_id": pa.int64(), "piece": pa.int32(), "start": pa.int64(), "length": pa.int64(), "ids_crc32": pa.int64(), "ids": pa.list_(pa.int32()), "_slot": pa.int64()}
+    types = dict.fromkeys(("doc_id", "row", "piece", "start", "length", "ids_crc32", "ids", "_slot"), pa.int64())
+    types |= {"piece": pa.int32(), "ids": pa.list_(pa.int32())}
     if not keep_ids:
         types.pop("ids")
 
     def batch_of(out):
         return pa.RecordBatch.from_arrays([pa.array(out[k], t) for k, t in types.items()], names=list(types))
 
-    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, " + "ids array<int>, " * keep_ids + "_slot long"
+    schema = "doc_id long, row long, piece int, start long, length long, ids_crc32 long, " + "ids array<int>, " * keep_ids + "_slot long"
     return docs.select(F.col(key).cast("long"), F.col(text)).mapInArrow(encode, schema)
 
 
@@ -142,59 +148,60 @@ def _packer(turn: int, last: bool, capacity: int):
     def one(group: pa.Table) -> pa.Table:
         lengths = group.column("length").to_numpy()
         bins, offsets, used = best_fit_decreasing(lengths, capacity)
-        still = np.zeros(len(lengths), bool)
-        if not last and used > lower_bound(lengths, capacity):
-            still = (np.bincount(bins, lengths, used) < capacity)[bins]
+        full = (np.bincount(bins, lengths, used) == capacity)[bins]
+        good = full if used > lower_bound(lengths, capacity) else np.ones(len(bins), bool)
         ids = bins + (turn << 58) + (np.int64(group.column("_group")[0].as_py()) << 26)
-        for name, v in (("sequence_id", ids), ("offset", offsets), ("_open", still)):
-            group = group.set_column(group.column_names.index(name), name, pa.array(v))
-        return group
+        columns = [group.column("_slot"), group.column("length"), *map(pa.array, (ids, offsets, good, ~good & (not last)))]
+        return pa.table(columns, names=["_slot", "length", "sequence_id", "offset", "certified", "_open"])
 
     return one
 
 
-def pack(items: DataFrame, capacity: int = CAPACITY, group_items: int = GROUP_ITEMS, rounds: int = ROUNDS) -> DataFrame:
-    """``items`` (with ``length`` in 1..capacity and ``_slot``) plus ``sequence_id`` and ``offset``, less ``_slot``.
+def pack(items: DataFrame, capacity: int = CAPACITY, group_items: int = GROUP_ITEMS) -> DataFrame:
+    """``_slot, length`` (1..capacity) -> ``_slot, sequence_id, offset, certified``.
 
-    Offsets in a sequence follow one another without a gap.  Memory of a task: one group's rows, about ``group_items``.
-    An empty table gives no rows; equal rows are items of their own.
+    Offsets in a sequence follow one another without a gap.  ``certified``: the sequence is full, or its group meets a bound that no
+    packing of the group can beat.  Memory of a task: one group's rows, about ``group_items``.  An empty table gives no rows;
+    equal rows are items of their own.
     """
-    columns = [c for c in items.columns if c != "_slot"]
-    todo, done = items.withColumns({"sequence_id": F.lit(0).cast("long"), "offset": F.lit(0).cast("long"), "_open": F.lit(True)}), []
-    schema = todo.withColumn("_group", F.lit(0)).schema
-    n = todo.count()
-    for turn in range(rounds):
-        groups, last = max(1, -(-n // group_items)), turn == rounds - 1
-
+    schema = "_slot long, length long, sequence_id long, offset long, certified boolean, _open boolean"
+    todo, done, n, turn, last = items.select("_slot", "length"), [], items.count(), 0, False
+    while not done or n:
+        groups = max(1, -(-n // group_items))
+        last = last or groups == 1 or turn == 30
         dealt = todo.withColumn("_group", F.pmod(F.xxhash64("_slot", F.lit(turn)), F.lit(groups)).cast("int"))
-        packed = stored(dealt.groupBy("_group").applyInArrow(_packer(turn, last, capacity), schema).drop("_group"), f"pack-{turn}")
+        packed = stored(dealt.groupBy("_group").applyInArrow(_packer(turn, last, capacity), schema), f"pack-{turn}")
         done.append(packed.where(~F.col("_open")))
-        todo = packed.where("_open")
-        n = 0 if last else todo.count()
-        if not n:
-            break
+        todo = packed.where("_open").select("_slot", "length")
+        before, n, turn = n, 0 if last else todo.count(), turn + 1
+        last = n > STALLED * before
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
-    return out.select(*columns, "sequence_id", "offset")
+    return out.select("_slot", "sequence_id", "offset", "certified")
 
 
 def pack_documents(docs: DataFrame, keep_ids: bool = True, capacity: int = CAPACITY, **options) -> DataFrame:
-    """Documents packed: ``doc_id, piece, start, length, ids_crc32[, ids], sequence_id, offset``.
+    """Documents packed: ``doc_id, row, piece, start, length, ids_crc32[, ids], sequence_id, offset, certified``.
 
     Full pieces fill a sequence of their own and need no packing.  The tokens are made once and stored.
     """
     made = stored(pieces(docs, capacity=capacity, keep_ids=keep_ids, **options), "pieces")
-    full = made.where(F.col("length") == capacity)
-    alone = full.withColumns({"sequence_id": F.lit(-1) - F.col("_slot"), "offset": F.lit(0).cast("long")}).drop("_slot")
-    return pack(made.where(F.col("length") < capacity), capacity).unionByName(alone)
+    places = pack(made.where(F.col("length") < capacity), capacity)
+    alone = {"sequence_id": F.lit(-1) - F.col("_slot"), "offset": F.lit(0).cast("long"), "certified": F.lit(True)}
+    full = made.where(F.col("length") == capacity).withColumns(alone)
+    return made.where(F.col("length") < capacity).join(places, "_slot").unionByName(full).drop("_slot")
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents packed into sequences of at most 2048 tokens: ``doc_id, piece, start, length, ids_crc32, sequence_id, offset``."""
-    return pack_documents(table(spark, sf_dir, "documents"), keep_ids=False)
+    """All documents packed into sequences of at most 2048 tokens.
+
+    ``doc_id, piece, start, length, ids_crc32, sequence_id, offset, row, certified``.
+    """
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "row", "certified"]
+    return pack_documents(table(spark, sf_dir, "documents"), keep_ids=False).select(*columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where every document's tokens lie in the packed sequences."""
-    return pack_documents(docs, keep_ids=False)
+    """The packed sequences: every document's token ids, and where they lie.  Repeated documents have a ``row`` of their own each."""
+    return pack_documents(docs)
