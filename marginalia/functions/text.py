@@ -32,7 +32,8 @@ def _nfkc(s: pd.Series) -> pd.Series:
 
 
 def _normal(text: Column, udf) -> Column:
-    return F.when(text.rlike(r"^\p{ASCII}*$"), text).otherwise(udf(text))
+    """ASCII texts are normal already and cross to Python as nulls: a branch alone would send every text there."""
+    return F.coalesce(udf(F.when(~text.rlike(r"^\p{ASCII}*$"), text)), text)
 
 
 def _spaces(text: Column) -> Column:
@@ -60,9 +61,9 @@ def loose_key(text: Column) -> Column:
 
 def search_variants(text: Column) -> Column:
     """Up to six distinct, non-empty spellings to search for, in a fixed order."""
-    bases = [text, F.replace(text, F.lit("ٰ"), F.lit("ا"))]
-    folds = [f for b in bases for f in (match_fold(b), F.replace(match_fold(b), F.lit("ء"), F.lit("")), F.replace(match_fold(b), F.lit("ء"), F.lit("ي")))]
-    return F.array_distinct(F.filter(F.array(*folds), lambda x: x != ""))
+    bases = F.array(match_fold(text), match_fold(F.replace(text, F.lit("ٰ"), F.lit("ا"))))
+    folds = F.transform(bases, lambda b: F.array(b, *[F.replace(b, F.lit("ء"), F.lit(to)) for to in ("", "ي")]))
+    return F.array_distinct(F.filter(F.flatten(folds), lambda x: x != ""))
 
 
 def skeleton(text: Column, keep: str = "a-z", source: str = "", target: str = "") -> Column:

@@ -123,24 +123,41 @@ def connected(df: DataFrame, group: str, rid: str, eps: float, weight: str | Non
     return found.join(best, [group, "component"])
 
 
-def leader_cluster(df: DataFrame, rid: str, points: str, block: str, tol: float, rounds: int = 25) -> DataFrame:
-    """Rows of a block join the first leader within ``tol``, in order of id.  Each round the least unassigned row of every block
-    leads and takes all within ``tol``; rows left after ``rounds`` lead themselves."""
-    left, found = df.select(rid, block, points), []
-    left = stored(left, "leader-left")
-    for _ in range(rounds):
-        lead = left.groupBy(F.col(block).alias("_b")).agg(F.min_by(F.struct(F.col(rid).alias("r"), F.col(points).alias("p")), rid).alias("_l"))
-        j = left.join(lead, F.col(block).eqNullSafe(F.col("_b"))).withColumn("_in", (F.col(rid) == F.col("_l.r")) | (shape_distance(F.col(points), F.col("_l.p")) < tol))
-        j = stored(j.select(rid, block, points, F.col("_l.r").alias("leader"), "_in"), "leader-round")
-        found.append(j.where("_in").select(rid, "leader"))
-        left = j.where("not _in").select(rid, block, points)
-        if not left.head(1):
+def leader_cluster(df: DataFrame, rid: str, points: str, block: str, tol: float) -> DataFrame:
+    """``rid, leader``: in order of id, a row of a block joins the first leader within ``tol``, or leads.
+
+    Rows near one another are found once: the centres of two outlines are no further apart than their points are on average, so they
+    join on buckets of the centre.  Then rounds settle many rows each: a row leads once all its earlier neighbours have
+    joined others, and joins the first of the rest once that one leads; the least row left can always be settled.
+    """
+    n, total = F.size(points), lambda f: F.aggregate(points, F.lit(0.0), lambda s, p: s + p[f])
+    at = df.select(F.col(rid).alias("r"), F.col(block).alias("g"), F.col(points).alias("p"), *[F.floor(total(f) / n / tol).alias(f) for f in ("x", "y")])
+    steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
+    around = at.withColumn("s", F.explode(steps)).select("r", "g", "p", (F.col("x") + F.col("s.i")).alias("x"), (F.col("y") + F.col("s.j")).alias("y"))
+    a, b = around.alias("a"), at.alias("b")
+    same = F.col("a.g").eqNullSafe(F.col("b.g")) & (F.col("a.x") == F.col("b.x")) & (F.col("a.y") == F.col("b.y")) & (F.col("a.r") < F.col("b.r"))
+    edges = a.join(b, same).where(shape_distance(F.col("a.p"), F.col("b.p")) < tol).select(F.col("a.r").alias("a"), F.col("b.r").alias("b"))
+    edges = stored(edges, "leader-edges")
+    settled = df.select(F.col(rid).alias("r")).join(edges.select(F.col("b").alias("r")), "r", "left_anti").select("r", F.col("r").alias("leader"))
+    done = [stored(settled, "leader-settled")]  # without an earlier neighbour
+    edges = edges.withColumn("leads", F.lit(False))
+    while True:
+        fresh = done[-1].select(F.col("r").alias("a"), (F.col("r") == F.col("leader")).alias("_l"))
+        # Edges from rows that joined others go; those from leaders stay and say so.
+        state = edges.join(fresh, "a", "left").where("_l is null or _l").select("a", "b", (F.col("leads") | F.coalesce("_l", F.lit(False))).alias("leads"))
+        state = stored(state, "leader-state")
+        first = state.groupBy("b").agg(F.min(F.struct("a", "leads")).alias("m"))
+        joins = first.where("m.leads").select(F.col("b").alias("r"), F.col("m.a").alias("leader"))
+        free = edges.select(F.col("b").alias("r")).distinct().join(first.select(F.col("b").alias("r")), "r", "left_anti")
+        found = stored(joins.unionByName(free.select("r", F.col("r").alias("leader"))), "leader-settled")
+        if not found.head(1):
             break
-    found.append(left.select(rid, F.col(rid).alias("leader")))
-    out = found[0]
-    for more in found[1:]:
+        done.append(found)
+        edges = state.join(found.select(F.col("r").alias("b")), "b", "left_anti")
+    out = done[0]
+    for more in done[1:]:
         out = out.unionByName(more)
-    return out
+    return out.select(F.col("r").alias(rid), "leader")
 
 
 def label_votes(members: DataFrame, cluster: str, label: str, common: int = 3, rare: int = 2, rare_size: int = 5) -> DataFrame:

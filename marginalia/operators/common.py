@@ -18,12 +18,18 @@ def by(*names: str | Column) -> Window:
     return Window.partitionBy(*names)
 
 
+#: Folders of local sessions without one, by application.
+_own: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share (``spark.checkpoint.dir``); a temporary one where it is unset, as in tests."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder all executors share (``spark.checkpoint.dir``); a temporary one in local mode where it is unset, as in tests."""
+    at, context = spark.conf.get("spark.checkpoint.dir", None), spark.sparkContext
     if not at:
-        at = "file://" + tempfile.mkdtemp(prefix="marginalia-")
-        spark.conf.set("spark.checkpoint.dir", at)
+        if not context.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        at = _own.setdefault(context.applicationId, "") or "file://" + tempfile.mkdtemp(prefix="marginalia-")
+        _own[context.applicationId] = at
     return at.rstrip("/")
 
 

@@ -202,9 +202,9 @@ def best_iou(a: DataFrame, b: DataFrame, group: str, rid: str, value: str, floor
     return j.groupBy(group, rid).agg(best.alias("_b")).select(group, rid, F.coalesce(F.col("_b.v").cast("string"), F.lit(nothing)).alias("match"), F.col("_b.u").alias("iou"))
 
 
-def grid_match_1to1(a: DataFrame, b: DataFrame, group: str, rid: str, tol: float, size_tol: float, rounds: int = 10) -> DataFrame:
+def grid_match_1to1(a: DataFrame, b: DataFrame, group: str, rid: str, tol: float, size_tol: float, rounds: int | None = None) -> DataFrame:
     """One-to-one matches of centres within ``tol`` on both axes and sizes within ``size_tol``: mutual nearest, smaller ids
-    on ties, repeated until no new pair.  (A greedy pass in input order would depend on that order.)"""
+    on ties, repeated until no new pair, or ``rounds`` times.  (A greedy pass in input order would depend on that order.)"""
 
     def points(d: DataFrame, s: str) -> DataFrame:
         cx, cy, size = (F.col("x0") + F.col("x1")) / 2, (F.col("y0") + F.col("y1")) / 2, F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"))
@@ -217,7 +217,8 @@ def grid_match_1to1(a: DataFrame, b: DataFrame, group: str, rid: str, tol: float
     cand = pa.join(pb, (F.col("_ga") == F.col("_gb")) & (F.col("_ca") == F.col("_cb")) & (far <= tol) & (F.abs(F.col("_sa") - F.col("_sb")) <= size_tol))
     cand = stored(cand.select(F.col("_ga").alias("g"), F.col("_ia").alias("a"), F.col("_ib").alias("b"), F.round(far, 9).alias("d")), "match-candidates")
     found = None
-    for _ in range(rounds):
+    while rounds is None or rounds > 0:  # a round that finds no pair ends it, and any other leaves fewer candidates
+        rounds = rounds and rounds - 1
         ra, rb = F.row_number().over(by("g", "a").orderBy("d", "b")), F.row_number().over(by("g", "b").orderBy("d", "a"))
         new = stored(cand.withColumns({"_ra": ra, "_rb": rb}).where("_ra = 1 and _rb = 1").select("g", "a", "b", "d"), "match-round")
         if not new.head(1):

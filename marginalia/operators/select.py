@@ -113,16 +113,26 @@ def page_slice(df: DataFrame, order: list[str], offset: int, n: int) -> DataFram
     return df.orderBy(*order).offset(offset).limit(n).withColumn("total", F.lit(df.count()))
 
 
-def two_level_rank(df: DataFrame, group: str, member: str, reviewed: str, pinned: str | None = None, top: int = 20) -> DataFrame:
-    """T4: the ``top`` groups by total (a pinned one first), members by count, and the share of each group reviewed."""
+def two_level_rank(df: DataFrame, group: str, member: str, reviewed: str, pinned=None, top: int | None = None) -> DataFrame:
+    """T4: groups by total (a pinned one first), the ``top`` ones only if given, members by count, and the share of each group reviewed.
+
+    A group's rank is the number of groups with a larger total and its place among its equals, so no window holds all groups.
+    """
     g = df.groupBy(group).agg(F.count(F.lit(1)).alias("total"), F.avg(F.col(reviewed).cast("int")).alias("reviewed_share"))
-    order = [(F.col(group) == F.lit(pinned)).desc(), F.col("total").desc(), F.col(group)] if pinned is not None else [F.col("total").desc(), F.col(group)]
-    best = g.orderBy(*order).limit(top).withColumn("group_rank", F.row_number().over(Window.orderBy(*order)))  # `top` rows
+    g = g.withColumn("_pin", F.coalesce(F.col(group) == F.lit(pinned), F.lit(False)) if pinned is not None else F.lit(False))
+    totals = g.groupBy(F.col("_pin").alias("_p"), F.col("total").alias("_t")).agg(F.count(F.lit(1)).alias("_same"))
+    up = Window.orderBy(F.col("_p").desc(), F.col("_t").desc()).rowsBetween(Window.unboundedPreceding, -1)  # one row per different total
+    totals = totals.withColumn("_above", F.coalesce(F.sum("_same").over(up), F.lit(0)))
+    place = F.row_number().over(Window.partitionBy("_pin", "total").orderBy(group))
+    best = g.join(totals, (F.col("_pin") == F.col("_p")) & (F.col("total") == F.col("_t")))
+    best = best.withColumn("group_rank", (F.col("_above") + place).cast("int")).select(group, "total", "reviewed_share", "group_rank")
+    best = best if top is None else best.where(F.col("group_rank") <= top)
     m = df.groupBy(group, member).agg(F.count(F.lit(1)).alias("n"))
     rank = F.row_number().over(Window.partitionBy(group).orderBy(F.col("n").desc(), member))
-    return m.join(F.broadcast(best), group).withColumn("member_rank", rank)
+    return m.join(best, group).withColumn("member_rank", rank)
 
 
-def rank_by_detectors(flags: DataFrame, key: str, detector: str, top: int) -> DataFrame:
-    """T5: entities by number of different detectors that convict them, then key."""
-    return flags.groupBy(key).agg(F.count_distinct(detector).alias("detectors")).orderBy(F.col("detectors").desc(), key).limit(top)
+def rank_by_detectors(flags: DataFrame, key: str, detector: str, top: int | None = None) -> DataFrame:
+    """T5: entities by number of different detectors that convict them, then key; the first ``top`` only if given."""
+    ranked = flags.groupBy(key).agg(F.count_distinct(detector).alias("detectors")).orderBy(F.col("detectors").desc(), key)
+    return ranked if top is None else ranked.limit(top)

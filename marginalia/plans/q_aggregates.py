@@ -178,12 +178,15 @@ def a21_two_sided_score(t: Tables):
 
 @query("""WITH tr AS (SELECT doc_id, length(text) - length(replace(text, 'e', '')) AS n FROM documents WHERE text IS NOT NULL),
 c AS (SELECT 'lower' AS name, doc_id, length(lower(text)) - length(replace(lower(text), 'e', '')) AS n FROM documents WHERE text IS NOT NULL
-  UNION ALL SELECT 'head', doc_id, length(left(text, 2000)) - length(replace(left(text, 2000), 'e', '')) FROM documents WHERE text IS NOT NULL AND doc_id % 7 <> 0)
+  UNION ALL SELECT 'plain', doc_id, length(text) - length(replace(translate(text, 'éèêë', 'eeee'), 'e', '')) FROM documents
+  WHERE text IS NOT NULL AND doc_id IN (SELECT doc_id FROM labels))
 SELECT name, count(*) FILTER (c.n = tr.n) AS exact, count(*) FILTER (c.n <> tr.n) AS differs, (SELECT count(*) FROM tr) - count(*) FILTER (tr.n IS NOT NULL) AS no_text, round(count(*) FILTER (c.n = tr.n) / greatest(count(*) FILTER (tr.n IS NOT NULL), 1), 6) AS rate FROM c LEFT JOIN tr USING (doc_id) GROUP BY 1""")
 def a22_source_scoreboard(t: Tables):
     d = t.documents.where("text is not null")
     n = lambda c: (F.length(c) - F.length(F.replace(c, F.lit("e"), F.lit("")))).alias("n")
-    cands = d.select(F.lit("lower").alias("name"), "doc_id", n(F.lower("text"))).unionByName(d.where("doc_id % 7 <> 0").select(F.lit("head").alias("name"), "doc_id", n(F.left("text", F.lit(2000)))))
+    labelled = d.join(t.labels.select("doc_id").distinct(), "doc_id", "left_semi")
+    cands = d.select(F.lit("lower").alias("name"), "doc_id", n(F.lower("text")))
+    cands = cands.unionByName(labelled.select(F.lit("plain").alias("name"), "doc_id", n(F.translate("text", "éèêë", "eeee"))))
     return A.source_scoreboard(cands, d.select("doc_id", n(F.col("text"))), ["doc_id"])
 
 

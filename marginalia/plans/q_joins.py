@@ -21,12 +21,12 @@ def j1_reconcile(t: Tables):
 
 def _pair(t: Tables):
     a = t.tok.select("doc_id", "line_no", "pos", F.col("token").alias("ta"))
-    b = t.tok.where("doc_id % 5 <> 0").select("doc_id", "line_no", "pos", F.translate("token", ".,", "").alias("tb"))
+    b = t.tok.join(t.labels.select("doc_id").distinct(), "doc_id", "left_semi").select("doc_id", "line_no", "pos", F.translate("token", ".,", "").alias("tb"))
     return a, b
 
 
 @query("""SELECT doc_id, count(*) FILTER (s) AS compared, count(*) FILTER (NOT s) AS mismatched FROM (
-  SELECT doc_id, replace(replace(lower(token), '.', ''), ',', '') = replace(replace(lower(token), '.', ''), ',', '') AND token NOT LIKE '%!%' AS s FROM tok WHERE doc_id % 5 <> 0) GROUP BY 1""", "tok")
+  SELECT doc_id, replace(replace(lower(token), '.', ''), ',', '') = replace(replace(lower(token), '.', ''), ',', '') AND token NOT LIKE '%!%' AS s FROM tok WHERE doc_id IN (SELECT doc_id FROM labels)) GROUP BY 1""", "tok")
 def j2_guarded_join(t: Tables):
     a, b = _pair(t)
     a = a.withColumn("sa", F.translate(F.lower("ta"), ".,", ""))
@@ -162,7 +162,7 @@ def j17_grid_match_one_round(t: Tables):
 
 @query()
 def j17_grid_match_1to1(t: Tables):
-    return _matches(t, 10)
+    return _matches(t, None)
 
 
 def _surplus(t: Tables):

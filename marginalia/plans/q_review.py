@@ -67,7 +67,7 @@ def g5_connected(t: Tables):
 
 @query()
 def g6_leader_cluster(t: Tables):
-    return G.leader_cluster(t.shape, "vec_id", "points", "label", 0.12, rounds=8)
+    return G.leader_cluster(t.shape, "vec_id", "points", "label", 0.2)
 
 
 @query("""WITH m AS (SELECT l_partkey AS c, CASE WHEN l_quantity > 25 THEN l_returnflag END AS l FROM lineitem), v AS (SELECT c, l, count(*) AS votes FROM m WHERE l IS NOT NULL GROUP BY 1, 2), z AS (SELECT c, count(*) AS size FROM m GROUP BY 1)

@@ -1,5 +1,8 @@
 """Small hand-made tables: ties, empty groups, even sizes, values on a threshold, nulls, one-sided keys, duplicates, touching intervals."""
 
+import math
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -160,6 +163,40 @@ def test_capacity_partition_is_optimal(spark):
     assert got == [(0, 1), (1, 1), (2, 2), (3, 2), (4, 3)]
 
 
+def test_matching_goes_on_until_no_pair_is_left(spark):
+    # gaps shrink along the chain, so that each round can settle one pair only
+    at, spots = 0.0, []
+    for k in range(32):
+        spots.append(at)
+        at += 2.0 - k * 0.05
+    a, b = boxes(spark, *[(x, x + 1) for x in spots[0::2]]), boxes(spark, *[(x, x + 1) for x in spots[1::2]])
+    assert J.grid_match_1to1(a, b, "grp", "rid", 2.5, 0.5, rounds=3).count() < 16
+    assert J.grid_match_1to1(a, b, "grp", "rid", 2.5, 0.5).count() == 16
+
+
+def test_leaders_equal_a_pass_in_order(spark):
+    rng = random.Random(5)
+    data = [(k, rng.choice(["b", "c", None]), [(rng.random(), rng.random()) for _ in range(rng.choice([2, 2, 3]))]) for k in range(240)]
+    data += [(300 + k, "b", data[k][2]) for k in range(9)]
+    tol, leaders, want = 0.25, [], []
+    for r, g, p in data:
+        near = [x for x, h, q in leaders if h == g and len(q) == len(p) and sum(math.dist(u, v) for u, v in zip(p, q)) / len(p) < tol]
+        want.append((r, near[0] if near else r))
+        if not near:
+            leaders.append((r, g, p))
+    d = frame(spark, data, "r long, b string, p array<struct<x:double,y:double>>")
+    got = {tuple(x) for x in G.leader_cluster(d, "r", "p", "b", tol).collect()}
+    assert got == set(want) and len(leaders) > 24 and len(want) - len(leaders) > 60
+    assert G.leader_cluster(d.limit(0), "r", "p", "b", tol).collect() == []
+
+
+def test_ranks_without_a_cap(spark):
+    d = frame(spark, [("a", 1, True)] * 3 + [("b", 1, False)] * 3 + [("c", 2, True), (None, 2, False)], "g string, m int, r boolean")
+    got = {r.g: r.group_rank for r in S.two_level_rank(d, "g", "m", "r", pinned="c").where("g is not null").collect()}
+    assert got == {"c": 1, "a": 2, "b": 3}
+    assert {r.g for r in S.two_level_rank(d, "g", "m", "r", top=2).collect()} == {"a", "b"}
+
+
 def test_components_and_leaders(spark):
     got = G.connected(boxes(spark, (0, 1), (1.2, 2), (2.1, 3), (9, 10)), "grp", "rid", 0.5)
     assert rows(got.select("rid", "component")) == [(1, 1), (2, 1), (3, 1), (4, 4)]
