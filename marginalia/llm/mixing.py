@@ -183,7 +183,8 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     took = stored(took, "mix-copies")
     match = F.col("doc_id").eqNullSafe(F.col("__m_id")) & F.col("source").eqNullSafe(F.col("__m_source"))
     match &= word_count(F.col("text")) == F.col("__m_size")
-    out = docs.join(took.where("__m_rows = 1"), match).withColumn("__m_own", F.col("__m_copies"))
+    # As many rows as documents: never broadcast, so that the plan is the same at every size.
+    out = docs.join(took.where("__m_rows = 1").hint("merge"), match).withColumn("__m_own", F.col("__m_copies"))
     shared = took.where("__m_rows > 1")
     if shared.head(1):
         turn = F.row_number().over(Window.partitionBy(*alike).orderBy("text"))
