@@ -35,7 +35,7 @@ BANDS, BAND_ROWS = 25, 5
 #: Most bits in which the SimHashes of two candidates differ.  Pairs at 0.8 differ in 10 bits on average, or 12 if they have few
 #: shingles, with a deviation of 3.
 CANDIDATE_RADIUS = 26
-#: Candidates that a member of a group has verified in the first round; four times as many in each later one.
+#: Candidates that a member of a group has verified pair by pair; groups where some have more are verified as a whole.
 TAKE = 8
 #: Fingerprints of a block of a large group.
 GROUP_BLOCK = 1024
@@ -265,13 +265,20 @@ LEFT, RIGHT, BOTH = 1, 2, 3
 MEMBER = "node", "n", "fp", "label", "side"
 
 
-def proposed(groups: DataFrame, similarity: float, before: int, take: int) -> DataFrame:
-    """``gid, g`` -> ``(gid, a, b)``: candidates inside groups whose members aren't in one component yet.
+def candidates(group, node, size, fp, label, side, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs inside groups, of a left and a right member, that aren't in one component yet, with near SimHashes and set sizes
+    that allow the similarity.  The second of a pair is the one with the larger name."""
+    i, j = near_pairs(fp, CANDIDATE_RADIUS)
+    low, high = np.minimum(size[i], size[j]), np.maximum(size[i], size[j])
+    met = (group[i] == group[j]) & (label[i] != label[j]) & (low >= similarity * high - 1e-6)
+    met &= ((side[i] & LEFT) & (side[j] & RIGHT) >> 1 | (side[i] & RIGHT) >> 1 & (side[j] & LEFT)) > 0
+    i, j = i[met], j[met]
+    return np.where(node[i] < node[j], i, j), np.where(node[i] < node[j], j, i)
 
-    A candidate pair has near SimHashes and set sizes that allow the similarity.  Each member has its candidates among those before it
-    in order of names, nearest first, and of these come those from place ``before`` on, ``take`` at most.  Where a group has
-    more of them, rows with a null ``b`` name its members, and ``side`` theirs, for a later round.
-    """
+
+def proposed(groups: DataFrame, similarity: float) -> DataFrame:
+    """``gid, g`` -> ``(gid, a, b, side)``: candidate pairs of nodes, each member's ``TAKE`` nearest among those before it in order of
+    names.  Where a group has more of them, rows with a null ``b`` name its members and their sides."""
 
     def compare(batches):
         for batch in batches:
@@ -285,20 +292,14 @@ def proposed(groups: DataFrame, similarity: float, before: int, take: int) -> Da
                 group = np.repeat(np.arange(at, to), np.diff(bounds[at : to + 1]))
                 node, size, fp, label, side = (columns[c][bounds[at] : bounds[to]] for c in MEMBER)
                 fp = fp.view(np.uint64)
-                i, j = near_pairs(fp, CANDIDATE_RADIUS)
-                low, high = np.minimum(size[i], size[j]), np.maximum(size[i], size[j])
-                met = (group[i] == group[j]) & (node[i] != node[j]) & (low >= similarity * high - 1e-6)
-                met &= ((side[i] & LEFT) & (side[j] & RIGHT) >> 1 | (side[i] & RIGHT) >> 1 & (side[j] & LEFT)) > 0
-                i, j = i[met], j[met]
-                i, j = np.where(node[i] < node[j], i, j), np.where(node[i] < node[j], j, i)
+                i, j = candidates(group, node, size, fp, label, side, similarity)
                 order = np.lexsort((node[i], np.bitwise_count(fp[i] ^ fp[j]), j))
                 i, j = i[order], j[order]
-                place, open_ = np.arange(len(j)) - np.searchsorted(j, j), label[i] != label[j]
-                now = open_ & (place >= before) & (place < before + take)
+                now = np.arange(len(j)) - np.searchsorted(j, j) < TAKE
+                whole = np.isin(group, group[j[~now]])
+                now &= ~whole[j]
                 out.append((gids[group[i[now]]], node[i[now]], node[j[now]], np.zeros(now.sum(), np.int32), np.zeros(now.sum(), bool)))
-                later = open_ & (place >= before + take)
-                some = np.flatnonzero(np.isin(group, group[i[later]]))
-                out.append((gids[group[some]], node[some], node[some], side[some], np.ones(len(some), bool)))
+                out.append((gids[group[whole]], node[whole], node[whole], side[whole], np.ones(whole.sum(), bool)))
                 at = to
             gid, a, b, side, more = (np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 4 + (np.zeros(0, bool),)
             columns = [pa.array(gid, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64(), mask=more), pa.array(side, pa.int32())]
@@ -307,56 +308,99 @@ def proposed(groups: DataFrame, similarity: float, before: int, take: int) -> Da
     return groups.mapInArrow(compare, "gid long, a long, b long, side int")
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, width: int, similarity: float) -> DataFrame:
-    """Of the pairs ``(a, b)`` of nodes, those whose shingle sets have at least this Jaccard similarity."""
-
-    def run(batches):
-        for batch in batches:
-            sets = [shingle_set(t.as_py(), width) for t in batch.column(0).cast(pa.binary())]
-            bounds = np.cumsum([0, *map(len, sets)])
-            flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat))
-            yield pa.RecordBatch.from_arrays([pa.array([set_id(s) for s in sets], pa.int64()), lists], names=["_id", "_set"])
-
-    def compare(batches):
-        for batch in batches:
-            a, b = batch.column(2), batch.column(3)
-            common = [len(np.intersect1d(x.values.to_numpy(), y.values.to_numpy(), assume_unique=True)) for x, y in zip(a, b)]
-            both = np.array([len(x.values) + len(y.values) for x, y in zip(a, b)]) - common
-            yield batch.select(["a", "b"]).filter(pa.array(np.array(common) >= similarity * both - 1e-9))
-
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "_least"), "node")
-    wanted = stored(wanted, "simhash-wanted")
-    asked = wanted.select(F.col("_least").alias("_id")).distinct()
-    texts = maybe(docs.select("doc_id", "text"), "doc_id", asked).join(asked, F.col("doc_id") == F.col("_id")).select("text")
-    sets = texts.mapInArrow(run, "_id long, _set array<long>").join(wanted, F.col("_id") == F.col("node"), "left_semi")
-    sets = stored(sets.groupBy("_id").agg(F.any_value("_set").alias("_set")), "simhash-sets")
-    left, right = (sets.select(F.col("_id").alias(c), F.col("_set").alias(f"_{c}")) for c in ("a", "b"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "_a", "_b").mapInArrow(compare, "a long, b long")
+def similar(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether the sets of each index pair have at least this Jaccard similarity."""
+    sizes = np.array([len(x) for x in sets])
+    kinds, code, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    shared = times[code] > 1  # what only one set has is in no intersection
+    code, owner = np.unique(code[shared], return_inverse=True)[1], owner[shared]
+    kinds = int(code.max(initial=-1)) + 1
+    if 2.0 * len(sets) ** 2 * kinds < 3e5 * len(i):  # by a matrix product where that is cheaper than pair by pair
+        common = np.zeros((len(sets), len(sets)), np.float32)
+        order = np.argsort(code, kind="stable")
+        for at in range(0, kinds, 4096):
+            low, high = np.searchsorted(code[order], (at, at + 4096))
+            part = np.zeros((len(sets), 4096), np.float32)
+            part[owner[order[low:high]], code[order[low:high]] - at] = 1
+            common += part @ part.T
+        common = common[i, j].astype(np.int64)
+    else:
+        common = np.array([len(np.intersect1d(sets[a], sets[b], assume_unique=True)) for a, b in zip(i, j)], np.int64)
+    return common >= similarity * (sizes[i] + sizes[j] - common) - 1e-9
+
+
+def _whole_groups(similarity: float):
+    """Links of one group's members ``gid, node, n, fp, label, side, _set``: a spanning forest of all that its candidates link."""
+
+    def links(rows: pa.Table) -> pa.Table:
+        node, size, fp, label, side = (rows.column(c).to_numpy() for c in MEMBER)
+        sets = [x.values.to_numpy().view(np.uint64) for x in rows.column("_set")]
+        i, j = candidates(np.zeros(len(node)), node, size, fp.view(np.uint64), label, side, similarity)
+        good = similar(sets, i, j, similarity) if len(i) else np.zeros(0, bool)
+        at, root = spanning(np.minimum(i[good], j[good]), np.maximum(i[good], j[good]), len(node))
+        return pa.table({"a": pa.array(node[at], pa.int64()), "b": pa.array(node[root], pa.int64())})
+
+    return links
 
 
 class Links:
-    """Verified links, found round by round, and the component of every node they reach."""
+    """Verified links, and the component of every node they reach."""
 
     def __init__(self, nodes: DataFrame, docs: DataFrame, width: int, similarity: float):
         self.nodes, self.docs, self.width, self.similarity = nodes, docs, width, similarity
         self.edges = self.roots = None
 
+    def sets(self, wanted: DataFrame) -> DataFrame:
+        """``_id, _set`` of the nodes wanted, from one text each."""
+        width = self.width
+
+        def run(batches):
+            for batch in batches:
+                sets = [shingle_set(t.as_py(), width) for t in batch.column(0).cast(pa.binary())]
+                bounds = np.cumsum([0, *map(len, sets)])
+                flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)
+                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(flat))
+                yield pa.RecordBatch.from_arrays([pa.array([set_id(s) for s in sets], pa.int64()), lists], names=["_id", "_set"])
+
+        wanted = stored(wanted.distinct().join(self.nodes.select("node", "_least"), "node"), "simhash-wanted")
+        asked = wanted.select(F.col("_least").alias("_id")).distinct()
+        texts = maybe(self.docs.select("doc_id", "text"), "doc_id", asked).join(asked, F.col("doc_id") == F.col("_id")).select("text")
+        sets = texts.mapInArrow(run, "_id long, _set array<long>").join(wanted, F.col("_id") == F.col("node"), "left_semi")
+        return stored(sets.groupBy("_id").agg(F.any_value("_set").alias("_set")), "simhash-sets")
+
+    def pairs(self, pairs: DataFrame) -> DataFrame:
+        """Of the pairs ``(a, b)`` of nodes, those whose shingle sets are similar."""
+        similarity = self.similarity
+
+        def compare(batches):
+            for batch in batches:
+                sets = [x.values.to_numpy() for c in (2, 3) for x in batch.column(c)]
+                n = len(batch)
+                good = [similar([sets[k], sets[n + k]], np.array([0]), np.array([1]), similarity)[0] for k in range(n)]
+                yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+        sets = self.sets(pairs.select(F.explode(F.array("a", "b")).alias("node")))
+        left, right = (sets.select(F.col("_id").alias(c), F.col("_set").alias(f"_{c}")) for c in ("a", "b"))
+        return pairs.join(left, "a").join(right, "b").select("a", "b", "_a", "_b").mapInArrow(compare, "a long, b long")
+
+    def add(self, edges: DataFrame) -> None:
+        edges = stored(edges, "simhash-verified")
+        self.edges = edges if self.edges is None else self.edges.unionByName(edges)
+        self.roots = connected_components(self.edges, "simhash")
+
     def work_off(self, groups: DataFrame) -> None:
-        """Link all that a group's pairs link.  Pairs that earlier links have joined by then need no check."""
-        before, take = 0, TAKE
-        while True:
-            found = stored(proposed(groups, self.similarity, before, take), "simhash-proposed")
-            pairs = stored(found.where("b is not null").select("a", "b").distinct(), "simhash-pairs")
-            if self.roots is None or pairs.head(1):
-                links = stored(verified(pairs, self.nodes, self.docs, self.width, self.similarity), "simhash-verified")
-                self.edges = links if self.edges is None else self.edges.unionByName(links)
-                self.roots = connected_components(self.edges, "simhash")
-            more = found.where("b is null").select("gid", F.col("a").alias("node"), "side")
-            if not more.head(1):
-                return
-            before, take = before + take, 4 * take
-            groups = gathered(self.labelled(more.join(self.nodes.select("node", "n", "fp"), "node")), "gid")
+        """Link all that the candidates of groups link: pair by pair, and the groups with many candidates each in a task of its own,
+        with the sets of its members, which are two blocks at most.  No pairs leave such a task but those of a spanning forest."""
+        found = stored(proposed(groups, self.similarity), "simhash-proposed")
+        pairs = stored(found.where("b is not null").select("a", "b").distinct(), "simhash-pairs")
+        if self.roots is None or pairs.head(1):
+            self.add(self.pairs(pairs))
+        more = found.where("b is null").select("gid", F.col("a").alias("node"), "side")
+        if more.head(1):
+            members = self.labelled(more.join(self.nodes.select("node", "n", "fp"), "node"))
+            members = members.join(self.sets(more.select("node")), F.col("node") == F.col("_id")).drop("_id")
+            self.add(members.groupBy("gid").applyInArrow(_whole_groups(self.similarity), "a long, b long"))
 
     def labelled(self, rows: DataFrame) -> DataFrame:
         """``rows`` with the component of their ``node``."""
@@ -367,7 +411,7 @@ class Links:
 def gathered(members: DataFrame, *by: str) -> DataFrame:
     """``gid, g`` of groups with two members or more."""
     groups = members.groupBy(*by).agg(F.collect_list(F.struct(*MEMBER)).alias("g")).where(F.size("g") > 1)
-    return groups.select(F.xxhash64(*by).alias("gid"), "g") if by != ("gid",) else groups
+    return groups.select(F.xxhash64(*by).alias("gid"), "g")
 
 
 def similar_sets(prints: DataFrame, docs: DataFrame, width: int, similarity: float = SIMILARITY) -> DataFrame:
@@ -419,7 +463,8 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, width: int
     keep = similar_sets(prints, named, width, similarity).where("doc_id = component_id")
     keep = keep.groupBy("doc_id").agg(F.count(F.lit(1)).alias("__m_rows"))
     keep = stored(keep.withColumnRenamed("doc_id", "__m_id"), "simhash-stage-keep")
-    kept = docs.join(keep, F.col("doc_id") == F.col("__m_id"))
+    # As many rows as documents: never broadcast, so that the plan is the same at every size.
+    kept = docs.join(keep.hint("merge"), F.col("doc_id") == F.col("__m_id"))
     once = kept.where("__m_rows = 1").select(*docs.columns)
     several = kept.where("__m_rows > 1").select(*docs.columns).dropDuplicates(["doc_id"])
     return once.unionByName(several).unionByName(docs.where("doc_id is null"))

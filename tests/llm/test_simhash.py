@@ -135,9 +135,9 @@ def components(texts):
     return parent
 
 
-@pytest.mark.parametrize("block", [1024, 5])
-def test_stage_works_off_groups_with_many_candidates(spark, monkeypatch, block):
-    monkeypatch.setattr(simhash, "TAKE", 1)
+@pytest.mark.parametrize(("block", "take"), [(1024, 1), (5, 1), (5, 99)])
+def test_stage_works_off_groups_with_many_candidates(spark, monkeypatch, block, take):
+    monkeypatch.setattr(simhash, "TAKE", take)
     monkeypatch.setattr(simhash, "GROUP_BLOCK", block)
     rng = random.Random(4)
     base = [" ".join(f"w{rng.randrange(5000)}" for _ in range(240)) for _ in range(2)]
@@ -161,3 +161,13 @@ def test_sketches_of_sets(spark):
             for m in factors[band * simhash.BAND_ROWS : (band + 1) * simhash.BAND_ROWS]:
                 h = (h * 0x9E3779B97F4A7C15 + min(int(v) * m % top for v in x)) % top if len(x) else 0
             assert int(row[band]) == ((h * 0xD6E8FEB86659FD93 + band) % top if len(x) else 0)
+
+
+def test_similarity_of_sets_either_way():
+    rng = np.random.default_rng(3)
+    for n, high in ((4, 30), (40, 60), (40, 10**6)):
+        sets = [np.unique(rng.integers(0, high, rng.integers(1, 50)).astype(np.uint64)) for _ in range(n)]
+        i, j = np.triu_indices(n, 1)
+        want = [len(set(sets[a]) & set(sets[b])) / len(set(sets[a]) | set(sets[b])) >= 0.4 for a, b in zip(i, j)]
+        assert simhash.similar(sets, i, j, 0.4).tolist() == want
+        assert [simhash.similar([sets[a], sets[b]], np.array([0]), np.array([1]), 0.4)[0] for a, b in zip(i, j)] == want
