@@ -3,60 +3,23 @@
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
-import zipfile
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.common import shared_dir, stored  # noqa: F401
+from ..session import ship
+
 #: A word: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Give the executors this package, once an application: they needn't have it installed or share a folder with it."""
-    context = spark.sparkContext
-    if context.applicationId not in _shipped:
-        _shipped.add(context.applicationId)
-        package = Path(__file__).resolve().parent.parent
-        at = os.path.join(tempfile.mkdtemp(prefix="marginalia-"), f"{package.name}.zip")
-        with zipfile.ZipFile(at, "w") as z:
-            for f in sorted(package.rglob("*.py")):
-                z.write(f, f.relative_to(package.parent))
-        context.addPyFile(at)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
     ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share (``spark.checkpoint.dir``); a temporary one where it is unset, as in tests."""
-    at = spark.conf.get("spark.checkpoint.dir", None)
-    if not at:
-        at = "file://" + tempfile.mkdtemp(prefix="marginalia-")
-        spark.conf.set("spark.checkpoint.dir", at)
-    return at.rstrip("/")
-
-
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written once as Parquet into the shared folder and read again.
-
-    Cuts lineage and keeps a costly step from running twice; lost executors don't lose it.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/marginalia-{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 #: Bits of the table of ``maybe``.
 FILTER_BITS = 1 << 25
 
@@ -74,11 +37,6 @@ def maybe(rows: DataFrame, column: str, wanted: DataFrame) -> DataFrame:
     return found.where(F.expr(f"getbit(_bits, cast({place(column)} % 64 as int)) = 1")).select(*rows.columns)
 
 
-def lower_az(text: Column) -> Column:
-    """A-Z lower-cased, nothing else."""
-    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-
-
 def fold(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo ``n``; null for a null id."""
     return F.crc32(doc_id.cast("string").cast("binary")) % n
