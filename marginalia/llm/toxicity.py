@@ -121,7 +121,7 @@ class Model:
         for w, c in Counter(words).items():
             at = known.get(w)
             if at is None:
-                if len(known) > 500_000:
+                if len(known) > 100_000:
                     known.clear()
                 at = known[w] = tuple(self.place[f] for f in word_features(w) if f in self.place)
             for k in at:
