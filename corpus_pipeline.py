@@ -20,7 +20,8 @@ STAGES = [
     ("packing", packing_stage),
 ]
 
-#: The classifier, the clustering and the packing can't be put in SQL; tests hold the stages against brute force.
+#: The classifier, the clustering and the packing can't be put in SQL; tests/llm holds each stage against a plain
+#: version: scores, lines, similar sets, the sorted mix, and the tokens and places of all pieces.
 ORACLE_SQL = None
 
 
