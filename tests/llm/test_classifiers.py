@@ -162,6 +162,17 @@ def test_toxicity_equals_a_plain_scorer(spark, toxic):
     assert set(again.place) & set(model.place)
 
 
+def test_the_stage_keeps_what_a_plain_scorer_keeps(spark, toxic, tmp_path):
+    data, labels = toxic
+    labels.write.parquet(str(tmp_path / "labels.parquet"))
+    d = spark.createDataFrame([r[:5] for r in data] + [(None, "no id", None, None, None), (900, None, None, None, None)], DOCS)
+    model = toxicity.fit(d, labels, F.col("doc_id").isNotNull())
+    kept = toxicity.toxicity_stage(spark, d, str(tmp_path))
+    want = sorted((r for r in map(tuple, d.collect()) if plain_score(model, r[1]) < 0.5), key=str)
+    assert kept.columns == d.columns and sorted(map(tuple, kept.collect()), key=str) == want
+    assert 0 < len(want) < len(data)
+
+
 def test_without_labels_or_rows(spark, toxic):
     data, labels = toxic
     d = spark.createDataFrame([r[:5] for r in data[:9]], DOCS)
