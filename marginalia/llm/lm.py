@@ -12,11 +12,14 @@ word and one for all unknown ones, so every walk goes on.
 The counts of all n-grams of the corpus can't be held by a task.  So documents stay in chunks (parts of the scan's
 partitions); a chunk sends its distinct n-grams, sorted, to ranges of the hash space; each range adds up the training
 counts of all chunks and answers every chunk in the order it asked.  From the answers a chunk builds just the part of the
-automaton its own documents can walk, which gives the same scores as the whole.  N-grams are known by 64-bit hashes.
+automaton its own documents can walk, which gives the same scores as the whole, and walks each of them once, from left
+to right.  N-grams are known by 64-bit hashes.
 """
 
 from __future__ import annotations
 
+from array import array
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,9 +36,6 @@ RANGE_BYTES = 12 << 20
 #: Bytes of text hashed at once.
 SLICE = 1 << 19
 
-_rng = np.random.default_rng(7)
-_CODE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)  # a random odd number for each byte
-_CODE[65:91] = _CODE[97:123]  # A-Z count as a-z
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BASE = 0x9E3779B97F4A7C15
@@ -51,6 +51,9 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
+_CODE = _mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE)) | np.uint64(1)  # an odd number for each byte
+_CODE[65:91] = _CODE[97:123]  # A-Z count as a-z
+
 _powers: dict[int, np.ndarray] = {}
 
 
@@ -178,55 +181,105 @@ def _answer(asked: pa.Table) -> pa.Table:
     return pa.table({"m": pa.array([m] * n, pa.int32()), "range": pa.array([r] * n, pa.int32()), "chunk": pa.array(chunks.astype(np.int32)), "totals": pa.ListArray.from_arrays(offsets, pa.array(answer))})
 
 
+class Automaton:
+    """The part of the model that one chunk's texts can walk, from the counts of its own n-grams.
+
+    State 0 is the root and the last one the begin mark; the others are the known n-grams shorter than ``order``.  An arc
+    is known by ``state * width + word``, where word 0 stands for all unknown ones.
+    """
+
+    def __init__(self, words, sizes, counts: list[np.ndarray], order: int, prior: float, documents: int, word_weights: np.ndarray):
+        starts = np.cumsum(sizes) - sizes
+        keys, targets, weights, fails, fail_weights = [], [], [], [np.zeros(1, np.int64)], [np.zeros(1)]
+        states, below = 1, None
+        for m, (grams, there) in enumerate(ngrams(words, sizes, order), 1):
+            at = np.flatnonzero(there)
+            _, first, place = np.unique(grams[there], return_index=True, return_inverse=True)
+            first, count = at[first], counts[m - 1]
+            if len(count) != len(first):
+                raise RuntimeError("the input was dealt out differently the second time; store it before scoring")
+            known = np.flatnonzero(count)
+            if m == 1:
+                lower = np.zeros(len(count), np.int64)
+                self.width = len(known) + 1
+                kinds = np.zeros(len(count), np.int64)
+                kinds[known] = np.arange(1, self.width)
+                self.words = kinds[place]
+                keys += [np.zeros(1, np.int64), kinds[known]]
+                weight = word_weights(count)
+                weights += [word_weights(np.zeros(1, np.int64)), weight[known]]
+            else:
+                lower, lower_weight = below[0][first], below[1][first]
+                # The context is known where the n-gram is; a mere begin mark counts the documents.
+                source, seen = below[0][first - 1], below[2][first - 1]
+                if m == 2:
+                    begins = np.isin(first, starts)
+                    source, seen = np.where(begins, -1, source), np.where(begins, documents, seen)
+                weight = np.log10((count + prior * 10**lower_weight) / (seen + prior))
+                keys.append(source[known] * self.width + self.words[first[known]])
+                weights.append(weight[known])
+            # A known n-gram is a state of its own, or at full length that of its last words, and so is an unknown one.
+            state = lower.copy()
+            if m < order:
+                state[known] = np.arange(states, states + len(known))
+                states += len(known)
+                fails.append(lower[known])
+                fail_weights.append(np.log10(prior / (count[known] + prior)))
+            targets += [np.zeros(1, np.int64), state[known]] if m == 1 else [state[known]]
+            full = [np.zeros(len(words), x.dtype) for x in (state, weight, count)]
+            for x, y in zip(full, (state, weight, count)):
+                x[at] = y[place]
+            below = full
+        self.begin = states if documents and order > 1 else 0
+        fails.append(np.zeros(1, np.int64))
+        fail_weights.append(np.log10([prior / (documents + prior)]))
+        joined = np.concatenate(keys)
+        joined[joined < 0] += (states + 1) * self.width  # arcs of the begin mark, written as state -1 so far
+        self.arcs = dict(zip(joined.tolist(), range(len(joined))))
+        self.targets, self.weights = array("q", np.concatenate(targets).tobytes()), array("d", np.concatenate(weights).tobytes())
+        self.fails, self.fail_weights = array("q", np.concatenate(fails).tobytes()), array("d", np.concatenate(fail_weights).tobytes())
+
+    def walk(self, words: list[int]) -> float:
+        """log10 probability of one text: left to right, the state carried on, failure arcs followed until a word has an arc."""
+        arcs, targets, weights, fails, fail_weights, width = self.arcs, self.targets, self.weights, self.fails, self.fail_weights, self.width
+        state, total = self.begin, 0.0
+        for word in words:
+            arc = arcs.get(state * width + word)
+            while arc is None:
+                total += fail_weights[state]
+                state = fails[state]
+                arc = arcs.get(state * width + word)
+            total += weights[arc]
+            state = targets[arc]
+        return total
+
+
 def _scorer(order: int, prior: float, stats: dict):
     n_train, kinds, documents = stats["tokens"], stats["words"], stats["documents"]
     twice = stats["once"] + 2 * stats["twice"]
     discount = min(0.9, max(0.1, stats["once"] / twice)) if twice else 0.5
 
-    def word(c: np.ndarray) -> np.ndarray:
-        if not n_train:
-            return np.ones(len(c))
-        return np.where(c > 0, c - discount, discount * kinds) / n_train
+    def word_weights(c: np.ndarray) -> np.ndarray:
+        return np.log10(np.where(c > 0, c - discount, discount * kinds) / n_train) if n_train else np.zeros(len(c))
 
     def score(answers: pa.Table, docs: pa.Table) -> pa.Table:
         docs = docs.combine_chunks()
         words, sizes = tokens(docs.column("text").combine_chunks() if isinstance(docs.column("text"), pa.ChunkedArray) else docs.column("text"))
         starts = np.cumsum(sizes) - sizes
-        by_order = {}
+        parts: list[list] = [[] for _ in range(order)]
         for row in range(len(answers)):
-            by_order.setdefault(answers.column("m")[row].as_py(), []).append((answers.column("range")[row].as_py(), answers.column("totals")[row].values.to_numpy()))
-        log = np.zeros(len(words))
-        for m, (grams, there) in enumerate(ngrams(words, sizes, order), 1):
-            # The states and arcs of this length.
-            keys, first, arc = np.unique(grams[there], return_index=True, return_inverse=True)
-            known = np.concatenate([t for _, t in sorted(by_order.get(m, []), key=lambda x: x[0])] or [np.zeros(0, np.int64)])
-            if len(known) != len(keys):
-                raise RuntimeError("the input was dealt out differently the second time; store it before scoring")
-            at = np.flatnonzero(there)
-            if m == 1:
-                count = known[arc]
-                weight = np.log10(word(known))
-                log, base_count = weight[arc], count
-            else:
-                # What the context counts: the shorter n-gram up to the token before, or the documents for a mere begin mark.
-                context = np.concatenate(([0], count[:-1]))
-                if m == 2:
-                    context[starts] = documents
-                context, lower = context[at], log[at]
-                fail = np.log10(prior / (context + prior))
-                weight = np.log10((known + prior * 10 ** lower[first]) / (context[first] + prior))  # arcs to n-grams seen
-                # One step of the walk: the arc where there is one; else the failure arc, then what the shorter state did.
-                log = log.copy()
-                log[at] = np.where(context > 0, np.where(known[arc] > 0, weight[arc], fail + lower), lower)
-                full = np.zeros(len(words), np.int64)
-                full[at] = known[arc]
-                count = full
-        base = np.log10((base_count + ADD) / (n_train + ADD * (kinds + 1)))
+            parts[answers.column("m")[row].as_py() - 1].append((answers.column("range")[row].as_py(), answers.column("totals")[row].values.to_numpy()))
+        counts = [np.concatenate([t for _, t in sorted(p, key=lambda x: x[0])] or [np.zeros(0, np.int64)]) for p in parts]
+        model = Automaton(words, sizes, counts, order, prior, documents, word_weights)
+        log = [model.walk(model.words[a : a + n].tolist()) for a, n in zip(starts.tolist(), sizes.tolist())]
+        count = counts[0][np.unique(words, return_inverse=True)[1]]
+        base = np.log10((count + ADD) / (n_train + ADD * (kinds + 1)))
         total = lambda x: np.add.reduceat(x, starts) if len(starts) else np.zeros(0)
         n = len(docs)
         return pa.table({
-            "doc_id": docs.column("doc_id"), "held_out": pa.array(~docs.column("train").to_numpy()), "n_tokens": pa.array(sizes, pa.int64()), "n_known": pa.array(total((base_count > 0).astype(np.int64)), pa.int64()),
-            "train_tokens": pa.array([n_train] * n, pa.int64()), "base_score": pa.array(total(base), pa.float64()), "score": pa.array(total(log), pa.float64()),
+            "doc_id": docs.column("doc_id"), "held_out": pa.array(~docs.column("train").to_numpy()), "n_tokens": pa.array(sizes, pa.int64()),
+            "n_known": pa.array(total((count > 0).astype(np.int64)), pa.int64()), "train_tokens": pa.array([n_train] * n, pa.int64()),
+            "base_score": pa.array(total(base), pa.float64()), "score": pa.array(log, pa.float64()),
         })
 
     return score
