@@ -15,8 +15,11 @@ from pyspark.sql.types import StringType
 #: Categories that folding drops: marks, modifier letters and symbols, other symbols, format characters (fixed values).
 DROPPED = r"[\p{Mn}\p{Me}\p{Lm}\p{Sk}\p{So}\p{Cf}]"
 #: Letters and digits that match_fold sends to one another (fixed values).
-MATCH_FROM = "أإآٱىةؤئ٠١٢٣٤٥٦٧٨٩۰۱۲۳۴۵۶۷۸۹"
-MATCH_TO = "ااااي" + "هوي" + "0123456789" + "0123456789"
+MATCH = {
+    "آ": "ا", "أ": "ا", "ؤ": "و", "إ": "ا", "ئ": "ي", "ة": "ه", "ى": "ي", "ٱ": "ا",
+    "٠": "0", "١": "1", "٢": "2", "٣": "3", "٤": "4", "٥": "5", "٦": "6", "٧": "7", "٨": "8", "٩": "9",
+    "۰": "0", "۱": "1", "۲": "2", "۳": "3", "۴": "4", "۵": "5", "۶": "6", "۷": "7", "۸": "8", "۹": "9",
+}
 #: Letters a loose key leaves out (fixed values).
 LOOSE = "اء"
 
@@ -51,7 +54,7 @@ def search_key(text: Column) -> Column:
 
 def match_fold(text: Column) -> Column:
     """NFKC, stripped as a search key, then letters and digits folded in one pass."""
-    return F.translate(strip_marks(_normal(text, _nfkc)), MATCH_FROM, MATCH_TO)
+    return F.translate(strip_marks(_normal(text, _nfkc)), "".join(MATCH), "".join(MATCH.values()))
 
 
 def loose_key(text: Column) -> Column:

@@ -22,22 +22,23 @@ def align_tokens(a: DataFrame, b: DataFrame, group: str, pos: str, skel: str, ma
     belongs together.  A group whose texts differ in length has no last common cut and can't be aligned as a whole.
     """
 
-    def ends(d: DataFrame, n: str) -> DataFrame:
-        w = by(group).orderBy(pos).rowsBetween(Window.unboundedPreceding, 0)
-        e = d.where(F.length(skel) > 0).select(group, F.sum(F.length(skel)).over(w).alias("cut"))
-        return e.withColumn(n, F.row_number().over(by(group).orderBy("cut")))
-
-    ea, eb = ends(a, "_na"), ends(b, "_nb")
+    side = lambda d, n: d.where(F.length(skel) > 0).select(group, F.col(pos).alias("_pos"), F.length(skel).alias("_len"), F.lit(n).alias("_side"))
+    w = by(group, "_side").orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
+    # One shuffle, by group: the running sums, the meeting of both sides at a cut and the runs between cuts all keep to it.
+    ends = side(a, "a").unionByName(side(b, "b")).repartition(group).select(group, "_side", F.sum("_len").over(w).alias("cut"), F.row_number().over(w).alias("_n"))
+    number = lambda n: F.max(F.when(F.col("_side") == n, F.col("_n")))
+    cuts = ends.groupBy(group, "cut").agg(number("a").alias("_na"), number("b").alias("_nb"))
     w = by(group).orderBy("cut")
-    runs = ea.join(eb, [group, "cut"]).select(
+    runs = cuts.where("_na is not null and _nb is not null").select(
         group, "cut", (F.col("_na") - F.coalesce(F.lag("_na").over(w), F.lit(0))).alias("na"), (F.col("_nb") - F.coalesce(F.lag("_nb").over(w), F.lit(0))).alias("nb")
     )
     kind = F.when((F.col("na") == 1) & (F.col("nb") == 1), "1:1").when(F.col("nb") == 1, "fuse").when(F.col("na") == 1, "split").otherwise("cannot-align")
     if max_split is not None:
         kind = F.when(F.greatest("na", "nb") > max_split, "cannot-align").otherwise(kind)
     runs = runs.withColumn("kind", kind)
-    total = lambda e, n: e.groupBy(group).agg(F.max("cut").alias(f"{n}_cut"), F.max(n).alias(f"{n}_n"))
-    last = total(ea, "_na").join(total(eb, "_nb"), group, "full_outer").where(~F.col("_na_cut").eqNullSafe(F.col("_nb_cut")))
+    end = lambda n: F.max(F.when(F.col(n).isNotNull(), F.col("cut")))
+    last = cuts.groupBy(group).agg(end("_na").alias("_na_cut"), end("_nb").alias("_nb_cut"), F.max("_na").alias("_na_n"), F.max("_nb").alias("_nb_n"))
+    last = last.where(~F.col("_na_cut").eqNullSafe(F.col("_nb_cut")))
     bad = last.select(group, F.lit(-1).cast("long").alias("cut"), F.coalesce("_na_n", F.lit(0)).alias("na"), F.coalesce("_nb_n", F.lit(0)).alias("nb"), F.lit("cannot-align").alias("kind"))
     out = runs.unionByName(bad)
     if abort_group:
@@ -64,32 +65,48 @@ def segmentation_equal(a: DataFrame, b: DataFrame, group: str, pos: str, skel: s
     return g.select(group, F.when(F.col("_m") > 0, "count-mismatch").when(F.col("places") > 0, "skeleton-mismatch").otherwise("equal").alias("status"), F.when(F.col("_m") > 0, 0).otherwise(F.col("places")).alias("places"))
 
 
-def partition_to_capacity(items: DataFrame, bins: int, group: str, order: str, length: str, width: float, alpha: float = 1.0, most: int = 22) -> DataFrame:
+def partition_to_capacity(
+    items: DataFrame, bins: int, group: str, order: str, length: str, width: float, alpha: float = 1.0, most: int = 22,
+    anchor: str | None = None, penalty: float = 3.0, free_ends: bool = False,
+) -> DataFrame:
     """Each group's ordered items into ``bins`` ordered bins, minimising sum |alpha x lengths - width| with at most ``most`` items a
-    bin; exact dynamic programme per group (some hundred rows).  Bins may be empty; first solution in order on ties."""
+    bin; exact dynamic programme per group (some hundred rows).  Bins may be empty; first solution in order on ties.
+
+    ``anchor``: the bin (from 1) an item should be in; each bin it is off costs ``penalty``; a null costs nothing.  ``free_ends``: items
+    before the first bin and after the last may stay out at no cost, as bin 0 and bins + 1.  Without a solution all bins are -1.
+    """
     kind, okind = items.schema[group].dataType.simpleString(), items.schema[order].dataType.simpleString()
 
     def solve(g: pd.DataFrame) -> pd.DataFrame:
         g = g.sort_values(order, kind="stable")
         total = np.concatenate(([0.0], np.cumsum(g[length].to_numpy(float))))
         n = len(g)
+        off = np.zeros((bins + 1, n + 1))
+        if anchor:
+            at = g[anchor].to_numpy(float)
+            for k in range(1, bins + 1):
+                off[k, 1:] = np.cumsum(np.nan_to_num(penalty * np.abs(at - k)))
         cost = np.full((bins + 1, n + 1), np.inf)
         back = np.zeros((bins + 1, n + 1), int)
-        cost[0, 0] = 0
+        cost[0, : n + 1 if free_ends else 1] = 0
         for k in range(1, bins + 1):
             for j in range(n + 1):
                 i = np.arange(max(0, j - most), j + 1)
-                c = cost[k - 1, i] + np.abs(alpha * (total[j] - total[i]) - width)
-                at = int(np.argmin(c))
-                cost[k, j], back[k, j] = c[at], i[at]
-        out, j = np.full(n, -1), n
-        if np.isfinite(cost[bins, n]):
+                c = cost[k - 1, i] + np.abs(alpha * (total[j] - total[i]) - width) + off[k, j] - off[k, i]
+                best = int(np.argmin(c))
+                cost[k, j], back[k, j] = c[best], i[best]
+        j = int(np.argmin(cost[bins])) if free_ends else n
+        out, least = np.full(n, -1), cost[bins, j]
+        if np.isfinite(least):
+            out[j:] = bins + 1
             for k in range(bins, 0, -1):
                 out[back[k, j] : j] = k
                 j = back[k, j]
-        return pd.DataFrame({group: g[group], order: g[order], "bin": out, "cost": cost[bins, n]})
+            out[:j] = 0
+        return pd.DataFrame({group: g[group], order: g[order], "bin": out, "cost": least})
 
-    return items.select(group, order, length).groupBy(group).applyInPandas(solve, f"{group} {kind}, {order} {okind}, bin long, cost double")
+    used = items.select(group, order, length, *([anchor] if anchor else []))
+    return used.groupBy(group).applyInPandas(solve, f"{group} {kind}, {order} {okind}, bin long, cost double")
 
 
 def min_label_components(edges: DataFrame, nodes: DataFrame, rounds: int = 40) -> DataFrame:
@@ -123,22 +140,39 @@ def connected(df: DataFrame, group: str, rid: str, eps: float, weight: str | Non
     return found.join(best, [group, "component"])
 
 
-def leader_cluster(df: DataFrame, rid: str, points: str, block: str, tol: float) -> DataFrame:
-    """``rid, leader``: in order of id, a row of a block joins the first leader within ``tol``, or leads.
+def _near_shapes(a: DataFrame, b: DataFrame, extra: Column, tol: float) -> DataFrame:
+    """Pairs of rows ``(r, g, p, …)`` of a block whose outlines are nearer than ``tol``, and hold ``extra`` (sides ``a`` and ``b``).
 
-    Rows near one another are found once: the centres of two outlines are no further apart than their points are on average, so they
-    join on buckets of the centre.  Then rounds settle many rows each: a row leads once all its earlier neighbours have
-    joined others, and joins the first of the rest once that one leads; the least row left can always be settled.
+    The centres of two outlines are no further apart than their points are on average, so they join on buckets of the centre.
     """
-    n, total = F.size(points), lambda f: F.aggregate(points, F.lit(0.0), lambda s, p: s + p[f])
-    at = df.select(F.col(rid).alias("r"), F.col(block).alias("g"), F.col(points).alias("p"), *[F.floor(total(f) / n / tol).alias(f) for f in ("x", "y")])
+    total = lambda f: F.aggregate("p", F.lit(0.0), lambda s, p: s + p[f])
+    cell = lambda d: d.withColumns({f: F.floor(total(f) / F.size("p") / tol) for f in ("x", "y")})
     steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    around = at.withColumn("s", F.explode(steps)).select("r", "g", "p", (F.col("x") + F.col("s.i")).alias("x"), (F.col("y") + F.col("s.j")).alias("y"))
-    a, b = around.alias("a"), at.alias("b")
-    same = F.col("a.g").eqNullSafe(F.col("b.g")) & (F.col("a.x") == F.col("b.x")) & (F.col("a.y") == F.col("b.y")) & (F.col("a.r") < F.col("b.r"))
-    edges = a.join(b, same).where(shape_distance(F.col("a.p"), F.col("b.p")) < tol).select(F.col("a.r").alias("a"), F.col("b.r").alias("b"))
+    around = cell(a).withColumn("_step", F.explode(steps)).withColumns({"x": F.col("x") + F.col("_step.i"), "y": F.col("y") + F.col("_step.j")})
+    same = F.col("a.g").eqNullSafe(F.col("b.g")) & (F.col("a.x") == F.col("b.x")) & (F.col("a.y") == F.col("b.y"))
+    return around.alias("a").join(cell(b).alias("b"), same & extra).withColumn("d", shape_distance(F.col("a.p"), F.col("b.p"))).where(F.col("d") < tol)
+
+
+def leader_cluster(
+    df: DataFrame, rid: str, points: str, block: str, tol: float, count: str | None = None, size: str | None = None,
+    ratio: tuple[float, float] = (0.77, 1.3), attribute: str | None = None, most_off: float = 0.15,
+) -> DataFrame:
+    """``rid, leader``: by decreasing ``count`` (if given), then id, a row of a block joins the first leader within ``tol``, or leads.
+
+    With ``size``, its size over the leader's is within ``ratio``; with ``attribute``, theirs differ by ``most_off`` at most; nulls fit
+    nothing.  Rows near one another are found once.  Then rounds settle many rows each: a row leads once all its earlier
+    neighbours have joined others, and joins the first of the rest once that one leads; the first row left can always be settled.
+    """
+    place = lambda: F.struct((-F.col(count) if count else F.lit(0)).alias("o"), F.col(rid).alias("i"))
+    df = df.select(place().alias("r"), F.col(block).alias("g"), F.col(points).alias("p"), F.col(size or rid).alias("s"), F.col(attribute or rid).alias("f"))
+    fits = F.col("a.r") < F.col("b.r")
+    if size:
+        fits = fits & (F.col("b.s") / F.col("a.s")).between(*ratio)
+    if attribute:
+        fits = fits & (F.abs(F.col("a.f") - F.col("b.f")) <= most_off)
+    edges = _near_shapes(df, df, fits, tol).select(F.col("a.r").alias("a"), F.col("b.r").alias("b"))
     edges = stored(edges, "leader-edges")
-    settled = df.select(F.col(rid).alias("r")).join(edges.select(F.col("b").alias("r")), "r", "left_anti").select("r", F.col("r").alias("leader"))
+    settled = df.select("r").join(edges.select(F.col("b").alias("r")), "r", "left_anti").select("r", F.col("r").alias("leader"))
     done = [stored(settled, "leader-settled")]  # without an earlier neighbour
     edges = edges.withColumn("leads", F.lit(False))
     while True:
@@ -157,7 +191,16 @@ def leader_cluster(df: DataFrame, rid: str, points: str, block: str, tol: float)
     out = done[0]
     for more in done[1:]:
         out = out.unionByName(more)
-    return out.select(F.col("r").alias(rid), "leader")
+    return out.select(F.col("r.i").alias(rid), F.col("leader.i").alias("leader"))
+
+
+def nearest_labelled(df: DataFrame, rid: str, points: str, block: str, label: str, tol: float = 0.12) -> DataFrame:
+    """For rows without a label, that of the nearest labelled row of the block within ``tol``, as ``suggested``, and its distance.
+    Ties go to the smaller id; rows with nothing near are left out."""
+    rows = df.select(F.col(rid).alias("r"), F.col(block).alias("g"), F.col(points).alias("p"), F.col(label).alias("l"))
+    pairs = _near_shapes(rows.where("l is null"), rows.where("l is not null"), F.lit(True), tol)
+    best = F.min(F.struct(F.round("d", 9).alias("d"), F.col("b.r").alias("r"), F.col("b.l").alias("l"))).alias("m")
+    return pairs.groupBy(F.col("a.r").alias(rid)).agg(best).select(rid, F.col("m.l").alias("suggested"), F.col("m.d").alias("distance"))
 
 
 def label_votes(members: DataFrame, cluster: str, label: str, common: int = 3, rare: int = 2, rare_size: int = 5) -> DataFrame:

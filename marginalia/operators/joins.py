@@ -6,8 +6,10 @@ buckets of the axis, with the exact predicate on top.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +19,10 @@ from marginalia.functions.text import split_identifier
 from .common import by, cols, stored
 
 
+#: Buckets of ``asof_floor``, at most: their ends are sorted by one task.
+MOST_BUCKETS = 4096
+
+
 def suffixed(df: DataFrame, suffix: str = "2") -> DataFrame:
     return df.select(*[F.col(c).alias(f"{c}{suffix}") for c in df.columns])
 
@@ -68,29 +74,30 @@ def range_expand(ranges: DataFrame, lo: str, hi: str, ids: DataFrame, id_: str)
     return rows.join(ids.select(F.col(id_).alias("_known")).distinct(), F.col("_id") == F.col("_known")).withColumnRenamed("_id", "expanded").drop("_known")
 
 
-def asof_floor(facts: DataFrame, key: str, bounds: DataFrame, start: str, value: str, before: str = "null") -> DataFrame:
+def asof_floor(facts: DataFrame, key: str, bounds: DataFrame, start: str, value: str, before: str = "null", per_bucket: int = 200_000) -> DataFrame:
     """The last boundary at or before each key, as ``floor``.  Before the first: null, or the first if ``before='first'``.
 
-    Facts and bounds are merged in buckets of the key range and only bucket ends are carried over, so no task sorts it all.
+    Only the distinct keys are merged with the bounds, so a key of many facts is one row; they are in buckets between quantiles of the
+    keys, one for each ``per_bucket``, and only bucket ends are carried over, so no task sorts it all.  A null key counts as before the first.
     """
-    buckets = 64
-    lo, hi = bounds.agg(F.min(start).cast("double"), F.max(start).cast("double")).first()
-    if lo is None:
-        return facts.withColumn("floor", F.lit(None).cast(bounds.schema[value].dataType))
-    width = max((hi - lo) / buckets, 1e-9)
-    bucket = lambda c: F.least(F.greatest(F.floor((F.col(c).cast("double") - lo) / width), F.lit(-1)), F.lit(buckets))
-    marks = bounds.select(F.col(start).alias("_s"), F.col(value).alias("_v"), bucket(start).alias("_b"))
-    ends = marks.groupBy("_b").agg(F.max_by("_v", "_s").alias("_e"))
-    every = facts.sparkSession.range(-1, buckets + 1).select(F.col("id").alias("_b")).join(ends, "_b", "left")
-    carried = every.select("_b", F.last("_e", True).over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"))  # 66 rows
-    both = facts.withColumn("_b", bucket(key)).withColumns({"_k": F.col(key), "_v": F.lit(None).cast(bounds.schema[value].dataType), "_fact": F.lit(1)}).unionByName(
-        marks.select("_b", F.col("_s").alias("_k"), "_v", F.lit(0).alias("_fact")), allowMissingColumns=True
-    )
+    kind = bounds.schema[value].dataType
+    keys = facts.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_k")).agg(F.lit(1).alias("_fact"))
+    keys = keys.withColumn("_d", F.col("_k").cast("double"))
+    buckets = max(1, min(MOST_BUCKETS, keys.count() // per_bucket))
+    inner = keys.approxQuantile("_d", [i / buckets for i in range(1, buckets)], 1 / (4 * buckets)) if buckets > 1 else []
+    inner = sorted({x for x in inner if math.isfinite(x)}) or [0.0]
+    splitter = Bucketizer(splits=[-math.inf, *inner, math.inf], inputCol="_d", outputCol="_b", handleInvalid="keep")
+    marks = bounds.where(F.col(start).isNotNull()).select(F.col(start).alias("_k"), F.col(value).alias("_v"), F.lit(0).alias("_fact"))
+    marks = splitter.transform(marks.withColumn("_d", F.col("_k").cast("double")))
+    both = splitter.transform(keys).withColumn("_v", F.lit(None).cast(kind)).unionByName(marks)
+    ends = both.groupBy("_b").agg(F.max_by("_v", F.when(F.col("_fact") == 0, F.col("_k"))).alias("_e"))  # a row a bucket
+    carried = ends.select("_b", F.last("_e", True).over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)).alias("_carry"))
     w = by("_b").orderBy("_k", "_fact").rowsBetween(Window.unboundedPreceding, 0)
-    found = both.withColumn("_in", F.last("_v", True).over(w)).where("_fact = 1").join(F.broadcast(carried), "_b")  # 66 rows
-    first = bounds.agg(F.min_by(value, start)).first()[0]
-    floor = F.coalesce("_in", "_carry", *([F.lit(first)] if before == "first" else []))
-    return found.select(*facts.columns, floor.alias("floor"))
+    found = both.withColumn("_in", F.last("_v", True).over(w)).where("_fact = 1").join(F.broadcast(carried), "_b")  # MOST_BUCKETS + 1 rows at most
+    found = found.select(F.col("_k").alias("_key"), F.coalesce("_in", "_carry").alias("_floor"))
+    first = bounds.agg(F.min_by(value, start)).first()[0] if before == "first" else None
+    floor = F.coalesce("_floor", F.lit(first).cast(kind))
+    return facts.join(found, F.col(key) == F.col("_key"), "left").select(*facts.columns, floor.alias("floor"))
 
 
 def division_rollup(n: Column) -> dict[str, Column]:
@@ -122,29 +129,61 @@ def interval_overlap(a: DataFrame, b: DataFrame, group: str, min_ov: float, widt
     return a.join(bb, on & (ov > min_ov)).withColumn("overlap", ov)
 
 
-def exclusive_owner(items: DataFrame, holders: DataFrame, group: str, item: str, owner: str, min_ov: float = 0.5, max_clear: float = 6.5, min_lead: float = 0.3) -> DataFrame:
+def exclusive_owner(
+    items: DataFrame, holders: DataFrame, group: str, item: str, owner: str, min_ov: float = 0.5, max_clear: float = 6.5, min_lead: float = 0.3, width: float | None = None
+) -> DataFrame:
     """Items that touch exactly one holder, and not their own: own overlap <= ``min_ov`` and one other's above it, with
-    vertical clearance <= ``max_clear`` and own gap - other gap >= ``min_lead``."""
+    vertical clearance <= ``max_clear`` and own gap - other gap >= ``min_lead``.
+
+    An item meets its own holder by an equal key and the others by overlap alone; ``width`` adds J10's buckets for large groups.
+    """
     h = suffixed(holders)
-    ov = boxes.overlap(F.col("x0"), F.col("x1"), F.col("x02"), F.col("x12"))
-    j = items.join(h, F.col(group) == F.col(f"{group}2")).withColumns({"_ov": ov, "_mine": F.col(owner) == F.col(f"{owner}2"), "_clear": boxes.gap(F.col("y0"), F.col("y1"), F.col("y02"), F.col("y12"))})
-    other = ~F.col("_mine") & (F.col("_ov") > min_ov)
-    gap = F.greatest(-F.col("_ov"), F.lit(0.0))
+    own = items.join(h, (F.col(group) == F.col(f"{group}2")) & (F.col(owner) == F.col(f"{owner}2")))
+    own = own.withColumns({"overlap": boxes.overlap(F.col("x0"), F.col("x1"), F.col("x02"), F.col("x12")), "_mine": F.lit(True)})
+    others = interval_overlap(items, holders, group, min_ov, width).where(F.col(owner) != F.col(f"{owner}2")).withColumn("_mine", F.lit(False))
+    j = own.unionByName(others).withColumn("_clear", boxes.gap(F.col("y0"), F.col("y1"), F.col("y02"), F.col("y12")))
+    gap = F.greatest(-F.col("overlap"), F.lit(0.0))
+    other = lambda c: F.max(F.when(~F.col("_mine"), c))
     g = j.groupBy(group, item, owner).agg(
-        F.count_if(other).alias("_n"), F.max(F.when(F.col("_mine"), F.col("_ov"))).alias("_own"), F.min(F.when(F.col("_mine"), gap)).alias("_own_gap"),
-        F.max(F.when(other, F.col(f"{owner}2"))).alias("other"), F.max(F.when(other, F.col("_clear"))).alias("clear"), F.max(F.when(other, gap)).alias("_other_gap"),
+        F.count_if(~F.col("_mine")).alias("_n"), F.max(F.when(F.col("_mine"), F.col("overlap"))).alias("_own"), F.min(F.when(F.col("_mine"), gap)).alias("_own_gap"),
+        other(F.col(f"{owner}2")).alias("other"), other(F.col("_clear")).alias("clear"), other(gap).alias("_other_gap"),
     )
     keep = (F.col("_n") == 1) & (F.col("_own") <= min_ov) & (F.col("clear") <= max_clear) & (F.col("_own_gap") - F.col("_other_gap") >= min_lead)
     return g.where(keep).select(group, item, owner, "other", "clear")
 
 
-def assign_band(items: DataFrame, bands: DataFrame, group: str, item: list[str], band: str) -> DataFrame:
-    """The band (y0, y1) of a group that contains an item's vertical centre, else the nearest; ties to the smaller band."""
+def assign_band(items: DataFrame, bands: DataFrame, group: str, item: list[str], band: str, height: float | None = None) -> DataFrame:
+    """The band (y0, y1) of a group that contains an item's vertical centre, else the nearest; ties to the smaller band.
+
+    With ``height``, for groups of many bands, centres meet the bands that contain them in buckets of that height; the rest take the nearer
+    of the last band that ends before them and the first that begins after, found in one pass in order.
+    """
     b = suffixed(bands)
     c = (F.col("y0") + F.col("y1")) / 2
     away = F.greatest(F.col("y02") - c, c - F.col("y12"), F.lit(0.0))
-    r = F.row_number().over(by(group, *item).orderBy("_d", f"{band}2"))
-    return items.join(b, F.col(group) == F.col(f"{group}2")).withColumn("_d", F.round(away, 9)).withColumn("_r", r).where("_r = 1").select(*items.columns, F.col(f"{band}2").alias("band"), F.col("_d").alias("distance"))
+    best = lambda d: d.withColumn("_r", F.row_number().over(by(group, *item).orderBy("_d", "_band"))).where("_r = 1")
+    out = [*items.columns, F.col("_band").alias("band"), F.col("_d").alias("distance")]
+    if not height:
+        return best(items.join(b, F.col(group) == F.col(f"{group}2")).withColumns({"_d": F.round(away, 9), "_band": F.col(f"{band}2")})).select(*out)
+    cells = F.explode(F.sequence(F.floor(F.col("y02") / height), F.floor(F.col("y12") / height)))
+    inside = items.withColumn("_c", F.floor(c / height)).join(
+        b.withColumn("_c2", cells), (F.col(group) == F.col(f"{group}2")) & (F.col("_c") == F.col("_c2")) & (c >= F.col("y02")) & (c <= F.col("y12"))
+    )
+    inside = best(inside.withColumns({"_d": F.lit(0.0), "_band": F.col(f"{band}2")})).select(*items.columns, "_band", "_d")
+    same = F.lit(True)
+    for name in (group, *item):  # null-safe: the key of an item may hold nulls
+        same = same & F.col(name).eqNullSafe(F.col(f"_k_{name}"))
+    rest = items.join(inside.select(*[F.col(n).alias(f"_k_{n}") for n in (group, *item)]), same, "left_anti").where(F.col(group).isNotNull())
+    edge = lambda y, side: bands.where(F.col(group).isNotNull() & F.col("y0").isNotNull() & F.col("y1").isNotNull()).select(group, F.round(y, 9).alias("_y"), F.lit(side).alias("_side"), F.struct(y, F.col(band).alias("b")).alias("_e"))
+    rows = rest.withColumns({"_y": F.round(c, 9), "_side": F.lit(1)}).unionByName(edge(F.col("y1").alias("y"), 0), allowMissingColumns=True)
+    rows = rows.unionByName(edge(F.col("y0").alias("y"), 2), allowMissingColumns=True)
+    # Of bands that end (begin) together, the smallest stands nearest in order.
+    before = F.last(F.when(F.col("_side") == 0, F.col("_e")), True).over(by(group).orderBy("_y", "_side", F.col("_e.b").desc()).rowsBetween(Window.unboundedPreceding, 0))
+    after = F.first(F.when(F.col("_side") == 2, F.col("_e")), True).over(by(group).orderBy("_y", "_side", F.col("_e.b")).rowsBetween(0, Window.unboundedFollowing))
+    near = rows.withColumns({"_before": before, "_after": after}).where("_side = 1")
+    near = near.withColumn("_two", F.explode(F.filter(F.array("_before", "_after"), lambda e: e.isNotNull())))
+    near = near.withColumns({"_d": F.round(F.abs(F.col("_two.y") - c), 9), "_band": F.col("_two.b")})
+    return inside.select(*out).unionByName(best(near).select(*out))
 
 
 def span_bands(rects: DataFrame, bands: DataFrame, group: str, key: str, band: str, share: float = 0.5, same: float = 2.0, clash: float = 0.3) -> DataFrame:
@@ -162,42 +201,64 @@ def span_bands(rects: DataFrame, bands: DataFrame, group: str, key: str, band: s
     return spans.where("not copy").unionByName(spans.where("copy").join(real, clashes, "left_anti")).drop("copy")
 
 
+def _grid(s: str, cell: float) -> Column:
+    """A row for each grid cell that a box touches."""
+    along = lambda axis: F.sequence(F.floor(F.col(f"{axis}0{s}") / cell), F.floor(F.col(f"{axis}1{s}") / cell))
+    return F.explode_outer(F.flatten(F.transform(along("x"), lambda i: F.transform(along("y"), lambda j: F.struct(i.alias("i"), j.alias("j"))))))
+
+
+def _first_cell(cell: float) -> Column:
+    """The first cell two boxes share: their pair is taken there."""
+    at = lambda axis: F.greatest(F.floor(F.col(f"{axis}0") / cell), F.floor(F.col(f"{axis}02") / cell))
+    return F.struct(at("x").alias("i"), at("y").alias("j"))
+
+
 def rect_pairs(df: DataFrame, group: str, rid: str, owner: str, eps: float = 0.05, cell: float | None = None) -> DataFrame:
     """Unordered pairs of a group with different owners that overlap by more than ``eps`` on both axes, with the area."""
     b = suffixed(df)
     ox, oy = boxes.overlap(F.col("x0"), F.col("x1"), F.col("x02"), F.col("x12")), boxes.overlap(F.col("y0"), F.col("y1"), F.col("y02"), F.col("y12"))
     on = (F.col(group) == F.col(f"{group}2")) & (F.col(rid) < F.col(f"{rid}2")) & (F.col(owner) != F.col(f"{owner}2")) & (ox > eps) & (oy > eps)
     if cell:
-        grid = lambda s: F.explode(F.flatten(F.transform(
-            F.sequence(F.floor(F.col(f"x0{s}") / cell), F.floor(F.col(f"x1{s}") / cell)),
-            lambda i: F.transform(F.sequence(F.floor(F.col(f"y0{s}") / cell), F.floor(F.col(f"y1{s}") / cell)), lambda j: F.struct(i, j)),
-        )))
-        first = F.struct(F.greatest(F.floor(F.col("x0") / cell), F.floor(F.col("x02") / cell)), F.greatest(F.floor(F.col("y0") / cell), F.floor(F.col("y02") / cell)))
-        df, b = df.withColumn("_c", grid("")), b.withColumn("_c2", grid("2"))
-        on = on & (F.col("_c") == F.col("_c2")) & (F.col("_c") == first)
+        df, b = df.withColumn("_c", _grid("", cell)), b.withColumn("_c2", _grid("2", cell))
+        on = on & (F.col("_c") == F.col("_c2")) & (F.col("_c") == _first_cell(cell))
     return df.join(b, on).select(group, rid, f"{rid}2", owner, f"{owner}2", (ox * oy).alias("area"))
 
 
-def point_in_rect_nearest(points: DataFrame, rects: DataFrame, group: str, point: str, rid: str, max_d: float, gap_bias: float = 0.6) -> DataFrame:
+def point_in_rect_nearest(points: DataFrame, rects: DataFrame, group: str, point: str, rid: str, max_d: float, gap_bias: float = 0.6, height: float | None = None) -> DataFrame:
     """The rect a point (x, y) lies in; else on the line (equal y0) vertically nearest: in a gap between neighbours the first
-    ``gap_bias`` share goes to the preceding one, else the nearest end; null beyond ``max_d``."""
+    ``gap_bias`` share goes to the preceding one, else the nearest end; null beyond ``max_d``.
+
+    With ``height``, for large groups, a point meets only rects within ``max_d`` above or below it, in buckets of that height: if the
+    nearest line is further off, nothing is hit.
+    """
     w = by(group, "y0").orderBy("x0", rid)
     r = rects.withColumns({"_prev": F.max("x1").over(w.rowsBetween(Window.unboundedPreceding, -1)), "_next": F.lead("x0").over(w)})
     left = F.when(F.col("_prev").isNotNull() & (F.col("_prev") < F.col("x0")), F.col("_prev") + gap_bias * (F.col("x0") - F.col("_prev"))).otherwise(F.lit(float("-inf")))
     right = F.when(F.col("_next").isNotNull() & (F.col("_next") > F.col("x1")), F.col("x1") + gap_bias * (F.col("_next") - F.col("x1"))).otherwise(F.lit(float("inf")))
     r = suffixed(r.withColumns({"_l": left, "_r": right}))
-    p = points.join(r, F.col(group) == F.col(f"{group}2"), "left")
+    on = F.col(group) == F.col(f"{group}2")
     dx, dy = F.greatest(F.col("x02") - F.col("x"), F.col("x") - F.col("x12"), F.lit(0.0)), F.greatest(F.col("y02") - F.col("y"), F.col("y") - F.col("y12"), F.lit(0.0))
+    if height:
+        reach = F.sequence(F.floor((F.col("y02") - max_d) / height), F.floor((F.col("y12") + max_d) / height))
+        points, r = points.withColumn("_c", F.floor(F.col("y") / height)), r.withColumn("_c2", F.explode(reach))
+        on = on & (F.col("_c") == F.col("_c2")) & (dy <= max_d + 1e-9)
+    p = points.join(r, on, "left")
     mine = (F.col("x") > F.col("_l2")) & (F.col("x") <= F.col("_r2"))
     rank = F.row_number().over(by(group, point).orderBy(F.round(dy, 9), F.when((dx == 0) | mine, 0).otherwise(1), F.round(dx, 9), f"{rid}2"))
     d = F.sqrt(dx * dx + dy * dy)
     return p.withColumns({"_rank": rank, "_d": d}).where("_rank = 1").select(group, point, F.when(F.col("_d") <= max_d, F.col(f"{rid}2")).alias("hit"), F.when(F.col("_d") <= max_d, F.col("_d")).alias("distance"))
 
 
-def best_iou(a: DataFrame, b: DataFrame, group: str, rid: str, value: str, floor: float = 0.35, nothing: str = "(nothing there)") -> DataFrame:
-    """For each row of a the value of the box of b with the highest IoU above ``floor``; ties to the smaller id."""
+def best_iou(a: DataFrame, b: DataFrame, group: str, rid: str, value: str, floor: float = 0.35, nothing: str = "(nothing there)", cell: float | None = None) -> DataFrame:
+    """For each row of a the value of the box of b with the highest IoU above ``floor``; ties to the smaller id; ``cell`` adds J14's grid for large groups."""
     u = F.round(boxes.iou(box(), box("2")), 9)
-    j = a.join(suffixed(b), (F.col(group) == F.col(f"{group}2")) & (F.col("x0") < F.col("x12")) & (F.col("x1") > F.col("x02")), "left").withColumn("_u", u)
+    on = (F.col(group) == F.col(f"{group}2")) & (F.col("x0") < F.col("x12")) & (F.col("x1") > F.col("x02"))
+    left, right = a, suffixed(b)
+    if cell:
+        left, right = left.withColumn("_c", _grid("", cell)), right.withColumn("_c2", _grid("2", cell))
+        on = on & (F.col("_c") == F.col("_c2")) & (F.col("_c") == _first_cell(cell))
+    # A row of a in several cells may meet nothing in some of them: what it meets anywhere counts.
+    j = left.join(right, on, "left").withColumn("_u", u)
     best = F.max_by(F.struct(F.col(f"{value}2").alias("v"), F.col("_u").alias("u")), F.when(F.col("_u") > floor, F.struct(F.col("_u"), -F.col(f"{rid}2"))))
     return j.groupBy(group, rid).agg(best.alias("_b")).select(group, rid, F.coalesce(F.col("_b.v").cast("string"), F.lit(nothing)).alias("match"), F.col("_b.u").alias("iou"))
 

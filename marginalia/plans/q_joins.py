@@ -98,7 +98,7 @@ g AS (SELECT grp, rid, owner, count(*) FILTER (o2 <> owner AND ov > 0.5) AS n, m
 SELECT grp, rid, owner, other, round(clear, 6) + 0.0 AS clear FROM g WHERE n = 1 AND own <= 0.5 AND clear <= 6.5 AND og - tg >= 0.3""", "ivl")
 def j11_exclusive_owner(t: Tables):
     h = t.ivl.where("rid % 2 = 0").groupBy("grp", "owner").agg(F.min("x0").alias("x0"), F.max("x1").alias("x1"), F.min("y0").alias("y0"), F.max("y1").alias("y1"))
-    return J.exclusive_owner(t.ivl.where("rid % 2 = 1"), h, "grp", "rid", "owner")
+    return J.exclusive_owner(t.ivl.where("rid % 2 = 1"), h, "grp", "rid", "owner", width=8.0)
 
 
 @query("""WITH b AS (SELECT grp, line, min(y0) AS y0, max(y1) AS y1 FROM ivl WHERE rid % 2 = 0 GROUP BY 1, 2),
@@ -106,7 +106,7 @@ c AS (SELECT a.grp, a.rid, b.line AS band, round(greatest(b.y0 - (a.y0 + a.y1) /
 SELECT grp, rid, band, round(d, 6) AS distance FROM c QUALIFY row_number() OVER (PARTITION BY grp, rid ORDER BY d, band) = 1""", "ivl")
 def j12_assign_band(t: Tables):
     bands = t.ivl.where("rid % 2 = 0").groupBy("grp", "line").agg(F.min("y0").alias("y0"), F.max("y1").alias("y1"))
-    return J.assign_band(t.ivl, bands, "grp", ["rid"], "line").select("grp", "rid", "band", "distance")
+    return J.assign_band(t.ivl, bands, "grp", ["rid"], "line", height=4.0).select("grp", "rid", "band", "distance")
 
 
 @query(f"""WITH b AS (SELECT grp, line AS band, min(y0) AS y0, max(y1) AS y1 FROM ivl GROUP BY 1, 2),
@@ -132,7 +132,7 @@ def j15_point_in_rect_nearest(t: Tables):
     rows = F.floor(F.col("y0") / 4) * 4.0
     r = t.ivl.select("grp", "rid", "x0", "x1", rows.alias("y0"), (rows + 3).alias("y1"))
     p = t.li.where("rid % 3 = 0").select(F.col("l_orderkey").alias("grp"), F.col("rid").alias("point"), (F.col("l_quantity") * 1.3).alias("x"), (F.col("l_tax") * 120).alias("y"))
-    return J.point_in_rect_nearest(p, r, "grp", "point", "rid", 12.0)
+    return J.point_in_rect_nearest(p, r, "grp", "point", "rid", 12.0, height=8.0)
 
 
 IOU = f"greatest({OV}, 0) * greatest({OVY}, 0) / ((a.x1 - a.x0) * (a.y1 - a.y0) + (b.x1 - b.x0) * (b.y1 - b.y0) - greatest({OV}, 0) * greatest({OVY}, 0))"
@@ -142,7 +142,7 @@ best AS (SELECT i.grp, i.rid, coalesce(arg_max(u.fam, (u, -r2)) FILTER (u > 0.35
 
 @query(f"WITH {BEST} SELECT grp, rid, match, round(iou, 6) AS iou FROM best", "ivl")
 def j16_best_iou(t: Tables):
-    return J.best_iou(t.ivl.where("rid % 2 = 1"), t.ivl.where("rid % 2 = 0"), "grp", "rid", "fam")
+    return J.best_iou(t.ivl.where("rid % 2 = 1"), t.ivl.where("rid % 2 = 0"), "grp", "rid", "fam", cell=8.0)
 
 
 def _matches(t: Tables, rounds: int):

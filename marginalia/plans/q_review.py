@@ -57,6 +57,13 @@ def g4_partition_to_capacity(t: Tables):
     return G.partition_to_capacity(t.li.select("l_orderkey", "rid", "l_quantity"), 3, "l_orderkey", "rid", "l_quantity", 60.0)
 
 
+@query()
+def g4_anchored(t: Tables):
+    """Bins that lines should be in by their tax; a group's first and last lines may stay out."""
+    li = t.li.select("l_orderkey", "rid", "l_quantity", F.least(F.floor(F.col("l_tax") * 40) + 1, F.lit(3)).alias("at"))
+    return G.partition_to_capacity(li, 3, "l_orderkey", "rid", "l_quantity", 40.0, anchor="at", free_ends=True)
+
+
 @query("""WITH RECURSIVE e AS (SELECT a.grp, a.rid AS a, b.rid AS b FROM ivl a JOIN ivl b ON a.grp = b.grp AND a.rid <> b.rid AND least(a.x1, b.x1) + 0.2 - greatest(a.x0, b.x0) + 0.2 > 0 AND least(a.y1, b.y1) + 0.2 - greatest(a.y0, b.y0) + 0.2 > 0),
 r AS (SELECT grp, rid AS v, rid AS o FROM ivl UNION SELECT r.grp, r.v, e.b FROM r JOIN e ON e.grp = r.grp AND e.a = r.o), c AS (SELECT grp, v AS rid, min(o) AS component FROM r GROUP BY 1, 2),
 w AS (SELECT grp, component, fam, round(sum(x1 - x0), 6) AS w FROM c JOIN ivl USING (grp, rid) GROUP BY 1, 2, 3), l AS (SELECT grp, component, fam AS label FROM w QUALIFY row_number() OVER (PARTITION BY grp, component ORDER BY w DESC, fam) = 1)
@@ -70,6 +77,15 @@ def g6_leader_cluster(t: Tables):
     return G.leader_cluster(t.shape, "vec_id", "points", "label", 0.2)
 
 
+@query()
+def g6_nearest_labelled(t: Tables):
+    """Leaders of large clusters lend their label to rows of the others: the block is the whole table."""
+    led = G.leader_cluster(t.shape, "vec_id", "points", "label", 0.2)
+    large = led.groupBy("leader").agg((F.count(F.lit(1)) > 1).alias("large"))
+    rows = t.shape.join(led, "vec_id").join(large, "leader").select("vec_id", "points", F.when(F.col("large"), F.col("label")).alias("named"))
+    return G.nearest_labelled(rows.withColumn("block", F.lit(0)), "vec_id", "points", "block", "named", 0.2)
+
+
 @query("""WITH m AS (SELECT l_partkey AS c, CASE WHEN l_quantity > 25 THEN l_returnflag END AS l FROM lineitem), v AS (SELECT c, l, count(*) AS votes FROM m WHERE l IS NOT NULL GROUP BY 1, 2), z AS (SELECT c, count(*) AS size FROM m GROUP BY 1)
 SELECT c, CASE WHEN votes >= CASE WHEN size <= 5 THEN 2 ELSE 3 END THEN l END AS label, votes, size FROM v JOIN z USING (c) QUALIFY row_number() OVER (PARTITION BY c ORDER BY votes DESC, l) = 1""")
 def g6_label_votes(t: Tables):
@@ -321,6 +337,15 @@ def p1_build_index(t: Tables):
 
 @query("SELECT count(*) AS rows, 0::BIGINT AS differing FROM documents")
 def p2_profile_projection(t: Tables):
-    small, differing = P.profile_projection(t.documents, ["lang", "n_chars"], "doc_id", "text")
+    small, differing = P.profile_projection(t.documents, ["lang", "n_chars"], "doc_id", "text", _scratch(t, "profiles"))
     n = small.agg(F.count(F.lit(1)).alias("rows")).unionByName(differing.agg(F.count(F.lit(1)).alias("differing")), allowMissingColumns=True)
     return n.agg(F.max("rows").alias("rows"), F.max("differing").alias("differing"))
+
+
+@query("""WITH s AS (SELECT doc_id, length(replace(text, chr(10), '')) AS size FROM documents WHERE lang IS NOT NULL)
+SELECT coalesce(d.doc_id, s.doc_id) AS doc_id, CASE WHEN s.doc_id IS NULL THEN 'full only' WHEN d.doc_id IS NULL THEN 'small only' ELSE 'differs' END AS what
+FROM documents d FULL JOIN s ON d.doc_id = s.doc_id WHERE s.doc_id IS NULL OR d.doc_id IS NULL OR d.n_chars IS DISTINCT FROM s.size""")
+def p2_profiles_differ(t: Tables):
+    """The profile of all documents beside one that joins their lines and leaves out documents without a language."""
+    small = t.documents.where("lang is not null").select("doc_id", F.length(F.replace("text", F.lit("\n"), F.lit(""))).alias("size"))
+    return P.profiles_differ(t.documents.select("doc_id", F.col("n_chars").alias("size")), small, "doc_id", "size")

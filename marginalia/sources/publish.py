@@ -72,8 +72,19 @@ def build_index(words: DataFrame, page: str, entity: str, key: str, order: list[
     return {"pages": pages, "index": index, "manifest": manifest(words, page, rows), "gate": gate([check(words, "key present", F.col(key).isNull()), check(pages, "page has rows", F.col("n") == 0)])}
 
 
-def profile_projection(df: DataFrame, drop: list[str], key: str, shared: str) -> tuple[DataFrame, DataFrame]:
-    """The profile without some columns, and the rows (none, if all is well) where the shared column differs between the profiles."""
-    small = df.drop(*drop)
-    a, b = df.select(key, F.xxhash64(shared).alias("_a")), small.select(F.col(key).alias("_k"), F.xxhash64(shared).alias("_b"))
-    return small, a.join(b, F.col(key) == F.col("_k"), "full_outer").where(~F.col("_a").eqNullSafe(F.col("_b")))
+def profiles_differ(full: DataFrame, small: DataFrame, key: str, shared: str) -> DataFrame:
+    """Keys (unique in each) of two published profiles whose ``shared`` column differs, or that one of them lacks, as ``(key, what)``."""
+    # A sum of 256 bits for each text: values themselves needn't be shuffled.
+    print_ = lambda: F.coalesce(F.sha2(F.col(shared).cast("string").cast("binary"), 256), F.lit("null"))
+    a, b = full.select(F.col(key).alias("_ka"), print_().alias("_a")), small.select(F.col(key).alias("_kb"), print_().alias("_b"))
+    j = a.join(b, F.col("_ka") == F.col("_kb"), "full_outer").where(~F.col("_a").eqNullSafe(F.col("_b")))
+    what = F.when(F.col("_b").isNull(), "full only").when(F.col("_a").isNull(), "small only").otherwise("differs")
+    return j.select(F.coalesce("_ka", "_kb").alias(key), what.alias("what"))
+
+
+def profile_projection(df: DataFrame, drop: list[str], key: str, shared: str, root: str) -> tuple[DataFrame, DataFrame]:
+    """Publish ``df`` and its profile without some columns under ``root``; the small one as read again, and where the two differ."""
+    df.write.mode("overwrite").parquet(f"{root}/full")
+    df.drop(*drop).write.mode("overwrite").parquet(f"{root}/small")
+    full, small = (df.sparkSession.read.parquet(f"{root}/{n}") for n in ("full", "small"))
+    return small, profiles_differ(full, small, key, shared)
