@@ -1,6 +1,8 @@
+import hashlib
 from collections import Counter
 
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from marginalia.llm import sharding
@@ -38,3 +40,27 @@ def test_placement(spark, docs):
     table = sharding.lookup_table(["a", "b"], 101)
     assert all(table[r.at_slot] == r.at_shard for r in out.collect())
     assert sharding.shard(docs.limit(0), ["doc_id", "source"], ["a"], 7).collect() == []
+
+
+def test_turns_over_whole_permutations():
+    """The fill once more, from permutations written out in full."""
+    number = lambda name, salt: int.from_bytes(hashlib.blake2b(f"{salt}:{name}".encode(), digest_size=8).digest(), "big")
+    for names, slots, weights in ((["a", "b", "c"], 31, None), ([f"s{k}" for k in range(9)], 211, [1, 2, 3] * 3), (["x"], 2, None)):
+        wanted = [[(number(n, "offset") + i * (number(n, "skip") % (slots - 1) + 1)) % slots for i in range(slots)] for n in names]
+        assert all(sorted(p) == list(range(slots)) for p in wanted)
+        owner = {}
+        while len(owner) < slots:
+            for k, p in enumerate(wanted):
+                for _ in range((weights or [1] * len(names))[k]):
+                    slot = next((s for s in p if s not in owner), None)
+                    if slot is not None:
+                        owner[slot] = k
+        assert sharding.lookup_table(names, slots, weights) == [owner[s] for s in range(slots)]
+
+
+def test_slots_are_hashes_of_the_key_and_nulls_share_one(spark):
+    ids = [0, 1, -5, 2**40, 7, 7, None, None]
+    got = sharding.shard(spark.createDataFrame([(i,) for i in ids], "doc_id long"), ["doc_id"], ["a", "b", "c"], 101).collect()
+    slot = lambda i: (42 if i is None else int.from_bytes(xxhash.xxh64(i.to_bytes(8, "little", signed=True), seed=42).digest(), "big", signed=True)) % 101
+    table = sharding.lookup_table(["a", "b", "c"], 101)
+    assert sorted((repr(r.doc_id), r.slot, r.shard) for r in got) == sorted((repr(i), slot(i), table[slot(i)]) for i in ids)
