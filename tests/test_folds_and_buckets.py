@@ -7,6 +7,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from marginalia.functions import text as U
+from marginalia.operators import aggregates as A
 from marginalia.operators import align as G
 from marginalia.operators import joins as J
 from marginalia.sources import publish as P
@@ -149,3 +150,23 @@ def test_profiles_are_compared_as_published(spark, tmp_path):
     assert small.columns == ["k", "t"] and differing.collect() == []
     other = spark.createDataFrame([(1, "A"), (2, None), (4, "d")], "k long, t string")
     assert rows(P.profiles_differ(d, other, "k", "t")) == [(1, "differs"), (3, "full only"), (4, "small only")]
+
+
+def test_ridge_weights_solve_the_normal_equations(spark):
+    rng = random.Random(9)
+    data = [(i, f, float(rng.randrange(1, 4)), 2.0 * i % 7) for i in range(40) for f in rng.sample("abcde", 3)]
+    x, y = np.zeros((40, 5)), np.zeros(40)
+    for i, f, n, v in data:
+        x[i, "abcde".index(f)], y[i] = n, v
+    want = np.linalg.solve(x.T @ x + 0.5 * np.eye(5), x.T @ y)
+    got = A.ridge_fit(spark.createDataFrame(data, "i long, f string, n double, y double"), "i", "f", "n", "y").orderBy("f").collect()
+    assert [r.f for r in got] == list("abcde") and np.allclose([r.weight for r in got], want)
+    assert [r.samples for r in got] == [sum(d[1] == f for d in data) for f in "abcde"]
+
+
+def test_index_of_pages(spark):
+    data = [(p, n, w, f"{p}:{n}") for p, text in ((1, "a b a"), (2, "b"), (3, "c a")) for n, w in enumerate(text.split())]
+    parts = P.build_index(spark.createDataFrame(data, "page long, pos long, word string, key string"), "page", "word", "key", ["pos"])
+    assert rows(parts["pages"].select("page", "n", "first_key", "last_key")) == [(1, 3, "1:0", "1:2"), (2, 1, "2:0", "2:0"), (3, 2, "3:0", "3:1")]
+    assert {(r.word, r.page) for r in parts["index"].collect()} == {("a", 1), ("b", 1), ("c", 3)}
+    assert parts["manifest"].count() == 3
