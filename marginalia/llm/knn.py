@@ -31,30 +31,48 @@ def _usable(v: Column) -> Column:
     return v.isNotNull() & F.coalesce(F.forall(v, ok), F.lit(False))
 
 
-def quantised(df: DataFrame, key: str, vector: str, scale: int = SCALE) -> DataFrame:
-    """``id, dim, q``: components floor(scale * x) as longs.  Rows with a null id or an unusable vector are left out."""
+def quantised(df: DataFrame, key: str, vector: str, *more: str, scale: int = SCALE, null_ids: bool = False) -> DataFrame:
+    """``id, dim, q`` and ``more``: components floor(scale * x) as longs; one that doesn't fit in a long raises an error.
+
+    Rows with an unusable vector are left out, and those with a null id unless ``null_ids``.
+    """
     v = F.col(vector).cast("array<double>")
-    return df.where(F.col(key).isNotNull() & _usable(v)).select(
-        F.col(key).cast("long").alias("id"), F.size(v).alias("dim"), F.transform(v, lambda x: F.floor(x * scale).cast("long")).alias("q")
-    )
+    tall = F.raise_error(F.lit("a scaled component does not fit in a long")).cast("long")
+    whole = F.transform(v, lambda x: F.when(F.abs(x * scale) < 2.0**63, F.floor(x * scale).cast("long")).otherwise(tall))
+    known = _usable(v) if null_ids else F.col(key).isNotNull() & _usable(v)
+    return df.where(known).select(F.col(key).cast("long").alias("id"), F.size(v).alias("dim"), whole.alias("q"), *more)
 
 
-def _matrix(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
+def matrix(column: pa.ChunkedArray | pa.Array, dim: int) -> np.ndarray:
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), dim)
 
 
+def _most(a: np.ndarray, b: np.ndarray) -> int:
+    """No sum of products of a row of ``a`` and one of ``b`` is larger, either way."""
+    top = lambda x: max(abs(int(x.min())), abs(int(x.max())))
+    return top(a) * top(b) * a.shape[1]
+
+
 def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact integer inner products of rows; in doubles where every sum stays below 2**53."""
+    """Exact integer inner products of rows; in doubles where every sum stays below 2**53, in Python's integers where one might pass
+    2**63.  One that does pass it raises an error, as arithmetic does in ANSI mode."""
     if not a.size or not b.size:
         return np.zeros((len(a), len(b)), np.int64)
-    most = float(np.abs(a).max()) * float(np.abs(b).max()) * a.shape[1]
-    return (a.astype(float) @ b.astype(float).T).astype(np.int64) if most < 2**53 else a @ b.T
-
-
-def local_top(row_ids: np.ndarray, ids: np.ndarray, rows: np.ndarray, query_rows: np.ndarray, queries: np.ndarray, k: int):
-    """Indices (query, row) and scores of each query's k best rows, its own row left out, ties to the smaller id."""
-    order = np.lexsort((row_ids, ids))
+    most = _most(a, b)
+    if most < 1 << 53:
+        return (a.astype(float) @ b.astype(float).T).astype(np.int64)
+    if most < 1 << 63:
+        return a @ b.T
+    exact = a.astype(object) @ b.astype(object).T
+    if any(not -(1 << 63) <= v < 1 << 63 for v in exact.ravel()):
+        raise ArithmeticError("an inner product does not fit in a long")
+    return exact.astype(np.int64)
+
+
+def local_top(row_ids: np.ndarray, ids: pa.ChunkedArray, rows: np.ndarray, query_rows: np.ndarray, queries: np.ndarray, k: int):
+    """Indices (query, row) and scores of each query's k best rows, its own row left out, ties to the smaller id, rows without one last."""
+    order = np.lexsort((row_ids, ids.fill_null(0).to_numpy(), ids.is_null().to_numpy()))
     row_ids, rows, found = row_ids[order], rows[order], []
     least = np.iinfo(np.int64).min
     for at in range(0, len(queries), 256):
@@ -118,9 +136,11 @@ def dealt(cells: list[Cell], chunk: int, block: int) -> None:
 
 def needed(pivots: Pivots, cells: list[Cell], row_ids: np.ndarray, x: np.ndarray, k: int) -> np.ndarray:
     """(queries, cells): whether a cell may hold one of the query's ``k`` best rows."""
-    near, long = products(x, pivots.at).astype(float), np.sqrt((x.astype(float) ** 2).sum(1))
+    at, lengths = pivots.at.astype(float), np.sqrt((pivots.at.astype(float) ** 2).sum(1))
+    near, long = x.astype(float) @ at.T, np.sqrt((x.astype(float) ** 2).sum(1))
+    blur = 1e-15 * x.shape[1] * long[:, None] * lengths  # what rounding may add
     which, radius, number = (np.array([getattr(c, f) for c in cells]) for f in ("cell", "radius", "n"))
-    slack = 1e-9 * (np.abs(near[:, which]) + long[:, None] * radius) + 1e-6
+    slack = 1e-9 * (np.abs(near[:, which]) + long[:, None] * radius) + blur[:, which] + 1e-6
     high = near[:, which] + long[:, None] * radius + slack
     low = near[:, which] - long[:, None] * radius - slack
     # The k-th best row scores at least this: k + 1 rows, for one may be the query itself, in cells bounded from below ...
@@ -130,7 +150,7 @@ def needed(pivots: Pivots, cells: list[Cell], row_ids: np.ndarray, x: np.ndarray
     floor = np.where(enough.any(1), reached, -np.inf)
     # ... or k of the pivots, which are rows themselves.
     if len(pivots.at) > k:
-        scores = np.where(pivots.row_ids[None, :] == row_ids[:, None], -np.inf, near)
+        scores = np.where(pivots.row_ids[None, :] == row_ids[:, None], -np.inf, near - blur)
         floor = np.maximum(floor, np.partition(scores, -k, axis=1)[:, -k])
     return high >= floor[:, None]
 
@@ -139,8 +159,8 @@ def knn_join(data: DataFrame, queries: Column, k: int, pivots: int | None = None
     """``query_id, rank, id, score``: each query row's ``k`` best rows of ``data`` (``id, dim, q``) by inner product.
 
     ``queries`` marks the rows that are queries too.  A query meets every row of its dimension but itself; rows that repeat
-    it, or its id, are rows like others, and repeated query rows are answered one by one.  Ties go to the smaller id; fewer rows
-    than ``k`` give fewer answers.
+    it, or its id, are rows like others, and repeated query rows are answered one by one.  Ties go to the smaller id, rows without
+    one come last; fewer rows than ``k`` give fewer answers.  A product that passes a long raises an error.
     """
     spark = data.sparkSession
     data = data.select("id", "dim", "q", F.coalesce(queries, F.lit(False)).alias("_query"), F.monotonically_increasing_id().alias("row"))
@@ -163,7 +183,7 @@ def knn_join(data: DataFrame, queries: Column, k: int, pivots: int | None = None
             dims = batch.column(1).to_numpy()
             for d in np.unique(dims):
                 part = batch.filter(pa.array(dims == d))
-                cell, away = centre(d).assign(_matrix(part.column(2), d).astype(float))
+                cell, away = centre(d).assign(matrix(part.column(2), d).astype(float))
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(cell.astype(np.int32)), pa.array(away)], names=[*part.schema.names, "cell", "away"])
 
     assigned = "id long, dim int, q array<long>, _query boolean, row long, cell int, away double"
@@ -186,7 +206,7 @@ def knn_join(data: DataFrame, queries: Column, k: int, pivots: int | None = None
                 for at in range(0, len(whole), ROUTED):
                     part = whole.slice(at, ROUTED)
                     row_ids = part.column(3).to_numpy()
-                    need = needed(centre(d), mine, row_ids, _matrix(part.column(2), d), k)
+                    need = needed(centre(d), mine, row_ids, matrix(part.column(2), d), k)
                     query, place = np.nonzero(np.logical_or.reduceat(need, starts, axis=1))
                     own = [home[c] for c in part.column(4).to_pylist()]
                     blocks = np.array([c.block + int(r) % c.blocks for c, r in zip(own, row_ids)], np.int32)
@@ -208,7 +228,7 @@ def knn_join(data: DataFrame, queries: Column, k: int, pivots: int | None = None
     come = asked.join(several, "group").select("dim", "group", chunks.alias("chunk"), "block", "id", "row", "q")
     place = ["dim", "group", "chunk", "block"]
     solved = come.groupBy(*place).cogroup(sent.groupBy(*place)).applyInArrow(_solver(k), "query_id long, query_row long, id long, row long, score long")
-    best = Window.partitionBy("query_row").orderBy(F.col("score").desc(), "id", "row")
+    best = Window.partitionBy("query_row").orderBy(F.col("score").desc(), F.col("id").asc_nulls_last(), "row")
     return solved.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
 
 
@@ -218,8 +238,8 @@ def _solver(k: int):
             q, r, s = (np.zeros(0, np.int64),) * 3
         else:
             dim = queries.column("dim")[0].as_py()
-            ids, row_ids, query_rows = rows.column("id").to_numpy(), rows.column("row").to_numpy(), queries.column("row").to_numpy()
-            q, r, s = local_top(row_ids, ids, _matrix(rows.column("q"), dim), query_rows, _matrix(queries.column("q"), dim), k)
+            ids, row_ids, query_rows = rows.column("id"), rows.column("row").to_numpy(), queries.column("row").to_numpy()
+            q, r, s = local_top(row_ids, ids, matrix(rows.column("q"), dim), query_rows, matrix(queries.column("q"), dim), k)
         asked, found = queries.take(pa.array(q)), rows.take(pa.array(r))
         columns = [asked.column("id"), asked.column("row"), found.column("id"), found.column("row"), pa.array(s, pa.int64())]
         return pa.table(columns, names=["query_id", "query_row", "id", "row", "score"])
@@ -229,18 +249,18 @@ def _solver(k: int):
 
 def op9_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 5 best rows of every 50th vector by integer inner product: ``query_id, rank, vec_id, score``."""
-    data = quantised(table(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    data = quantised(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", null_ids=True)
     return knn_join(data, F.col("id") % 50 == 0, 5).withColumnRenamed("id", "vec_id")
 
 
 OP9_SQL = """
 WITH v AS (
   SELECT vec_id, row_number() OVER () AS r, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS q FROM embeddings
-  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len([1 for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+  WHERE embedding IS NOT NULL AND len([1 for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
 s AS (
   SELECT a.vec_id AS query_id, a.r, b.vec_id, b.r AS other,
          CAST(list_sum([a.q[i] * b.q[i] for i in range(1, len(a.q) + 1)]) AS BIGINT) AS score
   FROM v a JOIN v b ON a.r <> b.r AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
-FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id, other) AS rank FROM s) WHERE rank <= 5
+FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST, other) AS rank FROM s) WHERE rank <= 5
 """

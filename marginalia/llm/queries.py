@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from .exactdedup import OP13_SQL, op13_exact_dedup
+from .hardneg import OP12_SQL, op12_hard_negatives
 from .knn import OP9_SQL, op9_topk
 from .langid import op6_langid
 from .linededup import OP4_SQL, op4_line_dedup
@@ -25,7 +26,8 @@ QUERIES = {
     "op8_matroska": op8_matroska,
     "op9_topk": op9_topk,
     "op10_packing": op10_packing,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_exact_dedup": op13_exact_dedup,
 }
 
-ORACLE_SQL = {"op2_mixing": OP2_SQL, "op4_line_dedup": OP4_SQL, "op9_topk": OP9_SQL, "op13_exact_dedup": OP13_SQL}
+ORACLE_SQL = {"op2_mixing": OP2_SQL, "op4_line_dedup": OP4_SQL, "op9_topk": OP9_SQL, "op12_hard_negatives": OP12_SQL, "op13_exact_dedup": OP13_SQL}

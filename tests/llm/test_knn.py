@@ -62,3 +62,20 @@ def test_pivots_in_two_levels_bound_their_cells():
 def test_large_numbers_stay_exact():
     a = np.array([[2**30 + 1, 3]], np.int64)
     assert knn.products(a, a)[0, 0] == (2**30 + 1) ** 2 + 9
+
+
+def test_products_past_a_long_raise_and_never_wrap(spark):
+    big = 3 * 10**9
+    assert knn.products(np.array([[big, -big]], np.int64), np.array([[big, big]], np.int64))[0, 0] == 0
+    with pytest.raises(ArithmeticError):
+        knn.products(np.array([[big, big]], np.int64), np.array([[big, big]], np.int64))
+    for x in (1e10, 1e300):
+        df = spark.createDataFrame([(0, [x] * 8), (1, [x] * 8)], "vec_id long, embedding array<double>")
+        with pytest.raises(Exception, match="does not fit in a long"):
+            knn.knn_join(knn.quantised(df, "vec_id", "embedding"), F.col("id") % 50 == 0, 5).collect()
+
+
+def test_a_row_without_an_id_is_a_candidate(spark):
+    df = spark.createDataFrame([(0, [1.0]), (None, [1.0]), (7, [1.0])], "vec_id long, embedding array<double>")
+    got = knn.knn_join(knn.quantised(df, "vec_id", "embedding", null_ids=True), F.col("id") % 50 == 0, 5)
+    assert [tuple(r) for r in got.orderBy("rank").collect()] == [(0, 1, 7, 65536), (0, 2, None, 65536)]
