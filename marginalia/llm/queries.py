@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .conversation import op11_conversation_repair
 from .exactdedup import OP13_SQL, op13_exact_dedup
 from .hardneg import OP12_SQL, op12_hard_negatives
 from .knn import OP9_SQL, op9_topk
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_matroska": op8_matroska,
     "op9_topk": op9_topk,
     "op10_packing": op10_packing,
+    "op11_conversation_repair": op11_conversation_repair,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_exact_dedup": op13_exact_dedup,
 }
