@@ -27,11 +27,11 @@ from pyspark.sql import functions as F
 
 from .common import fold, stored, table
 
-ORDER = 2
+ORDER = 3
 PRIOR = 50.0
 ADD = 0.1  # of the base model
 #: Bytes of text of a chunk, and bytes of text that one range of the hash space answers for.
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 4 << 20
 RANGE_BYTES = 12 << 20
 #: Bytes of text hashed at once.
 SLICE = 1 << 19
@@ -303,5 +303,5 @@ def score_corpus(docs: DataFrame, train: Column, key: str = "doc_id", text: str
 
 
 def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document under a bigram model of those whose crc32(doc_id) mod 10 isn't 0."""
+    """Every document under a trigram model of those whose crc32(doc_id) mod 10 isn't 0."""
     return score_corpus(table(spark, sf_dir, "documents"), fold(F.col("doc_id"), 10) != 0)
