@@ -106,24 +106,47 @@ def ramp(v: Column, a: float, b: float, pa: float, pb: float) -> Column:
     return pa + (pb - pa) * F.least(F.greatest(t, F.lit(0.0)), F.lit(1.0))
 
 
-def p_size(ratio: Column, proof: float = 3.0) -> tuple[Column, Column]:
-    """(probability, proof) of an odd size: proof beyond ``proof`` times either way."""
-    off = F.greatest(ratio, 1.0 / ratio)
-    return ramp(off, 1.5, proof, 0.0, 0.6), off > proof
+#: Soft probabilities of evidence that isn't a curve (fixed values).
+WEIGHTS = {"dots": 0.80, "family": 0.55, "surplus": 0.35, "ref-line": 0.60}
+LABELS = {"none": 0.15, "auto": 0.03, "human": 0.0}
 
 
-def p_stray(distance: Column, proof: float = 40.0) -> tuple[Column, Column]:
-    return ramp(distance, 10.0, proof, 0.0, 0.7), distance > proof
+def _curve(proof: Column, soft: Column) -> tuple[Column, Column]:
+    sure = F.coalesce(proof, F.lit(False))
+    return F.when(sure, 1.0).otherwise(F.coalesce(soft, F.lit(0.0))), sure
 
 
-def p_band(outside: Column, proof: float = 15.0) -> tuple[Column, Column]:
-    return ramp(outside, 2.0, proof, 0.0, 0.7), outside > proof
+def p_size(ratio: Column, proof_ok: Column | bool = True) -> tuple[Column, Column]:
+    """(probability, proof) of a size over its median: soft beyond 2 times either way, from 3 times on a proof, or 0.6 where a proof isn't
+    allowed.  Without a ratio, or at 0, nothing."""
+    off, ok = F.greatest(ratio, 1.0 / F.nullif(ratio, F.lit(0.0))), F.lit(proof_ok) if isinstance(proof_ok, bool) else F.coalesce(proof_ok, F.lit(False))
+    odd = (ratio != 0) & ((ratio >= 3.0) | (ratio <= 1 / 3))
+    return _curve(odd & ok, F.when(odd, 0.60).when(off > 2.0, ramp(off, 2.0, 3.0, 0.15, 0.60)))
 
 
-def p_width(ratio: Column, off: Column, low: float = 0.7, high: float = 1.45, least: float = 4.0) -> Column:
-    """Soft evidence only, for a ratio outside [low, high] that is off by ``least`` at least."""
-    far = F.greatest(F.lit(low) / ratio, ratio / high)
-    return F.when((off >= least) & (far > 1), ramp(far, 1.0, 2.0, 0.15, 0.45)).otherwise(F.lit(0.0))
+def p_stray(gap: Column) -> tuple[Column, Column]:
+    """(probability, proof) of a distance from one's own: soft beyond 2, from 40 on a proof."""
+    return _curve(gap >= 40.0, F.when(gap > 2.0, ramp(gap, 2.0, 40.0, 0.05, 0.65)))
+
+
+def p_band(outside: Column) -> tuple[Column, Column]:
+    """(probability, proof) of a distance from one's band: 0.05 beyond 5, rising beyond 10, from 15 on a proof."""
+    return _curve(outside >= 15.0, F.when(outside > 10.0, ramp(outside, 10.0, 15.0, 0.35, 0.70)).when(outside > 5.0, 0.05))
+
+
+def p_label(status: Column) -> Column:
+    """Of a label by its origin: none, auto or human; others and nulls nothing."""
+    p = F.lit(0.0)
+    for name, value in LABELS.items():
+        p = F.when(status == name, value).otherwise(p)
+    return p
+
+
+def p_width(ratio: Column, off: Column) -> Column:
+    """Soft evidence only: a ratio outside [0.70, 1.45] that is off by 4 at least; rising to 2 times either way, 0.85 from there on."""
+    far = F.greatest(ratio, 1.0 / F.greatest(ratio, F.lit(1e-6)))
+    odd = (off >= 4.0) & ((ratio < 0.70) | (ratio > 1.45))
+    return F.when(odd & (far >= 2.0), 0.85).when(odd, ramp(far, 1.45, 2.0, 0.20, 0.60)).otherwise(F.lit(0.0))
 
 
 def shape_signature(points: Column) -> Column:

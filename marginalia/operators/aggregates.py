@@ -90,6 +90,15 @@ def median_hi(df: DataFrame, group: str | list[str], value: str, min_n: int = 1)
     return index_pick(df, group, value, lambda n: F.floor(n / 2)).where(F.col("n") >= min_n).withColumnRenamed(value, "median")
 
 
+def preferred_median(df: DataFrame, value: str, signature: str, family: str, min_n: int = 10) -> DataFrame:
+    """``df`` with the upper ``median`` of its row's signature where that has ``min_n`` values at least, else of its family;
+    ``by_signature`` says which.  Rows without either keep a null."""
+    sig = median_hi(df.where(F.col(signature).isNotNull()), signature, value, min_n).select(F.col(signature).alias("_s"), F.col("median").alias("_ms"))
+    fam = median_hi(df.where(F.col(family).isNotNull()), family, value).select(F.col(family).alias("_f"), F.col("median").alias("_mf"))
+    j = df.join(sig, F.col(signature) == F.col("_s"), "left").join(fam, F.col(family) == F.col("_f"), "left")
+    return j.select(*df.columns, F.coalesce("_ms", "_mf").alias("median"), F.col("_ms").isNotNull().alias("by_signature"))
+
+
 def ratio_outlier(df: DataFrame, group: str, value: str, lo: float, hi: float, min_off: float = 0.0, min_n: int = 1) -> DataFrame:
     """Rows whose value over their group's upper median lies outside [lo, hi] and is off by ``min_off`` at least."""
     m = median_hi(df, group, value, min_n).select(F.col(group).alias("_g"), "median")
@@ -131,21 +140,46 @@ def noisy_or(df: DataFrame, key: str | list[str], p: Column, proof: Column | Non
     return df.groupBy(*cols(key)).agg(F.when(sure, 1.0).otherwise(F.coalesce(soft, F.lit(0.0))).alias("p"))
 
 
-def tier(p: Column) -> Column:
-    return F.when(p >= 1.0, "certain").when(p >= 0.5, "high").when(p >= 0.2, "review").otherwise("clean")
+def tier(p: Column, proven: Column) -> Column:
+    """certain (proven), high from 0.5 on, review from 0.2 on, else clean; ``p`` to nine places."""
+    p = F.round(p, 9)
+    return F.when(proven, "certain").when(p >= 0.5, "high").when(p >= 0.2, "review").otherwise("clean")
 
 
-def score_entity(evidence: DataFrame, key: str, name: str = "name", p: str = "p", proof: str = "proof", width: str = "width", width_cap: float = 0.45) -> DataFrame:
-    """Evidence rows -> ``(key, p, tier, proofs, evidence)``.  With evidence of width alone, p stops at ``width_cap``."""
+def combined_evidence(evidence: DataFrame, keys: list[str], name: str = "name", p: str = "p", proof: str = "proof") -> DataFrame:
+    """Evidence rows by ``keys``: ``proven``, ``soft`` (noisy or), ``names``, ``proofs`` and ``evidence`` of what fired."""
     clamped = F.least(F.greatest(F.col(p), F.lit(0.0)), F.lit(0.999999))
-    fired = (F.col(p) > 0) | F.col(proof)
-    g = evidence.groupBy(key).agg(
-        F.bool_or(proof).alias("_sure"), (1 - F.exp(F.sum(F.log1p(-clamped)))).alias("_soft"), F.coalesce(F.bool_and(F.when(fired, F.col(name) == width)), F.lit(False)).alias("_only"),
-        F.array_sort(F.collect_set(F.when(F.col(proof), F.col(name)))).alias("proofs"),
+    sure = F.coalesce(F.col(proof), F.lit(False))
+    fired = F.coalesce(F.col(p) > 0, F.lit(False)) | sure
+    return evidence.groupBy(*keys).agg(
+        F.bool_or(sure).alias("proven"), (1 - F.exp(F.sum(F.coalesce(F.log1p(-clamped), F.lit(0.0))))).alias("soft"),
+        F.collect_set(F.when(fired & ~sure, F.col(name))).alias("names"), F.array_sort(F.collect_set(F.when(sure, F.col(name)))).alias("proofs"),
         F.array_sort(F.collect_list(F.when(fired, F.struct(F.col(name).alias("name"), F.round(p, 3).alias("p"))))).alias("evidence"),
     )
-    value = F.when(F.col("_sure"), 1.0).when(F.col("_only"), F.least(F.col("_soft"), F.lit(width_cap))).otherwise(F.col("_soft"))
-    return g.withColumn("p", value).select(key, "p", tier(F.col("p")).alias("tier"), "proofs", "evidence")
+
+
+def score_entity(
+    evidence: DataFrame, key: str, name: str = "name", p: str = "p", proof: str = "proof", child: str | None = None,
+    fold_min: float = 0.15, width: str = "width", width_cap: float = 0.45,
+) -> DataFrame:
+    """Evidence rows -> ``(key, p, tier, proofs, evidence)``.
+
+    Rows with a ``child`` are evidence of a part of the entity: a part's combined p counts as one piece of evidence, named ``mark``, if it is
+    ``fold_min`` at least, and as a proof if it is proven; so many weak parts don't add up.  Any proof makes p 1 and the tier
+    certain.  With soft evidence of ``width`` alone, p stops at ``width_cap``.
+    """
+    used = evidence.select(key, *([child] if child else []), F.col(name).alias("name"), F.col(p).alias("p"), F.col(proof).alias("proof"))
+    if child:
+        parts = combined_evidence(used.where(F.col(child).isNotNull()), [key, child])
+        whole = F.round(F.when(F.col("proven"), 1.0).otherwise(F.col("soft")), 9)
+        folded = parts.select(key, F.lit("mark").alias("name"), whole.alias("p"), F.col("proven").alias("proof")).where((F.col("p") >= fold_min) | F.col("proof"))
+        # An entity whose parts are all clean still has a row.
+        clean = parts.select(key).distinct().select(key, F.lit("none").alias("name"), F.lit(0.0).alias("p"), F.lit(False).alias("proof"))
+        used = used.where(F.col(child).isNull()).drop(child).unionByName(folded).unionByName(clean)
+    g = combined_evidence(used, [key])
+    only = (F.size("names") > 0) & (F.size(F.array_remove("names", width)) == 0)
+    value = F.when(F.col("proven"), 1.0).when(only, F.least(F.col("soft"), F.lit(width_cap))).otherwise(F.col("soft"))
+    return g.withColumn("p", value).select(key, "p", tier(F.col("p"), F.col("proven")).alias("tier"), "proofs", "evidence")
 
 
 def box_union(df: DataFrame, group: str, kind: Column | None = None) -> DataFrame:

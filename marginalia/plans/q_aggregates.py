@@ -68,6 +68,12 @@ def a7_median_hi(t: Tables):
     return A.median_hi(t.lineitem, "l_partkey", "l_extendedprice", 10)
 
 
+@query(f"""WITH s AS (SELECT l_partkey AS g, {HI.format('l_extendedprice')} AS m FROM lineitem GROUP BY 1 HAVING count(*) >= 10), f AS (SELECT l_returnflag AS g, {HI.format('l_extendedprice')} AS m FROM lineitem GROUP BY 1)
+SELECT l_orderkey, rid, coalesce(s.m, f.m) AS median, s.m IS NOT NULL AS by_signature FROM li LEFT JOIN s ON s.g = l_partkey LEFT JOIN f ON f.g = l_returnflag""", "li")
+def a7_preferred_median(t: Tables):
+    return A.preferred_median(t.li, "l_extendedprice", "l_partkey", "l_returnflag").select("l_orderkey", "rid", "median", "by_signature")
+
+
 @query(f"""WITH m AS (SELECT l_partkey AS g, {HI.format('l_extendedprice')} AS median FROM lineitem GROUP BY 1)
 SELECT l_orderkey, l_partkey, round(l_extendedprice, 6) AS l_extendedprice, round(median, 6) AS median, round(l_extendedprice / median, 6) AS ratio FROM lineitem JOIN m ON g = l_partkey
 WHERE median <> 0 AND (l_extendedprice / median < 0.7 OR l_extendedprice / median > 1.45) AND abs(l_extendedprice - median) >= 4""")
@@ -103,28 +109,60 @@ def a12_noisy_or(t: Tables):
 
 
 def _evidence(t: Tables):
-    """Signals of an order line's order: price against the part's upper median, width (quantity) against its share, discount."""
-    m = A.median_hi(t.lineitem, "l_partkey", "l_extendedprice").select(F.col("l_partkey").alias("_p"), "median")
-    d = t.lineitem.join(m, F.col("l_partkey") == F.col("_p")).withColumn("ratio", F.col("l_extendedprice") / F.col("median"))
-    size, proof = U.p_size(F.col("ratio"), 30.0)
-    sig = F.array(
-        F.struct(F.lit("size").alias("name"), F.round(size, 9).alias("p"), proof.alias("proof")),
-        F.struct(F.lit("width").alias("name"), F.round(U.p_width(F.col("l_quantity") / 25, F.abs(F.col("l_quantity") - 25)), 9).alias("p"), F.lit(False).alias("proof")),
+    """Orders as words and their lines as marks: size of a line against its part's or flag's median, distance, band, label, surplus of a
+    flag; dots (open lines of a finished order), flag budgets, width (quantity a line) and a second total as evidence of the order."""
+    marks = A.preferred_median(t.li.withColumn("area", F.col("l_extendedprice") + 20000), "area", "l_partkey", "l_returnflag")
+    flags = t.li.groupBy(F.col("l_orderkey").alias("_k"), F.col("l_returnflag").alias("_g")).agg(F.count(F.lit(1)).alias("_n"))
+    m = marks.join(flags, (F.col("l_orderkey") == F.col("_k")) & (F.col("l_returnflag") == F.col("_g")))
+    none, sure = F.lit(0.0), F.lit(False)
+    part = lambda name, p, proof=sure: F.struct(F.lit(name).alias("name"), F.round(p, 9).alias("p"), proof.alias("proof"))
+    label = F.when(F.col("l_linenumber") == 7, "none").when(F.col("l_linenumber") >= 5, "auto").otherwise("human")
+    of_marks = F.array(
+        part("size", *U.p_size(F.col("area") / F.col("median"), F.col("by_signature") & (F.col("l_returnflag") != "N"))),
+        part("stray", *U.p_stray(F.greatest(F.col("l_quantity") - 42, F.lit(0.0)) * 6)), part("band", *U.p_band(F.col("l_tax") * 150)),
+        part("label", U.p_label(label)), part("surplus", F.when(F.col("_n") > 2, U.WEIGHTS["surplus"]).otherwise(none)),
+    )
+    of_marks = m.select(F.col("l_orderkey").alias("key"), F.col("rid").alias("child"), F.explode(of_marks).alias("s")).select("key", "child", "s.*")
+    words = t.li.groupBy("l_orderkey").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("l_linestatus") == "O").alias("open"), F.sum("l_quantity").alias("q"), F.round(F.sum("l_extendedprice"), 2).alias("total")
     )
-    return d.select(F.col("l_orderkey").alias("key"), F.explode(sig).alias("s")).select("key", "s.*")
-
-
-EVIDENCE = f"""m AS (SELECT l_partkey AS g, {HI.format('l_extendedprice')} AS median FROM lineitem GROUP BY 1),
-d AS (SELECT l_orderkey AS key, l_quantity AS q, greatest(l_extendedprice / median, median / l_extendedprice) AS off, greatest(0.7 / (l_quantity / 25), l_quantity / 25 / 1.45) AS far FROM lineitem JOIN m ON g = l_partkey),
-ev AS (SELECT key, 'size' AS name, round(0.6 * least(greatest((off - 1.5) / 28.5, 0), 1), 9) AS p, off > 30 AS proof FROM d
-  UNION ALL SELECT key, 'width', round(CASE WHEN abs(q - 25) >= 4 AND far > 1 THEN 0.15 + 0.3 * least(greatest(far - 1, 0), 1) ELSE 0 END, 9), false FROM d),
-scored AS (SELECT key, CASE WHEN bool_or(proof) THEN 1.0 WHEN coalesce(bool_and(name = 'width') FILTER (p > 0 OR proof), false) THEN least(1 - exp(sum(ln(1 - least(p, 0.999999)))), 0.45) ELSE 1 - exp(sum(ln(1 - least(p, 0.999999)))) END AS p,
-  count(*) FILTER (p > 0 OR proof) AS signals FROM ev GROUP BY 1)"""
-
-
-@query(f"WITH {EVIDENCE} SELECT key, round(p, 6) AS p, CASE WHEN p >= 1 THEN 'certain' WHEN p >= 0.5 THEN 'high' WHEN p >= 0.2 THEN 'review' ELSE 'clean' END AS tier, signals FROM scored")
+    w = words.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    over = flags.where("_n > 2").select(F.col("_k").alias("key"), F.lit("family").alias("name"), F.lit(U.WEIGHTS["family"]).alias("p"), sure.alias("proof"))
+    flag = lambda name, c: part(name, F.when(c, U.WEIGHTS[name]).otherwise(none))
+    of_words = F.array(
+        flag("dots", (F.col("o_orderstatus") == "F") & (F.col("open") > 2)), flag("ref-line", F.col("total") > F.col("o_totalprice") * 6),
+        part("width", U.p_width(F.col("q") / (25 * F.col("n")), F.abs(F.col("q") - 25 * F.col("n")))),
+    )
+    of_words = w.select(F.col("l_orderkey").alias("key"), F.explode(of_words).alias("s")).select("key", "s.*").unionByName(over)
+    return of_marks.unionByName(of_words.withColumn("child", F.lit(None).cast("long")))
+
+
+#: The same from the published numbers, in SQL of its own.
+EVIDENCE = f"""li2 AS (SELECT *, l_extendedprice + 20000 AS area FROM li),
+ms AS (SELECT l_partkey AS g, {HI.format('area')} AS m FROM li2 GROUP BY 1 HAVING count(*) >= 10), mf AS (SELECT l_returnflag AS g, {HI.format('area')} AS m FROM li2 GROUP BY 1),
+fl AS (SELECT l_orderkey AS k, l_returnflag AS g, count(*) AS n FROM li GROUP BY 1, 2),
+mk AS (SELECT l_orderkey AS key, rid, area / coalesce(ms.m, mf.m) AS r, ms.m IS NOT NULL AND l_returnflag <> 'N' AS ok, greatest(l_quantity - 42, 0) * 6 AS gap, l_tax * 150 AS d, l_linenumber AS no, fl.n AS same
+  FROM li2 LEFT JOIN ms ON ms.g = l_partkey LEFT JOIN mf ON mf.g = l_returnflag JOIN fl ON fl.k = l_orderkey AND fl.g = l_returnflag),
+mp AS (SELECT key, rid, ok AND (r >= 3 OR r <= 1 / 3.0::DOUBLE) OR gap >= 40 OR d >= 15 AS proof,
+  [CASE WHEN r >= 3 OR r <= 1 / 3.0::DOUBLE THEN 0.6 WHEN r > 2 THEN 0.15 + 0.45 * (r - 2) WHEN r < 0.5 THEN 0.15 + 0.45 * (1 / r - 2) ELSE 0 END,
+   CASE WHEN gap > 2 AND gap < 40 THEN 0.05 + 0.6 * (gap - 2) / 38 ELSE 0 END,
+   CASE WHEN d > 10 AND d < 15 THEN 0.35 + 0.35 * (d - 10) / 5 WHEN d > 5 AND d <= 10 THEN 0.05 ELSE 0 END,
+   CASE WHEN no = 7 THEN 0.15 WHEN no >= 5 THEN 0.03 ELSE 0 END, CASE WHEN same > 2 THEN 0.35 ELSE 0 END] AS ps FROM mk),
+mq AS (SELECT key, rid, proof, CASE WHEN proof THEN 1.0 ELSE round(1 - exp(list_sum([ln(1 - round(x, 9)) for x in ps])), 9) END AS p FROM mp),
+wd AS (SELECT l_orderkey AS key, count(*) AS n, count(*) FILTER (l_linestatus = 'O') AS op, sum(l_quantity) AS q, round(sum(l_extendedprice), 2) AS total FROM li GROUP BY 1),
+wr AS (SELECT wd.*, o_orderstatus AS st, o_totalprice AS tp, q / (25 * n) AS r, abs(q - 25 * n) AS off FROM wd JOIN orders ON o_orderkey = key),
+wp AS (SELECT key, 'dots' AS name, CASE WHEN st = 'F' AND op > 2 THEN 0.8 ELSE 0 END AS p FROM wr UNION ALL SELECT key, 'ref', CASE WHEN total > tp * 6 THEN 0.6 ELSE 0 END FROM wr
+  UNION ALL SELECT k, 'family', 0.55 FROM fl WHERE n > 2
+  UNION ALL SELECT key, 'width', round(CASE WHEN off < 4 OR r BETWEEN 0.70 AND 1.45 THEN 0 WHEN greatest(r, 1 / r) >= 2 THEN 0.85 ELSE 0.20 + 0.40 * (greatest(greatest(r, 1 / r), 1.45) - 1.45) / 0.55 END, 9) FROM wr),
+ev AS (SELECT key, name, p, false AS proof FROM wp UNION ALL SELECT key, 'mark', CASE WHEN p >= 0.15 OR proof THEN p ELSE 0 END, proof FROM mq),
+sc AS (SELECT key, bool_or(proof) AS sure, 1 - exp(sum(ln(1 - least(p, 0.999999)))) AS soft, bool_and(name = 'width') FILTER (p > 0) AS alone, count(*) FILTER (p > 0) AS signals FROM ev GROUP BY 1),
+scored AS (SELECT key, sure, CASE WHEN sure THEN 1.0 WHEN coalesce(alone, false) THEN least(soft, 0.45) ELSE soft END AS p, signals FROM sc)"""
+TIER = "CASE WHEN sure THEN 'certain' WHEN round(p, 9) >= 0.5 THEN 'high' WHEN round(p, 9) >= 0.2 THEN 'review' ELSE 'clean' END AS tier"
+
+
+@query(f"WITH {EVIDENCE} SELECT key, round(p + 1e-9, 4) AS p, {TIER}, signals FROM scored", "li")
 def a13_score_entity(t: Tables):
-    return A.score_entity(_evidence(t), "key").select("key", "p", "tier", F.size("evidence").alias("signals"))
+    return A.score_entity(_evidence(t), "key", child="child").select("key", F.round(F.col("p") + 1e-9, 4).alias("p"), "tier", F.size("evidence").alias("signals"))
 
 
 @query("SELECT grp, min(x0) AS x0, max(x1) AS x1, min(y0) AS y0, max(y1) AS y1, min(x0) FILTER (fam='A') AS kind_x0, max(x1) FILTER (fam='A') AS kind_x1, min(y0) FILTER (fam='A') AS kind_y0, max(y1) FILTER (fam='A') AS kind_y1 FROM ivl GROUP BY 1", "ivl")
@@ -235,8 +273,8 @@ def a28_ridge_fit(t: Tables):
     return A.ridge_fit(letters.select("doc_id", "x.ch", "x.n", "y").where("n > 0"), "doc_id", "ch", "n", "y")
 
 
-@query(f"WITH {EVIDENCE} SELECT key, round(p, 6) AS p, CASE WHEN p >= 1 THEN 'certain' WHEN p >= 0.5 THEN 'high' WHEN p >= 0.2 THEN 'review' ELSE 'clean' END AS tier FROM scored ORDER BY round(p, 6) DESC, key LIMIT 200")
+@query(f"WITH {EVIDENCE} SELECT key, round(p + 1e-9, 4) AS p, {TIER} FROM scored ORDER BY sure DESC, round(p + 1e-9, 4) DESC, key LIMIT 200", "li")
 def confidence_board(t: Tables):
-    """The flagship: evidence per order, combined, tiered, worst first."""
-    s = A.score_entity(_evidence(t), "key").select("key", F.round("p", 6).alias("p"), "tier")
-    return s.orderBy(F.col("p").desc(), "key").limit(200)
+    """The flagship: evidence per order and line, combined, tiered, worst first."""
+    s = A.score_entity(_evidence(t), "key", child="child").select("key", F.round(F.col("p") + 1e-9, 4).alias("p"), "tier")
+    return s.orderBy((F.col("tier") == "certain").desc(), F.col("p").desc(), "key").limit(200)

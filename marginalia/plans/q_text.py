@@ -54,12 +54,18 @@ def u7_fold_to_convention(t: Tables):
     return t.tok.select((a == b).alias("same"), (U.fold_to_convention(a, seq) == U.fold_to_convention(b, seq)).alias("same_folded")).groupBy("same", "same_folded").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("""SELECT l_orderkey, rid, round(0.6 * least(greatest((greatest(r, 1 / r) - 1.5) / 1.5, 0), 1), 6) AS size, greatest(r, 1 / r) > 3 AS size_proof, round(0.7 * least(greatest((l_quantity - 10) / 30, 0), 1), 6) AS stray, l_quantity > 40 AS stray_proof,
-round(0.7 * least(greatest((l_tax * 200 - 2) / 13, 0), 1), 6) AS band, l_tax * 200 > 15 AS band_proof, round(CASE WHEN abs(l_quantity - 25) >= 4 AND greatest(0.7 / r, r / 1.45) > 1 THEN 0.15 + 0.3 * least(greatest(greatest(0.7 / r, r / 1.45) - 1, 0), 1) ELSE 0 END, 6) AS width FROM (SELECT *, l_quantity / 25 AS r FROM li)""", "li")
+@query("""SELECT l_orderkey, rid, round(CASE WHEN r >= 3 OR r <= 1 / 3.0::DOUBLE THEN CASE WHEN l_returnflag = 'N' THEN 0.6 ELSE 1 END WHEN r > 2 THEN 0.15 + 0.45 * (r - 2) WHEN r < 0.5 THEN 0.15 + 0.45 * (1 / r - 2) ELSE 0 END, 6) AS size,
+l_returnflag <> 'N' AND (r >= 3 OR r <= 1 / 3.0::DOUBLE) AS size_proof, round(CASE WHEN q >= 40 THEN 1 WHEN q <= 2 THEN 0 ELSE 0.05 + 0.60 * (q - 2) / 38 END, 6) AS stray, q >= 40 AS stray_proof,
+round(CASE WHEN b >= 15 THEN 1 WHEN b <= 5 THEN 0 WHEN b <= 10 THEN 0.05 ELSE 0.35 + 0.35 * (b - 10) / 5 END, 6) AS band, b >= 15 AS band_proof, CASE l_linenumber % 4 WHEN 0 THEN 0.15 WHEN 1 THEN 0.03 ELSE 0 END + 0.0::DOUBLE AS label,
+round(CASE WHEN off < 4 OR r BETWEEN 0.70 AND 1.45 THEN 0 WHEN greatest(r, 1 / r) >= 2 THEN 0.85 ELSE 0.20 + 0.40 * (greatest(greatest(r, 1 / r), 1.45) - 1.45) / 0.55 END, 6) AS width
+FROM (SELECT *, l_quantity AS q, l_quantity / 20 AS r, abs(l_quantity - 20) AS off, l_linenumber * 2.5 AS b FROM li)""", "li")
 def u8_ramps(t: Tables):
-    r = F.col("l_quantity") / 25
-    (s, sp), (y, yp), (b, bp) = U.p_size(r), U.p_stray(F.col("l_quantity")), U.p_band(F.col("l_tax") * 200)
-    return t.li.select("l_orderkey", "rid", s.alias("size"), sp.alias("size_proof"), y.alias("stray"), yp.alias("stray_proof"), b.alias("band"), bp.alias("band_proof"), U.p_width(r, F.abs(F.col("l_quantity") - 25)).alias("width"))
+    r, status = F.col("l_quantity") / 20, F.element_at(F.array(F.lit("none"), F.lit("auto"), F.lit("human"), F.lit(None)), (F.col("l_linenumber") % 4 + 1).cast("int"))
+    (s, sp), (y, yp), (b, bp) = U.p_size(r, F.col("l_returnflag") != "N"), U.p_stray(F.col("l_quantity")), U.p_band(F.col("l_linenumber") * 2.5)
+    return t.li.select(
+        "l_orderkey", "rid", s.alias("size"), sp.alias("size_proof"), y.alias("stray"), yp.alias("stray_proof"), b.alias("band"), bp.alias("band_proof"),
+        U.p_label(status).alias("label"), U.p_width(r, F.abs(F.col("l_quantity") - 20)).alias("width"),
+    )
 
 
 @query("SELECT pieces, count(*) AS n FROM (SELECT len(regexp_extract_all(token, '[^aeiou]*[aeiou]|[^aeiou]+')) AS pieces FROM tok) GROUP BY 1", "tok")
