@@ -102,12 +102,104 @@ def partition_to_capacity(
                 out[back[k, j] : j] = k
                 j = back[k, j]
             out[:j] = 0
-        return pd.DataFrame({group: g[group], order: g[order], "bin": out, "cost": least})
+        return pd.DataFrame({group: plain(g[group]), order: plain(g[order]), "bin": out, "cost": least})
 
     used = items.select(group, order, length, *([anchor] if anchor else []))
     return used.groupBy(group).applyInPandas(solve, f"{group} {kind}, {order} {okind}, bin long, cost double")
 
 
+def plain(values) -> pd.Series:
+    """As objects, so that nulls keep whole numbers whole."""
+    return pd.Series(list(values), dtype=object)
+
+
+def nothing(*names: str) -> pd.DataFrame:
+    return pd.DataFrame({n: plain([]) for n in names})
+
+
+def skip_map(drawn: DataFrame, listed: DataFrame, group: str, order: str, width: str, skip: float = 1.0) -> DataFrame:
+    """``(group, drawn, listed, cost)``: each listed item of a group matched to a drawn one, in the order of both; drawn ones that no
+    listed one belongs to have a null.
+
+    Widths are compared after scaling the listed ones to the same total: a match costs the difference over the scaled width, a drawn
+    item left out ``skip``; of equal costs the one that leaves out later items counts.  ``cost`` is the group's least.  With more listed
+    than drawn items each is matched to the drawn one of its own number, at no cost (null); so each row has one of both.  Groups
+    that one side lacks, and rows with a null order or width, are left out.  A group (a page's lines) is matched within a task.
+    """
+    kind, number = drawn.schema[group].dataType.simpleString(), drawn.schema[order].dataType.simpleString()
+
+    def match(d: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
+        d, r = d.sort_values([order, width]), r.sort_values([order, width])
+        n, m = len(d), len(r)
+        if not n or not m:
+            return nothing(group, "drawn", "listed", "cost")
+        to = [None] * n
+        if m > n:
+            return pd.DataFrame({group: plain(r[group]), "drawn": plain(r[order]), "listed": plain(r[order]), "cost": [None] * m})
+        have, want = d[width].to_numpy(float), r[width].to_numpy(float)
+        want = np.maximum(want * (have.sum() / max(1e-9, want.sum())), 1e-9)
+        best, took = np.full((n + 1, m + 1), np.inf), np.zeros((n + 1, m + 1), bool)
+        best[0, 0] = 0.0
+        for i in range(1, n + 1):
+            without, paired = best[i - 1] + skip, np.append(np.inf, best[i - 1, :-1] + np.abs(have[i - 1] - want) / want)
+            took[i] = paired < without
+            best[i] = np.where(took[i], paired, without)
+        i, j = n, m
+        while i:
+            if took[i, j]:
+                j -= 1
+                to[i - 1] = r[order].iloc[j]
+            i -= 1
+        return pd.DataFrame({group: plain(d[group]), "drawn": plain(d[order]), "listed": plain(to), "cost": best[n, m]})
+
+    usable = [x.select(group, order, F.col(width).cast("double").alias(width)).where(F.col(order).isNotNull() & F.col(width).isNotNull()) for x in (drawn, listed)]
+    return usable[0].groupBy(group).cogroup(usable[1].groupBy(group)).applyInPandas(match, f"{group} {kind}, drawn {number}, listed {number}, cost double")
+
+
+def partition_to_widths(
+    items: DataFrame, bins: DataFrame, group: str, order: str, length: str, bin_order: str, width: str, alpha: float | None = None,
+    free_head: str | None = None, free_tail: str | None = None,
+) -> DataFrame:
+    """``(group, order, bin, cost)``: each group's ordered items into its own ordered bins, which have widths of their own, minimising
+    sum |alpha x lengths - width|.
+
+    No bin is empty.  ``alpha`` None takes the group's total width over its total length.  Where the boolean column ``free_head``
+    (``free_tail``) of ``bins`` holds in any of a group's rows, items before its first (after its last) bin may stay out at no cost, with
+    a null bin.  Of equal sums the earliest cuts from the end on count.  A group with more bins than items has no solution: null
+    bins and cost.  Items without bins, and rows with a null order, length or width, are left out.  A group is solved within a task.
+    """
+    kind, number, slot = items.schema[group].dataType.simpleString(), items.schema[order].dataType.simpleString(), bins.schema[bin_order].dataType.simpleString()
+
+    def solve(g: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        g, b = g.sort_values([order, length]), b.sort_values([bin_order, width])
+        n, m = len(g), len(b)
+        if not n or not m:
+            return nothing(group, order, "bin", "cost")
+        lengths, widths = g[length].to_numpy(float), b[width].to_numpy(float)
+        scale = alpha if alpha is not None else widths.sum() / max(1e-9, lengths.sum())
+        total = np.append(0.0, np.cumsum(lengths)) * scale
+        best, cuts = np.full(n + 1, np.inf), []
+        best[: n + 1 if b["_head"].any() else 1] = 0.0
+        span = np.where(np.arange(n + 1)[:, None] > np.arange(n + 1)[None, :], total[:, None] - total[None, :], np.nan)  # from j (column) to i (row)
+        for w in widths:
+            ways = best[None, :] + np.where(np.isnan(span), np.inf, np.abs(span - w))
+            cuts.append(ways.argmin(1))
+            best = ways.min(1)
+        end = int(np.argmin(best)) if b["_tail"].any() else n
+        out, least = np.full(n, None, object), best[end]
+        if np.isfinite(least):
+            for cut, at in zip(reversed(cuts), b[bin_order].tolist()[::-1]):
+                out[cut[end] : end] = at
+                end = cut[end]
+        return pd.DataFrame({group: plain(g[group]), order: plain(g[order]), "bin": plain(out), "cost": least if np.isfinite(least) else None})
+
+    flag = lambda c, n: F.coalesce(F.col(c) if c else F.lit(False), F.lit(False)).alias(n)
+    left = items.select(group, order, F.col(length).cast("double").alias(length)).where(F.col(order).isNotNull() & F.col(length).isNotNull())
+    right = bins.select(group, bin_order, F.col(width).cast("double").alias(width), flag(free_head, "_head"), flag(free_tail, "_tail"))
+    right = right.where(F.col(bin_order).isNotNull() & F.col(width).isNotNull())
+    return left.groupBy(group).cogroup(right.groupBy(group)).applyInPandas(solve, f"{group} {kind}, {order} {number}, bin {slot}, cost double")
+
+
 def min_label_components(edges: DataFrame, nodes: DataFrame, rounds: int = 40) -> DataFrame:
     """Components of ``edges (a, b)`` over ``nodes (v)``: ``(v, component)``, the least node reachable.  Labels take the least of their
     neighbours' and jump to their label's label, so long chains close in few rounds; each round is stored."""
@@ -211,23 +303,64 @@ def label_votes(members: DataFrame, cluster: str, label: str, common: int = 3, r
     return r.where("_r = 1").select(cluster, F.when(F.col("votes") >= need, F.col(label)).alias("label"), "votes", "size")
 
 
-def guarded_moves(moves: DataFrame, stock: DataFrame, budget: DataFrame, rounds: int = 20) -> DataFrame:
-    """Moves ``(id, src, dst)`` less those that would leave a source empty (``stock (src, n)``) or push a target over its budget
-    (``budget (dst, room)``), until nothing changes.  Of a source's or target's moves those with the largest ids are dropped.
-    Returns all moves with ``dropped``: null, empties-source or over-budget."""
+def _net(moves: DataFrame, held: DataFrame, *names: str) -> DataFrame:
+    """``owner, names, was, now``: what each owner holds before the moves and after all of them.  Moves are summed by owner before they meet."""
+    if not names:
+        held, moves = held.select("owner", "n"), moves.select("src", "dst")
+    one = lambda side, n: moves.select(F.col(side).alias("owner"), *names, F.lit(0).cast("long").alias("was"), F.lit(n).cast("long").alias("by"))
+    own = held.select("owner", *names, F.col("n").cast("long").alias("was"), F.lit(0).cast("long").alias("by"))
+    g = own.unionByName(one("src", -1)).unionByName(one("dst", 1)).groupBy("owner", *names).agg(F.sum("was").alias("was"), F.sum("by").alias("by"))
+    return g.where("owner is not null").select("owner", *names, "was", (F.col("was") + F.col("by")).alias("now"))
+
+
+def _straddling(moves: DataFrame, held: DataFrame, caps: DataFrame) -> DataFrame:
+    """Owners whose bodies would lie on more than one line, and on more than before."""
+    lines = _net(moves.where("body and line is not null"), held.where("body and line is not null"), "line")
+    g = lines.groupBy("owner").agg(F.count_if(F.col("now") > 0).alias("_now"), F.count_if(F.col("was") > 0).alias("_was"))
+    return g.where("_now > 1 and _now > _was").select(F.col("owner").alias("dst"))
+
+
+def _starved(moves: DataFrame, held: DataFrame, caps: DataFrame) -> DataFrame:
+    """Owners that would lose their last body."""
+    return _net(moves.where("body"), held.where("body")).where("was > 0 and now <= 0").select(F.col("owner").alias("src"))
+
+
+def _overfed(moves: DataFrame, held: DataFrame, caps: DataFrame) -> DataFrame:
+    """Owners and families that would gain marks beyond their budget."""
+    marks = "not body and family is not null"
+    g = _net(moves.where(marks), held.where(marks), "family").where("now > was").join(caps, ["owner", "family"]).where("now > cap")
+    return g.select(F.col("owner").alias("dst"), "family", F.lit(False).alias("body"))
+
+
+#: (what is wrong, offending keys of the moves); each guard is repeated until it has nothing to drop, then the next begins.
+GUARDS = (("straddles", _straddling), ("starves", _starved), ("over-budget", _overfed))
+
+
+def guarded_moves(moves: DataFrame, held: DataFrame, caps: DataFrame, guards=GUARDS) -> DataFrame:
+    """``moves`` (``id, src, dst, body, line, family``; further columns stay) with ``dropped``: null for those that may happen, together.
+
+    ``held (owner, body, line, family, n)`` is what owners have now, ``caps (owner, family, cap)`` the most marks of a family; who isn't
+    listed has no limit.  Moves count by their net effect, so a swap changes nothing.  Dropped are, in this order, all moves into an
+    owner whose bodies would come to lie on more lines than before (``straddles``), all moves out of one that would be left without
+    a body (``starves``), and marks into one beyond its budget of their family (``over-budget``).  As a dropped move may make another one
+    offend, a guard goes on until all that is left stands; what it leaves depends on no order.  Null owners offend nothing.
+    """
     live = stored(moves.withColumn("dropped", F.lit(None).cast("string")), "moves")
-    for _ in range(rounds):
-        ok = F.col("dropped").isNull()
-        out = F.row_number().over(by("src", "dropped").orderBy("id"))
-        into = F.row_number().over(by("dst", "dropped").orderBy("id"))
-        j = live.withColumns({"_o": out, "_i": into}).join(stock.withColumnRenamed("n", "_n"), "src", "left").join(budget.withColumnRenamed("room", "_room"), "dst", "left")
-        why = F.when(ok & (F.col("_o") >= F.coalesce("_n", F.lit(0))), "empties-source").when(ok & (F.col("_i") > F.coalesce("_room", F.lit(0))), "over-budget")
-        new = stored(j.select(*live.columns[:-1], "dropped", why.alias("_why")), "moves")
-        changed = bool(new.where("_why is not null").head(1))
-        live = new.select(*live.columns[:-1], F.coalesce("dropped", "_why").alias("dropped"))
-        if not changed:
-            return live
-    raise RuntimeError(f"moves didn't settle in {rounds} rounds")
+    for reason, offending in guards:
+        while True:
+            left = live.where("dropped is null")
+            bad = offending(left, held, caps).distinct()
+            keys = bad.columns
+            hit = bad.select(*[F.col(k).alias(f"_{k}") for k in keys], F.lit(reason).alias("_why"))
+            on = F.col("dropped").isNull()
+            for k in keys:
+                on = on & (F.col(k) == F.col(f"_{k}"))
+            new = live.join(hit, on, "left").select(*moves.columns, F.coalesce("dropped", "_why").alias("dropped"), F.col("_why").isNotNull().alias("_new"))
+            new = stored(new, "moves")
+            if not new.where("_new").head(1):
+                break
+            live = new.drop("_new")
+    return live
 
 
 def adjudicate(df: DataFrame, ours: str, theirs: str, budget: str, expected: str, margin: float = 1.5, share: float = 0.25) -> DataFrame:

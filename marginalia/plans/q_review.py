@@ -93,11 +93,41 @@ def g6_label_votes(t: Tables):
     return G.label_votes(m, "c", "l").select("c", "label", "votes", "size")
 
 
+def _moves(t: Tables):
+    """Every order line as an item of its part, which may go to another part: moves, what parts hold, and budgets of two flags."""
+    parts = t.part.agg(F.max("p_partkey").alias("_top"))
+    kinds = [(F.col("l_linestatus") == "F").alias("body"), F.col("l_linenumber").cast("long").alias("line"), F.col("l_returnflag").alias("family")]
+    other = F.when(F.col("l_discount") > 0.06, F.pmod(F.col("l_partkey") * 7 + F.col("l_suppkey"), F.col("_top"))).otherwise(F.col("l_partkey"))
+    li = t.li.join(F.broadcast(parts))  # one row
+    moves = li.select((F.col("l_orderkey") * 1000 + F.col("rid")).alias("id"), F.col("l_partkey").alias("src"), other.alias("dst"), *kinds)
+    held = t.li.select(F.col("l_partkey").alias("owner"), *kinds).groupBy("owner", "body", "line", "family").agg(F.count(F.lit(1)).alias("n"))
+    family = F.explode(F.array(F.lit("A"), F.lit("R"))).alias("family")
+    return moves, held, t.part.select(F.col("p_partkey").alias("owner"), family, F.pmod("p_size", F.lit(9)).cast("long").alias("cap"))
+
+
 @query()
 def g7_guarded_moves(t: Tables):
-    moves = t.li.select((F.col("l_orderkey") * 1000 + F.col("rid")).alias("id"), F.col("l_partkey").alias("src"), F.col("l_suppkey").alias("dst"))
-    stock = t.lineitem.groupBy(F.col("l_partkey").alias("src")).agg(F.count_if(F.col("l_quantity") > 30).alias("n"))
-    return G.guarded_moves(moves, stock, t.supplier.select(F.col("s_suppkey").alias("dst"), (F.col("s_nationkey") * 8).alias("room")))
+    return G.guarded_moves(*_moves(t))
+
+
+@query()
+def g4_skip_map(t: Tables):
+    """Order lines as drawn, all but every sixth line number as listed, with a little other widths."""
+    drawn = t.li.select("l_orderkey", "rid", F.col("l_quantity").alias("w"))
+    listed = t.li.withColumn("w", F.col("l_quantity") + F.col("l_tax") * 50).where("l_linenumber % 6 <> 5").select("l_orderkey", "rid", "w")
+    return G.skip_map(drawn, listed, "l_orderkey", "rid", "w")
+
+
+@query()
+def g4_partition_to_widths(t: Tables):
+    """Order lines by quantity into bins of an order, as many as its status says, as wide as its price; head and tail free by priority."""
+    n = F.when(F.col("o_orderstatus") == "F", 1).when(F.col("o_orderstatus") == "O", 2).otherwise(3)
+    bins = t.orders.select(
+        F.col("o_orderkey").alias("l_orderkey"), F.explode(F.sequence(F.lit(1), n)).alias("no"), (F.col("o_totalprice") / 10000).alias("w"),
+        F.startswith("o_orderpriority", F.lit("1")).alias("head"), F.startswith("o_orderpriority", F.lit("2")).alias("tail"),
+    ).withColumn("w", F.col("w") * F.col("no"))
+    items = t.li.select("l_orderkey", "rid", "l_quantity")
+    return G.partition_to_widths(items, bins, "l_orderkey", "rid", "l_quantity", "no", "w", free_head="head", free_tail="tail")
 
 
 @query("""WITH d AS (SELECT l_orderkey, rid, CASE WHEN l_linenumber <> 7 THEN l_quantity END AS o, CASE WHEN l_linenumber <> 1 THEN l_quantity + l_tax * 100 END AS th, 25.0 AS b, p_size * 1.0 AS e FROM li JOIN part ON p_partkey = l_partkey),

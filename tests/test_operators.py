@@ -205,12 +205,6 @@ def test_components_and_leaders(spark):
     assert rows(G.leader_cluster(d, "r", "p", "b", 0.1)) == [(1, 1), (2, 1), (3, 3), (4, 4)]
 
 
-def test_moves_settle(spark):
-    m = frame(spark, [(1, "a", "x"), (2, "a", "x"), (3, "b", "x"), (4, "c", "y")], "id long, src string, dst string")
-    stock, room = frame(spark, [("a", 5), ("b", 5), ("c", 1)], "src string, n long"), frame(spark, [("x", 2)], "dst string, room long")
-    assert {r.id: r.dropped for r in G.guarded_moves(m, stock, room).collect()} == {1: None, 2: None, 3: "over-budget", 4: "empties-source"}
-
-
 def test_every_order_line_is_a_move(spark):
     import __spark_entry__
 
