@@ -298,10 +298,14 @@ def _scratch(t: Tables, name: str) -> str:
     return f"{shared_dir(t.spark)}/{name}-{uuid.uuid4().hex}"
 
 
-@query(r"""WITH e AS (SELECT page_id, regexp_extract_all(html, '<([a-zA-Z][a-zA-Z0-9]*)((?:\s+[a-zA-Z_:][-a-zA-Z0-9_:.]*(?:\s*=\s*(?:"[^"]*"|''[^'']*''))?)*)\s*/?>', 1) AS t, regexp_extract_all(html, '<([a-zA-Z][a-zA-Z0-9]*)((?:\s+[a-zA-Z_:][-a-zA-Z0-9_:.]*(?:\s*=\s*(?:"[^"]*"|''[^'']*''))?)*)\s*/?>', 2) AS b FROM pages)
-SELECT page_id, i - 1 AS ordinal, lower(t[i]) AS tag, nullif(regexp_extract(b[i], 'class="([^"]*)"', 1), '') AS class FROM e, unnest(range(1, len(t) + 1)) AS u(i)""")
+@query(r"""WITH c AS (SELECT page_id, regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', ' ', 'g'), '(?s)(<script[^>]*>|<style[^>]*>).*?</(script|style)>', '\1', 'g') AS h FROM pages WHERE html IS NOT NULL),
+p AS (SELECT page_id, list_filter(list_transform(string_split(h, '<')[2:], lambda x: string_split(x, '>')[1]), lambda x: x <> '' AND x[1] BETWEEN 'a' AND 'z') AS ts FROM c),
+o AS (SELECT page_id, i - 1 AS ordinal, ts[i] AS t FROM p, unnest(range(1, len(ts) + 1)) AS u(i))
+SELECT page_id, ordinal, string_split(t, ' ')[1] AS tag, CASE WHEN t LIKE '% class="%' THEN string_split(string_split(t, ' class="')[2], '"')[1] END AS class,
+  CASE WHEN t LIKE '% href="%' THEN string_split(string_split(t, ' href="')[2], '"')[1] END AS href, len(string_split(t, '="')) - 1 AS attributes FROM o""")
 def s1_scan_markup(t: Tables):
-    return S.scan_markup(t.pages, "page_id", "html").select("page_id", "ordinal", "tag", F.nullif("class", F.lit("")).alias("class"))
+    e = S.scan_markup(t.pages, "page_id", "html")
+    return e.select("page_id", "ordinal", "tag", "class", F.try_element_at("attrs", F.lit("href")).alias("href"), F.size("attrs").alias("attributes"))
 
 
 @query("SELECT 'd' || doc_id AS verse_key, pos AS position, line_no AS line_number, token AS text FROM tok WHERE token NOT LIKE '%.'", "tok")

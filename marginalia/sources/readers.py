@@ -6,22 +6,38 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-TAG = r"<([a-zA-Z][a-zA-Z0-9]*)((?:\s+[a-zA-Z_:][-a-zA-Z0-9_:.]*(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'))?)*)\s*/?>"
-ATTRIBUTE = r"([a-zA-Z_:][-a-zA-Z0-9_:.]*)\s*=\s*\"([^\"]*)\""
+#: Attributes: double-quoted, single-quoted, unquoted or bare.  Repeats are possessive and stop at a ``<``, so no page is walked twice.
+ATTRIBUTE = r"""(?s)([^\s/<>=]++)(?:\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s<>"'][^\s<>]*+)))?+"""
+_BODY = r"""(?:[\s/=]++|[^\s/<>=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s<>"'][^\s<>]*+))?+)*+"""
+TAG = rf"(?is)<[a-z][^\s/<>]*+{_BODY}>"
+#: Elements whose content is text, whatever it looks like (fixed values).
+RAW_TEXT = "script|style|textarea|title|xmp|iframe|noembed|noframes"
+#: In this order at each place: a comment, another declaration or an end tag, a raw-text element up to its end, any other tag.
+MARKUP = rf"(?is)<!--.*?(?:-->|\z)|<[!?/][^<>]*+>|(<({RAW_TEXT})(?=[\s/>]){_BODY}>).*?(?:</\2(?=[\s/>])[^<>]*+>|\z)|(<[a-z][^\s/<>]*+{_BODY}>)"
 PAGE_WORDS = "verses array<struct<verse_key:string,juz_number:int,words:array<struct<position:int,char_type_name:string,line_number:int,text:string>>>>"
 COLUMNAR = "fields array<string>, rows array<array<string>>"
 
 
 def scan_markup(df: DataFrame, key: str, html: str, tags: list[str] | None = None) -> DataFrame:
-    """Every element of a page in document order: ``(key, ordinal, tag, class, attrs)``; quoted attributes only."""
-    names, bodies = F.regexp_extract_all(html, F.lit(TAG), F.lit(1)), F.regexp_extract_all(html, F.lit(TAG), F.lit(2))
-    e = df.where(F.col(html).isNotNull()).select(key, F.posexplode(F.arrays_zip(names.alias("tag"), bodies.alias("body"))).alias("ordinal", "_e")).select(key, "ordinal", F.lower("_e.tag").alias("tag"), F.col("_e.body").alias("_b"))
+    """Every element of a page in document order: ``(key, ordinal, tag, class, attrs)``.
+
+    One ordered alternation walks the page, so that what looks like a tag inside a comment, a quoted value or a raw-text element
+    isn't one; comments and raw text without an end reach to the end of the page.  Tag and attribute names are lower-cased; a bare
+    attribute has an empty value, of a repeated one the first counts, and values keep their entities.  A tag without its ``>``, or with
+    a ``<`` outside of quotes, is text.
+    Null pages have no elements.
+    """
+    page = df.where(F.col(html).isNotNull()).select(key, F.regexp_replace(html, MARKUP, " $1$3 ").alias("_h"))
+    e = page.select(key, F.posexplode(F.regexp_extract_all("_h", F.lit(TAG), F.lit(0))).alias("ordinal", "_t"))
+    e = e.withColumn("tag", F.lower(F.regexp_extract("_t", r"^<([^\s/>]+)", 1)))
     if tags:
         e = e.where(F.col("tag").isin(*tags))
-    k, v = F.regexp_extract_all("_b", F.lit(ATTRIBUTE), F.lit(1)), F.regexp_extract_all("_b", F.lit(ATTRIBUTE), F.lit(2))
-    # The first of a repeated attribute counts.
-    pairs = F.filter(F.arrays_zip(k.alias("k"), v.alias("v")), lambda x, i: F.array_position(k, x["k"]) == i + 1)
-    attrs = F.map_from_entries(F.transform(pairs, lambda x: F.struct(x["k"], x["v"])))
+    body = F.regexp_extract("_t", r"(?s)^<[^\s/>]+(.*)>$", 1)
+    e = e.select(key, "ordinal", "tag", *[F.regexp_extract_all(body, F.lit(ATTRIBUTE), F.lit(g)).alias(f"_g{g}") for g in range(1, 5)])
+    names = F.transform("_g1", F.lower)
+    pairs = F.arrays_zip(names.alias("k"), F.col("_g2").alias("a"), F.col("_g3").alias("b"), F.col("_g4").alias("c"))
+    first = F.filter(pairs, lambda x, i: F.array_position(names, x["k"]) == i + 1)
+    attrs = F.map_from_entries(F.transform(first, lambda x: F.struct(x["k"], F.concat(x["a"], x["b"], x["c"]))))
     return e.withColumn("attrs", attrs).select(key, "ordinal", "tag", F.try_element_at("attrs", F.lit("class")).alias("class"), "attrs")
 
 
