@@ -238,7 +238,8 @@ def identify(docs: DataFrame, model: Model | None, text: str = "text", pred: str
 
 
 def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's language: ``doc_id, held_out, lang_pred, score``; learned where crc32(doc_id) mod 4 isn't 2."""
+    """Every document's language: ``doc_id, held_out, lang_pred, score``; learned where crc32(doc_id) mod 4 isn't 2.
+    A null id has no remainder: such rows aren't learned from, and count as held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "lang", "text")
     learn = F.coalesce(fold(F.col("doc_id"), 4) != 2, F.lit(False))
     found = identify(docs.select("doc_id", "text"), fit(docs, learn))

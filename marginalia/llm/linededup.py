@@ -148,16 +148,21 @@ def dropped_lines(docs: DataFrame, key: str = "doc_id", text: str = "text", edit
     return joined.where(elsewhere).select("doc_id", "line_no", "id", "class")
 
 
-def _mark(line_no: Column, line_id: Column) -> Column:
-    return F.xxhash64(line_no, line_id)
-
-
 def dedup_text(docs: DataFrame, dropped: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with the dropped lines cut out of ``text``; a text may become empty.  All rows and columns stay."""
-    marks = dropped.groupBy(F.col("doc_id").alias("__m_key")).agg(F.collect_set(_mark(F.col("line_no"), F.col("id"))).alias("__m_marks"))
-    gone = lambda x, i: F.array_contains(F.col("__m_marks"), _mark(i, F.xxhash64(F.trim(x))))
-    kept = F.array_join(F.filter(F.split(F.col(text), "\n", -1), lambda x, i: ~gone(x, i)), "\n")
-    out = docs.join(marks, F.col(key) == F.col("__m_key"), "left")
+    """``docs`` with the dropped lines cut out of ``text``; a text may become empty.  All rows and columns stay.
+
+    What lies between two dropped lines is kept as one slice, so the work follows the number of lines.
+    """
+    mark = F.struct("line_no", "id")
+    marks = dropped.groupBy(F.col("doc_id").alias("__m_key")).agg(F.array_sort(F.collect_set(mark)).alias("__m_marks"))
+    out = docs.join(marks, F.col(key) == F.col("__m_key"), "left").withColumn("__m_parts", F.split(F.col(text), "\n", -1))
+    # A row may share its id with others; only what its own lines are is dropped from it.
+    there = F.filter("__m_marks", lambda m: F.xxhash64(F.trim(F.get("__m_parts", m["line_no"]))) == m["id"])
+    out = out.withColumn("__m_gone", F.transform(there, lambda m: m["line_no"]))
+    before = lambda i: F.coalesce(F.get("__m_gone", i - 1), F.lit(-1))
+    after = lambda i: F.coalesce(F.get("__m_gone", i), F.size("__m_parts"))
+    slices = F.transform(F.sequence(F.lit(0), F.size("__m_gone")), lambda i: F.slice("__m_parts", before(i) + 2, after(i) - before(i) - 1))
+    kept = F.array_join(F.flatten(slices), "\n")
     cut = F.when(F.col("__m_marks").isNull(), F.col(text)).otherwise(kept).alias(text)
     return out.select(*[cut if c == text else F.col(c) for c in docs.columns])
 

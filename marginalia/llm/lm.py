@@ -289,7 +289,7 @@ def score_corpus(docs: DataFrame, train: Column, key: str = "doc_id", text: str
     """Score every text under a model of the rows where ``train`` (a boolean column) holds.
 
     ``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` (log10).  ``docs`` must be a stored table: its
-    partitions are read twice.  A null text is empty, one end token; a null ``train`` is false; equal texts get equal
+    partitions are read twice.  A null text is empty, one end token; a null ``train`` (of a null id) is false, and so held out; equal texts get equal
     scores; without training rows every probability is 1; an empty table gives no rows.
     """
     rows, ranges = _chunked(docs, key, text, train)

@@ -276,12 +276,19 @@ def mux(payload: bytes) -> bytes:
 PACKETS = "track int, timestamp_ns long, keyframe boolean, lacing int, block int, lace int, offset long, length long"
 
 
+def _apart(key: str, names: list[str]) -> None:
+    if key.lower() in names:
+        raise ValueError(f"rename the key column {key!r}: the table has a column of that name")
+
+
 def packets(df: DataFrame, key: str, media: str) -> DataFrame:
     """Packet table of a media column: ``<key>, track, timestamp_ns, keyframe, lacing, block, lace, offset, length``.
 
-    Null media give no packets; a broken file raises ValueError.  Repeated rows repeat their packets.
+    Null media give no packets; a broken file raises ValueError, and so does a key named like another column.  Repeated rows repeat
+    their packets.
     """
     names = [x.split()[0] for x in PACKETS.split(", ")]
+    _apart(key, names)
     types = [pa.int32(), pa.int64(), pa.bool_(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
     kind = df.schema[key].dataType.simpleString()
 
@@ -297,7 +304,8 @@ def packets(df: DataFrame, key: str, media: str) -> DataFrame:
 
 
 def cue_table(df: DataFrame, key: str, media: str) -> DataFrame:
-    """Cue table of a media column: ``<key>, timestamp_ns, track, cluster_offset``."""
+    """Cue table of a media column: ``<key>, timestamp_ns, track, cluster_offset``; null media and keys as in ``packets``."""
+    _apart(key, ["timestamp_ns", "track", "cluster_offset"])
     kind = df.schema[key].dataType.simpleString()
 
     def run(batches):

@@ -27,6 +27,8 @@ END = 0
 GROUP_ITEMS = 8192
 #: The exchange ends when a round leaves more than this share of its items open.
 STALLED = 0.9
+#: Bits of a sequence's number for its place in a group and for the group; the rest count rounds, which a tenth a round keeps below 256.
+BIN_BITS, GROUP_BITS = 17, 38
 
 
 class Encoder:
@@ -52,7 +54,7 @@ class Encoder:
             try:
                 return np.asarray(self.fast.encode_ordinary(text), dtype="<u4")
             except BaseException as e:  # noqa: BLE001  a panic of the native library on odd texts isn't an Exception
-                if isinstance(e, (KeyboardInterrupt, SystemExit, MemoryError)):
+                if type(e).__name__ != "PanicException":
                     raise
         return np.asarray(self.slow.encode(text, add_special_tokens=False).ids, dtype="<u4")
 
@@ -150,7 +152,9 @@ def _packer(turn: int, last: bool, capacity: int):
         bins, offsets, used = best_fit_decreasing(lengths, capacity)
         full = (np.bincount(bins, lengths, used) == capacity)[bins]
         good = full if used > lower_bound(lengths, capacity) else np.ones(len(bins), bool)
-        ids = bins + (turn << 58) + (np.int64(group.column("_group")[0].as_py()) << 26)
+        if used > 1 << BIN_BITS or turn >= 1 << 63 - BIN_BITS - GROUP_BITS:
+            raise OverflowError("sequence numbers have no room for so many sequences of a group, or rounds")
+        ids = bins + (turn << BIN_BITS + GROUP_BITS) + (np.int64(group.column("_group")[0].as_py()) << BIN_BITS)
         columns = [group.column("_slot"), group.column("length"), *map(pa.array, (ids, offsets, good, ~good & (not last)))]
         return pa.table(columns, names=["_slot", "length", "sequence_id", "offset", "certified", "_open"])
 
@@ -161,14 +165,15 @@ def pack(items: DataFrame, capacity: int = CAPACITY, group_items: int = GROUP_IT
     """``_slot, length`` (1..capacity) -> ``_slot, sequence_id, offset, certified``.
 
     Offsets in a sequence follow one another without a gap.  ``certified``: the sequence is full, or its group meets a bound that no
-    packing of the group can beat.  Memory of a task: one group's rows, about ``group_items``.  An empty table gives no rows;
+    packing of the group can beat.  Rounds go on while they close a tenth of what is left.  Memory of a task: one group's rows, about
+    ``group_items`` (131,072 at most).  An empty table gives no rows;
     equal rows are items of their own.
     """
     schema = "_slot long, length long, sequence_id long, offset long, certified boolean, _open boolean"
     todo, done, n, turn, last = items.select("_slot", "length"), [], items.count(), 0, False
     while not done or n:
         groups = max(1, -(-n // group_items))
-        last = last or groups == 1 or turn == 30
+        last = last or groups == 1
         dealt = todo.withColumn("_group", F.pmod(F.xxhash64("_slot", F.lit(turn)), F.lit(groups)).cast("int"))
         packed = stored(dealt.groupBy("_group").applyInArrow(_packer(turn, last, capacity), schema), f"pack-{turn}")
         done.append(packed.where(~F.col("_open")))

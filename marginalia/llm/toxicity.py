@@ -198,7 +198,8 @@ def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document's toxicity: ``doc_id, held_out, score, predicted``; learned where crc32(doc_id) mod 5 isn't 0."""
+    """Every document's toxicity: ``doc_id, held_out, score, predicted``; learned where crc32(doc_id) mod 5 isn't 0.
+    A null id has no remainder: such rows aren't learned from, and count as held out."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     learn = F.coalesce(fold(F.col("doc_id"), 5) != 0, F.lit(False))
     model = fit(docs, table(spark, sf_dir, "labels"), learn)

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from marginalia.llm import common, linededup
 
@@ -99,3 +100,13 @@ def test_empty_table_and_bad_parameters(spark):
     for edits in (((3, 3),), ((20, 1), (10, 2))):
         with pytest.raises(ValueError):
             linededup.line_classes(d, edits=edits)
+
+
+def test_lines_are_cut_out_of_the_rows_that_have_them(spark):
+    rows = [(1, "a\nb\nc\nb"), (1, "x\n b \nc\nq"), (2, "b"), (3, None), (None, "a\nb"), (4, ""), (5, "\n".join(f"l{k}" for k in range(30_000)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    gone = spark.createDataFrame([(1, 1, "b"), (1, 3, "b"), (1, 0, "x"), (2, 0, "b"), (4, 0, "z"), *[(5, k, f"l{k}") for k in range(0, 30_000, 2)]], "doc_id long, line_no int, line string")
+    gone = gone.select("doc_id", "line_no", F.xxhash64("line").alias("id"))
+    got = {(r.doc_id, r.text) for r in linededup.dedup_text(docs, gone).collect()}
+    want = {(1, "a\nc"), (1, "c\nq"), (2, ""), (3, None), (None, "a\nb"), (4, ""), (5, "\n".join(f"l{k}" for k in range(1, 30_000, 2)))}
+    assert got == want

@@ -89,3 +89,11 @@ def test_packet_and_cue_tables(spark):
     media = spark.createDataFrame([("a", M.mux(bytes(70_000)), 1), ("b", None, 1), ("a", M.mux(b"z"), 1)], "track string, media binary, block int")
     assert M.packets(media.withColumnRenamed("track", "name"), "name", "media").count() == 137 + 1
     assert {r.name: r["count"] for r in M.cue_table(media.withColumnRenamed("track", "name"), "name", "media").groupBy("name").count().collect()} == {"a": 4}
+
+
+def test_a_key_named_like_a_column_is_refused(spark):
+    df = spark.createDataFrame([(1, 2, bytearray(b""))], "track long, timestamp_ns long, media binary")
+    with pytest.raises(ValueError, match="track"):
+        M.packets(df, "track", "media")
+    with pytest.raises(ValueError, match="timestamp_ns"):
+        M.cue_table(df, "timestamp_ns", "media")
