@@ -15,6 +15,7 @@ from marginalia.operators import logs as L
 from marginalia.operators.common import shared_dir
 from marginalia.sources import publish as P
 from marginalia.sources import readers as S
+from marginalia.sources.store import ResultStore
 from marginalia.streaming import queue
 
 from .base import query
@@ -229,6 +230,29 @@ def l7_live_queue(t: Tables):
     return queue.live_states(t.log)
 
 
+@query("SELECT id, a AS action, CASE a WHEN 'approve' THEN 'approved' WHEN 'amend' THEN 'approved' WHEN 'reject' THEN 'rejected' WHEN 'withdraw' THEN 'withdrawn' ELSE 'proposed' END AS state, CAST(NULL AS VARCHAR) AS was FROM (SELECT id, arg_max(action, (ts, seq)) AS a FROM log GROUP BY 1)", "log")
+def l7_change_feed(t: Tables):
+    """The stream itself, over the events table as a file source: what it wrote, read back."""
+    live = Tables(t.spark, t.dir)
+    live.__dict__["events"] = t.spark.readStream.schema(t.events.schema).parquet(f"{t.dir}/event[s].parquet")  # a pattern may name a single file
+    path = _scratch(t, "feed")
+    queue.start_change_feed(live.log, f"{path}/changes", f"{path}/checkpoint", once=True).awaitTermination()
+    return t.spark.read.parquet(f"{path}/changes").drop("batch")
+
+
+@query("""WITH one AS (SELECT p_partkey AS k, CASE WHEN p_size % 3 = 0 THEN replace(p_name, ' ', '+') ELSE 'single' END AS label FROM part),
+two AS (SELECT l_partkey AS k, CASE WHEN max(l_quantity) > 49 THEN 'a+b' ELSE 'single' END AS label FROM lineitem GROUP BY 1)
+SELECT k, CASE WHEN one.label IS NULL OR two.label IS NULL OR NOT (contains(one.label, '+') AND NOT contains(two.label, '+')) THEN coalesce(two.label, one.label) ELSE one.label END AS label FROM one FULL JOIN two USING (k)""")
+def l4_label_sink(t: Tables):
+    """Two batches of decisions through the upsert sink, the second one twice."""
+    sink = queue.LabelSink(_scratch(t, "labels"), "k", "label")
+    one = t.part.select(F.col("p_partkey").alias("k"), F.when(F.col("p_size") % 3 == 0, F.replace(F.col("p_name"), F.lit(" "), F.lit("+"))).otherwise("single").alias("label"))
+    two = t.lineitem.groupBy(F.col("l_partkey").alias("k")).agg(F.when(F.max("l_quantity") > 49, "a+b").otherwise("single").alias("label"))
+    for number, batch in enumerate((one, two, two)):
+        sink(batch, min(number, 1))
+    return sink.labels(t.spark)
+
+
 # Gates
 
 
@@ -357,6 +381,25 @@ def s8_incremental_todo(t: Tables):
     return P.incremental_todo(t.lineitem, t.orders.where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey")
 
 
+@query("SELECT l_orderkey, count(*) AS n, sum(CAST(l_quantity AS BIGINT)) AS q FROM lineitem GROUP BY 1")
+def s8_resumed(t: Tables):
+    """A sweep over orders that breaks off in its third piece and is run again."""
+    store = ResultStore(t.spark, _scratch(t, "sweep"), "l_orderkey", "long", "l_orderkey long, n long, q long")
+    sums = lambda rows: rows.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("l_quantity").cast("long")).alias("q"))
+    calls = iter(range(3))
+
+    def breaks_off(rows):
+        if next(calls) == 2:
+            raise InterruptedError
+        return sums(rows)
+
+    try:
+        store.process(t.lineitem, breaks_off, pieces=4)
+    except InterruptedError:
+        pass
+    return store.process(t.lineitem, sums, pieces=4)
+
+
 @query("SELECT arg_max(v, [CAST(x AS INT) for x in string_split(v, '.')]) AS latest FROM (SELECT p_size || '.' || (p_partkey % 97) || '.' || (p_partkey % 11) AS v FROM part)")
 def s9_latest_version(t: Tables):
     return P.latest_version(t.part.select(F.concat_ws(".", "p_size", F.col("p_partkey") % 97, F.col("p_partkey") % 11).alias("version")))
