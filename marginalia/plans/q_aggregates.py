@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from marginalia.functions import text as U
 from marginalia.operators import aggregates as A
+from marginalia.operators import shifts as Z
 
 from .base import query
 from .views import Tables
@@ -267,6 +268,35 @@ def a27_modal_shift(t: Tables):
     return A.modal_shift(d.where("rid % 2 = 1"), d.where("rid % 2 = 0"), "grp", "x0", "y0", "size")
 
 
+SHIFTS = """WITH e AS (SELECT l_orderkey AS grp, round(l_quantity * 8 + l_orderkey % 50, 3) AS x, round(floor(l_extendedprice / 5) / 100 - l_orderkey % 30, 3) AS y FROM lineitem),
+m AS (SELECT DISTINCT l_orderkey AS grp, round(l_quantity * 8 + l_discount * (CASE WHEN l_linenumber = 6 THEN 40 ELSE 8 END), 3) AS x, round(floor(l_extendedprice / 5) / 100 + l_tax * 8, 3) AS y FROM lineitem WHERE l_linestatus = 'F'),
+mn AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY x, y) AS i, count(*) OVER (PARTITION BY grp) AS all_m FROM m), en AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY x, y) AS j FROM (SELECT DISTINCT * FROM e)),
+c AS (SELECT mn.grp, i, j, en.x - mn.x AS dx, en.y - mn.y AS dy, all_m FROM mn JOIN en USING (grp)),
+n AS (SELECT c.grp, c.i, c.j, any_value(dx) AS dx, any_value(dy) AS dy, any_value(c.all_m) AS all_m, count(DISTINCT k.i) AS hit FROM c JOIN mn k ON k.grp = c.grp JOIN en f ON f.grp = c.grp AND abs(f.x - (k.x + dx)) < 1.5 AND abs(f.y - (k.y + dy)) < 1.5 GROUP BY 1, 2, 3),
+s AS (SELECT * FROM n WHERE hit = all_m QUALIFY row_number() OVER (PARTITION BY grp ORDER BY i, j) = 1)"""
+
+
+def _pages(t: Tables):
+    """Lines of an order as listed points, in a frame of the order's own, and those of finished lines as drawn ones, a little off."""
+    n, wide = F.col("l_orderkey"), F.when(F.col("l_linenumber") == 6, 40).otherwise(8)
+    at = lambda x, y: [F.col("l_orderkey").alias("grp"), F.round(x, 3).alias("x"), F.round(y, 3).alias("y")]
+    entries = t.lineitem.select(*at(F.col("l_quantity") * 8 + n % 50, F.floor(F.col("l_extendedprice") / 5) / 100 - n % 30))
+    drawn = t.lineitem.where("l_linestatus = 'F'").select(*at(F.col("l_quantity") * 8 + F.col("l_discount") * wide, F.floor(F.col("l_extendedprice") / 5) / 100 + F.col("l_tax") * 8))
+    return drawn, entries
+
+
+@query(f"{SHIFTS} SELECT grp, round(dx, 6) + 0.0 AS dx, round(dy, 6) + 0.0 AS dy, (SELECT count(*) FROM lineitem WHERE l_orderkey = grp AND l_linestatus = 'F') AS markers FROM s")
+def a27_consensus_shift(t: Tables):
+    return Z.consensus_shift(*_pages(t), "grp", "x", "y")
+
+
+@query(f"""{SHIFTS} SELECT DISTINCT grp, round(e.x - dx, 3) + 0.0 AS x, round(e.y - dy, 3) + 0.0 AS y FROM e JOIN s USING (grp)
+WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.grp = e.grp AND abs(m.x - (e.x - dx)) < 2 AND abs(m.y - (e.y - dy)) < 2)""")
+def a27_recovered(t: Tables):
+    drawn, entries = _pages(t)
+    return Z.recovered(drawn, entries, Z.consensus_shift(drawn, entries, "grp", "x", "y"), "grp", "x", "y")
+
+
 @query()
 def a28_ridge_fit(t: Tables):
     letters = t.documents.where("text is not null").select("doc_id", F.explode(F.array(*[F.struct(F.lit(c).alias("ch"), (F.length("text") - F.length(F.replace(F.col("text"), F.lit(c), F.lit("")))).cast("double").alias("n")) for c in "abcdefghijklmnopqrstuvwxyz "])).alias("x"), F.length("text").cast("double").alias("y"))
