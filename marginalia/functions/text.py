@@ -160,9 +160,9 @@ def shape_signature(points: Column) -> Column:
 
 
 def shape_distance(a: Column, b: Column) -> Column:
-    """Mean distance of the points of two outlines; infinite if their lengths differ."""
+    """Mean distance of the points of two outlines; infinite if their lengths differ or there are no points."""
     each = F.zip_with(a, b, lambda p, q: F.sqrt(F.pow(p["x"] - q["x"], 2) + F.pow(p["y"] - q["y"], 2)))
-    return F.when(F.size(a) == F.size(b), F.aggregate(each, F.lit(0.0), lambda s, d: s + d) / F.size(a)).otherwise(F.lit(float("inf")))
+    return F.when((F.size(a) == F.size(b)) & (F.size(a) > 0), F.aggregate(each, F.lit(0.0), lambda s, d: s + d) / F.size(a)).otherwise(F.lit(float("inf")))
 
 
 def content_sig(*parts: Column) -> Column:

@@ -10,7 +10,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cols, counts
+from .common import cols, counts, stored
 
 
 def family_counts(df: DataFrame, key: str, text: str, families: dict[str, tuple[str, int]]) -> DataFrame:
@@ -314,15 +314,51 @@ def modal_shift(a: DataFrame, b: DataFrame, group: str, x: str, y: str, size: st
     return votes.withColumn("_r", best).where("_r = 1").drop("_r")
 
 
-def ridge_fit(samples: DataFrame, row: str, feature: str, n: str, y: str, lam: float = 0.5) -> DataFrame:
-    """Weights of ``y ~ sum(n x weight)`` over long samples (row, feature, n, y).  Normal equations in Spark; the features x features solve on the driver (a bounded vocabulary)."""
-    pair = samples.select(F.col(row).alias("_r"), F.col(feature).alias("_f"), F.col(n).alias("_n"))
-    ata = samples.join(pair, F.col(row) == F.col("_r")).groupBy(feature, "_f").agg(F.sum(F.col(n) * F.col("_n")).alias("v")).collect()
-    aty = samples.groupBy(feature).agg(F.sum(F.col(n) * F.col(y)).alias("v"), F.count(F.lit(1)).alias("k")).orderBy(feature).collect()
-    at = {r[0]: i for i, r in enumerate(aty)}
-    m = np.eye(len(at)) * lam
-    for r in ata:
-        m[at[r[0]], at[r[1]]] += float(r["v"])
-    w = np.linalg.solve(m, np.array([float(r["v"]) for r in aty])) if at else []
-    kind = samples.schema[feature].dataType.simpleString()
-    return samples.sparkSession.createDataFrame([(r[0], float(v), r["k"]) for r, v in zip(aty, w)], f"{feature} {kind}, weight double, samples long")
+#: Features up to which the normal equations are solved on the driver: their square is what it holds.
+DENSE = 1000
+
+
+def ridge_fit(samples: DataFrame, row: str, feature: str, n: str, y: str, lam: float = 0.5, dense: int = DENSE, tol: float = 1e-10) -> DataFrame:
+    """``feature, weight, samples`` of ``y ~ sum(n x weight)`` over long samples (row, feature, n, y), with penalty ``lam`` on weights.
+
+    The normal equations are summed in Spark.  Up to ``dense`` features the driver solves them; beyond that, conjugate gradients
+    do, whose every step is a join of the sparse equations with a direction and whose state is stored, until the residual is ``tol``
+    times the right side.  Samples with a null take no part.
+    """
+    samples = samples.select(F.col(row).alias("_row"), F.col(feature).alias(feature), F.col(n).cast("double").alias("_n"), F.col(y).cast("double").alias("_y")).dropna()
+    sides = stored(samples.groupBy(feature).agg(F.sum(F.col("_n") * F.col("_y")).alias("b"), F.count(F.lit(1)).alias("samples")), "ridge-sides")
+    pair = samples.select(F.col("_row").alias("_r"), F.col(feature).alias("_f"), F.col("_n").alias("_m"))
+    square = samples.join(pair, F.col("_row") == F.col("_r")).groupBy(feature, "_f").agg(F.sum(F.col("_n") * F.col("_m")).alias("v"))
+    if sides.count() <= dense:
+        right = sides.orderBy(feature).collect()
+        at = {r[0]: i for i, r in enumerate(right)}
+        m = np.eye(len(at)) * lam
+        for r in square.collect():
+            m[at[r[0]], at[r[1]]] += float(r["v"])
+        w = np.linalg.solve(m, np.array([float(r["b"]) for r in right])) if at else []
+        kind = samples.schema[feature].dataType.simpleString()
+        return samples.sparkSession.createDataFrame([(r[0], float(v), r["samples"]) for r, v in zip(right, w)], f"{feature} {kind}, weight double, samples long")
+    square = stored(square, "ridge-square")
+    state = sides.select(feature, "samples", F.lit(0.0).alias("w"), F.col("b").alias("r"), F.col("b").alias("p"))
+    left = start = sides.agg(F.sum(F.col("b") * F.col("b"))).first()[0]
+    while left > tol * tol * start:
+        step = square.join(state.select(F.col(feature).alias("_f"), F.col("p").alias("_p")), "_f").groupBy(feature).agg(F.sum(F.col("v") * F.col("_p")).alias("_q"))
+        moved = stored(state.join(step, feature).withColumn("q", F.col("_q") + lam * F.col("p")).drop("_q"), "ridge-step")
+        along = left / moved.agg(F.sum(F.col("p") * F.col("q"))).first()[0]
+        moved = moved.withColumns({"w": F.col("w") + along * F.col("p"), "r": F.col("r") - along * F.col("q")})
+        before, left = left, moved.agg(F.sum(F.col("r") * F.col("r"))).first()[0]
+        state = stored(moved.select(feature, "samples", "w", "r", (F.col("r") + left / before * F.col("p")).alias("p")), "ridge-state")
+    return state.select(feature, F.col("w").alias("weight"), "samples")
+
+
+def ridge_residuals(samples: DataFrame, weights: DataFrame, row: str, feature: str, n: str, y: str) -> DataFrame:
+    """``row, y, predicted, residual`` (absolute); features without a weight add nothing."""
+    j = samples.join(weights.select(F.col(feature).alias("_f"), "weight"), F.col(feature) == F.col("_f"), "left")
+    g = j.groupBy(row, F.col(y).cast("double").alias("y")).agg(F.coalesce(F.sum(F.col(n) * F.col("weight")), F.lit(0.0)).alias("predicted"))
+    return g.withColumn("residual", F.abs(F.col("predicted") - F.col("y")))
+
+
+def residual_summary(residuals: DataFrame) -> DataFrame:
+    """``rows, median, p90, mean_y``, residuals to two places (so that the different ones stay few)."""
+    q = F.percentile(F.round("residual", 2), F.array(F.lit(0.5), F.lit(0.9)))
+    return residuals.agg(F.count(F.lit(1)).alias("rows"), q.alias("_q"), F.avg("y").alias("mean_y")).select("rows", F.col("_q")[0].alias("median"), F.col("_q")[1].alias("p90"), "mean_y")

@@ -231,17 +231,60 @@ def connected(df: DataFrame, group: str, rid: str, eps: float, weight: str | Non
     return found.join(best, [group, "component"])
 
 
+#: Outlines from which pivots are chosen, and pivots at most.
+SAMPLED, PIVOTS = 256, 6
+
+
+def shape_pivots(df: DataFrame, points: str, sampled: int = SAMPLED, pivots: int = PIVOTS) -> list[list[tuple[float, float]]]:
+    """A few outlines far from one another, of those with the commonest number of points in a sample by hash of bounded size.
+
+    The first is the one furthest from the sample's mean, each further one the outline furthest from all before."""
+    rows = df.where(F.col(points).isNotNull()).select(F.col(points).alias("p")).orderBy(F.xxhash64("p")).limit(sampled).collect()
+    rows = [r.p for r in rows if all(q is not None and q.x is not None and q.y is not None for q in r.p)]
+    sizes = pd.Series([len(r) for r in rows if len(r)])
+    if not len(sizes):
+        return []
+    x = np.array([[(q.x, q.y) for q in r] for r in rows if len(r) == sizes.mode()[0]], float)
+    away = lambda c: np.sqrt(((x - c) ** 2).sum(-1)).mean(-1)
+    chosen, least = [], away(x.mean(0))
+    while len(chosen) < pivots and least.max() > 0:
+        chosen.append(int(least.argmax()))
+        least = away(x[chosen[-1]]) if len(chosen) == 1 else np.minimum(least, away(x[chosen[-1]]))
+    return [[tuple(q) for q in x[i].tolist()] for i in chosen]
+
+
 def _near_shapes(a: DataFrame, b: DataFrame, extra: Column, tol: float) -> DataFrame:
     """Pairs of rows ``(r, g, p, …)`` of a block whose outlines are nearer than ``tol``, and hold ``extra`` (sides ``a`` and ``b``).
 
-    The centres of two outlines are no further apart than their points are on average, so they join on buckets of the centre.
+    Distances of outlines of one length keep the triangle inequality, so the distances of two outlines to a pivot differ by no more than
+    their own.  Rows join on buckets of their distances to the first two pivots; the other pivots, then the means of eight runs of points
+    (which are no further apart than the points are) rule out most of what meets before it is compared point by point.
     """
-    total = lambda f: F.aggregate("p", F.lit(0.0), lambda s, p: s + p[f])
-    cell = lambda d: d.withColumns({f: F.floor(total(f) / F.size("p") / tol) for f in ("x", "y")})
+    pivots = shape_pivots(b, "p")
+    outline = lambda q: F.array(*[F.struct(F.lit(x).alias("x"), F.lit(y).alias("y")) for x, y in q])
+    sizes = F.size("p")
+
+    def indexed(d: DataFrame) -> DataFrame:
+        # Where the lengths differ there is no distance, and nothing is told apart.
+        far = [F.when(sizes == len(q), shape_distance(F.col("p"), outline(q))).otherwise(0.0) for q in pivots]
+        d = d.withColumn("v", F.array(*far) if far else F.array().cast("array<double>")).withColumn("n", sizes)
+        step = F.greatest(F.floor(sizes / 8), F.lit(1)).cast("int")
+        mean = lambda s, f: F.aggregate(s, F.lit(0.0), lambda t, q: t + q[f]) / F.size(s)
+        runs = F.transform(F.sequence(F.lit(1), F.greatest(sizes, F.lit(1)), step), lambda i: F.slice("p", i, step))
+        runs = F.filter(runs, lambda s: F.size(s) > 0)
+        # The share of the points in a run goes with its mean.
+        m = F.transform(runs, lambda s: F.struct(mean(s, "x").alias("x"), mean(s, "y").alias("y"), (F.size(s) / F.size("p")).alias("w")))
+        return d.withColumns({"m": m, "x": F.floor(F.coalesce(F.get("v", 0), F.lit(0.0)) / tol), "y": F.floor(F.coalesce(F.get("v", 1), F.lit(0.0)) / tol)})
+
     steps = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    around = cell(a).withColumn("_step", F.explode(steps)).withColumns({"x": F.col("x") + F.col("_step.i"), "y": F.col("y") + F.col("_step.j")})
-    same = F.col("a.g").eqNullSafe(F.col("b.g")) & (F.col("a.x") == F.col("b.x")) & (F.col("a.y") == F.col("b.y"))
-    return around.alias("a").join(cell(b).alias("b"), same & extra).withColumn("d", shape_distance(F.col("a.p"), F.col("b.p"))).where(F.col("d") < tol)
+    around = indexed(a).withColumn("_step", F.explode(steps)).withColumns({"x": F.col("x") + F.col("_step.i"), "y": F.col("y") + F.col("_step.j")})
+    same = F.col("a.g").eqNullSafe(F.col("b.g")) & (F.col("a.n") == F.col("b.n")) & (F.col("a.x") == F.col("b.x")) & (F.col("a.y") == F.col("b.y"))
+    slack = tol * (1 + 1e-9) + 1e-12
+    near = F.forall(F.zip_with("a.v", "b.v", lambda s, t: F.abs(s - t)), lambda t: t <= slack)
+    apart = F.zip_with("a.m", "b.m", lambda s, t: s["w"] * F.sqrt(F.pow(s["x"] - t["x"], 2) + F.pow(s["y"] - t["y"], 2)))
+    bound = F.aggregate(apart, F.lit(0.0), lambda s, t: s + t)
+    met = around.alias("a").join(indexed(b).alias("b"), same & extra & near).where(bound <= slack)
+    return met.withColumn("d", shape_distance(F.col("a.p"), F.col("b.p"))).where(F.col("d") < tol)
 
 
 def leader_cluster(

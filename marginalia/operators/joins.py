@@ -327,21 +327,27 @@ def union_coverage(target: DataFrame, pieces: DataFrame, group: str) -> DataFram
 
 
 def union_coverage_2d(target: DataFrame, pieces: DataFrame, group: str) -> DataFrame:
-    """J20 for boxes: cut the plane of a group at all box edges; a cell counts once however many pieces cover it."""
+    """J20 for boxes: the share of each group's target box that the union of its pieces covers.
+
+    The plane of a group is cut into slabs at its pieces' left and right edges.  A piece lies in the slabs between the ranks of its own
+    two edges, which need no join; in each slab the union of intervals is swept once.  So the work is that of pieces times the slabs they
+    cross, and a large group is dealt out by slab.
+    """
     t = target.select(group, *[F.col(c).alias(f"t{c}") for c in ("x0", "x1", "y0", "y1")])
     p = pieces.join(t, group).select(
-        group, "tx0", "tx1", "ty0", "ty1", F.greatest("x0", "tx0").alias("x0"), F.least("x1", "tx1").alias("x1"), F.greatest("y0", "ty0").alias("y0"), F.least("y1", "ty1").alias("y1")
-    ).where("x0 < x1 and y0 < y1")
-
-    def strips(a: str, b: str) -> DataFrame:
-        cuts = p.select(group, F.explode(F.array(a, b)).alias("_a")).distinct()
-        return cuts.withColumn("_b", F.lead("_a").over(by(group).orderBy("_a"))).where("_b is not null")
-
-    xs, ys = strips("x0", "x1").selectExpr(group, "_a xa", "_b xb"), strips("y0", "y1").selectExpr(group, "_a ya", "_b yb")
-    cells = xs.join(ys, group).alias("c")
-    q = p.select(group, "x0", "x1", "y0", "y1")
-    covered = cells.join(q.alias("q"), (F.col(f"c.{group}") == F.col(f"q.{group}")) & F.expr("q.x0 <= c.xa and q.x1 >= c.xb and q.y0 <= c.ya and q.y1 >= c.yb"), "left_semi")
-    s = covered.groupBy(group).agg(F.sum(F.expr("(xb - xa) * (yb - ya)")).alias("_s"))
+        group, F.greatest("x0", "tx0").alias("x0"), F.least("x1", "tx1").alias("x1"), F.greatest("y0", "ty0").alias("y0"), F.least("y1", "ty1").alias("y1")
+    ).where("x0 < x1 and y0 < y1").distinct()
+    edge = F.explode(F.array(*[F.struct(F.col(c).alias("at"), "x0", "x1", "y0", "y1") for c in ("x0", "x1")]))
+    edges = p.select(group, edge.alias("e")).withColumn("_r", F.dense_rank().over(by(group).orderBy("e.at")))
+    ranked = edges.groupBy(group, "e.x0", "e.x1", "e.y0", "e.y1").agg(F.min("_r").alias("_from"), F.max("_r").alias("_to"))
+    slabs = edges.groupBy(group, "_r").agg(F.first("e.at").alias("_at"))
+    slabs = slabs.withColumn("_wide", F.lead("_at").over(by(group).orderBy("_r")) - F.col("_at")).where("_wide is not null").select(group, F.col("_r").alias("_slab"), "_wide")
+    lying = ranked.select(group, "y0", "y1", F.explode(F.sequence("_from", F.col("_to") - 1)).alias("_slab"))
+    w = by(group, "_slab").orderBy("y0", "y1")
+    reach = F.max("y1").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    part = F.greatest(F.col("y1") - F.greatest(F.col("y0"), F.coalesce(reach, F.col("y0"))), F.lit(0.0))
+    tall = lying.withColumn("_p", part).groupBy(group, "_slab").agg(F.sum("_p").alias("_tall"))
+    s = tall.join(slabs, [group, "_slab"]).groupBy(group).agg(F.sum(F.col("_tall") * F.col("_wide")).alias("_s"))
     whole = F.expr("(tx1 - tx0) * (ty1 - ty0)")
     return t.join(s, group, "left").select(group, F.when(whole > 0, F.coalesce("_s", F.lit(0.0)) / whole).otherwise(0.0).alias("coverage"))
 
