@@ -14,9 +14,21 @@ from ..session import ship
 WORD = r"[^\x20\x09-\x0D]+"
 
 
+#: Rows of an Arrow batch, where the session has Spark's own default of 10,000: a batch holds whole texts, on both sides of the pipe.
+BATCH_ROWS, DEFAULT_ROWS = "1000", "10000"
+
+
+def prepared(spark: SparkSession) -> None:
+    """Ship this package, and keep batches of texts small."""
+    ship(spark)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(name) == DEFAULT_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given tables."""
-    ship(spark)
+    prepared(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -11,13 +11,14 @@ a round hardly closes any.  Every row says whether its sequence is certified.
 from __future__ import annotations
 
 import zlib
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import public_tokenizer, stored, table
+from .common import prepared, public_tokenizer, stored, table
 
 #: Tokens of a sequence.
 CAPACITY = 2048
@@ -35,9 +36,7 @@ class Encoder:
     """Ids of texts.  ``fast``: the same vocabulary as ranks, which gives the same ids several times faster."""
 
     def __init__(self, path: str, fast: str | None, special: tuple[str, ...] = ("<|endoftext|>",)):
-        from tokenizers import Tokenizer
-
-        self.slow, self.special, self.fast = Tokenizer.from_file(path), special, None
+        self.path, self.special, self.fast = path, special, None
         if fast:
             import base64
 
@@ -48,6 +47,13 @@ class Encoder:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
             self.fast = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+    @cached_property
+    def slow(self):
+        """Loaded by the first text that needs it: it takes as much memory as all else of a task."""
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_file(self.path)
+
     def ids(self, text: str) -> np.ndarray:
         # Texts that spell a special token go the plain way, which decides what becomes of it.
         if self.fast and not any(s in text for s in self.special):
@@ -209,4 +215,5 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The packed sequences: every document's token ids, and where they lie.  Repeated documents have a ``row`` of their own each."""
+    prepared(spark)
     return pack_documents(docs)

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import maybe, stored, table
+from .common import maybe, prepared, stored, table
 from .components import connected_components
 
 SEED = 42
@@ -458,6 +458,7 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str, width: int
     Rows without an id can't be told apart, so all of them stay and link nothing.  Where several rows carry the id that stays, one
     of them is kept.
     """
+    prepared(spark)
     named = docs.where("doc_id is not null")
     prints = stored(sketches(named, width), "simhash-stage-prints")
     keep = similar_sets(prints, named, width, similarity).where("doc_id = component_id")
