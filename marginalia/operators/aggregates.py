@@ -59,21 +59,29 @@ def minority_use(df: DataFrame, group: str, value: str, min_n: int = 50) -> Data
     return df.join(m, F.col(group) == F.col("_g")).where(F.col(value) != F.col("mode")).drop("_g")
 
 
-def hapax_deviation(df: DataFrame, form: str, axes: list[str], group: str, pos: str, min_n: int = 20, max_k: int = 1, reach: int = 2) -> DataFrame:
+def hapax_deviation(
+    df: DataFrame, form: str, axes: list[str], group: str, pos: str, min_n: int = 20, max_k: int = 1, reach: int = 2, review: tuple[str, ...] = ()
+) -> DataFrame:
     """Values that differ from their form's mode and occur at most ``max_k`` times in it: ``(form, group, pos, axis, value, dev, grade)``.
 
-    PAIRED if a row of the same group at most ``reach`` places away deviates the other way on any axis, else HAPAX.
+    PAIRED if a row of the same group at most ``reach`` places (whole numbers) away deviates from its own form's mode the other way, on any
+    axis and however often; else REVIEW on the axes ``review``, which a tight setting can fake, and HAPAX on others.  Forms with fewer
+    than ``min_n`` rows deviate in nothing.
     """
     long = df.select(form, group, pos, F.explode(F.array(*[F.struct(F.lit(a).alias("axis"), F.col(a).cast("double").alias("value")) for a in axes])).alias("x")).select(form, group, pos, "x.axis", "x.value")
     tally = counts(long, form, "axis", "value")
     w = Window.partitionBy(form, "axis")
     tally = tally.withColumn("_t", F.sum("n").over(w)).withColumn("mode", F.first("value").over(w.orderBy(F.col("n").desc(), "value")))
-    odd = tally.where((F.col("_t") >= min_n) & (F.col("n") <= max_k) & (F.col("value") != F.col("mode"))).select(form, "axis", "value", "mode")
-    dev = long.join(odd, [form, "axis", "value"]).withColumn("dev", F.col("value") - F.col("mode")).drop("mode")
-    other = dev.select(F.col(group).alias("_g"), F.col(pos).alias("_p"), F.signum("dev").alias("_s")).distinct()
-    near = (F.col(group) == F.col("_g")) & (F.abs(F.col(pos) - F.col("_p")) <= reach) & (F.col(pos) != F.col("_p")) & (F.signum("dev") == -F.col("_s"))
+    off = tally.where((F.col("_t") >= min_n) & (F.col("value") != F.col("mode"))).select(form, "axis", "value", "mode", (F.col("n") <= max_k).alias("_rare"))
+    off = long.join(off, [form, "axis", "value"]).withColumn("dev", F.col("value") - F.col("mode")).drop("mode")
+    dev = off.where("_rare").drop("_rare")
+    steps = F.explode(F.array(*[F.lit(k) for k in range(-reach, reach + 1) if k]))
+    other = off.select(F.col(group).alias("_g"), F.col(pos).alias("_at"), steps.alias("_step"), (-F.signum("dev")).alias("_s"))
+    other = other.select("_g", (F.col("_at") + F.col("_step")).alias("_p"), "_s").distinct()
+    near = (F.col(group) == F.col("_g")) & (F.col(pos) == F.col("_p")) & (F.signum("dev") == F.col("_s"))
     paired = dev.join(other, near, "left_semi").withColumn("grade", F.lit("PAIRED"))
-    return paired.unionByName(dev.join(other, near, "left_anti").withColumn("grade", F.lit("HAPAX")))
+    alone = F.when(F.col("axis").isin(*review), "REVIEW").otherwise("HAPAX") if review else F.lit("HAPAX")
+    return paired.unionByName(dev.join(other, near, "left_anti").withColumn("grade", alone))
 
 
 def index_pick(df: DataFrame, group: str | list[str], value: str, index) -> DataFrame:
@@ -196,6 +204,14 @@ def group_summary(df: DataFrame, group: str, key: str, order: str | list[str], d
     return df.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.min_by(key, o).alias("first_key"), F.max_by(key, o).alias("last_key"), F.array_sort(F.collect_set(distinct)).alias("kinds"))
 
 
+def division_map(df: DataFrame, group: str, name: str, value: str, order: str | list[str]) -> DataFrame:
+    """``(group, divisions)``: a map of a group's division names to the first value of each in order; rows with a null name or value
+    name no division, and groups without any have no row."""
+    first = df.where(F.col(name).isNotNull() & F.col(value).isNotNull()).groupBy(group, name).agg(F.min_by(value, F.struct(*cols(order))).alias("_v"))
+    entry = F.struct(F.col(name).alias("k"), F.col("_v").alias("v"))
+    return first.groupBy(group).agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("divisions"))
+
+
 def first_seen(df: DataFrame, key: str | list[str], order: str | list[str], values: list[str]) -> DataFrame:
     """The values of each key's first row in order."""
     k = cols(key)
@@ -211,14 +227,21 @@ def ordered_text(df: DataFrame, group: str, order: list[str], token: str, line:
     return rows.groupBy(group).agg(F.array_join(F.transform(F.array_sort(F.collect_list("_s")), lambda s: s["_t"]), "").alias("text"))
 
 
-def completeness(df: DataFrame, group: str, n: str, expected: DataFrame) -> DataFrame:
-    """Against ``expected (group, n_expected)``: numbers of a group that are duplicate, missing from 1..N or above N."""
-    have = counts(df, group, n, n="_k")
-    agg = have.groupBy(group).agg(F.count_if(F.col("_k") > 1).alias("duplicates"), F.collect_list(n).alias("_got"))
-    j = expected.join(agg, group, "left").withColumn("_got", F.coalesce("_got", F.array().cast(have.select(F.collect_list(n)).schema[0].dataType)))
-    want = F.when(F.col("n_expected") > 0, F.sequence(F.lit(1), F.col("n_expected").cast("int"))).otherwise(F.array().cast("array<int>"))
-    inside = F.size(F.filter(F.array_distinct("_got"), lambda x: (x >= 1) & (x <= F.col("n_expected"))))
-    return j.select(group, F.coalesce("duplicates", F.lit(0)).alias("duplicates"), (F.size(want) - inside).alias("missing"), F.size(F.filter("_got", lambda x: x > F.col("n_expected"))).alias("extra"))
+def completeness(df: DataFrame, group: str, n: str, expected: DataFrame, cut: str | None = None) -> DataFrame:
+    """Against ``expected (group, n_expected[, cut])``: numbers of a group that are duplicate, missing from 1..N or above N.
+
+    Where the boolean column ``cut`` says that the rows may begin late, a group that lacks 1 is ``partial``, and what it misses isn't a gap.
+    With ``cut`` the result has the column ``partial``.  Numbers are counted, never listed: the size of a group doesn't matter.
+    """
+    have = counts(df.where(F.col(n).isNotNull()), group, n, n="_k").join(expected.select(F.col(group).alias("_g"), F.col("n_expected").alias("_e")), F.col(group) == F.col("_g"))
+    agg = have.groupBy(group).agg(
+        F.count_if(F.col("_k") > 1).alias("duplicates"), F.count_if(F.col(n).between(1, F.col("_e"))).alias("_in"), F.count_if(F.col(n) > F.col("_e")).alias("extra"), F.count_if(F.col(n) == 1).alias("_one")
+    )
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+    partial = F.coalesce(F.col(cut), F.lit(False)) & (zero("_one") == 0) & (F.col("n_expected") > 0) & F.col("_in").isNotNull() if cut else F.lit(False)
+    missing = F.when(partial, 0).otherwise(F.greatest(F.col("n_expected").cast("long"), F.lit(0)) - zero("_in"))
+    out = [group, zero("duplicates").alias("duplicates"), missing.alias("missing"), zero("extra").alias("extra")]
+    return expected.join(agg, group, "left").select(*out, *([partial.alias("partial")] if cut else []))
 
 
 def expected_counts(base: DataFrame, adjust: DataFrame, key: str, system: str) -> DataFrame:
@@ -245,6 +268,15 @@ def two_sided_score(df: DataFrame, a: str, b: str, expected: str) -> DataFrame:
     return out.withColumn("verdict", F.when(F.abs(rival - F.col("mean")) < 1e-9, "equal").when(F.col("mean") < rival, "better").otherwise("worse"))
 
 
+def one_sided_keys(df: DataFrame, key: list[str], a: str, b: str, expected: str, factor: float = 1.5) -> DataFrame:
+    """Rows of which exactly one side is more than ``factor`` times off what was expected, either way: ``(key, side, ratio, other)``,
+    ``side`` being the one that is off, with both ratios.  Rows where a side or the expectation isn't above 0 can't be judged."""
+    far = lambda c: F.round(F.abs(F.log(F.col(c) / F.col(expected))), 9) > float(np.log(factor))
+    j = df.where(f"{a} > 0 and {b} > 0 and {expected} > 0").withColumns({"_a": far(a), "_b": far(b)}).where("_a <> _b")
+    ratio = lambda yes, no: F.when(F.col("_a"), F.col(yes)).otherwise(F.col(no)) / F.col(expected)
+    return j.select(*key, F.when(F.col("_a"), "a").otherwise("b").alias("side"), ratio(a, b).alias("ratio"), ratio(b, a).alias("other"))
+
+
 def source_scoreboard(candidates: DataFrame, truth: DataFrame, key: list[str], name: str = "name", n: str = "n") -> DataFrame:
     """Candidate counts (name, key.., n) against truth (key.., n): groups exact, differing and without text, and the rate."""
     c = candidates.select(name, *key, F.col(n).alias("_c"))

@@ -186,6 +186,23 @@ def assign_band(items: DataFrame, bands: DataFrame, group: str, item: list[str],
     return inside.select(*out).unionByName(best(near).select(*out))
 
 
+def assign_band_by_overlap(items: DataFrame, bands: DataFrame, group: str, item: list[str], band: str, own: str | None = None, height: float = 50.0) -> DataFrame:
+    """The band (y0, y1) of a group that an item overlaps most, as ``band``, and the length of the overlap; of equal overlaps the item's
+    ``own`` band wins, then the smaller one.  Items that overlap none have nulls.  Both meet in buckets of ``height``, so a group is never
+    joined with itself whole."""
+    cells = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / height), F.floor(F.col(b) / height)))
+    b = suffixed(bands.where("y0 <= y1")).withColumn("_c2", cells("y02", "y12"))
+    length = F.round(F.least("y1", "y12") - F.greatest("y0", "y02"), 9)
+    met = items.where("y0 <= y1").withColumn("_c", cells("y0", "y1")).join(b, (F.col(group) == F.col(f"{group}2")) & (F.col("_c") == F.col("_c2")))
+    mine = F.coalesce(F.col(own) == F.col(f"{band}2"), F.lit(False)) if own else F.lit(False)
+    best = F.min(F.struct((-length).alias("l"), (~mine).alias("o"), F.col(f"{band}2").alias("b"))).alias("_m")
+    found = met.where(length > 0).groupBy(*[F.col(k).alias(f"_{k}") for k in (group, *item)]).agg(best)
+    on = F.lit(True)
+    for k in (group, *item):
+        on = on & (F.col(k) == F.col(f"_{k}"))
+    return items.join(found, on, "left").select(*items.columns, F.col("_m.b").alias("band"), (-F.col("_m.l")).alias("overlap"))
+
+
 def span_bands(rects: DataFrame, bands: DataFrame, group: str, key: str, band: str, share: float = 0.5, same: float = 2.0, clash: float = 0.3) -> DataFrame:
     """Credit every band a rect covers by more than ``share`` of the smaller height; merge x-spans per (band, key); drop the
     copy of a span in the next band (ends within ``same``) where it clashes with over ``clash`` of its width with another key there."""
@@ -291,18 +308,44 @@ def grid_match_1to1(a: DataFrame, b: DataFrame, group: str, rid: str, tol: float
 
 
 def pair_counterparts(rows: DataFrame, delta: str, group: str, family: str, rid: str, line: str, pos: str, most_gap: float = 3.0) -> DataFrame:
-    """Each surplus row (delta > 0) takes the best deficit of its family and group: (rank, distance, id), with rank 0 same line and
-    adjacent, 1 next line and adjacent, 2 next line with x-overlap above -``most_gap``, 3 same line.  Cross links both ways."""
-    s = rows.where(F.col(delta) > 0)
+    """``(group, family, rid, other, role, rank, distance)``: each surplus row (delta > 0) takes the best deficit of its family and group,
+    and both get a link.
+
+    Ranks: 0 the same line and next in order, 1 the next line and next in order, 2 the next line with an x-overlap above -``most_gap``, 3 the
+    same line.  Of equal ranks the smaller distance in order (``pos``) wins, then the smaller ``pos``, then the smaller id.  Rows meet
+    on a line and its neighbours, never across a group; without a line there is no counterpart, without x no rank 2.
+    """
+    s = rows.where(F.col(delta) > 0).withColumn("_l", F.explode(F.array(*[F.col(line) + k for k in (-1, 0, 1)])))
     d = suffixed(rows.where(F.col(delta) < 0))
-    dl, dp = F.abs(F.col(line) - F.col(f"{line}2")), F.abs(F.col(pos) - F.col(f"{pos}2"))
+    apart = F.abs(F.col(pos) - F.col(f"{pos}2"))
     ov = boxes.overlap(F.col("x0"), F.col("x1"), F.col("x02"), F.col("x12"))
-    rank = F.when((dl == 0) & (dp <= 1), 0).when((dl == 1) & (dp <= 1), 1).when((dl == 1) & (ov > -most_gap), 2).when(dl == 0, 3)
-    j = s.join(d, (F.col(group) == F.col(f"{group}2")) & (F.col(family) == F.col(f"{family}2"))).withColumn("_rank", rank).where("_rank is not null")
-    dist = F.round(boxes.gap(F.col("x0"), F.col("x1"), F.col("x02"), F.col("x12")), 9)
-    best = j.withColumn("_n", F.row_number().over(by(group, family, rid).orderBy("_rank", dist, f"{rid}2"))).where("_n = 1")
-    links = best.select(group, family, F.col(rid).alias("rid"), F.col(f"{rid}2").alias("other"), F.lit("surplus").alias("role"), F.col("_rank").alias("rank"))
-    return links.unionByName(links.select(group, family, F.col("other").alias("rid"), F.col("rid").alias("other"), F.lit("deficit").alias("role"), "rank"))
+    own = F.col("_l") == F.col(line)
+    spans = F.col("x0").isNotNull() & F.col("x1").isNotNull() & F.col("x02").isNotNull() & F.col("x12").isNotNull()
+    rank = F.when(own & (apart == 1), 0).when(~own & (apart == 1), 1).when(~own & spans & (ov > -most_gap), 2).when(own, 3)
+    same = (F.col(group) == F.col(f"{group}2")) & (F.col(family) == F.col(f"{family}2")) & (F.col("_l") == F.col(f"{line}2"))
+    j = s.join(d, same & (F.col(rid) != F.col(f"{rid}2"))).withColumns({"_rank": rank, "_apart": apart}).where("_rank is not null")
+    best = F.min(F.struct(F.col("_rank").alias("rank"), F.col("_apart").alias("distance"), F.col(f"{pos}2").alias("p"), F.col(f"{rid}2").alias("other")))
+    links = j.groupBy(group, family, F.col(rid).alias("rid")).agg(best.alias("_b"))
+    links = links.select(group, family, "rid", "_b.other", F.lit("surplus").alias("role"), "_b.rank", "_b.distance")
+    back = links.select(group, family, F.col("other").alias("rid"), F.col("rid").alias("other"), F.lit("deficit").alias("role"), "rank", "distance")
+    return links.unionByName(back)
+
+
+#: Least p of a clean row with a counterpart (fixed value).
+PAIRED = 0.25
+
+
+def promote_counterparts(scores: DataFrame, links: DataFrame, keys: list[str], family: str, p: str = "p", tier: str = "tier", human: str | None = None) -> DataFrame:
+    """``scores`` with ``pairs``, the families in which a row has a counterpart; clean rows that have one go to review, at p 0.25 at least,
+    unless ``human`` says no-issue.  Other rows keep tier and p; ``pairs`` is empty where there is none."""
+    mine = links.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.array_sort(F.collect_set(family)).alias("pairs"))
+    on = F.lit(True)
+    for k in keys:
+        on = on & (F.col(k) == F.col(f"_{k}"))
+    settled = F.coalesce(F.col(human) == "no-issue", F.lit(False)) if human else F.lit(False)
+    up = F.col("pairs").isNotNull() & (F.col(tier) == "clean") & ~settled
+    out = [F.when(up, F.greatest(F.col(p), F.lit(PAIRED))).otherwise(F.col(p)).alias(p) if c == p else F.when(up, "review").otherwise(F.col(tier)).alias(tier) if c == tier else F.col(c) for c in scores.columns]
+    return scores.join(mine, on, "left").select(*out, F.coalesce("pairs", F.array().cast("array<string>")).alias("pairs"))
 
 
 def nearest_other_line(items: DataFrame, holders: DataFrame, group: str, rid: str, line: str, max_gap: float = 8.0, lead: float = 3.0, own_min: float = 6.0) -> DataFrame:
@@ -374,6 +417,36 @@ def dictionary_match(tokens: DataFrame, terms: DataFrame, key: str, identifier:
     return found
 
 
+#: Severity by rule, the rules that prose may break, and what marks a line to be left out (fixed values).
+SEVERITIES = {
+    "deprecated": "error", "spelling": "error", "arabic_plural": "error", "member": "error", "display_in_code": "warning", "gloss": "warning", "generic": "warning",
+}
+SOFT_IN_PROSE = ("display_in_code", "gloss", "generic")
+GLOSSES = ("gloss", "generic")
+IGNORE_LINE = r"(?i)terminology:\s*ignore"
+IDENTIFIER = r"[A-Za-z][A-Za-z0-9_.\-]*"
+
+
+def scoped_findings(lines: DataFrame, terms: DataFrame, path: str, number: str, line: str, prose: str, gloss_allowed: str | None = None, external: str | None = None) -> DataFrame:
+    """J21 over lines of files: ``(path, number, identifier, term, rule, severity, n)``, a row for each identifier of a line and term in it.
+
+    Lines that carry the ignore mark are left out; names that match the pattern ``external`` are blanked.  In files of ``prose`` display
+    names, glosses and generic words are no findings, and where ``gloss_allowed`` holds glosses and generic words aren't; canonical terms
+    never are.  Rules without a severity are warnings.  Each different identifier is matched once, wherever it stands.
+    """
+    allowed = F.coalesce(F.col(gloss_allowed), F.lit(False)) if gloss_allowed else F.lit(False)
+    text = F.regexp_replace(line, external, " ") if external else F.col(line)
+    live = lines.where(F.col(line).isNotNull() & ~F.col(line).rlike(IGNORE_LINE))
+    found = live.select(path, number, F.coalesce(F.col(prose), F.lit(False)).alias("_prose"), allowed.alias("_allowed"), F.explode(F.regexp_extract_all(text, F.lit(IDENTIFIER), F.lit(0))).alias("identifier"))
+    found = found.groupBy(path, number, "_prose", "_allowed", "identifier").agg(F.count(F.lit(1)).alias("_n"))
+    known = found.select(F.col("identifier").alias("_id")).distinct()
+    hits = dictionary_match(known, terms, "_id", "_id").groupBy("_id", "term", "rule").agg(F.count(F.lit(1)).alias("_k"))
+    j = found.join(hits, F.col("identifier") == F.col("_id")).where("rule <> 'canonical'")
+    j = j.where(~(F.col("_prose") & F.col("rule").isin(*SOFT_IN_PROSE)) & ~(F.col("_allowed") & F.col("rule").isin(*GLOSSES)))
+    severity = F.coalesce(F.create_map(*[F.lit(x) for kv in SEVERITIES.items() for x in kv])[F.col("rule")], F.lit("warning"))
+    return j.select(path, number, "identifier", "term", "rule", severity.alias("severity"), (F.col("_n") * F.col("_k")).alias("n"))
+
+
 def segment_to_interval_guard(items: DataFrame, times: DataFrame, group: str, order: str) -> DataFrame:
     """Join the i-th item of a group to its i-th time only where the counts agree; else one row for the whole group, ``guarded``."""
     def numbered(d: DataFrame) -> DataFrame:

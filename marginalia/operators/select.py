@@ -40,18 +40,20 @@ def parse_key(df: DataFrame, key: str) -> DataFrame:
 
 
 def apply_rules(df: DataFrame, rules: list[dict]) -> DataFrame:
-    """ordered rules ``{id, category, when, note[, chain][, stop]}`` -> one row per rule that fires: ``..., rule, category, note``.
+    """ordered rules ``{id, category, when, note[, fix][, chain][, stop]}`` -> one row per rule that fires: ``..., rule, category, note,
+    proposed_fix`` (null where a rule proposes none; a text or a column).
 
     Rules of one ``chain`` exclude one another in order; once a ``stop`` rule fires, later ones don't.
     """
     stopped, chains, hits = F.lit(False), {}, []
+    fix = lambda f: (f if isinstance(f, Column) else F.lit(f)).cast("string")
     for r in rules:
         fired = F.coalesce(r["when"], F.lit(False)) & ~stopped
         if r.get("chain"):
             before = chains.get(r["chain"], F.lit(False))
             chains[r["chain"]] = before | fired
             fired = fired & ~before
-        hits.append(F.when(fired, F.struct(F.lit(r["id"]).alias("rule"), F.lit(r["category"]).alias("category"), F.lit(r["note"]).alias("note"))))
+        hits.append(F.when(fired, F.struct(F.lit(r["id"]).alias("rule"), F.lit(r["category"]).alias("category"), F.lit(r["note"]).alias("note"), fix(r.get("fix")).alias("proposed_fix"))))
         if r.get("stop"):
             stopped = stopped | fired
     return df.withColumn("_hit", F.explode(F.array_compact(F.array(*hits)))).select(*df.columns, "_hit.*")

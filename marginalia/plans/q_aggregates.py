@@ -58,10 +58,10 @@ def a5_minority_use(t: Tables):
 @query("""WITH x AS (SELECT form, grp, rid AS pos, unnest(['runs','n']) AS axis, unnest([CAST(runs AS DOUBLE), CAST(n AS DOUBLE)]) AS value FROM form),
 c AS (SELECT form, axis, value, count(*) AS k FROM x GROUP BY ALL),
 m AS (SELECT *, sum(k) OVER (PARTITION BY form, axis) AS tot, first_value(value) OVER (PARTITION BY form, axis ORDER BY k DESC, value) AS mode FROM c),
-d AS (SELECT x.*, x.value - m.mode AS dev FROM x JOIN m USING (form, axis, value) WHERE tot >= 20 AND k <= 1 AND value <> mode)
-SELECT form, axis, value, grp, pos, dev, CASE WHEN EXISTS (SELECT 1 FROM d o WHERE o.grp = d.grp AND abs(o.pos - d.pos) <= 2 AND o.pos <> d.pos AND sign(o.dev) = -sign(d.dev)) THEN 'PAIRED' ELSE 'HAPAX' END AS grade FROM d""", "form")
+dd AS (SELECT x.*, x.value - m.mode AS dev, k FROM x JOIN m USING (form, axis, value) WHERE tot >= 20 AND value <> mode), d AS (SELECT * FROM dd WHERE k <= 1)
+SELECT form, axis, value, grp, pos, dev, CASE WHEN EXISTS (SELECT 1 FROM dd o WHERE o.grp = d.grp AND abs(o.pos - d.pos) <= 2 AND o.pos <> d.pos AND sign(o.dev) = -sign(d.dev)) THEN 'PAIRED' WHEN axis = 'runs' THEN 'REVIEW' ELSE 'HAPAX' END AS grade FROM d""", "form")
 def a6_hapax_deviation(t: Tables):
-    return A.hapax_deviation(t.form.withColumnRenamed("rid", "pos"), "form", ["runs", "n"], "grp", "pos").select("form", "axis", "value", "grp", "pos", "dev", "grade")
+    return A.hapax_deviation(t.form.withColumnRenamed("rid", "pos"), "form", ["runs", "n"], "grp", "pos", review=("runs",)).select("form", "axis", "value", "grp", "pos", "dev", "grade")
 
 
 @query(f"SELECT l_partkey, {HI.format('l_extendedprice')} AS median, count(*) AS n FROM lineitem GROUP BY 1 HAVING count(*) >= 10")
@@ -176,6 +176,14 @@ def a15_group_summary(t: Tables):
     return A.group_summary(t.orders, "o_custkey", "o_orderkey", ["o_orderdate", "o_orderkey"], "o_orderstatus").withColumn("kinds", F.array_join("kinds", ","))
 
 
+@query("""WITH f AS (SELECT o_custkey, o_orderstatus AS k, arg_min(o_orderkey, (o_orderdate, o_orderkey)) AS v FROM orders GROUP BY 1, 2)
+SELECT o_custkey, string_agg(k || '=' || v, ',' ORDER BY k) AS divisions FROM f GROUP BY 1""")
+def a15_division_map(t: Tables):
+    d = A.division_map(t.orders, "o_custkey", "o_orderstatus", "o_orderkey", ["o_orderdate", "o_orderkey"])
+    each = F.transform(F.array_sort(F.map_entries("divisions")), lambda e: F.concat_ws("=", e["key"], e["value"]))
+    return d.select("o_custkey", F.array_join(each, ",").alias("divisions"))
+
+
 @query("SELECT user_id, event_type, arg_min(event_id, (ts, event_id)) AS event_id, arg_min(value, (ts, event_id)) AS value FROM events GROUP BY 1, 2")
 def a16_first_seen(t: Tables):
     return A.first_seen(t.events, ["user_id", "event_type"], ["ts", "event_id"], ["event_id", "value"])
@@ -187,6 +195,14 @@ def a17_ordered_text(t: Tables):
     return A.ordered_text(t.tok, "doc_id", ["line_no", "pos"], "token", "line_no").select("doc_id", F.md5("text").alias("digest"))
 
 
+@query("""WITH e AS (SELECT o_orderkey AS l_orderkey, 5 AS n, o_orderstatus = 'P' AS cut FROM orders), c AS (SELECT l_orderkey, l_linenumber AS v, count(*) AS k FROM lineitem GROUP BY 1, 2),
+g AS (SELECT e.l_orderkey, any_value(cut) AS cut, count(v) AS there, count(*) FILTER (k > 1) AS duplicates, 5 - count(*) FILTER (v BETWEEN 1 AND 5) AS missing, count(*) FILTER (v > 5) AS extra, count(*) FILTER (v = 1) AS one FROM e LEFT JOIN c USING (l_orderkey) GROUP BY 1)
+SELECT l_orderkey, duplicates, CASE WHEN cut AND one = 0 AND there > 0 THEN 0 ELSE missing END AS missing, extra, cut AND one = 0 AND there > 0 AS partial FROM g""")
+def a18_partial_groups(t: Tables):
+    expected = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), F.lit(5).alias("n_expected"), (F.col("o_orderstatus") == "P").alias("cut"))
+    return A.completeness(t.lineitem, "l_orderkey", "l_linenumber", expected, cut="cut")
+
+
 @query("""WITH e AS (SELECT o_orderkey AS l_orderkey, 5 AS n FROM orders), c AS (SELECT l_orderkey, l_linenumber AS v, count(*) AS k FROM lineitem GROUP BY 1, 2)
 SELECT e.l_orderkey, count(*) FILTER (k > 1) AS duplicates, 5 - count(*) FILTER (v BETWEEN 1 AND 5) AS missing, count(*) FILTER (v > 5) AS extra FROM e LEFT JOIN c USING (l_orderkey) GROUP BY 1""")
 def a18_completeness(t: Tables):
@@ -211,8 +227,18 @@ l AS (SELECT unnest(['a','b']) AS side, round(unnest([abs(ln(a/e)), abs(ln(b/e))
 s AS (SELECT side, avg(v) AS mean, count(*) FILTER (v > ln(1.5)) AS beyond_15, count(*) FILTER (v > ln(2.0)) AS beyond_2, count(*) AS n, list_sort(list(v))[CAST(least(count(*) - 1, floor(count(*) * 0.9)) AS INT) + 1] AS p90 FROM l GROUP BY 1)
 SELECT side, round(mean, 6) AS mean, beyond_15, beyond_2, n, round(p90, 6) AS p90, CASE WHEN abs(sum(mean) OVER () - 2 * mean) < 1e-9 THEN 'equal' WHEN mean < sum(mean) OVER () - mean THEN 'better' ELSE 'worse' END AS verdict FROM s""")
 def a21_two_sided_score(t: Tables):
-    d = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select((F.col("l_quantity") * F.col("p_retailprice")).alias("e"), F.col("l_extendedprice").alias("a"), (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("b"))
-    return A.two_sided_score(d, "a", "b", "e")
+    return A.two_sided_score(_sides(t), "a", "b", "e")
+
+
+@query("""WITH x AS (SELECT l_orderkey, rid, l_quantity * p_retailprice AS e, l_extendedprice AS a, l_extendedprice * (1 - l_discount) AS b FROM li JOIN part ON l_partkey = p_partkey),
+y AS (SELECT *, round(abs(ln(a / e)), 9) > ln(1.5) AS fa, round(abs(ln(b / e)), 9) > ln(1.5) AS fb FROM x WHERE a > 0 AND b > 0 AND e > 0)
+SELECT l_orderkey, rid, CASE WHEN fa THEN 'a' ELSE 'b' END AS side, round(CASE WHEN fa THEN a ELSE b END / e, 6) AS ratio, round(CASE WHEN fa THEN b ELSE a END / e, 6) AS other FROM y WHERE fa <> fb""", "li")
+def a21_one_sided_keys(t: Tables):
+    return A.one_sided_keys(_sides(t), ["l_orderkey", "rid"], "a", "b", "e")
+
+
+def _sides(t: Tables):
+    return t.li.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select("l_orderkey", "rid", (F.col("l_quantity") * F.col("p_retailprice")).alias("e"), F.col("l_extendedprice").alias("a"), (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("b"))
 
 
 @query("""WITH tr AS (SELECT doc_id, length(text) - length(replace(text, 'e', '')) AS n FROM documents WHERE text IS NOT NULL),

@@ -109,6 +109,15 @@ def j12_assign_band(t: Tables):
     return J.assign_band(t.ivl, bands, "grp", ["rid"], "line", height=4.0).select("grp", "rid", "band", "distance")
 
 
+@query(f"""WITH b AS (SELECT grp, line, min(y0) AS y0, max(y1) AS y1 FROM ivl WHERE fam <> 'R' GROUP BY 1, 2),
+c AS (SELECT a.grp, a.rid, b.line AS band, round({OVY}, 9) AS o, a.line = b.line AS own FROM ivl a JOIN b USING (grp) WHERE round({OVY}, 9) > 0),
+m AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY grp, rid ORDER BY o DESC, own DESC, band) = 1)
+SELECT grp, rid, band, round(o, 6) AS overlap FROM ivl LEFT JOIN m USING (grp, rid)""", "ivl")
+def j12_band_by_overlap(t: Tables):
+    bands = t.ivl.where("fam <> 'R'").groupBy("grp", "line").agg(F.min("y0").alias("y0"), F.max("y1").alias("y1"))
+    return J.assign_band_by_overlap(t.ivl, bands, "grp", ["rid"], "line", own="line", height=8.0).select("grp", "rid", "band", "overlap")
+
+
 @query(f"""WITH b AS (SELECT grp, line AS band, min(y0) AS y0, max(y1) AS y1 FROM ivl GROUP BY 1, 2),
 s AS (SELECT a.grp, b.band, a.owner, min(x0) AS lo, max(x1) AS hi FROM ivl a JOIN b USING (grp) WHERE {OVY} > 0.5 * least(b.y1 - b.y0, a.y1 - a.y0) GROUP BY 1, 2, 3),
 c AS (SELECT *, coalesce(lag(band) OVER w = band - 1 AND abs(lag(lo) OVER w - lo) <= 2 AND abs(lag(hi) OVER w - hi) <= 2, false) AS cp FROM s WINDOW w AS (PARTITION BY grp, owner ORDER BY band))
@@ -124,14 +133,14 @@ def j14_rect_pairs(t: Tables):
 
 
 @query("""WITH r AS (SELECT *, max(x1) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS pv, lead(x0) OVER w AS nx FROM (SELECT grp, rid, x0, x1, floor(y0 / 4) * 4 AS y0, floor(y0 / 4) * 4 + 3 AS y1 FROM ivl) WINDOW w AS (PARTITION BY grp, y0 ORDER BY x0, rid)),
-p AS (SELECT l_orderkey AS grp, rid AS point, l_quantity * 1.3 AS x, l_tax * 120 AS y FROM li WHERE rid % 3 = 0),
+p AS (SELECT l_orderkey AS grp, rid AS point, l_quantity * 1.3 AS x, l_tax * 120 AS y FROM li),
 c AS (SELECT p.grp, p.point, r.rid, round(greatest(y0 - y, y - y1, 0), 9) AS dy, round(greatest(x0 - x, x - x1, 0), 9) AS dx,
   CASE WHEN greatest(x0 - x, x - x1, 0) = 0 OR (x > CASE WHEN pv < x0 THEN pv + 0.6 * (x0 - pv) ELSE '-inf'::DOUBLE END AND x <= CASE WHEN nx > x1 THEN x1 + 0.6 * (nx - x1) ELSE 'inf'::DOUBLE END) THEN 0 ELSE 1 END AS m, sqrt(pow(greatest(x0 - x, x - x1, 0), 2) + pow(greatest(y0 - y, y - y1, 0), 2)) AS d FROM p LEFT JOIN r USING (grp))
 SELECT grp, point, CASE WHEN d <= 12 THEN rid END AS hit, CASE WHEN d <= 12 THEN round(d, 6) END AS distance FROM c QUALIFY row_number() OVER (PARTITION BY grp, point ORDER BY dy, m, dx, rid) = 1""", "li", "ivl")
 def j15_point_in_rect_nearest(t: Tables):
     rows = F.floor(F.col("y0") / 4) * 4.0
     r = t.ivl.select("grp", "rid", "x0", "x1", rows.alias("y0"), (rows + 3).alias("y1"))
-    p = t.li.where("rid % 3 = 0").select(F.col("l_orderkey").alias("grp"), F.col("rid").alias("point"), (F.col("l_quantity") * 1.3).alias("x"), (F.col("l_tax") * 120).alias("y"))
+    p = t.li.select(F.col("l_orderkey").alias("grp"), F.col("rid").alias("point"), (F.col("l_quantity") * 1.3).alias("x"), (F.col("l_tax") * 120).alias("y"))
     return J.point_in_rect_nearest(p, r, "grp", "point", "rid", 12.0, height=8.0)
 
 
@@ -169,14 +178,28 @@ def _surplus(t: Tables):
     return t.ivl.withColumn("delta", F.pmod("owner", F.lit(3)) - 1)
 
 
-@query(f"""WITH s AS (SELECT *, owner % 3 - 1 AS delta FROM ivl),
-c AS (SELECT a.grp, a.fam, a.rid, b.rid AS r2, CASE WHEN a.line = b.line AND abs(a.rid - b.rid) <= 1 THEN 0 WHEN abs(a.line - b.line) = 1 AND abs(a.rid - b.rid) <= 1 THEN 1 WHEN abs(a.line - b.line) = 1 AND {OV} > -3 THEN 2 WHEN a.line = b.line THEN 3 END AS rank, round(greatest(-({OV}), 0), 9) AS d FROM s a JOIN s b ON a.grp = b.grp AND a.fam = b.fam AND a.delta > 0 AND b.delta < 0),
-w AS (SELECT * FROM c WHERE rank IS NOT NULL QUALIFY row_number() OVER (PARTITION BY grp, fam, rid ORDER BY rank, d, r2) = 1)
-SELECT grp, fam, rid, r2 AS other, 'surplus' AS role, CAST(rank AS BIGINT) AS rank FROM w UNION ALL SELECT grp, fam, r2, rid, 'deficit', rank FROM w""", "ivl")
+PAIRS = f"""s AS (SELECT *, owner % 3 - 1 AS delta FROM ivl),
+c AS (SELECT a.grp, a.fam, a.rid, b.rid AS r2, CASE WHEN a.line = b.line AND abs(a.rid - b.rid) = 1 THEN 0 WHEN abs(a.line - b.line) = 1 AND abs(a.rid - b.rid) = 1 THEN 1 WHEN abs(a.line - b.line) = 1 AND {OV} > -3 THEN 2 WHEN a.line = b.line THEN 3 END AS rank, abs(a.rid - b.rid) AS d FROM s a JOIN s b ON a.grp = b.grp AND a.fam = b.fam AND a.delta > 0 AND b.delta < 0),
+w AS (SELECT * FROM c WHERE rank IS NOT NULL QUALIFY row_number() OVER (PARTITION BY grp, fam, rid ORDER BY rank, d, r2) = 1),
+links AS (SELECT grp, fam, rid, r2 AS other, 'surplus' AS role, CAST(rank AS BIGINT) AS rank, d AS distance FROM w UNION ALL SELECT grp, fam, r2, rid, 'deficit', rank, d FROM w)"""
+
+
+@query(f"WITH {PAIRS} SELECT * FROM links", "ivl")
 def j18_pair_counterparts(t: Tables):
     return J.pair_counterparts(_surplus(t), "delta", "grp", "fam", "rid", "line", "rid")
 
 
+@query(f"""WITH {PAIRS}, k AS (SELECT grp, rid, string_agg(DISTINCT fam, ',' ORDER BY fam) AS pairs FROM links GROUP BY 1, 2),
+z AS (SELECT grp, rid, x0 / 100 AS p, CASE WHEN x0 < 20 THEN 'clean' WHEN x0 < 40 THEN 'review' ELSE 'high' END AS tier, CASE WHEN owner % 11 = 0 THEN 'no-issue' END AS human FROM ivl),
+m AS (SELECT z.*, coalesce(pairs, '') AS pairs, pairs IS NOT NULL AND tier = 'clean' AND human IS NULL AS up FROM z LEFT JOIN k USING (grp, rid))
+SELECT grp, rid, round(CASE WHEN up THEN greatest(p, 0.25) ELSE p END, 6) AS p, CASE WHEN up THEN 'review' ELSE tier END AS tier, human, pairs FROM m""", "ivl")
+def j18_promote_counterparts(t: Tables):
+    links = J.pair_counterparts(_surplus(t), "delta", "grp", "fam", "rid", "line", "rid")
+    tier = F.when(F.col("x0") < 20, "clean").when(F.col("x0") < 40, "review").otherwise("high")
+    scores = t.ivl.select("grp", "rid", (F.col("x0") / 100).alias("p"), tier.alias("tier"), F.when(F.col("owner") % 11 == 0, "no-issue").alias("human"))
+    return J.promote_counterparts(scores, links, ["grp", "rid"], "fam", human="human").withColumn("pairs", F.array_join("pairs", ","))
+
+
 @query(f"""WITH n AS (SELECT a.grp, a.rid, round(greatest(-({OVY}), 0) + greatest(-({OV}), 0), 9) AS d, b.rid AS other FROM ivl a JOIN ivl b ON a.grp = b.grp AND abs(a.line - b.line) = 1 AND greatest(-({OV}), 0) <= 8),
 b AS (SELECT grp, rid, min((d, other)) AS m FROM n GROUP BY 1, 2), o AS (SELECT a.grp, a.rid, min(round(greatest(-({OV}), 0) + greatest(-({OVY}), 0), 9)) AS own FROM ivl a JOIN ivl b ON a.grp = b.grp AND a.line = b.line AND a.rid <> b.rid GROUP BY 1, 2)
 SELECT grp, rid, m[2] AS other, round(m[1], 6) + 0.0 AS distance, round(own, 6) AS own FROM b JOIN o USING (grp, rid) WHERE m[1] + 3 < own AND own > 6""", "ivl")
@@ -214,6 +237,21 @@ def j21_dictionary_match(t: Tables):
     return J.dictionary_match(tokens, terms, "key", "ident")
 
 
+@query(r"""WITH l AS (SELECT doc_id, i - 1 AS no, lang = 'en' AS prose, source IS NULL OR length(source) % 2 = 0 AS allowed, ls[i] AS line FROM (SELECT *, string_split(text, chr(10)) AS ls FROM documents), unnest(range(1, len(ls) + 1)) AS u(i)),
+w AS (SELECT doc_id, no, prose, allowed, unnest(regexp_extract_all(line, '[A-Za-z][A-Za-z0-9_.\-]*')) AS identifier FROM l WHERE NOT regexp_matches(line, '(?i)terminology:\s*ignore')),
+g AS (SELECT doc_id, no, prose, allowed, identifier, count(*) AS k FROM w GROUP BY ALL),
+d AS (SELECT identifier, list_filter(string_split_regex(lower(regexp_replace(identifier, '([a-z0-9])([A-Z])', '\1 \2', 'g')), '[_.\-\s]+'), lambda x: x <> '') AS ps FROM (SELECT DISTINCT identifier FROM g)),
+t AS (SELECT * FROM (VALUES ('the', 'gloss'), ('and', 'deprecated'), ('der', 'generic'), ('que', 'canonical'), ('la', 'house')) v(term, rule)),
+h AS (SELECT identifier, term, rule, count(*) AS m FROM (SELECT identifier, unnest(ps) AS part FROM d) JOIN t ON part = term OR part = term || 's' GROUP BY ALL)
+SELECT doc_id, no, identifier, term, rule, CASE rule WHEN 'deprecated' THEN 'error' ELSE 'warning' END AS severity, k * m AS n FROM g JOIN h USING (identifier)
+WHERE rule <> 'canonical' AND NOT (prose AND rule IN ('gloss', 'generic')) AND NOT (allowed AND rule IN ('gloss', 'generic'))""")
+def j21_scoped_findings(t: Tables):
+    """Lines of documents, English ones as prose; glosses are allowed in some sources."""
+    terms = t.spark.createDataFrame([("the", "gloss"), ("and", "deprecated"), ("der", "generic"), ("que", "canonical"), ("la", "house")], "term string, rule string")
+    d = t.documents.select("doc_id", (F.col("lang") == "en").alias("prose"), (F.col("source").isNull() | (F.length("source") % 2 == 0)).alias("allowed"), F.posexplode(F.split("text", "\n")).alias("no", "line"))
+    return J.scoped_findings(d, terms, "doc_id", "no", "line", "prose", "allowed")
+
+
 @query("""WITH a AS (SELECT conv_id, turn AS o, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS i, count(*) OVER (PARTITION BY conv_id) AS n FROM conversations WHERE role = 'user'),
 b AS (SELECT conv_id, turn AS o, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS i, count(*) OVER (PARTITION BY conv_id) AS n FROM conversations WHERE role = 'assistant')
 SELECT conv_id, a.i AS rank, a.o AS item, b.o AS time, 'paired' AS status FROM a JOIN b USING (conv_id, i, n)

@@ -206,16 +206,16 @@ def f3_parse_key(t: Tables):
 
 
 @query("""WITH r AS (SELECT l_orderkey, rid, l_tax > 0.07 AS a, l_quantity > 45 AS b, l_quantity > 40 AS c, l_discount > 0.05 AS d FROM li)
-SELECT l_orderkey, rid, 'R9' AS rule, 'tax' AS category, 'stops' AS note FROM r WHERE a UNION ALL SELECT l_orderkey, rid, 'R1', 'size', 'very large' FROM r WHERE NOT a AND b
-UNION ALL SELECT l_orderkey, rid, 'R2', 'size', 'large' FROM r WHERE NOT a AND NOT b AND c UNION ALL SELECT l_orderkey, rid, 'R4', 'discount', 'deep' FROM r WHERE NOT a AND d""", "li")
+SELECT l_orderkey, rid, 'R9' AS rule, 'tax' AS category, 'stops' AS note, NULL::VARCHAR AS proposed_fix FROM r WHERE a UNION ALL SELECT l_orderkey, rid, 'R1', 'size', 'very large', 'split at ' || rid FROM r WHERE NOT a AND b
+UNION ALL SELECT l_orderkey, rid, 'R2', 'size', 'large', 'look' FROM r WHERE NOT a AND NOT b AND c UNION ALL SELECT l_orderkey, rid, 'R4', 'discount', 'deep', NULL FROM r WHERE NOT a AND d""", "li")
 def f4_apply_rules(t: Tables):
     rules = [
         {"id": "R9", "category": "tax", "when": F.col("l_tax") > 0.07, "note": "stops", "stop": True},
-        {"id": "R1", "category": "size", "when": F.col("l_quantity") > 45, "note": "very large", "chain": "size"},
-        {"id": "R2", "category": "size", "when": F.col("l_quantity") > 40, "note": "large", "chain": "size"},
+        {"id": "R1", "category": "size", "when": F.col("l_quantity") > 45, "note": "very large", "chain": "size", "fix": F.concat(F.lit("split at "), "rid")},
+        {"id": "R2", "category": "size", "when": F.col("l_quantity") > 40, "note": "large", "chain": "size", "fix": "look"},
         {"id": "R4", "category": "discount", "when": F.col("l_discount") > 0.05, "note": "deep"},
     ]
-    return S.apply_rules(t.li, rules).select("l_orderkey", "rid", "rule", "category", "note")
+    return S.apply_rules(t.li, rules).select("l_orderkey", "rid", "rule", "category", "note", "proposed_fix")
 
 
 @query("""WITH d AS (SELECT l_orderkey AS k, CASE WHEN l_returnflag = 'A' THEN 'label' WHEN l_returnflag = 'N' THEN 'dots' ELSE 'shape' END AS f FROM lineitem), g AS (SELECT k, list_sort(list(DISTINCT f)) AS fs FROM d GROUP BY 1)
@@ -313,12 +313,13 @@ def x3_ambiguous_multiset_diff(t: Tables):
     return X.ambiguous_multiset_diff(t.lineitem.select(F.col("l_orderkey").alias("k"), F.col("l_returnflag").alias("t")), t.lineitem.select(F.col("l_orderkey").alias("k"), opts.alias("o")), "k", "t", "o")
 
 
-@query("""WITH b AS (SELECT user_id AS g, event_type AS f FROM events WHERE event_id % 2 = 0 AND user_id % 7 <> 0), c AS (SELECT user_id AS g, event_type AS f FROM events WHERE event_id % 2 = 1 AND user_id % 5 <> 0), cm AS (SELECT g FROM b INTERSECT SELECT g FROM c),
+@query("""WITH b AS (SELECT user_id AS g, event_type AS f FROM events WHERE event_type <> 'error'), c AS (SELECT user_id AS g, event_type AS f FROM events WHERE value > 20), cm AS (SELECT g FROM b INTERSECT SELECT g FROM c),
 j AS (SELECT g, f, count(*) FILTER (s = 0) AS b, count(*) FILTER (s = 1) AS a FROM (SELECT *, 0 AS s FROM b UNION ALL SELECT *, 1 FROM c) WHERE g IN (SELECT g FROM cm) GROUP BY 1, 2), d AS (SELECT *, a - b AS d, sum(a - b) OVER (PARTITION BY g) AS s FROM j)
 SELECT f, CAST(sum(b) AS BIGINT) AS before, CAST(sum(a) AS BIGINT) AS after, CAST(sum(d) AS BIGINT) AS delta, count(*) FILTER (a = 0) AS clean, count(*) FILTER (d > 0 AND s > 0) AS worse_on_sum, count(*) FILTER (d > 0 AND s <= 0) AS worse_on_one FROM d GROUP BY 1""")
 def x4_diff_runs(t: Tables):
-    e = t.events.select(F.col("user_id").alias("g"), F.col("event_type").alias("f"), "event_id")
-    return X.diff_runs(e.where("event_id % 2 = 0 and g % 7 <> 0").drop("event_id"), e.where("event_id % 2 = 1 and g % 5 <> 0").drop("event_id"), "g", "f")
+    """A run that doesn't know errors against one that only knows large values."""
+    e = t.events.select(F.col("user_id").alias("g"), F.col("event_type").alias("f"), "value")
+    return X.diff_runs(e.where("f <> 'error'").drop("value"), e.where("value > 20").drop("value"), "g", "f")
 
 
 @query("""WITH a AS (SELECT p_partkey AS k, md5(p_name) AS h FROM part WHERE p_partkey % 10 <> 1), b AS (SELECT p_partkey AS k, md5(CASE WHEN p_size = 3 THEN upper(p_name) ELSE p_name END) AS h FROM part WHERE p_partkey % 10 <> 2)
