@@ -4,6 +4,9 @@ First the family: one-versus-one linear support vector machines between language
 one-versus-one machines between the languages of that family only.  Features are shares of hashed character n-grams of
 the words and of the words themselves, so a margin is a sum over words; n-grams are hashed by numpy, over the distinct
 words of some MB of text at once.
+
+Languages that no table names are put into families by their samples, about as many families as each has members, so machines
+grow with the power 1.5 of the languages and not with their square.
 """
 
 from __future__ import annotations
@@ -22,6 +25,10 @@ from .common import fold, stored, table
 
 #: Hashed features, and rows of each language to learn from, at most about.
 DIMS, ROWS = 4096, 800
+#: Rows of a family that the machines between families learn from, at most about; machines trained in a task.
+FAMILY_ROWS, MACHINES = 3 * ROWS, 64
+#: So many languages without a family are families of their own; more are put into families by likeness.
+LONERS = 8
 #: Characters of text worked on at once, at most about.
 SLICE = 4 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -46,6 +53,23 @@ def family(lang: str) -> str:
     return _FAMILY.get(lang.split("-")[0].split("_")[0].lower(), lang)
 
 
+def likened(langs: list[str], centres: np.ndarray) -> dict[str, str]:
+    """Families of about the root of their number for languages without one: seeds far from one another, the most alike pairs of language
+    and seed first, and no family above its share."""
+    unit = centres / np.maximum(np.linalg.norm(centres, axis=1, keepdims=True), 1e-12)
+    count = int(np.ceil(np.sqrt(len(langs))))
+    seeds = [0]
+    while len(seeds) < count:
+        seeds.append(int((unit @ unit[seeds].T).max(1).argmin()))
+    alike, room, home = unit @ unit[seeds].T, [-(-len(langs) // count)] * count, {}
+    for at in np.argsort(-alike, axis=None, kind="stable").tolist():
+        lang, seed = langs[at // count], at % count
+        if lang not in home and room[seed]:
+            home[lang] = f"like {langs[seeds[seed]]}"
+            room[seed] -= 1
+    return home
+
+
 def _bucket(h: np.ndarray) -> np.ndarray:
     """Polynomial hashes, mixed down to 0..DIMS-1."""
     h = (h ^ h >> np.uint64(33)) * np.uint64(0xFF51AFD7ED558CCD)
@@ -83,8 +107,9 @@ def _words(text: str | None) -> list[str]:
 
 
 def _sample(batches):
+    """``lang, at, x``: the features a text has (two bytes each) and their shares, so a row is as long as its text has features."""
     for batch in batches:
-        rows = []
+        at, rows = [], []
         for t in batch.column(1):
             words = Counter(_words(t.as_py()))
             times = np.fromiter(words.values(), float, len(words))
@@ -92,9 +117,22 @@ def _sample(batches):
             counts = np.bincount(whole, times, DIMS + 1)
             for g in grams:
                 counts += np.bincount(g, np.repeat(times, np.diff(np.append(starts, grams.shape[1]))), DIMS + 1)
-            total = times @ sizes
-            rows.append((counts[:DIMS] / total).astype(np.float32).tobytes() if total else None)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], names=["lang", "x"])
+            total, some = times @ sizes, np.flatnonzero(counts[:DIMS])
+            at.append(some.astype(np.uint16).tobytes() if total else None)
+            rows.append((counts[some] / total).astype(np.float32).tobytes() if total else None)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(at, pa.binary()), pa.array(rows, pa.binary())], names=["lang", "at", "x"])
+
+
+def dense(at: list[bytes], x: list[bytes]) -> np.ndarray:
+    out = np.zeros((len(x), DIMS), np.float32)
+    for k, (i, v) in enumerate(zip(at, x)):
+        out[k, np.frombuffer(i, np.uint16)] = np.frombuffer(v, np.float32)
+    return out
+
+
+def _centre(rows: pa.Table) -> pa.Table:
+    mean = dense(rows.column("at").to_pylist(), rows.column("x").to_pylist()).mean(0, dtype=np.float64)
+    return pa.table({"lang": rows.column("lang")[:1], "centre": pa.array([mean.astype(np.float32).tobytes()], pa.binary())})
 
 
 def train_svm(x: np.ndarray, y: np.ndarray, rounds: int = 150, c: float = 10.0) -> tuple[np.ndarray, float]:
@@ -113,27 +151,42 @@ def train_svm(x: np.ndarray, y: np.ndarray, rounds: int = 150, c: float = 10.0)
     return w * scale, float(b)
 
 
-def duels(langs: list[str]) -> list[tuple[str, str, str]]:
+def duels(langs: list[str], homes: dict[str, str] | None = None) -> list[tuple[str, str, str]]:
     """``(level, a, b)`` of every machine: families at level "" first, then the languages of one family."""
-    families = sorted({family(v) for v in langs})
-    levels = [("", families), *((f, sorted(v for v in langs if family(v) == f)) for f in families)]
+    home = lambda v: (homes or {}).get(v) or family(v)
+    families = sorted({home(v) for v in langs})
+    levels = [("", families), *((f, sorted(v for v in langs if home(v) == f)) for f in families)]
     return [(level, a, b) for level, groups in levels for a, b in combinations(groups, 2)]
 
 
-def _train(rows: pa.Table) -> pa.Table:
-    """One machine from its rows ``machine, side, x``; their order doesn't matter."""
-    order = sorted(zip(rows.column("side").to_pylist(), rows.column("x").to_pylist()))
-    x = np.frombuffer(b"".join(b for _, b in order), np.float32).reshape(len(order), DIMS)
-    w, b = train_svm(x, np.array([s for s, _ in order], np.float32))
-    return pa.table({"machine": rows.column("machine")[:1], "w": pa.array([w.astype(np.float64).tobytes()], pa.binary()), "b": pa.array([b], pa.float64())})
+def _trainer(tasks: dict[int, list[tuple[int, str, str]]]):
+    """The machines ``(number, group, group)`` of one task from its rows ``task, side_of, at, x``; the order of rows doesn't matter."""
+
+    def train(rows: pa.Table) -> pa.Table:
+        groups: dict[str, list[tuple[bytes, bytes]]] = {}
+        for g, at, x in zip(*(rows.column(c).to_pylist() for c in ("side_of", "at", "x"))):
+            groups.setdefault(g, []).append((at, x))
+        number, weights, bias = [], [], []
+        for k, a, b in tasks[rows.column("task")[0].as_py()]:
+            # In the order of the whole rows, whatever task they come from.
+            sides = [(side, dense(*zip(*groups[g]))) for side, g in ((-1.0, b), (1.0, a)) if g in groups]
+            x = np.concatenate([m[sorted(range(len(m)), key=lambda i, m=m: m[i].tobytes())] for _, m in sides])
+            w, c = train_svm(x, np.concatenate([np.full(len(m), side, np.float32) for side, m in sides]))
+            number.append(k)
+            weights.append(w.astype(np.float64).tobytes())
+            bias.append(c)
+        return pa.table({"machine": pa.array(number, pa.int32()), "w": pa.array(weights, pa.binary()), "b": pa.array(bias, pa.float64())})
+
+    return train
 
 
 class Model:
     """All machines side by side: ``weights`` (DIMS + 1, machines; the last row is zero) and ``bias``, in the order of ``duels``."""
 
-    def __init__(self, langs: list[str], weights: np.ndarray, bias: np.ndarray):
-        self.langs, self.families = sorted(langs), sorted({family(v) for v in langs})
-        self.machines = {d: k for k, d in enumerate(duels(self.langs))}
+    def __init__(self, langs: list[str], weights: np.ndarray, bias: np.ndarray, homes: dict[str, str] | None = None):
+        self.langs, self.homes = sorted(langs), {v: (homes or {}).get(v) or family(v) for v in langs}
+        self.families = sorted(set(self.homes.values()))
+        self.machines = {d: k for k, d in enumerate(duels(self.langs, self.homes))}
         self.weights, self.bias = np.vstack([weights, np.zeros((1, weights.shape[1]))]), bias
 
     def choose(self, level: str, groups: list[str], margins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -152,7 +205,7 @@ class Model:
         home, score = self.choose("", self.families, margins)
         langs = np.empty(len(margins), object)
         for k, f in enumerate(self.families):
-            mine, members = home == k, [v for v in self.langs if family(v) == f]
+            mine, members = home == k, [v for v in self.langs if self.homes[v] == f]
             best, share = self.choose(f, members, margins[mine])
             langs[mine] = np.array(members, object)[best]
             score[mine] *= share
@@ -174,7 +227,8 @@ class Model:
 def fit(docs: DataFrame, learn, rows: int = ROWS) -> Model | None:
     """Fit on rows where ``learn`` holds and neither text nor lang is null; about ``rows`` of each language, picked by hash.
 
-    Every machine is trained in a task of its own, from the sample of its two sides; only weights come to the driver.
+    Up to ``MACHINES`` machines of a level are trained in a task, from one copy of the samples of their groups, so a sample is sent as often
+    as its levels have tasks; only weights, and centres of languages without a family, come to the driver.
     """
     spark = docs.sparkSession
     usable = docs.where(learn & F.col("text").isNotNull() & F.col("lang").isNotNull()).select("doc_id", "lang", "text")
@@ -184,22 +238,43 @@ def fit(docs: DataFrame, learn, rows: int = ROWS) -> Model | None:
     dice = F.pmod(F.xxhash64("doc_id", F.lit("langid")), F.lit(1 << 30)) / float(1 << 30)
     rate = F.create_map(*[F.lit(v) for lang, n in sorted(counts.items()) for v in (lang, min(1.0, rows / n))])
     picked = usable.where(dice < rate[F.col("lang")]).select("lang", "text")
-    sample = stored(picked.mapInArrow(_sample, "lang string, x binary").where("x is not null"), "langid-sample")
-    langs = sorted(r["lang"] for r in sample.select("lang").distinct().collect())
+    sample = stored(picked.mapInArrow(_sample, "lang string, at binary, x binary").where("x is not null"), "langid-sample")
+    drawn = {r["lang"]: r["count"] for r in sample.groupBy("lang").count().collect()}
+    langs = sorted(drawn)
     if not langs:
         return None
-    machines = duels(langs)
+    homes, alone = {v: family(v) for v in langs}, [v for v in langs if family(v) == v]
+    if len(alone) > LONERS:
+        found = sample.where(F.col("lang").isin(alone)).groupBy("lang").applyInArrow(_centre, "lang string, centre binary").collect()
+        centres = {r.lang: np.frombuffer(r.centre, np.float32) for r in found}
+        homes |= likened(alone, np.stack([centres[v] for v in alone]).astype(float))
+    machines = duels(langs, homes)
     if not machines:
-        return Model(langs, np.zeros((DIMS, 0)), np.zeros(0))
-    sides = [
-        (k, lang, side) for k, (level, *pair) in enumerate(machines) for side, group in zip((1, -1), pair)
-        for lang in langs if (lang if level else family(lang)) == group
-    ]
-    # One row per machine and language: bounded by the languages, whatever the input.
-    drawn = sample.join(F.broadcast(spark.createDataFrame(sides, "machine int, lang string, side int")), "lang")
-    found = drawn.select("machine", "side", "x").groupBy("machine").applyInArrow(_train, "machine int, w binary, b double")
-    trained = sorted(found.collect(), key=lambda r: r.machine)
-    return Model(langs, np.stack([np.frombuffer(r.w, np.float64) for r in trained], 1), np.array([r.b for r in trained]))
+        return Model(langs, np.zeros((DIMS, 0)), np.zeros(0), homes)
+    tasks: dict[int, list[tuple[int, str, str]]] = {}
+    task, last = -1, None
+    for k, (level, a, b) in enumerate(machines):
+        if level != last or len(tasks[task]) == MACHINES:
+            task, last = task + 1, level
+        tasks.setdefault(task, []).append((k, a, b))
+    size = Counter()
+    for v in langs:
+        size[homes[v]] += drawn[v]
+    needs = []
+    for task, own in tasks.items():
+        level, groups = machines[own[0][0]][0], {g for _, *pair in own for g in pair}
+        for v in langs:
+            group, share = (v, 1.0) if level else (homes[v], min(1.0, FAMILY_ROWS / size[homes[v]]))
+            if group in groups:
+                needs.append((v, task, group, share))
+    # A row for each language and task it is needed in: bounded by the languages, whatever the input.
+    needs = F.broadcast(spark.createDataFrame(needs, "lang string, task int, side_of string, share double"))
+    again = F.pmod(F.xxhash64("x", F.lit("family")), F.lit(1 << 30)) / float(1 << 30)
+    sent = sample.join(needs, "lang").where((F.col("share") >= 1) | (again < F.col("share"))).select("task", "side_of", "at", "x")
+    trained = sent.groupBy("task").applyInArrow(_trainer(tasks), "machine int, w binary, b double").collect()
+    trained = {r.machine: (np.frombuffer(r.w, np.float64), r.b) for r in trained}
+    order = range(len(machines))
+    return Model(langs, np.stack([trained[k][0] for k in order], 1), np.array([trained[k][1] for k in order]), homes)
 
 
 def identify(docs: DataFrame, model: Model | None, text: str = "text", pred: str = "lang_pred", score: str = "score") -> DataFrame:

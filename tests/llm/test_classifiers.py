@@ -78,7 +78,7 @@ def plain_predict(model, text):
         return best, np.exp(total[best]) / sum(np.exp(v) for v in total.values())
 
     f, p = choose("", model.families)
-    lang, q = choose(f, [v for v in model.langs if langid.family(v) == f])
+    lang, q = choose(f, [v for v in model.langs if model.homes[v] == f])
     return lang, p * q
 
 
@@ -106,6 +106,35 @@ def test_families():
     assert langid.family("de-AT") == langid.family("en") == "germanic" and langid.family("fr") == "romance" and langid.family("tlh") == "tlh"
 
 
+def test_a_hundred_languages_without_a_family(spark):
+    rng = random.Random(12)
+    syllable = lambda: "".join(rng.choice(c) for c in ("bcdfghklmnprstvz", "aeiouy", "lmnrst"))
+    roots = [[syllable() for _ in range(12)] for _ in range(10)]  # shared by ten languages each
+    rows = []
+    for n in range(100):
+        own = roots[n % 10] + [syllable() for _ in range(12)]
+        for _ in range(12):
+            rows.append((len(rows), " ".join("".join(rng.choice(own) for _ in range(rng.randrange(1, 4))) for _ in range(60)), f"x{n:02d}", "s", 1))
+    d = spark.createDataFrame(rows, DOCS)
+    model = langid.fit(d, F.col("doc_id") % 4 != 0)
+    sizes = [sum(h == f for h in model.homes.values()) for f in model.families]
+    assert len(model.families) == 10 and max(sizes) == 10 and len(model.machines) == 45 + 10 * 45 == model.weights.shape[1]
+    got = {r.doc_id: r.lang_pred for r in langid.identify(d.where("doc_id % 4 = 0").select("doc_id", "text"), model).collect()}
+    assert np.mean([got[r[0]] == r[2] for r in rows if r[0] % 4 == 0]) > 0.9
+
+
+def test_samples_are_sparse_and_likeness_is_bounded():
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_arrays([pa.array(["en", "en"]), pa.array(["the house the", None])], names=["lang", "text"])
+    (out,) = langid._sample([batch])
+    assert out.column("x")[1].as_py() is None and len(out.column("at")[0].as_py()) < 100
+    x = langid.dense([out.column("at")[0].as_py()], [out.column("x")[0].as_py()])
+    assert x.shape == (1, langid.DIMS) and x.sum() == pytest.approx(1, abs=1e-5)
+    homes = langid.likened([f"l{k}" for k in range(23)], np.random.default_rng(0).random((23, 8)))
+    assert len(homes) == 23 and len(set(homes.values())) == 5 and max(list(homes.values()).count(h) for h in homes.values()) <= 5
+
+
 @pytest.fixture(scope="module")
 def toxic(spark, texts):
     rng, rows = texts
