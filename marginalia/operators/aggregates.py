@@ -287,6 +287,41 @@ def source_scoreboard(candidates: DataFrame, truth: DataFrame, key: list[str], n
     return g.select(name, "exact", "differs", (F.lit(tot) - F.col("_m")).alias("no_text"), (F.col("exact") / F.greatest(F.col("exact") + F.col("differs"), F.lit(1))).alias("rate"))
 
 
+def composite_text(main: Column, other: Column, letters: str) -> Column:
+    """A candidate of two sources: ``main`` without the characters of the class ``letters``, then those of ``other``."""
+    return F.concat(F.regexp_replace(main, f"[{letters}]", ""), F.regexp_replace(F.coalesce(other, F.lit("")), f"[^{letters}]", ""))
+
+
+def family_errors(candidates: DataFrame, truth: DataFrame, key: list[str], families: dict[str, str], name: str = "name", text: str = "text") -> DataFrame:
+    """``name, key, text, truth, errors`` of every candidate text (name, key.., text) whose key the truth (key.., text) has: ``errors`` is an
+    array of (family, got, want), empty where all families, character classes by name, occur equally often.  Empty texts are left out."""
+    tally = lambda c: F.array(*[F.regexp_count(c, F.lit(f"[{letters}]")) for letters in families.values()])
+    c = candidates.where(F.length(text) > 0).select(name, *key, F.col(text).alias("text"), tally(F.col(text)).alias("_got"))
+    w = truth.where(F.col(text).isNotNull()).select(*[F.col(k).alias(f"_{k}") for k in key], F.col(text).alias("truth"), tally(F.col(text)).alias("_want"))
+    on = F.lit(True)
+    for k in key:
+        on = on & (F.col(k) == F.col(f"_{k}"))
+    one = lambda i, f: F.when(F.col("_got")[i] != F.col("_want")[i], F.struct(F.lit(f).alias("family"), F.col("_got")[i].alias("got"), F.col("_want")[i].alias("want")))
+    errors = F.array_compact(F.array(*[one(i, f) for i, f in enumerate(families)]))
+    return c.join(w, on).select(name, *key, "text", "truth", errors.alias("errors"))
+
+
+def family_scoreboard(errors: DataFrame, truth: DataFrame, families: dict[str, str], name: str = "name", text: str = "text") -> DataFrame:
+    """From ``family_errors``, per candidate ``name, exact, differs, no_text, rate`` and a column for each family: texts it goes wrong in."""
+    total = truth.where(F.col(text).isNotNull()).count()
+    wrong = [F.count_if(F.array_contains("errors.family", f)).alias(f) for f in families]
+    same = F.size("errors") == 0
+    g = errors.groupBy(name).agg(F.count_if(same).alias("exact"), F.count_if(~same).alias("differs"), *wrong)
+    seen = F.col("exact") + F.col("differs")
+    return g.select(name, "exact", "differs", (F.lit(total) - seen).alias("no_text"), (F.col("exact") / F.greatest(seen, F.lit(1))).alias("rate"), *families)
+
+
+def family_examples(errors: DataFrame, key: list[str], most: int = 40, name: str = "name") -> DataFrame:
+    """The first ``most`` texts, by key, of each candidate and family that it gets wrong: ``name, family, key, text, truth, got, want``."""
+    e = errors.withColumn("_e", F.explode("errors")).select(name, "_e.family", *key, "text", "truth", "_e.got", "_e.want")
+    return e.withColumn("_n", F.row_number().over(Window.partitionBy(name, "family").orderBy(*key))).where(F.col("_n") <= most).drop("_n")
+
+
 def confusion_by_split(df: DataFrame, flag: Column, stratum: Column) -> DataFrame:
     """Defect rate inside and outside a stratum, and the lift."""
     hit, inside = F.coalesce(flag, F.lit(False)), F.coalesce(stratum, F.lit(False))

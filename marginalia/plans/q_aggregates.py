@@ -255,6 +255,36 @@ def a22_source_scoreboard(t: Tables):
     return A.source_scoreboard(cands, d.select("doc_id", n(F.col("text"))), ["doc_id"])
 
 
+CLASSES = {"vowels": "aeiou", "accents": "éèêë", "stops": ".!?", "capitals": "A-Z"}
+CLASS_SQL = """tr AS (SELECT doc_id, text AS t FROM documents WHERE text IS NOT NULL),
+c AS (SELECT 'lower' AS name, doc_id, lower(t) AS x FROM tr UNION ALL SELECT 'plain', doc_id, translate(t, 'éèêë', 'eeee') FROM tr JOIN (SELECT DISTINCT doc_id FROM labels) USING (doc_id)
+  UNION ALL SELECT 'mixed', doc_id, regexp_replace(lower(t), '[A-Z]', '', 'g') || regexp_replace(t, '[^A-Z]', '', 'g') FROM tr),
+k AS (SELECT name, c.doc_id, u.f AS family, length(regexp_replace(x, u.neg, '', 'g')) AS got, length(regexp_replace(t, u.neg, '', 'g')) AS want FROM c JOIN tr USING (doc_id),
+  (VALUES ('vowels', '[^aeiou]'), ('accents', '[^éèêë]'), ('stops', '[^.!?]'), ('capitals', '[^A-Z]')) u(f, neg) WHERE x <> '')"""
+
+
+def _candidates(t: Tables):
+    d = t.documents.where("text is not null").select("doc_id", "text")
+    labelled = d.join(t.labels.select("doc_id").distinct(), "doc_id", "left_semi")
+    of = lambda n, rows, c: rows.select(F.lit(n).alias("name"), "doc_id", c.alias("text"))
+    c = of("lower", d, F.lower("text")).unionByName(of("plain", labelled, F.translate("text", "éèêë", "eeee")))
+    return d, c.unionByName(of("mixed", d, A.composite_text(F.lower("text"), F.col("text"), "A-Z")))
+
+
+@query(f"""WITH {CLASS_SQL}, g AS (SELECT name, doc_id, bool_and(got = want) AS same, bool_or(family = 'vowels' AND got <> want) AS v, bool_or(family = 'accents' AND got <> want) AS a, bool_or(family = 'stops' AND got <> want) AS s, bool_or(family = 'capitals' AND got <> want) AS cap FROM k GROUP BY 1, 2)
+SELECT name, count(*) FILTER (same) AS exact, count(*) FILTER (NOT same) AS differs, (SELECT count(*) FROM tr) - count(*) AS no_text, round(count(*) FILTER (same) / count(*), 6) AS rate,
+  count(*) FILTER (v) AS vowels, count(*) FILTER (a) AS accents, count(*) FILTER (s) AS stops, count(*) FILTER (cap) AS capitals FROM g GROUP BY 1""")
+def a22_family_scoreboard(t: Tables):
+    truth, candidates = _candidates(t)
+    return A.family_scoreboard(A.family_errors(candidates, truth, ["doc_id"], CLASSES), truth, CLASSES)
+
+
+@query(f"WITH {CLASS_SQL} SELECT name, family, doc_id, got, want FROM k WHERE got <> want QUALIFY row_number() OVER (PARTITION BY name, family ORDER BY doc_id) <= 40")
+def a22_family_examples(t: Tables):
+    truth, candidates = _candidates(t)
+    return A.family_examples(A.family_errors(candidates, truth, ["doc_id"], CLASSES), ["doc_id"]).drop("text", "truth")
+
+
 @query("""SELECT *, round(k_in / n_in, 6) AS rate_in, round(k_out / n_out, 6) AS rate_out, round((k_in / n_in) / (k_out / n_out), 6) AS lift FROM (SELECT count(*) FILTER (l_quantity > 40) AS n_in, count(*) FILTER (NOT l_quantity > 40) AS n_out, count(*) FILTER (l_quantity > 40 AND l_returnflag = 'R') AS k_in, count(*) FILTER (NOT l_quantity > 40 AND l_returnflag = 'R') AS k_out FROM lineitem)""")
 def a23_confusion_by_split(t: Tables):
     return A.confusion_by_split(t.lineitem, F.col("l_returnflag") == "R", F.col("l_quantity") > 40)

@@ -74,3 +74,13 @@ def test_rules_propose_fixes(spark):
     d = spark.createDataFrame([(1, 5), (2, 50)], "id long, v long")
     rules = [{"id": "A", "category": "c", "when": F.col("v") > 10, "note": "big", "fix": F.concat(F.lit("halve "), "id")}, {"id": "B", "category": "c", "when": F.lit(True), "note": "any", "fix": "look"}, {"id": "C", "category": "c", "when": F.lit(True), "note": "none"}]
     assert rows(S.apply_rules(d, rules).select("id", "rule", "proposed_fix")) == [(1, "B", "look"), (1, "C", None), (2, "A", "halve 2"), (2, "B", "look"), (2, "C", None)]
+
+
+def test_scoreboard_by_family(spark):
+    families = {"a": "a", "dots": ".!"}
+    truth = spark.createDataFrame([(1, "aa."), (2, "b!"), (3, "a"), (4, None)], "k long, text string")
+    texts = [("x", 1, "aa!"), ("x", 2, "b"), ("x", 3, ""), ("y", 1, "a."), ("y", 2, "ab"), ("y", 3, "a"), ("y", 4, "a"), ("y", 9, "a")]
+    errors = A.family_errors(spark.createDataFrame(texts, "name string, k long, text string"), truth, ["k"], families)
+    assert rows(A.family_scoreboard(errors, truth, families)) == [("x", 1, 1, 1, 0.5, 0, 1), ("y", 1, 2, 0, 1 / 3, 2, 1)]
+    assert rows(A.family_examples(errors, ["k"], most=1).select("name", "family", "k", "got", "want")) == [("x", "dots", 2, 0, 1), ("y", "a", 1, 1, 2), ("y", "dots", 2, 0, 1)]
+    assert spark.range(1).select(A.composite_text(F.lit("a.b!"), F.lit("!c?"), ".!?")).first()[0] == "ab!?"
