@@ -216,11 +216,12 @@ def min_label_components(edges: DataFrame, nodes: DataFrame, rounds: int = 40) -
     raise RuntimeError(f"components didn't settle in {rounds} rounds")
 
 
-def connected(df: DataFrame, group: str, rid: str, eps: float, weight: str | None = None, label: str | None = None) -> DataFrame:
-    """Components of a group's boxes that come closer than ``eps`` on both axes, transitively; with the label of largest weight."""
+def connected(df: DataFrame, group: str, rid: str, eps: float, weight: str | None = None, label: str | None = None, cell: float | None = None) -> DataFrame:
+    """Components of a group's boxes that come closer than ``eps`` on both axes, transitively; with the label of largest weight.
+    ``cell``, for large groups: boxes meet in cells of that size."""
     grown = df.withColumns({"x0": F.col("x0") - eps / 2, "x1": F.col("x1") + eps / 2, "y0": F.col("y0") - eps / 2, "y1": F.col("y1") + eps / 2})
     name = F.struct(F.col(group).alias("g"), F.col(rid).alias("r"))
-    pairs = rect_pairs(grown.withColumn("_own", F.col(rid)), group, rid, "_own", 0.0)
+    pairs = rect_pairs(grown.withColumn("_own", F.col(rid)), group, rid, "_own", 0.0, cell=cell)
     edges = pairs.select(F.struct(F.col(group).alias("g"), F.col(rid).alias("r")).alias("a"), F.struct(F.col(group).alias("g"), F.col(f"{rid}2").alias("r")).alias("b"))
     found = min_label_components(edges, df.select(name.alias("v"))).select(F.col("v.g").alias(group), F.col("v.r").alias(rid), F.col("component.r").alias("component"))
     if not weight:

@@ -203,12 +203,17 @@ def assign_band_by_overlap(items: DataFrame, bands: DataFrame, group: str, item:
     return items.join(found, on, "left").select(*items.columns, F.col("_m.b").alias("band"), (-F.col("_m.l")).alias("overlap"))
 
 
-def span_bands(rects: DataFrame, bands: DataFrame, group: str, key: str, band: str, share: float = 0.5, same: float = 2.0, clash: float = 0.3) -> DataFrame:
+def span_bands(rects: DataFrame, bands: DataFrame, group: str, key: str, band: str, share: float = 0.5, same: float = 2.0, clash: float = 0.3, height: float | None = None) -> DataFrame:
     """Credit every band a rect covers by more than ``share`` of the smaller height; merge x-spans per (band, key); drop the
-    copy of a span in the next band (ends within ``same``) where it clashes with over ``clash`` of its width with another key there."""
-    b = suffixed(bands)
+    copy of a span in the next band (ends within ``same``) where it clashes with over ``clash`` of its width with another key there.
+    ``height``, for groups of many bands: rects meet bands in buckets of that height."""
+    b, near = suffixed(bands), F.lit(True)
+    if height:
+        cells = lambda a, z: F.explode(F.sequence(F.floor(F.col(a) / height), F.floor(F.col(z) / height)))
+        # A pair that shares several buckets comes several times, which changes no least or largest end.
+        rects, b, near = rects.where("y0 <= y1").withColumn("_c", cells("y0", "y1")), b.where("y02 <= y12").withColumn("_c2", cells("y02", "y12")), F.col("_c") == F.col("_c2")
     ov = boxes.overlap(F.col("y0"), F.col("y1"), F.col("y02"), F.col("y12"))
-    hit = rects.join(b, (F.col(group) == F.col(f"{group}2")) & (ov > share * F.least(F.col("y12") - F.col("y02"), F.col("y1") - F.col("y0"))))
+    hit = rects.join(b, (F.col(group) == F.col(f"{group}2")) & near & (ov > share * F.least(F.col("y12") - F.col("y02"), F.col("y1") - F.col("y0"))))
     spans = hit.groupBy(group, F.col(f"{band}2").alias("band"), key).agg(F.min("x0").alias("lo"), F.max("x1").alias("hi"))
     w = by(group, key).orderBy("band")
     copy = (F.lag("band").over(w) == F.col("band") - 1) & (F.abs(F.lag("lo").over(w) - F.col("lo")) <= same) & (F.abs(F.lag("hi").over(w) - F.col("hi")) <= same)

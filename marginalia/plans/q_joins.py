@@ -124,7 +124,7 @@ c AS (SELECT *, coalesce(lag(band) OVER w = band - 1 AND abs(lag(lo) OVER w - lo
 SELECT grp, band, owner, lo, hi FROM c WHERE NOT cp OR NOT EXISTS (SELECT 1 FROM c r WHERE NOT r.cp AND r.grp = c.grp AND r.band = c.band AND r.owner <> c.owner AND least(r.hi, c.hi) - greatest(r.lo, c.lo) > 0.3 * (c.hi - c.lo))""", "ivl")
 def j13_span_bands(t: Tables):
     bands = t.ivl.groupBy("grp", F.col("line").alias("band")).agg(F.min("y0").alias("y0"), F.max("y1").alias("y1"))
-    return J.span_bands(t.ivl, bands, "grp", "owner", "band")
+    return J.span_bands(t.ivl, bands, "grp", "owner", "band", height=8.0)
 
 
 @query(f"SELECT a.grp, a.rid, b.rid AS rid2, a.owner, b.owner AS owner2, round(({OV}) * ({OVY}), 6) AS area FROM ivl a JOIN ivl b ON a.grp = b.grp AND a.rid < b.rid AND a.owner <> b.owner AND {OV} > 0.05 AND {OVY} > 0.05", "ivl")
