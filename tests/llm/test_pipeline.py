@@ -22,5 +22,5 @@ def test_stages_over_the_smallest_tables(spark):
 def test_queries_are_registered():
     import __spark_entry__
 
-    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n.split("_")[0][2:]) for n in QUERIES) == list(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(__spark_entry__.queries()) and set(ORACLE_SQL) <= set(QUERIES)
