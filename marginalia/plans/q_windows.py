@@ -40,7 +40,8 @@ def w4_propose_and_confirm(t: Tables):
     return W.propose_and_confirm(t.ivl, bands, "grp", "rid", "line", "x0")
 
 
-ISL = f"""r AS (SELECT grp, x0, x1, max(x1) OVER (PARTITION BY grp ORDER BY x0, x1 {BEFORE}) AS reach FROM ivl), n AS (SELECT *, sum(CASE WHEN reach IS NULL OR x0 > reach + 0.4 THEN 1 ELSE 0 END) OVER (PARTITION BY grp ORDER BY x0, x1 ROWS UNBOUNDED PRECEDING) AS island FROM r)"""
+# Both windows need one order: among equal intervals only the first may begin an island.
+ISL = f"""r AS (SELECT grp, rid, x0, x1, max(x1) OVER (PARTITION BY grp ORDER BY x0, x1, rid {BEFORE}) AS reach FROM ivl), n AS (SELECT *, sum(CASE WHEN reach IS NULL OR x0 > reach + 0.4 THEN 1 ELSE 0 END) OVER (PARTITION BY grp ORDER BY x0, x1, rid ROWS UNBOUNDED PRECEDING) AS island FROM r)"""
 
 
 @query(f"WITH {ISL} SELECT grp, CAST(island AS BIGINT) AS island, min(x0) AS lo, max(x1) AS hi, count(*) AS n FROM n GROUP BY 1, 2", "ivl")
