@@ -69,8 +69,10 @@ def anti_dirty(df: DataFrame, key: str, dirty: list[DataFrame]) -> DataFrame:
 
 
 def range_expand(ranges: DataFrame, lo: str, hi: str, ids: DataFrame, id_: str) -> DataFrame:
-    """One row per id of ``ids`` inside each closed range; ids the scheme lacks are skipped, and so are empty ranges."""
-    rows = ranges.where(F.col(lo) <= F.col(hi)).withColumn("_id", F.explode(F.sequence(lo, hi)))
+    """One row per id of ``ids`` inside each closed range; ids the scheme lacks are skipped, and so are empty ranges.
+
+    The planner takes the expanded ranges to be as small as the ranges are and would broadcast them, so the join is named."""
+    rows = ranges.where(F.col(lo) <= F.col(hi)).withColumn("_id", F.explode(F.sequence(lo, hi))).hint("merge")
     return rows.join(ids.select(F.col(id_).alias("_known")).distinct(), F.col("_id") == F.col("_known")).withColumnRenamed("_id", "expanded").drop("_known")
 
 

@@ -1,8 +1,12 @@
+import re
+
 from pyspark.sql import functions as F
 
 from marginalia.operators import aggregates as A
 from marginalia.operators import joins as J
 from marginalia.operators import select as S
+from marginalia.operators import windows as W
+from marginalia.plans import registry
 
 
 def rows(df):
@@ -84,3 +88,18 @@ def test_scoreboard_by_family(spark):
     assert rows(A.family_scoreboard(errors, truth, families)) == [("x", 1, 1, 1, 0.5, 0, 1), ("y", 1, 2, 0, 1 / 3, 2, 1)]
     assert rows(A.family_examples(errors, ["k"], most=1).select("name", "family", "k", "got", "want")) == [("x", "dots", 2, 0, 1), ("y", "a", 1, 1, 2), ("y", "dots", 2, 0, 1)]
     assert spark.range(1).select(A.composite_text(F.lit("a.b!"), F.lit("!c?"), ".!?")).first()[0] == "ab!?"
+
+
+def test_islands_of_equal_intervals(spark):
+    """SQL whose two windows may order equal intervals differently would put one of them before the first island."""
+    sql = registry.oracle_sql()["w5_islands"]
+    assert re.findall(r"ORDER BY ([a-z0-9, ]+) ROWS", sql[sql.index("r AS (SELECT grp, ") :]) == ["x0, x1, rid"] * 2
+    d = spark.range(3000).selectExpr("id div 6 as g", "1.0 as lo", "2.0 as hi")
+    assert {tuple(r)[1:] for r in W.islands(d, "g", "lo", "hi", 0.4).collect()} == {(1, 1.0, 2.0, 6)}
+
+
+def test_expanded_ranges_are_not_broadcast(spark):
+    r = spark.createDataFrame([(1, 4), (3, 3), (9, 2)], "lo long, hi long")
+    got = J.range_expand(r, "lo", "hi", spark.createDataFrame([(2,), (3,), (3,), (7,)], "i long"), "i")
+    assert rows(got) == [(1, 4, 2), (1, 4, 3), (3, 3, 3)]
+    assert "Broadcast" not in got._jdf.queryExecution().sparkPlan().toString()
