@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import stored
@@ -43,6 +43,29 @@ def _explaining(shifts: DataFrame, markers: DataFrame, entries: DataFrame, tol:
     return live
 
 
+#: Pairs of markers and entries of a group, repeated places counted, up to which it is solved as one row.
+SMALL = 1_024
+
+
+def _places(points: DataFrame, group: str, x: str, y: str, name: str) -> DataFrame:
+    p = points.select(F.col(group).alias("g"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y")).dropna()
+    return p.select("g", F.struct("x", "y").alias(name))
+
+
+def _split(markers: DataFrame, entries: DataFrame, group: str, x: str, y: str) -> tuple[DataFrame, DataFrame]:
+    """``(g, m, e)``, a row a group with its places in order, for groups of few pairs, and the other groups (``g``)."""
+    both = _places(markers, group, x, y, "m").unionByName(_places(entries, group, x, y, "e"), allowMissingColumns=True)
+    many = F.count("m") * F.count("e") > SMALL
+    large = stored(both.groupBy("g").agg(many.alias("_many")).where("_many").select("g"), "shift-large")
+    lists = both.join(large, "g", "left_anti") if large.head(1) else both
+    return lists.groupBy("g").agg(*[F.array_sort(F.collect_set(c)).alias(c) for c in ("m", "e")]), large
+
+
+def _by(p: Column, q: Column, dx: Column, dy: Column, tol: float) -> Column:
+    """Whether ``q`` lies nearer than ``tol`` to ``p`` moved by ``dx`` and ``dy``, on both axes."""
+    return (F.abs(q["x"] - (p["x"] + dx)) < tol) & (F.abs(q["y"] - (p["y"] + dy)) < tol)
+
+
 def consensus_shift(markers: DataFrame, entries: DataFrame, group: str, x: str, y: str, tol: float = 1.5) -> DataFrame:
     """``(group, dx, dy, markers)``: the shift, an entry's place less a marker's, under which every marker of the group has an entry nearer
     than ``tol`` on both axes.  Of several the one of the first marker, then the first entry counts (by x, then y).
@@ -50,8 +73,21 @@ def consensus_shift(markers: DataFrame, entries: DataFrame, group: str, x: str,
     Groups in which no such shift explains every marker aren't trusted and have no row; neither have those without markers or entries.
     Points that repeat a place are one; points with a null aren't there.  A shift must bring some entry near the first marker, so
     only shifts that nearly do, within twice ``tol``, and explain all others within as much, are ever looked at closely: pairs of
-    markers and entries aren't listed.
+    markers and entries aren't listed.  Groups of few pairs are a row each and need no join.
     """
+    lists, large = _split(markers, entries, group, x, y)
+    shifts = F.flatten(F.transform("m", lambda p: F.transform("e", lambda q: F.struct((q["x"] - p["x"]).alias("dx"), (q["y"] - p["y"]).alias("dy")))))
+    explains = lambda s: F.forall("m", lambda p: F.exists("e", lambda q: _by(p, q, s["dx"], s["dy"], tol)))
+    out = lists.select("g", F.get(F.filter(shifts, explains), 0).alias("s")).where("size(m) > 0 and s is not null").select("g", "s.dx", "s.dy")
+    if large.head(1):
+        held = [d.join(large.select(F.col("g").alias(group)), group, "left_semi") for d in (markers, entries)]
+        out = out.unionByName(_shift_by_joins(*held, group, x, y, tol))
+    total = markers.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(F.col(group).alias("g")).agg(F.count(F.lit(1)).alias("markers"))
+    return out.join(total, "g").select(F.col("g").alias(group), "dx", "dy", "markers")
+
+
+def _shift_by_joins(markers: DataFrame, entries: DataFrame, group: str, x: str, y: str, tol: float) -> DataFrame:
+    """``consensus_shift`` of groups of any size, as ``(g, dx, dy)``."""
     m, e = _numbered(markers, group, x, y, "marker"), _numbered(entries, group, x, y, "entry")
     most = m.agg(F.max("marker")).first()[0] or 0
     first = m.where("marker = 1").select("g", F.col("x").alias("_x"), F.col("y").alias("_y"))
@@ -70,15 +106,26 @@ def consensus_shift(markers: DataFrame, entries: DataFrame, group: str, x: str,
     out = rough.select("g", "dx", "dy").limit(0)
     for part in found:
         out = out.unionByName(part)
-    total = markers.where(F.col(x).isNotNull() & F.col(y).isNotNull()).groupBy(F.col(group).alias("g")).agg(F.count(F.lit(1)).alias("markers"))
-    return out.join(total, "g").select(F.col("g").alias(group), "dx", "dy", "markers")
+    return out
 
 
 def recovered(markers: DataFrame, entries: DataFrame, shifts: DataFrame, group: str, x: str, y: str, apart: float = 2.0) -> DataFrame:
     """``(group, x, y)``, to three places: entries of trusted groups, carried back, that no marker lies nearer to than ``apart`` on both axes."""
-    moved = entries.where(F.col(x).isNotNull() & F.col(y).isNotNull()).join(shifts, group)
+    moves = shifts.select(F.col(group).alias("g"), "dx", "dy")
+    lists, large = _split(markers, entries, group, x, y)
+    lone = lambda p: ~F.exists("m", lambda q: (F.abs(q["x"] - p["x"]) < apart) & (F.abs(q["y"] - p["y"]) < apart))
+    back = F.transform("e", lambda q: F.struct((q["x"] - F.col("dx")).alias("x"), (q["y"] - F.col("dy")).alias("y")))
+    left = lists.join(moves, "g").select("g", F.explode(F.filter(back, lone)).alias("p")).select("g", F.col("p.x").alias("px"), F.col("p.y").alias("py"))
+    if large.head(1):
+        held = [d.join(large.select(F.col("g").alias(group)), group, "left_semi") for d in (markers, entries)]
+        left = left.unionByName(_recovered_by_joins(*held, moves, group, x, y, apart))
+    return left.select(F.col("g").alias(group), F.round("px", 3).alias(x), F.round("py", 3).alias(y)).distinct()
+
+
+def _recovered_by_joins(markers: DataFrame, entries: DataFrame, moves: DataFrame, group: str, x: str, y: str, apart: float) -> DataFrame:
+    """``recovered`` of groups of any size, as ``(g, px, py)``."""
+    moved = entries.where(F.col(x).isNotNull() & F.col(y).isNotNull()).join(moves.select(F.col("g").alias(group), "dx", "dy"), group)
     moved = moved.select(F.col(group).alias("g"), (F.col(x) - F.col("dx")).alias("px"), (F.col(y) - F.col("dy")).alias("py")).distinct()
     drawn = markers.select(F.col(group).alias("g"), F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"), F.lit(0).alias("entry")).dropna()
     known = _near(moved, drawn, apart).select("g", "px", "py").distinct()
-    left = moved.join(known, ["g", "px", "py"], "left_anti")
-    return left.select(F.col("g").alias(group), F.round("px", 3).alias(x), F.round("py", 3).alias(y)).distinct()
+    return moved.join(known, ["g", "px", "py"], "left_anti")

@@ -56,3 +56,22 @@ def test_same_as_all_shifts(spark):
 def test_none(spark):
     none = spark.createDataFrame([], POINTS)
     assert Z.consensus_shift(none, none, "g", "x", "y").collect() == []
+
+
+def test_groups_of_few_and_of_many_pairs_agree(spark, monkeypatch):
+    frames = [spark.createDataFrame(r, POINTS) for r in pages(random.Random(11), 40)]
+    found, written = [], []
+    real = Z.stored
+    monkeypatch.setattr(Z, "stored", lambda df, label: (written.append(label), real(df, label))[1])
+    for most in (0, 20, 1_024):
+        monkeypatch.setattr(Z, "SMALL", most)
+        written.clear()
+        shifts = Z.consensus_shift(*frames, "g", "x", "y")
+        found.append((sorted(map(tuple, shifts.collect())), sorted(map(tuple, Z.recovered(*frames, shifts, "g", "x", "y").collect()))))
+    assert found[0] == found[1] == found[2] and found[0][0]
+    assert set(written) == {"shift-large"}  # no rounds are written for small groups
+
+
+def test_a_shift_of_a_group_without_markers(spark):
+    e, s = spark.createDataFrame([(1, 5.0, 5.0)], POINTS), spark.createDataFrame([(1, 1.0, 2.0)], "g long, dx double, dy double")
+    assert [tuple(r) for r in Z.recovered(e.limit(0), e, s, "g", "x", "y").collect()] == [(1, 4.0, 3.0)]
