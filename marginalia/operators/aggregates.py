@@ -7,6 +7,7 @@ window that follows sees distinct values only.
 from __future__ import annotations
 
 import numpy as np
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -84,25 +85,51 @@ def hapax_deviation(
     return paired.unionByName(dev.join(other, near, "left_anti").withColumn("grade", alone))
 
 
-def index_pick(df: DataFrame, group: str | list[str], value: str, index) -> DataFrame:
-    """The value at 0-based ``index(n)`` of each group's sorted values: ``(group, value, n)``."""
+#: Ranges of values that ``index_pick`` deals few large groups into.
+RANGES = 512
+
+
+def index_pick(df: DataFrame, group: str | list[str], value: str, index, few: bool = False) -> DataFrame:
+    """The value at 0-based ``index(n)`` of each group's sorted values: ``(group, value, n)``.
+
+    ``few``, for numbers in few large groups: rows are counted by range between quantiles of all values first, and only the rows of the
+    range that a group's index falls into are sorted, so that no group is one task's.
+    """
     g = cols(group)
     w = Window.partitionBy(*g)
+    if few:
+        df = df.where(F.col(value).isNotNull()).select(*g, value)
+        cuts = sorted(set(df.approxQuantile(value, [k / RANGES for k in range(1, RANGES)], 0.5 / RANGES)) - {float("-inf"), float("inf")})
+        ranged = df.withColumn("_v", F.col(value).cast("double"))
+        if cuts:
+            ranged = Bucketizer(splits=[float("-inf"), *cuts, float("inf")], inputCol="_v", outputCol="_b", handleInvalid="keep").transform(ranged)
+        else:
+            ranged = ranged.withColumn("_b", F.lit(0.0))
+        per = counts(ranged, *g, "_b", n="_k").withColumn("_to", F.sum("_k").over(w.orderBy("_b"))).withColumn("_n", F.sum("_k").over(w))
+        per = per.withColumn("_at", index(F.col("_n"))).where((F.col("_to") > F.col("_at")) & (F.col("_to") - F.col("_k") <= F.col("_at")))
+        # A row a group, stored, so that its size is known when the rows meet it.
+        per = stored(per.select(*[F.col(c).alias(f"_g{i}") for i, c in enumerate(g)], F.col("_b").alias("_r"), (F.col("_at") - F.col("_to") + F.col("_k")).alias("_at"), "_n"), "ranges")
+        on = F.col("_b") == F.col("_r")
+        for i, c in enumerate(g):
+            on = on & F.col(c).eqNullSafe(F.col(f"_g{i}"))
+        near = counts(ranged.join(per, on), *g, value, "_at", "_n").withColumn("_to", F.sum("n").over(w.orderBy(value)))
+        return near.where((F.col("_to") > F.col("_at")) & (F.col("_to") - F.col("n") <= F.col("_at"))).select(*g, value, F.col("_n").alias("n"))
     ran = counts(df.where(F.col(value).isNotNull()), *g, value).withColumn("_to", F.sum("n").over(w.orderBy(value))).withColumn("_n", F.sum("n").over(w))
     at = index(F.col("_n"))
     return ran.where((F.col("_to") > at) & (F.col("_to") - F.col("n") <= at)).select(*g, value, F.col("_n").alias("n"))
 
 
-def median_hi(df: DataFrame, group: str | list[str], value: str, min_n: int = 1) -> DataFrame:
-    """Upper median ``sorted[n // 2]`` of each group with at least ``min_n`` values: ``(group, median, n)``."""
-    return index_pick(df, group, value, lambda n: F.floor(n / 2)).where(F.col("n") >= min_n).withColumnRenamed(value, "median")
+def median_hi(df: DataFrame, group: str | list[str], value: str, min_n: int = 1, few: bool = False) -> DataFrame:
+    """Upper median ``sorted[n // 2]`` of each group with at least ``min_n`` values: ``(group, median, n)``; ``few`` as in ``index_pick``."""
+    return index_pick(df, group, value, lambda n: F.floor(n / 2), few).where(F.col("n") >= min_n).withColumnRenamed(value, "median")
 
 
 def preferred_median(df: DataFrame, value: str, signature: str, family: str, min_n: int = 10) -> DataFrame:
     """``df`` with the upper ``median`` of its row's signature where that has ``min_n`` values at least, else of its family;
-    ``by_signature`` says which.  Rows without either keep a null."""
+    ``by_signature`` says which.  Rows without either keep a null.  Families are few and large: their medians are stored, so that
+    the planner knows their size and needn't bring a family's rows together."""
     sig = median_hi(df.where(F.col(signature).isNotNull()), signature, value, min_n).select(F.col(signature).alias("_s"), F.col("median").alias("_ms"))
-    fam = median_hi(df.where(F.col(family).isNotNull()), family, value).select(F.col(family).alias("_f"), F.col("median").alias("_mf"))
+    fam = stored(median_hi(df.where(F.col(family).isNotNull()), family, value, few=True).select(F.col(family).alias("_f"), F.col("median").alias("_mf")), "medians")
     j = df.join(sig, F.col(signature) == F.col("_s"), "left").join(fam, F.col(family) == F.col("_f"), "left")
     return j.select(*df.columns, F.coalesce("_ms", "_mf").alias("median"), F.col("_ms").isNotNull().alias("by_signature"))
 
@@ -114,9 +141,9 @@ def ratio_outlier(df: DataFrame, group: str, value: str, lo: float, hi: float, m
     return r.where(((F.col("ratio") < lo) | (F.col("ratio") > hi)) & (F.abs(F.col(value) - F.col("median")) >= min_off)).drop("_g")
 
 
-def index_quantile(df: DataFrame, group: str | list[str], value: str, p: float) -> DataFrame:
-    """``sorted[min(n - 1, int(p n))]`` of each group."""
-    return index_pick(df, group, value, lambda n: F.least(n - 1, F.floor(n * p))).withColumnRenamed(value, "quantile")
+def index_quantile(df: DataFrame, group: str | list[str], value: str, p: float, few: bool = False) -> DataFrame:
+    """``sorted[min(n - 1, int(p n))]`` of each group; ``few`` as in ``index_pick``."""
+    return index_pick(df, group, value, lambda n: F.least(n - 1, F.floor(n * p)), few).withColumnRenamed(value, "quantile")
 
 
 def histogram(df: DataFrame, value: str, edges: list[float]) -> DataFrame:
@@ -262,7 +289,7 @@ def two_sided_score(df: DataFrame, a: str, b: str, expected: str) -> DataFrame:
     """Per side the mean of |log(measured / expected)|, its upper 0.9 index quantile and rows beyond 1.5 and 2 times; a verdict for side a."""
     side = F.explode(F.array(*[F.struct(F.lit(s).alias("side"), F.abs(F.log(F.col(c) / F.col(expected))).alias("e")) for s, c in (("a", a), ("b", b))]))
     long = df.where(f"{a} > 0 and {b} > 0 and {expected} > 0").select(side.alias("s")).select("s.side", F.round("s.e", 9).alias("e"))
-    q = index_quantile(long, "side", "e", 0.9).select("side", F.col("quantile").alias("p90"))
+    q = index_quantile(long, "side", "e", 0.9, few=True).select("side", F.col("quantile").alias("p90"))
     out = long.groupBy("side").agg(F.avg("e").alias("mean"), F.count_if(F.col("e") > np.log(1.5)).alias("beyond_15"), F.count_if(F.col("e") > np.log(2.0)).alias("beyond_2"), F.count(F.lit(1)).alias("n")).join(q, "side")
     rival = F.sum("mean").over(Window.partitionBy()) - F.col("mean")  # two rows
     return out.withColumn("verdict", F.when(F.abs(rival - F.col("mean")) < 1e-9, "equal").when(F.col("mean") < rival, "better").otherwise("worse"))

@@ -84,7 +84,7 @@ def a8_ratio_outlier(t: Tables):
 
 @query("SELECT l_returnflag, l_linestatus, list_sort(list(l_extendedprice))[CAST(least(count(*) - 1, floor(count(*) * 0.9)) AS INT) + 1] AS quantile, count(*) AS n FROM lineitem GROUP BY 1, 2")
 def a9_index_quantile(t: Tables):
-    return A.index_quantile(t.lineitem, ["l_returnflag", "l_linestatus"], "l_extendedprice", 0.9)
+    return A.index_quantile(t.lineitem, ["l_returnflag", "l_linestatus"], "l_extendedprice", 0.9, few=True)
 
 
 @query("""WITH e AS (SELECT unnest([0.0,10.0,20.0,20.5,30.0,45.0,60.0,80.0]) AS lo, unnest([10.0,20.0,20.5,30.0,45.0,60.0,80.0,90.0]) AS hi)
