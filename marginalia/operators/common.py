@@ -40,5 +40,29 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows up to which a table is sent to all tasks.
+SMALL = 10_000
+
+
+def sent(df: DataFrame) -> DataFrame:
+    """``df`` to be broadcast if it has ``SMALL`` rows at most, which are counted; else as it is, for a join that shuffles."""
+    return F.broadcast(df) if df.limit(SMALL + 1).count() <= SMALL else df
+
+
+def by_place(a: DataFrame, b: DataFrame, group: str, pos: str, value: str) -> DataFrame:
+    """``group, pos`` of both sides with how the rows of a place pair: ``_a, _b`` rows of each side, ``_va, _vb`` those with a value, ``_same``
+    pairs of equal values, ``_nulls`` pairs of nulls; ``_alone`` where a side has none (a null group or place meets nothing).
+
+    Groupings in place of a join: sides that are dealt by group already aren't shuffled again, and copies of a place never multiply."""
+    side = lambda d, x, y: d.select(group, pos, F.col(value).alias("_v"), F.lit(x).cast("long").alias("_a"), F.lit(y).cast("long").alias("_b"))
+    each = side(a, 1, 0).unionByName(side(b, 0, 1)).groupBy(group, pos, "_v").agg(F.sum("_a").alias("_a"), F.sum("_b").alias("_b"))
+    there = lambda c, yes: F.coalesce(F.sum(F.when(F.col("_v").isNotNull() if yes else F.col("_v").isNull(), c)), F.lit(0))
+    pairs = F.col("_a") * F.col("_b")
+    g = each.groupBy(group, pos).agg(
+        F.sum("_a").alias("_a"), F.sum("_b").alias("_b"), there(F.col("_a"), True).alias("_va"), there(F.col("_b"), True).alias("_vb"), there(pairs, True).alias("_same"), there(pairs, False).alias("_nulls")
+    )
+    return g.withColumn("_alone", F.col(group).isNull() | F.col(pos).isNull() | (F.col("_a") == 0) | (F.col("_b") == 0))
+
+
 def counts(df: DataFrame, *names: str, n: str = "n") -> DataFrame:
     return df.groupBy(*names).agg(F.count(F.lit(1)).alias(n))

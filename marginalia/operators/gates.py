@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import cols
+from .common import by_place, cols
 
 
 def check(df: DataFrame, name: str, bad: Column | None = None, skip_empty: bool = True) -> DataFrame:
@@ -64,8 +64,9 @@ def closed_vocabulary(df: DataFrame, value: str, registry: DataFrame, expected:
 
 def order_preserved(index: DataFrame, source: DataFrame, group: str, pos: str, key: str) -> DataFrame:
     """V5: groups whose index order isn't the source's, with the first place that differs."""
-    j = index.select(group, pos, F.col(key).alias("_a")).join(source.select(group, pos, F.col(key).alias("_b")), [group, pos], "full_outer")
-    return j.where(~F.col("_a").eqNullSafe(F.col("_b"))).groupBy(group).agg(F.min(pos).alias("first_place"), F.count(F.lit(1)).alias("places"))
+    j = by_place(index, source, group, pos, key)
+    off = F.when(F.col("_alone"), F.col("_va") + F.col("_vb")).otherwise(F.col("_a") * F.col("_b") - F.col("_same") - F.col("_nulls"))
+    return j.withColumn("_off", off).where("_off > 0").groupBy(group).agg(F.min(pos).alias("first_place"), F.sum("_off").alias("places"))
 
 
 def schema_gate(df: DataFrame, schema: StructType, patterns: dict[str, str] | None = None, view: tuple[float, float, float, float] | None = None) -> DataFrame:

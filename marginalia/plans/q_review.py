@@ -29,7 +29,7 @@ r AS (SELECT doc_id, cut, ea.i - coalesce(lag(ea.i) OVER w, 0) AS na, eb.i - coa
 SELECT doc_id, kind, count(*) AS n FROM k GROUP BY 1, 2""", "tok")
 def g1_align_tokens(t: Tables):
     n = F.row_number().over(Window.partitionBy("doc_id").orderBy("line_no", "pos"))
-    a = t.tok.select("doc_id", (n * 2).alias("n"), "token")
+    a = t.tok_by_doc.select("doc_id", (n * 2).alias("n"), "token")
     half = F.floor(F.length("token") / 2).cast("int")
     both = F.array(F.struct(F.lit(0).alias("h"), F.substring("token", F.lit(1), half).alias("t")), F.struct(F.lit(1).alias("h"), F.substring("token", half + 1, F.length("token")).alias("t")))
     b = a.select("doc_id", "n", F.explode(F.when(F.length("token") > 9, both).otherwise(F.array(F.struct(F.lit(0).alias("h"), F.col("token").alias("t"))))).alias("x")).select("doc_id", (F.col("n") + F.col("x.h")).alias("n"), F.col("x.t").alias("token"))
@@ -48,7 +48,7 @@ j AS (SELECT doc_id, n, a.token AS ta, b.token AS tb FROM a FULL JOIN b USING (d
 SELECT doc_id, CASE WHEN m > 0 THEN 'count-mismatch' WHEN p > 0 THEN 'skeleton-mismatch' ELSE 'equal' END AS status, CASE WHEN m > 0 THEN 0 ELSE p END AS places FROM g""", "tok")
 def g3_segmentation_equal(t: Tables):
     n = F.row_number().over(Window.partitionBy("doc_id").orderBy("line_no", "pos"))
-    a = t.tok.select("doc_id", n.alias("n"), "token")
+    a = t.tok_by_doc.select("doc_id", n.alias("n"), "token")
     b = a.where("not (doc_id % 3 = 2 and n > 20)").withColumn("token", F.when((F.col("doc_id") % 3 == 1) & (F.col("n") == 5), F.concat("token", F.lit("x"))).otherwise(F.col("token")))
     return G.segmentation_equal(a, b, "doc_id", "n", "token")
 
@@ -290,7 +290,7 @@ def v4_closed_vocabulary(t: Tables):
 @query("""WITH a AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY line_no, pos) AS n, token FROM tok), b AS (SELECT doc_id, n, CASE WHEN doc_id % 4 = 0 AND n = 3 THEN 'moved' ELSE token END AS token FROM a)
 SELECT doc_id, min(n) AS first_place, count(*) AS places FROM a JOIN b USING (doc_id, n) WHERE a.token <> b.token GROUP BY 1""", "tok")
 def v5_order_preserved(t: Tables):
-    a = t.tok.select("doc_id", F.row_number().over(Window.partitionBy("doc_id").orderBy("line_no", "pos")).alias("n"), "token")
+    a = t.tok_by_doc.select("doc_id", F.row_number().over(Window.partitionBy("doc_id").orderBy("line_no", "pos")).alias("n"), "token")
     b = a.withColumn("token", F.when((F.col("doc_id") % 4 == 0) & (F.col("n") == 3), "moved").otherwise(F.col("token")))
     return V.order_preserved(a, b, "doc_id", "n", "token")
 
@@ -335,7 +335,7 @@ def s1_scan_markup(t: Tables):
 @query("SELECT 'd' || doc_id AS verse_key, pos AS position, line_no AS line_number, token AS text FROM tok WHERE token NOT LIKE '%.'", "tok")
 def s2_scan_nested_json(t: Tables):
     word = F.struct(F.col("pos").alias("position"), F.when(F.endswith("token", F.lit(".")), "end").otherwise("word").alias("char_type_name"), F.col("line_no").alias("line_number"), F.col("token").alias("text"))
-    verses = t.tok.groupBy("doc_id").agg(F.collect_list(word).alias("words")).select(F.to_json(F.struct(F.array(F.struct(F.concat(F.lit("d"), "doc_id").alias("verse_key"), F.lit(1).alias("juz_number"), "words")).alias("verses"))).alias("j"))
+    verses = t.tok_by_doc.groupBy("doc_id").agg(F.collect_list(word).alias("words")).select(F.to_json(F.struct(F.array(F.struct(F.concat(F.lit("d"), "doc_id").alias("verse_key"), F.lit(1).alias("juz_number"), "words")).alias("verses"))).alias("j"))
     return S.explode_words(verses.select(F.from_json("j", S.PAGE_WORDS).alias("p")).select("p.verses")).select("verse_key", "position", "line_number", "text")
 
 
@@ -350,7 +350,7 @@ def s3_read_log(t: Tables):
 
 @query("SELECT pos AS position, token, doc_id FROM tok", "tok")
 def s4_columnar_unpack(t: Tables):
-    rows = t.tok.groupBy("doc_id").agg(F.collect_list(F.array(F.col("token"), F.col("doc_id").cast("string"), F.col("pos").cast("string"))).alias("rows"))
+    rows = t.tok_by_doc.groupBy("doc_id").agg(F.collect_list(F.array(F.col("token"), F.col("doc_id").cast("string"), F.col("pos").cast("string"))).alias("rows"))
     files = rows.select(F.to_json(F.struct(F.array(*map(F.lit, ("token", "doc_id", "position"))).alias("fields"), "rows")).alias("j"))
     return S.columnar_unpack(files, "j", {"position": "long", "token": "string", "doc_id": "long"})
 
@@ -407,7 +407,7 @@ def s9_latest_version(t: Tables):
 
 @query()
 def p1_build_index(t: Tables):
-    words = t.tok.select("doc_id", "line_no", "pos", "token", F.concat_ws(":", "doc_id", "line_no", "pos").alias("key"))
+    words = t.tok_by_doc.select("doc_id", "line_no", "pos", "token", F.concat_ws(":", "doc_id", "line_no", "pos").alias("key"))
     parts = P.build_index(words, "doc_id", "token", "key", ["line_no", "pos"])
     return parts["pages"].select("doc_id", "n", "first_key", "last_key").join(parts["manifest"].select("doc_id", "digest"), "doc_id")
 

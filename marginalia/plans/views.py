@@ -13,28 +13,55 @@ LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extende
 ACTIONS = {"click": "approve", "error": "reject", "purchase": "amend", "signup": "withdraw", "view": "edit"}
 
 
+#: Rows of order lines, and documents, that a task takes at most on average.
+LINES_A_TASK, DOCUMENTS_A_TASK = 250_000, 1_000
+
+
 class Tables:
     """``t.lineitem`` and the like read a given table; views are derived from them."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         ship(spark)
-        self.spark, self.dir = spark, sf_dir
+        self.spark, self.dir, self._counted = spark, sf_dir, {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
+    def dealt(self, df: DataFrame, key: str, table: str, most: int) -> DataFrame:
+        """``df`` by ``key`` in tasks of about ``most`` rows of ``table``, at least as many as Spark makes by itself: a task's share doesn't
+        grow with the input, and windows, groups and joins by the key need no further shuffle."""
+        usual = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        return df.repartition(max(usual, -(-self._rows(table) // most)), key)
+
+    def _rows(self, table: str) -> int:
+        if table not in self._counted:
+            self._counted[table] = getattr(self, table).count()
+        return self._counted[table]
+
+    def by_order(self, df: DataFrame, key: str = "grp") -> DataFrame:
+        """Order lines, or rows of them, dealt by another key."""
+        return self.dealt(df, key, "lineitem", LINES_A_TASK)
+
+    def _tokens(self, documents: DataFrame) -> DataFrame:
+        lines = documents.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "_l"))
+        return lines.select("doc_id", "line_no", F.posexplode(F.filter(F.split("_l", " "), lambda x: x != "")).alias("pos", "token"))
+
     @cached_property
     def tok(self) -> DataFrame:
         """Documents as tokens: doc_id, line_no, pos, token (places from 0)."""
-        lines = self.documents.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "_l"))
-        return lines.select("doc_id", "line_no", F.posexplode(F.filter(F.split("_l", " "), lambda x: x != "")).alias("pos", "token"))
+        return self._tokens(self.documents)
+
+    @cached_property
+    def tok_by_doc(self) -> DataFrame:
+        """The same, dealt by document before the texts are split, so that what goes on by document shuffles no tokens."""
+        return self._tokens(self.dealt(self.documents.select("doc_id", "text"), "doc_id", "documents", DOCUMENTS_A_TASK))
 
     @cached_property
     def li(self) -> DataFrame:
         """Order lines with a row number in their order that depends on all columns, as the given key isn't unique."""
-        return self.lineitem.withColumn("rid", F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER)).cast("long"))
+        return self.by_order(self.lineitem, "l_orderkey").withColumn("rid", F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER)).cast("long"))
 
     @cached_property
     def ivl(self) -> DataFrame:
