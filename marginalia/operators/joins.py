@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from marginalia.functions import boxes
 from marginalia.functions.text import split_identifier
 
-from .common import by, cols, stored
+from .common import by, cols, sent, stored
 
 
 #: Buckets of ``asof_floor``, at most: their ends are sorted by one task.
@@ -406,21 +406,27 @@ def dictionary_match(tokens: DataFrame, terms: DataFrame, key: str, identifier:
     """Split identifiers into parts, match n-grams of at most ``longest`` parts (a plural s allowed) against ``terms (term, rule)``;
     longer matches win their span, then earlier ones.  ``(key, start, size, term, rule)``."""
     parts = tokens.select(key, split_identifier(F.col(identifier)).alias("_p")).where(F.size("_p") > 0)
-    free, found = parts.withColumn("_taken", F.array().cast("array<int>")), None
-    forms = terms.select("term", "rule", F.explode(F.array("term", F.concat("term", F.lit("s")))).alias("_form"))
+    forms = sent(terms.select("term", "rule", F.explode(F.array("term", F.concat("term", F.lit("s")))).alias("_form")))
+    spans = lambda size: F.transform(
+        F.sequence(F.lit(0), F.size("_p") - size), lambda i: F.struct(i.alias("start"), F.lit(size).alias("size"), F.array_join(F.slice("_p", i + 1, size), " ").alias("gram"))
+    )
+    none = F.array().cast("array<struct<start:int,size:int,gram:string>>")
+    grams = parts.select(key, F.explode(F.concat(*[F.when(F.size("_p") >= size, spans(size)).otherwise(none) for size in range(1, longest + 1)])).alias("g"))
+    # All hits are found once; which of them count is settled among them alone.
+    every = stored(grams.join(forms, F.col("g.gram") == F.col("_form")).select(key, "g.start", "g.size", "term", "rule"), "dictionary")
+    found = None
     for size in range(longest, 0, -1):
-        spans = F.transform(F.sequence(F.lit(0), F.size("_p") - size), lambda i: F.struct(i.alias("start"), F.array_join(F.slice("_p", i + 1, size), " ").alias("gram")))
-        grams = free.where(F.size("_p") >= size).select(key, "_taken", F.explode(spans).alias("g")).select(key, "g.start", "g.gram", "_taken")
-        open_ = grams.where(~F.exists("_taken", lambda x: (x >= F.col("start")) & (x < F.col("start") + size)))
-        hit = open_.join(forms, F.col("gram") == F.col("_form")).select(key, "start", F.lit(size).alias("size"), "term", "rule")
+        hit = every.where(F.col("size") == size)
+        if found is not None:
+            taken = found.groupBy(F.col(key).alias("_key")).agg(F.flatten(F.collect_list(F.sequence("start", F.col("start") + F.col("size") - 1))).alias("_taken"))
+            clear = F.col("_taken").isNull() | ~F.exists("_taken", lambda x: (x >= F.col("start")) & (x < F.col("start") + size))
+            hit = hit.join(taken, F.col(key) == F.col("_key"), "left").where(clear).select(*every.columns)
         # Of overlapping hits of one size the earlier wins.
         w = by(key).orderBy("start", "term")
         hit = hit.withColumn("_r", F.row_number().over(by(key, "start").orderBy("term"))).where("_r = 1").drop("_r")
         if size > 1:
             hit = hit.withColumn("_gap", F.col("start") - F.coalesce(F.lag("start").over(w), F.lit(-size))).where(F.col("_gap") >= size).drop("_gap")
         found = hit if found is None else found.unionByName(hit)
-        taken = hit.groupBy(key).agg(F.flatten(F.collect_list(F.sequence("start", F.col("start") + size - 1))).alias("_new"))
-        free = free.join(taken, key, "left").select(key, "_p", F.concat("_taken", F.coalesce("_new", F.array().cast("array<int>"))).alias("_taken"))
     return found
 
 
@@ -445,11 +451,12 @@ def scoped_findings(lines: DataFrame, terms: DataFrame, path: str, number: str,
     text = F.regexp_replace(line, external, " ") if external else F.col(line)
     live = lines.where(F.col(line).isNotNull() & ~F.col(line).rlike(IGNORE_LINE))
     found = live.select(path, number, F.coalesce(F.col(prose), F.lit(False)).alias("_prose"), allowed.alias("_allowed"), F.explode(F.regexp_extract_all(text, F.lit(IDENTIFIER), F.lit(0))).alias("identifier"))
-    found = found.groupBy(path, number, "_prose", "_allowed", "identifier").agg(F.count(F.lit(1)).alias("_n"))
     known = found.select(F.col("identifier").alias("_id")).distinct()
     hits = dictionary_match(known, terms, "_id", "_id").groupBy("_id", "term", "rule").agg(F.count(F.lit(1)).alias("_k"))
-    j = found.join(hits, F.col("identifier") == F.col("_id")).where("rule <> 'canonical'")
+    # Names that hold a term, stored, so that their size is known; only what meets them is counted, before any shuffle where they are few.
+    j = found.join(stored(hits.where("rule <> 'canonical'"), "hits"), F.col("identifier") == F.col("_id"))
     j = j.where(~(F.col("_prose") & F.col("rule").isin(*SOFT_IN_PROSE)) & ~(F.col("_allowed") & F.col("rule").isin(*GLOSSES)))
+    j = j.groupBy(path, number, "identifier", "_prose", "_allowed", "term", "rule", "_k").agg(F.count(F.lit(1)).alias("_n"))
     severity = F.coalesce(F.create_map(*[F.lit(x) for kv in SEVERITIES.items() for x in kv])[F.col("rule")], F.lit("warning"))
     return j.select(path, number, "identifier", "term", "rule", severity.alias("severity"), (F.col("_n") * F.col("_k")).alias("n"))
 

@@ -150,7 +150,7 @@ SELECT grp, CAST(min(x0) AS DOUBLE) AS x0, CAST(max(x1) AS DOUBLE) AS x1, CAST(m
 def w21_merge_equal_spans(t: Tables):
     y = F.floor(F.col("l_quantity") / 10).cast("double")
     d = t.li.select(F.col("l_partkey").alias("grp"), (F.col("l_orderkey") * 1000 + F.col("rid")).alias("rid"), F.col("l_linenumber").cast("double").alias("x0"), (F.col("l_linenumber") + 2.0).alias("x1"), y.alias("y0"), (y + 1).alias("y1"))
-    return W.merge_equal_spans(d, "grp", "rid")
+    return W.merge_equal_spans(t.by_order(d), "grp", "rid")
 
 
 @query(f"""WITH d AS (SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS i, CASE WHEN event_id % 4 <> 0 THEN event_id * 2 END AS num FROM events),

@@ -32,3 +32,47 @@ def test_rows_of_a_family_do_not_meet_in_one_task(spark):
     got = A.preferred_median(d, "v", "s", "f", 5)
     assert "hashpartitioning(f#" not in plan(got)
     assert got.where("not by_signature").select("median").distinct().collect() == [(38.0,)]
+
+
+def exchanges(df):
+    return plan(df).count("Exchange hashpartitioning")
+
+
+def test_dealt_sides_are_not_shuffled_again(spark):
+    from marginalia.operators import align as G
+    from marginalia.operators import gates as V
+
+    a = spark.range(90).select((F.col("id") % 7).alias("g"), F.col("id").alias("n"), F.lit("ab").alias("t")).repartition(5, "g")
+    b = a.withColumn("t", F.when(F.col("n") % 11 == 0, "x").otherwise(F.col("t")))
+    for got in (G.segmentation_equal(a, b, "g", "n", "t"), V.order_preserved(a, b, "g", "n", "t")):
+        assert plan(got).count("Exchange ") <= 2 and "REPARTITION_BY_NUM" in plan(got) and "ENSURE_REQUIREMENTS" not in plan(got)
+        assert got.count() == 7
+    aligned = G.align_tokens(a, a, "g", "n", "t")
+    assert "ENSURE_REQUIREMENTS" not in plan(aligned) and aligned.where("kind = '1:1'").count() == 90
+
+
+def test_places_pair_as_a_full_join_does(spark):
+    from marginalia.operators import align as G
+    from marginalia.operators import gates as V
+
+    r = random.Random(3)
+    side = lambda: spark.createDataFrame([(r.choice([1, 2, 3, None]), r.choice([1, 2, 3, None]), r.choice(["x", "y", None])) for _ in range(40)], "g long, n long, t string")
+    for a, b in ((side(), side()), (side().where("g = 1"), side()), (side().where("t = 'x'"), side().where("t is not null and g > 1"))):
+        j = a.select("g", "n", F.col("t").alias("a")).join(b.select("g", "n", F.col("t").alias("b")), ["g", "n"], "full_outer")
+        off = j.where(~F.col("a").eqNullSafe(F.col("b"))).groupBy("g").agg(F.min("n"), F.count(F.lit(1)))
+        assert rows(V.order_preserved(a, b, "g", "n", "t")) == rows(off)
+        m = j.groupBy("g").agg(F.count_if(F.col("a").isNull() | F.col("b").isNull()).alias("m"), F.count_if(F.col("a") != F.col("b")).alias("p"))
+        want = m.selectExpr("g", "case when m > 0 then 'count-mismatch' when p > 0 then 'skeleton-mismatch' else 'equal' end", "if(m > 0, 0, p)")
+        assert rows(G.segmentation_equal(a, b, "g", "n", "t")) == rows(want)
+
+
+def test_few_targets_and_terms_do_not_shuffle_rows(spark):
+    from marginalia.operators import joins as J
+    from marginalia.operators import select as S
+
+    words = spark.range(100).select(F.col("id").alias("d"), (F.col("id") % 3).alias("p"))
+    got = S.resolve(words, spark.createDataFrame([("5",), ("7:1",), ("5",)], "target string"), ["d", "p"])
+    assert "SortMergeJoin" not in plan(got) and rows(got) == [(5, 2, "5"), (5, 2, "5"), (7, 1, "7:1")]
+    lines = spark.range(50).select(F.lit("f").alias("path"), "id", F.lit("the the cat").alias("line"), F.lit(False).alias("prose"))
+    found = J.scoped_findings(lines, spark.createDataFrame([("the", "gloss"), ("dog", "gloss")], "term string, rule string"), "path", "id", "line", "prose")
+    assert "SortMergeJoin" not in plan(found) and [x[-1] for x in rows(found)] == [2] * 50
