@@ -76,3 +76,13 @@ def test_few_targets_and_terms_do_not_shuffle_rows(spark):
     lines = spark.range(50).select(F.lit("f").alias("path"), "id", F.lit("the the cat").alias("line"), F.lit(False).alias("prose"))
     found = J.scoped_findings(lines, spark.createDataFrame([("the", "gloss"), ("dog", "gloss")], "term string, rule string"), "path", "id", "line", "prose")
     assert "SortMergeJoin" not in plan(found) and [x[-1] for x in rows(found)] == [2] * 50
+
+
+def test_order_lines_are_dealt_by_their_number(spark, monkeypatch):
+    from marginalia.plans import views
+
+    monkeypatch.setattr(views, "LINES_A_TASK", 500)
+    t = views.Tables(spark, "/root/testdata/sf0.001")
+    n = -(-t.lineitem.count() // 500)
+    assert n > 4 and "hashpartitioning(l_orderkey#" in plan(t.li) and f", {n}), REPARTITION_BY_NUM" in plan(t.li)
+    assert "ENSURE_REQUIREMENTS" not in plan(t.li) and t.li.rdd.getNumPartitions() == n
