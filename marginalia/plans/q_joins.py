@@ -219,8 +219,8 @@ xs AS (SELECT grp, a, lead(a) OVER (PARTITION BY grp ORDER BY a) AS b FROM (SELE
 c AS (SELECT xs.grp, (xs.b - xs.a) * (ys.b - ys.a) AS s FROM xs JOIN ys USING (grp) WHERE xs.b IS NOT NULL AND ys.b IS NOT NULL AND EXISTS (SELECT 1 FROM q WHERE q.grp = xs.grp AND q.x0 <= xs.a AND q.x1 >= xs.b AND q.y0 <= ys.a AND q.y1 >= ys.b))
 SELECT grp, round(coalesce(sum(s), 0) / 320.0, 6) AS coverage FROM (SELECT DISTINCT grp FROM ivl WHERE grp % 10 = 3) LEFT JOIN c USING (grp) GROUP BY 1""".replace(" WHERE grp % 10 = 3", ""), "ivl")
 def j20_union_coverage_2d(t: Tables):
-    target = t.ivl.select("grp").distinct().withColumns({"x0": F.lit(10.0), "x1": F.lit(50.0), "y0": F.lit(1.0), "y1": F.lit(9.0)})
-    return J.union_coverage_2d(target, t.ivl, "grp")
+    target = t.ivl_by_order.select("grp").distinct().withColumns({"x0": F.lit(10.0), "x1": F.lit(50.0), "y0": F.lit(1.0), "y1": F.lit(9.0)})
+    return J.union_coverage_2d(target, t.ivl_by_order, "grp")
 
 
 @query("""WITH RECURSIVE terms AS (SELECT DISTINCT p_name AS term, 'two' AS rule FROM part WHERE p_size % 2 = 0 UNION ALL SELECT DISTINCT string_split(p_name, ' ')[1], 'one' FROM part WHERE p_size % 3 = 0),

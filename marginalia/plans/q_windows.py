@@ -149,7 +149,7 @@ f AS (SELECT *, CASE WHEN abs(y0 - lag(y1) OVER w) <= 0.01 AND x0 = lag(x0) OVER
 SELECT grp, CAST(min(x0) AS DOUBLE) AS x0, CAST(max(x1) AS DOUBLE) AS x1, CAST(min(y0) AS DOUBLE) AS y0, CAST(max(y1) AS DOUBLE) AS y1, count(*) AS merged FROM i GROUP BY grp, i""", "li")
 def w21_merge_equal_spans(t: Tables):
     y = F.floor(F.col("l_quantity") / 10).cast("double")
-    d = t.li.select(F.col("l_partkey").alias("grp"), (F.col("l_orderkey") * 1000 + F.col("rid")).alias("rid"), F.col("l_linenumber").cast("double").alias("x0"), (F.col("l_linenumber") + 2.0).alias("x1"), y.alias("y0"), (y + 1).alias("y1"))
+    d = t.li_by_order.select(F.col("l_partkey").alias("grp"), (F.col("l_orderkey") * 1000 + F.col("rid")).alias("rid"), F.col("l_linenumber").cast("double").alias("x0"), (F.col("l_linenumber") + 2.0).alias("x1"), y.alias("y0"), (y + 1).alias("y1"))
     return W.merge_equal_spans(t.by_order(d), "grp", "rid")
 
 

@@ -61,13 +61,28 @@ class Tables:
     @cached_property
     def li(self) -> DataFrame:
         """Order lines with a row number in their order that depends on all columns, as the given key isn't unique."""
-        return self.by_order(self.lineitem, "l_orderkey").withColumn("rid", F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER)).cast("long"))
+        return self._numbered(self.lineitem)
+
+    @cached_property
+    def li_by_order(self) -> DataFrame:
+        """The same, dealt by order in tasks of bounded size; for queries that need the number, as lines are shuffled in any case."""
+        return self._numbered(self.by_order(self.lineitem, "l_orderkey"))
+
+    def _numbered(self, lines: DataFrame) -> DataFrame:
+        return lines.withColumn("rid", F.row_number().over(Window.partitionBy("l_orderkey").orderBy(*LINE_ORDER)).cast("long"))
 
     @cached_property
     def ivl(self) -> DataFrame:
         """Order lines as boxes: grp, rid, owner, fam, line, x0, x1, y0, y1."""
+        return self._boxes(self.li)
+
+    @cached_property
+    def ivl_by_order(self) -> DataFrame:
+        return self._boxes(self.li_by_order)
+
+    def _boxes(self, li: DataFrame) -> DataFrame:
         r4 = lambda e: F.round(F.expr(e), 4)
-        return self.li.select(
+        return li.select(
             F.col("l_orderkey").alias("grp"), "rid", F.col("l_partkey").alias("owner"), F.col("l_returnflag").alias("fam"), F.col("l_linenumber").cast("long").alias("line"),
             r4("l_quantity").alias("x0"), r4("l_quantity + 1 + l_discount * 100").alias("x1"), r4("l_tax * 100").alias("y0"), r4("l_tax * 100 + 1 + l_linenumber").alias("y1"),
         )

@@ -84,5 +84,5 @@ def test_order_lines_are_dealt_by_their_number(spark, monkeypatch):
     monkeypatch.setattr(views, "LINES_A_TASK", 500)
     t = views.Tables(spark, "/root/testdata/sf0.001")
     n = -(-t.lineitem.count() // 500)
-    assert n > 4 and "hashpartitioning(l_orderkey#" in plan(t.li) and f", {n}), REPARTITION_BY_NUM" in plan(t.li)
-    assert "ENSURE_REQUIREMENTS" not in plan(t.li) and t.li.rdd.getNumPartitions() == n
+    assert n > 4 and "hashpartitioning(l_orderkey#" in plan(t.li_by_order) and f", {n}), REPARTITION_BY_NUM" in plan(t.li_by_order)
+    assert "ENSURE_REQUIREMENTS" not in plan(t.li_by_order) and t.li_by_order.rdd.getNumPartitions() == n
