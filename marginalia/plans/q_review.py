@@ -70,7 +70,7 @@ r AS (SELECT grp, rid AS v, rid AS o FROM ivl UNION SELECT r.grp, r.v, e.b FROM
 w AS (SELECT grp, component, fam, round(sum(x1 - x0), 6) AS w FROM c JOIN ivl USING (grp, rid) GROUP BY 1, 2, 3), l AS (SELECT grp, component, fam AS label FROM w QUALIFY row_number() OVER (PARTITION BY grp, component ORDER BY w DESC, fam) = 1)
 SELECT grp, rid, component, label FROM c JOIN l USING (grp, component)""", "ivl")
 def g5_connected(t: Tables):
-    return G.connected(t.ivl.withColumn("w", F.col("x1") - F.col("x0")), "grp", "rid", 0.4, "w", "fam", cell=20.0).select("grp", "rid", "component", "label")
+    return G.connected(t.ivl_by_order.withColumn("w", F.col("x1") - F.col("x0")), "grp", "rid", 0.4, "w", "fam", cell=20.0).select("grp", "rid", "component", "label")
 
 
 @query()

@@ -86,3 +86,26 @@ def test_order_lines_are_dealt_by_their_number(spark, monkeypatch):
     n = -(-t.lineitem.count() // 500)
     assert n > 4 and "hashpartitioning(l_orderkey#" in plan(t.li_by_order) and f", {n}), REPARTITION_BY_NUM" in plan(t.li_by_order)
     assert "ENSURE_REQUIREMENTS" not in plan(t.li_by_order) and t.li_by_order.rdd.getNumPartitions() == n
+
+
+def test_small_groups_are_connected_without_rounds(spark, monkeypatch):
+    from marginalia.operators import align as G
+
+    r = random.Random(8)
+    boxes = []
+    for g in range(25):
+        for k in range(r.randrange(1, 12)):
+            x, y = r.randrange(60) / 4, r.randrange(8) / 4
+            boxes.append((g, k, x, x + r.randrange(8) / 4, y, y + 1.0, r.choice(["x", "y", "z", None]), r.choice([1.0, 0.5, 0.25, 0.1234565, None])))
+    d = spark.createDataFrame(boxes, "g long, r long, x0 double, x1 double, y0 double, y1 double, f string, w double")
+    odd = spark.createDataFrame([(99, 1, None, 1.0, 0.0, 1.0, "x", 1.0), (99, 2, 0.5, 1.0, 0.0, 1.0, "y", 1.0), (99, 3, 0.5, 1.0, 0.0, 1.0, "y", float("nan")), (None, 4, 0.5, 1.0, 0.0, 1.0, "y", 1.0)], d.schema)
+    both = d.unionByName(odd)
+    monkeypatch.setattr(G, "TOGETHER", 0)
+    want, plain = (rows(G.connected(both, "g", "r", 0.5, *more, cell=2.0)) for more in (("w", "f"), ()))
+    assert len({x[:2] for x in want}) < len(want)
+    monkeypatch.setattr(G, "TOGETHER", 6)  # some groups are larger
+    assert rows(G.connected(both, "g", "r", 0.5, "w", "f", cell=2.0)) == want and rows(G.connected(both, "g", "r", 0.5, cell=2.0)) == plain
+    monkeypatch.setattr(G, "TOGETHER", 1_024)
+    monkeypatch.setattr(G, "min_label_components", None)
+    got = G.connected(d, "g", "r", 0.5, "w", "f", cell=2.0)
+    assert exchanges(got) == 1 and rows(got) == [x for x in want if x[0] not in (99, None)]
