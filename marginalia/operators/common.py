@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -49,6 +50,22 @@ def sent(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if df.limit(SMALL + 1).count() <= SMALL else df
 
 
+#: Rows of a group up to which they meet by the group alone; in larger groups they meet in buckets or cells.
+TOGETHER = 256
+
+
+def large_groups(group: str, *rows: DataFrame) -> DataFrame | None:
+    """``(_g)``, stored: groups of more than ``TOGETHER`` rows in any of ``rows``; None if there are none."""
+    large = [counts(d, group).where(F.col("n") > TOGETHER).select(F.col(group).alias("_g")) for d in rows]
+    found = stored(reduce(DataFrame.unionByName, large).distinct(), "large-groups")
+    return found if found.head(1) else None
+
+
+def of_groups(df: DataFrame, group: str, names: DataFrame, yes: bool) -> DataFrame:
+    """Rows of the groups ``(_g)``, or all others."""
+    return df.join(names, F.col(group).eqNullSafe(F.col("_g")), "left_semi" if yes else "left_anti")
+
+
 def by_place(a: DataFrame, b: DataFrame, group: str, pos: str, value: str) -> DataFrame:
     """``group, pos`` of both sides with how the rows of a place pair: ``_a, _b`` rows of each side, ``_va, _vb`` those with a value, ``_same``
     pairs of equal values, ``_nulls`` pairs of nulls; ``_alone`` where a side has none (a null group or place meets nothing).

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from marginalia.functions import boxes
 from marginalia.functions.text import split_identifier
 
-from .common import by, cols, sent, stored
+from .common import by, cols, large_groups, of_groups, sent, stored
 
 
 #: Buckets of ``asof_floor``, at most: their ends are sorted by one task.
@@ -205,23 +205,47 @@ def assign_band_by_overlap(items: DataFrame, bands: DataFrame, group: str, item:
     return items.join(found, on, "left").select(*items.columns, F.col("_m.b").alias("band"), (-F.col("_m.l")).alias("overlap"))
 
 
-def span_bands(rects: DataFrame, bands: DataFrame, group: str, key: str, band: str, share: float = 0.5, same: float = 2.0, clash: float = 0.3, height: float | None = None) -> DataFrame:
+def span_bands(
+    rects: DataFrame, bands: DataFrame, group: str, key: str, band: str, share: float = 0.5, same: float = 2.0, clash: float = 0.3, height: float | None = None, sizes: DataFrame | None = None
+) -> DataFrame:
     """Credit every band a rect covers by more than ``share`` of the smaller height; merge x-spans per (band, key); drop the
     copy of a span in the next band (ends within ``same``) where it clashes with over ``clash`` of its width with another key there.
-    ``height``, for groups of many bands: rects meet bands in buckets of that height."""
-    b, near = suffixed(bands), F.lit(True)
+    ``height``, for groups of many bands: rects meet bands in buckets of that height, where a group is large; small groups meet as they are
+    dealt, and so does what has no two ends in order.  ``sizes``: rows whose groups have no fewer rows or bands and are cheaper to count."""
+    rules = (group, key, band, share, same, clash)
+    if not height:
+        return _span_bands(rects, bands, *rules)
+    large = large_groups(group, *([rects, bands] if sizes is None else [sizes]))
+    if large is None:
+        return _span_bands(rects, bands, *rules, together=True)
+    rest = _span_bands(of_groups(rects, group, large, False), of_groups(bands, group, large, False), *rules, together=True)
+    return rest.unionByName(_span_bands(of_groups(rects, group, large, True), of_groups(bands, group, large, True), *rules, height))
+
+
+def _span_bands(rects: DataFrame, bands: DataFrame, group: str, key: str, band: str, share: float, same: float, clash: float, height: float | None = None, together: bool = False) -> DataFrame:
+    ov = boxes.overlap(F.col("y0"), F.col("y1"), F.col("y02"), F.col("y12"))
+    on = (F.col(group) == F.col(f"{group}2")) & (ov > share * F.least(F.col("y12") - F.col("y02"), F.col("y1") - F.col("y0")))
+    meet = lambda r, b, near=F.lit(True): r.join(suffixed(b), on & near).select(group, f"{band}2", key, "x0", "x1")
     if height:
-        cells = lambda a, z: F.explode(F.sequence(F.floor(F.col(a) / height), F.floor(F.col(z) / height)))
+        cells = F.explode(F.sequence(F.floor(F.col("y0") / height), F.floor(F.col("y1") / height)))
+        lies = F.coalesce((F.col("y0") <= F.col("y1")) & ~F.isnan("y0") & ~F.isnan("y1"), F.lit(False))
         # A pair that shares several buckets comes several times, which changes no least or largest end.
-        rects, b, near = rects.where("y0 <= y1").withColumn("_c", cells("y0", "y1")), b.where("y02 <= y12").withColumn("_c2", cells("y02", "y12")), F.col("_c") == F.col("_c2")
-    ov = boxes.overlap(F.col("y0"), F.col("y1"), F.col("y02"), F.col("y12"))
-    hit = rects.join(b, (F.col(group) == F.col(f"{group}2")) & near & (ov > share * F.least(F.col("y12") - F.col("y02"), F.col("y1") - F.col("y0"))))
+        hit = meet(rects.where(lies).withColumn("_c", cells), bands.where(lies).withColumn("_c", cells), F.col("_c") == F.col("_c2"))
+        hit = hit.unionByName(meet(rects.where(~lies), bands)).unionByName(meet(rects.where(lies), bands.where(~lies)))
+    else:
+        hit = meet(rects, bands)
     spans = hit.groupBy(group, F.col(f"{band}2").alias("band"), key).agg(F.min("x0").alias("lo"), F.max("x1").alias("hi"))
     w = by(group, key).orderBy("band")
     copy = (F.lag("band").over(w) == F.col("band") - 1) & (F.abs(F.lag("lo").over(w) - F.col("lo")) <= same) & (F.abs(F.lag("hi").over(w) - F.col("hi")) <= same)
     spans = spans.withColumn("copy", F.coalesce(copy, F.lit(False)))
+    over = lambda k, lo, hi: (F.col(key) != k) & (boxes.overlap(F.col("lo"), F.col("hi"), lo, hi) > clash * (F.col("hi") - F.col("lo")))
+    if together:
+        # A small group's spans lie in a task already: a window, where a join by group and band would shuffle them.
+        real = F.collect_list(F.when(~F.col("copy"), F.struct(F.col(key).alias("k"), "lo", "hi"))).over(by(group, "band"))
+        spans = spans.withColumn("_real", real)
+        return spans.where(~F.col("copy") | ~F.coalesce(F.exists("_real", lambda r: over(r["k"], r["lo"], r["hi"])), F.lit(False))).drop("copy", "_real")
     real = spans.where("not copy").select(F.col(group).alias("_g"), F.col("band").alias("_b"), F.col(key).alias("_k"), F.col("lo").alias("_lo"), F.col("hi").alias("_hi"))
-    clashes = (F.col(group) == F.col("_g")) & (F.col("band") == F.col("_b")) & (F.col(key) != F.col("_k")) & (boxes.overlap(F.col("lo"), F.col("hi"), F.col("_lo"), F.col("_hi")) > clash * (F.col("hi") - F.col("lo")))
+    clashes = (F.col(group) == F.col("_g")) & (F.col("band") == F.col("_b")) & over(F.col("_k"), F.col("_lo"), F.col("_hi"))
     return spans.where("not copy").unionByName(spans.where("copy").join(real, clashes, "left_anti")).drop("copy")
 
 

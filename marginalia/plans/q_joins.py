@@ -14,6 +14,11 @@ OV = "least(a.x1, b.x1) - greatest(a.x0, b.x0)"
 OVY = "least(a.y1, b.y1) - greatest(a.y0, b.y0)"
 
 
+def _orders(t: Tables):
+    """An order's number for each of its lines: as many rows as any view of them has, without their number in the order."""
+    return t.lineitem.select(F.col("l_orderkey").alias("grp"))
+
+
 @query("SELECT k, amt_a, n, amt_b, CASE WHEN amt_a IS NULL THEN 'only-b' WHEN amt_b IS NULL THEN 'only-a' ELSE 'both' END AS side FROM src_a FULL JOIN src_b USING (k)", "src_a", "src_b")
 def j1_reconcile(t: Tables):
     return J.reconcile(t.src_a, t.src_b, "k")
@@ -123,8 +128,9 @@ s AS (SELECT a.grp, b.band, a.owner, min(x0) AS lo, max(x1) AS hi FROM ivl a JOI
 c AS (SELECT *, coalesce(lag(band) OVER w = band - 1 AND abs(lag(lo) OVER w - lo) <= 2 AND abs(lag(hi) OVER w - hi) <= 2, false) AS cp FROM s WINDOW w AS (PARTITION BY grp, owner ORDER BY band))
 SELECT grp, band, owner, lo, hi FROM c WHERE NOT cp OR NOT EXISTS (SELECT 1 FROM c r WHERE NOT r.cp AND r.grp = c.grp AND r.band = c.band AND r.owner <> c.owner AND least(r.hi, c.hi) - greatest(r.lo, c.lo) > 0.3 * (c.hi - c.lo))""", "ivl")
 def j13_span_bands(t: Tables):
-    bands = t.ivl.groupBy("grp", F.col("line").alias("band")).agg(F.min("y0").alias("y0"), F.max("y1").alias("y1"))
-    return J.span_bands(t.ivl, bands, "grp", "owner", "band", height=8.0)
+    ivl = t.ivl_by_order
+    bands = ivl.groupBy("grp", F.col("line").alias("band")).agg(F.min("y0").alias("y0"), F.max("y1").alias("y1"))
+    return J.span_bands(ivl, bands, "grp", "owner", "band", height=8.0, sizes=_orders(t))
 
 
 @query(f"SELECT a.grp, a.rid, b.rid AS rid2, a.owner, b.owner AS owner2, round(({OV}) * ({OVY}), 6) AS area FROM ivl a JOIN ivl b ON a.grp = b.grp AND a.rid < b.rid AND a.owner <> b.owner AND {OV} > 0.05 AND {OVY} > 0.05", "ivl")

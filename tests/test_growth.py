@@ -132,3 +132,28 @@ def test_rounds_of_moves_carry_only_what_changes_owners(spark, monkeypatch):
     # o1 to o4 would be emptied one after another as their own bodies stay; what stays with such an owner is named with it.
     assert got.columns[-2:] == ["more", "dropped"] and [why[k] for k in range(1, 5)] == ["starves"] * 4
     assert {k % 9 for k, v in why.items() if k >= 100 and v} == {1, 2, 3, 4} and len(why) == 304
+
+
+def some_boxes(spark, seed, groups):
+    r = random.Random(seed)
+    one = lambda lo: (lo, None if r.random() < 0.1 else lo + r.randrange(1, 9) / 2)
+    data = [(g, k, r.choice("pqr"), *one(r.randrange(24) / 2), *one(r.randrange(24) / 2)) for g in [*range(groups), None] for k in range(r.randrange(1, 14))]
+    return spark.createDataFrame(data, "g long, r long, o string, x0 double, x1 double, y0 double, y1 double")
+
+
+def test_small_groups_meet_bands_as_dealt(spark, monkeypatch):
+    from marginalia.operators import common
+    from marginalia.operators import joins as J
+
+    d = some_boxes(spark, 4, 20).withColumn("o", F.when(F.col("r") % 9 < 8, F.col("o"))).repartition(5, "g")
+    bands = d.groupBy("g", F.floor(F.col("y0") / 3).alias("band")).agg(F.min("y0").alias("y0"), F.max("y1").alias("y1"))
+    bands = bands.unionByName(spark.createDataFrame([(1, 9, None, 4.0), (2, 9, 5.0, 2.0)], bands.schema))
+    want = rows(J.span_bands(d, bands, "g", "o", "band"))
+    assert 0 < len(want) < d.count()
+    for most in (0, 7):
+        monkeypatch.setattr(common, "TOGETHER", most)
+        assert rows(J.span_bands(d, bands, "g", "o", "band", height=2.0)) == want
+    monkeypatch.setattr(common, "TOGETHER", 256)
+    got = J.span_bands(d, d.groupBy("g", "r").agg(F.min("y0").alias("y0"), F.max("y1").alias("y1")), "g", "o", "r", height=2.0, sizes=d)
+    assert "ENSURE_REQUIREMENTS" not in plan(got) and exchanges(got) <= 2
+    assert rows(J.span_bands(d, bands, "g", "o", "band", height=2.0)) == want
