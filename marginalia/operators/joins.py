@@ -311,31 +311,49 @@ def best_iou(a: DataFrame, b: DataFrame, group: str, rid: str, value: str, floor
     return j.groupBy(group, rid).agg(best.alias("_b")).select(group, rid, F.coalesce(F.col("_b.v").cast("string"), F.lit(nothing)).alias("match"), F.col("_b.u").alias("iou"))
 
 
-def grid_match_1to1(a: DataFrame, b: DataFrame, group: str, rid: str, tol: float, size_tol: float, rounds: int | None = None) -> DataFrame:
+def grid_match_1to1(a: DataFrame, b: DataFrame, group: str, rid: str, tol: float, size_tol: float, rounds: int | None = None, sizes: DataFrame | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """One-to-one matches of centres within ``tol`` on both axes and sizes within ``size_tol``: mutual nearest, smaller ids
-    on ties, repeated until no new pair, or ``rounds`` times.  (A greedy pass in input order would depend on that order.)"""
+    on ties, repeated until no new pair, or ``rounds`` times.  (A greedy pass in input order would depend on that order.)
+    Centres of large groups meet in cells of ``tol``; ``sizes``: rows whose groups have no fewer rows than a side's and are cheaper to count;
+    ``keep``: columns of b that come with a match, with a 2 behind their names."""
+    kept = [f"{c}2" for c in keep]
 
     def points(d: DataFrame, s: str) -> DataFrame:
         cx, cy, size = (F.col("x0") + F.col("x1")) / 2, (F.col("y0") + F.col("y1")) / 2, F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"))
-        return d.select(F.col(group).alias(f"_g{s}"), F.col(rid).alias(f"_i{s}"), cx.alias(f"_x{s}"), cy.alias(f"_y{s}"), size.alias(f"_s{s}"))
+        return d.select(F.col(group).alias(f"_g{s}"), F.col(rid).alias(f"_i{s}"), cx.alias(f"_x{s}"), cy.alias(f"_y{s}"), size.alias(f"_s{s}"), *[F.col(c).alias(f"{c}2") for c in keep if s == "b"])
+
+    def candidates(pa: DataFrame, pb: DataFrame, cells: bool = False) -> DataFrame:
+        near = F.lit(True)
+        if cells:
+            around = F.explode(F.flatten(F.transform(F.array(*map(F.lit, (-1, 0, 1))), lambda i: F.transform(F.array(*map(F.lit, (-1, 0, 1))), lambda j: F.struct(F.floor(F.col("_xa") / tol) + i, F.floor(F.col("_ya") / tol) + j)))))
+            pa, pb = pa.withColumn("_ca", around), pb.withColumn("_cb", F.struct(F.floor(F.col("_xb") / tol), F.floor(F.col("_yb") / tol)))
+            near = F.col("_ca") == F.col("_cb")
+        far = F.greatest(F.abs(F.col("_xa") - F.col("_xb")), F.abs(F.col("_ya") - F.col("_yb")))
+        met = pa.join(pb, (F.col("_ga") == F.col("_gb")) & near & (far <= tol) & (F.abs(F.col("_sa") - F.col("_sb")) <= size_tol))
+        return met.select(F.col("_ga").alias("g"), F.col("_ia").alias("a"), F.col("_ib").alias("b"), F.round(far, 9).alias("d"), *kept)
 
     pa, pb = points(a, "a"), points(b, "b")
-    near = F.explode(F.flatten(F.transform(F.array(*map(F.lit, (-1, 0, 1))), lambda i: F.transform(F.array(*map(F.lit, (-1, 0, 1))), lambda j: F.struct(F.floor(F.col("_xa") / tol) + i, F.floor(F.col("_ya") / tol) + j)))))
-    pa, pb = pa.withColumn("_ca", near), pb.withColumn("_cb", F.struct(F.floor(F.col("_xb") / tol), F.floor(F.col("_yb") / tol)))
-    far = F.greatest(F.abs(F.col("_xa") - F.col("_xb")), F.abs(F.col("_ya") - F.col("_yb")))
-    cand = pa.join(pb, (F.col("_ga") == F.col("_gb")) & (F.col("_ca") == F.col("_cb")) & (far <= tol) & (F.abs(F.col("_sa") - F.col("_sb")) <= size_tol))
-    cand = stored(cand.select(F.col("_ga").alias("g"), F.col("_ia").alias("a"), F.col("_ib").alias("b"), F.round(far, 9).alias("d")), "match-candidates")
+    large = large_groups(group, *([a, b] if sizes is None else [sizes]))
+    if large is None:
+        cand = candidates(pa, pb, False)
+    else:
+        (la, sa), (lb, sb) = ([of_groups(d, f"_g{s}", large, yes) for yes in (True, False)] for d, s in ((pa, "a"), (pb, "b")))
+        # Without a place on an axis the other one counts: such rows are in no cell.
+        there = lambda s: F.col(f"_x{s}").isNotNull() & F.col(f"_y{s}").isNotNull()
+        cand = candidates(la.where(there("a")), lb.where(there("b")), True).unionByName(candidates(sa, sb))
+        cand = cand.unionByName(candidates(la.where(~there("a")), lb)).unionByName(candidates(la.where(there("a")), lb.where(~there("b"))))
+    cand = stored(cand, "match-candidates")
     found = None
     while rounds is None or rounds > 0:  # a round that finds no pair ends it, and any other leaves fewer candidates
         rounds = rounds and rounds - 1
         ra, rb = F.row_number().over(by("g", "a").orderBy("d", "b")), F.row_number().over(by("g", "b").orderBy("d", "a"))
-        new = stored(cand.withColumns({"_ra": ra, "_rb": rb}).where("_ra = 1 and _rb = 1").select("g", "a", "b", "d"), "match-round")
+        new = stored(cand.withColumns({"_ra": ra, "_rb": rb}).where("_ra = 1 and _rb = 1").select("g", "a", "b", "d", *kept), "match-round")
         if not new.head(1):
             break
         found = new if found is None else found.unionByName(new)
         cand = stored(cand.join(new.select("g", "a"), ["g", "a"], "left_anti").join(new.select("g", "b"), ["g", "b"], "left_anti"), "match-candidates")
     found = cand.limit(0) if found is None else found
-    return found.select(F.col("g").alias(group), F.col("a").alias(rid), F.col("b").alias(f"{rid}2"), F.col("d").alias("distance"))
+    return found.select(F.col("g").alias(group), F.col("a").alias(rid), F.col("b").alias(f"{rid}2"), F.col("d").alias("distance"), *kept)
 
 
 def pair_counterparts(rows: DataFrame, delta: str, group: str, family: str, rid: str, line: str, pos: str, most_gap: float = 3.0) -> DataFrame:

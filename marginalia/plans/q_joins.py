@@ -160,8 +160,8 @@ def j16_best_iou(t: Tables):
     return J.best_iou(t.ivl.where("rid % 2 = 1"), t.ivl.where("rid % 2 = 0"), "grp", "rid", "fam", cell=8.0)
 
 
-def _matches(t: Tables, rounds: int):
-    return J.grid_match_1to1(t.ivl.where("rid % 2 = 1"), t.ivl.where("rid % 2 = 0"), "grp", "rid", 6.0, 4.0, rounds)
+def _matches(t: Tables, rounds: int, *keep: str):
+    return J.grid_match_1to1(t.ivl_by_order.where("rid % 2 = 1"), t.ivl_by_order.where("rid % 2 = 0"), "grp", "rid", 6.0, 4.0, rounds, _orders(t), keep)
 
 
 ROUND1 = """c AS (SELECT a.grp, a.rid, b.rid AS rid2, round(greatest(abs((a.x0 + a.x1) / 2 - (b.x0 + b.x1) / 2), abs((a.y0 + a.y1) / 2 - (b.y0 + b.y1) / 2)), 9) AS d FROM ivl a JOIN ivl b ON a.grp = b.grp AND a.rid % 2 = 1 AND b.rid % 2 = 0
@@ -270,10 +270,8 @@ def j22_segment_to_interval_guard(t: Tables):
 @query(f"""WITH {ROUND1}, v AS (SELECT i.grp, i.owner, p.owner AS vote FROM ivl i LEFT JOIN m1 USING (grp, rid) LEFT JOIN ivl p ON p.grp = m1.grp AND p.rid = m1.rid2 WHERE i.rid % 2 = 1)
 SELECT grp, owner, count(vote) AS votes, CASE WHEN count(DISTINCT vote) = 1 THEN min(vote) END AS target, CASE count(DISTINCT vote) WHEN 0 THEN 'unpaired' WHEN 1 THEN 'mapped' ELSE 'split' END AS status FROM v GROUP BY 1, 2""", "ivl")
 def j23_transfer_partition(t: Tables):
-    m = _matches(t, 1)
-    partner = t.ivl.select(F.col("grp").alias("_g"), F.col("rid").alias("_r"), F.col("owner").alias("partner"))
-    m = m.join(partner, (F.col("grp") == F.col("_g")) & (F.col("rid2") == F.col("_r"))).select("grp", "rid", "partner")
-    return J.transfer_partition(t.ivl.where("rid % 2 = 1"), m, "grp", "owner", "rid", "partner")
+    # An item comes with its owner, so that order lines needn't be numbered again to find it.
+    return J.transfer_partition(t.ivl_by_order.where("rid % 2 = 1"), _matches(t, 1, "owner"), "grp", "owner", "rid", "owner2")
 
 
 @query(f"""WITH {BEST}, need AS (SELECT fam AS match, count(*) % 5 AS spare FROM ivl GROUP BY 1), j AS (SELECT i.grp, i.rid, i.fam, b.match, need.spare FROM ivl i JOIN best b USING (grp, rid) LEFT JOIN need USING (match) WHERE i.grp % 3 = 0),

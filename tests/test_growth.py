@@ -157,3 +157,24 @@ def test_small_groups_meet_bands_as_dealt(spark, monkeypatch):
     got = J.span_bands(d, d.groupBy("g", "r").agg(F.min("y0").alias("y0"), F.max("y1").alias("y1")), "g", "o", "r", height=2.0, sizes=d)
     assert "ENSURE_REQUIREMENTS" not in plan(got) and exchanges(got) <= 2
     assert rows(J.span_bands(d, bands, "g", "o", "band", height=2.0)) == want
+
+
+def test_small_groups_match_without_cells(spark, monkeypatch):
+    from marginalia.operators import common
+    from marginalia.operators import joins as J
+
+    d = some_boxes(spark, 6, 20)
+    a, b = d.where("r % 2 = 1"), d.where("r % 2 = 0")
+    got = []
+    for most in (0, 3, 256):
+        monkeypatch.setattr(common, "TOGETHER", most)
+        got.append(rows(J.grid_match_1to1(a, b, "g", "r", 3.0, 2.0, 1, keep=("o",))))
+        assert rows(J.grid_match_1to1(a, b, "g", "r", 3.0, 2.0, 1, sizes=d).drop("distance")) == rows(J.grid_match_1to1(a, b, "g", "r", 3.0, 2.0, 1).drop("distance"))
+    assert got[0] == got[1] == got[2] and len(got[0]) > 9
+    owner = {(x.g, x.r): x.o for x in d.collect()}
+    assert all(owner[g, i2] == o for g, _, i2, _, o in got[0])
+    # A box without x is as near as its y says, as greatest leaves nulls out.
+    flat = spark.createDataFrame([(1, 1, None, 2.0, 0.0, 2.0), (1, 2, 50.0, 52.0, 0.5, 2.5)], "g long, r long, x0 double, x1 double, y0 double, y1 double")
+    for most in (0, 256):
+        monkeypatch.setattr(common, "TOGETHER", most)
+        assert rows(J.grid_match_1to1(flat.where("r = 1"), flat.where("r = 2"), "g", "r", 3.0, 2.0)) == [(1, 1, 2, 0.5)]
