@@ -61,7 +61,7 @@ m AS (SELECT *, sum(k) OVER (PARTITION BY form, axis) AS tot, first_value(value)
 dd AS (SELECT x.*, x.value - m.mode AS dev, k FROM x JOIN m USING (form, axis, value) WHERE tot >= 20 AND value <> mode), d AS (SELECT * FROM dd WHERE k <= 1)
 SELECT form, axis, value, grp, pos, dev, CASE WHEN EXISTS (SELECT 1 FROM dd o WHERE o.grp = d.grp AND abs(o.pos - d.pos) <= 2 AND o.pos <> d.pos AND sign(o.dev) = -sign(d.dev)) THEN 'PAIRED' WHEN axis = 'runs' THEN 'REVIEW' ELSE 'HAPAX' END AS grade FROM d""", "form")
 def a6_hapax_deviation(t: Tables):
-    return A.hapax_deviation(t.form.withColumnRenamed("rid", "pos"), "form", ["runs", "n"], "grp", "pos", review=("runs",)).select("form", "axis", "value", "grp", "pos", "dev", "grade")
+    return A.hapax_deviation(t.form_by_order.withColumnRenamed("rid", "pos"), "form", ["runs", "n"], "grp", "pos", review=("runs",), counted=t.form).select("form", "axis", "value", "grp", "pos", "dev", "grade")
 
 
 @query(f"SELECT l_partkey, {HI.format('l_extendedprice')} AS median, count(*) AS n FROM lineitem GROUP BY 1 HAVING count(*) >= 10")

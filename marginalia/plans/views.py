@@ -98,7 +98,14 @@ class Tables:
 
     @cached_property
     def form(self) -> DataFrame:
-        return self.li.select(F.col("l_partkey").alias("form"), F.col("l_orderkey").alias("grp"), "rid", F.col("l_linenumber").cast("long").alias("n"), F.floor(F.col("l_quantity") / 10).alias("runs"))
+        return self._forms(self.li)
+
+    @cached_property
+    def form_by_order(self) -> DataFrame:
+        return self._forms(self.li_by_order)
+
+    def _forms(self, li: DataFrame) -> DataFrame:
+        return li.select(F.col("l_partkey").alias("form"), F.col("l_orderkey").alias("grp"), "rid", F.col("l_linenumber").cast("long").alias("n"), F.floor(F.col("l_quantity") / 10).alias("runs"))
 
     @cached_property
     def src_a(self) -> DataFrame:

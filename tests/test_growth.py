@@ -178,3 +178,37 @@ def test_small_groups_match_without_cells(spark, monkeypatch):
     for most in (0, 256):
         monkeypatch.setattr(common, "TOGETHER", most)
         assert rows(J.grid_match_1to1(flat.where("r = 1"), flat.where("r = 2"), "g", "r", 3.0, 2.0)) == [(1, 1, 2, 0.5)]
+
+
+def rare_by_hand(data, min_n, max_k, reach):
+    from collections import Counter
+
+    n = Counter((f, a, v) for f, _, _, *vs in data for a, v in zip("ab", vs))
+    total, mode = Counter(), {}
+    for (f, a, v), k in sorted(n.items(), key=lambda x: (-x[1], x[0][2])):
+        total[f, a] += k
+        mode.setdefault((f, a), v)
+    off = [(f, g, p, a, v, v - mode[f, a]) for f, g, p, *vs in data for a, v in zip("ab", vs) if total[f, a] >= min_n and v != mode[f, a]]
+    near = lambda d: any(g is not None and g == d[1] and 0 < abs(p - d[2]) <= reach and (dev > 0) != (d[5] > 0) for _, g, p, _, _, dev in off)
+    return sorted(((*d, "PAIRED" if near(d) else "REVIEW" if d[3] == "a" else "HAPAX") for d in off if n[d[0], d[3], d[4]] <= max_k), key=str)
+
+
+def test_only_groups_with_a_rare_value_meet_the_counts_again(spark, monkeypatch):
+    r = random.Random(2)
+    value = lambda: float(r.choice([5] * 12 + [4, 6, 3, 7] * 2 + [r.randrange(40)]))
+    data = [(r.choice("xyz"), None if g == 30 else g, p, value(), value()) for g in range(31) for p in range(r.randrange(1, 9))]
+    data += [("w", 50 + k // 4, k % 4, 1.0 + k % 2, 2.0) for k in range(80)]  # deviates often, and never rarely
+    d = spark.createDataFrame(data, "f string, g long, p long, a double, b double")
+    kept, write = [], A.stored
+
+    def counting(df, label):
+        kept.append(write(df, label))
+        return kept[-1]
+
+    monkeypatch.setattr(A, "stored", counting)
+    for most in (1, 2, 3):
+        got = A.hapax_deviation(d, "f", ["a", "b"], "g", "p", max_k=most, review=("a",), counted=d.drop("p") if most == 2 else None)
+        want = rare_by_hand(data, 20, most, 2)
+        assert {x[-1] for x in want} == {"PAIRED", "REVIEW", "HAPAX"} and any(x[1] is None for x in want)
+        assert rows(got.select("f", "g", "p", "axis", "value", "dev", "grade")) == want
+    assert len(kept) == 3 and all(k.where("g >= 50").count() == 0 for k in kept)
