@@ -80,11 +80,11 @@ def g6_leader_cluster(t: Tables):
 
 @query()
 def g6_nearest_labelled(t: Tables):
-    """Leaders of large clusters lend their label to rows of the others: the block is the whole table."""
+    """Rows of clusters of two or more lend their label to the others, anywhere in the table: there are no blocks."""
     led = G.leader_cluster(t.shape, "vec_id", "points", "label", 0.2)
     large = led.groupBy("leader").agg((F.count(F.lit(1)) > 1).alias("large"))
     rows = t.shape.join(led, "vec_id").join(large, "leader").select("vec_id", "points", F.when(F.col("large"), F.col("label")).alias("named"))
-    return G.nearest_labelled(rows.withColumn("block", (F.get("points", 0)["x"] > 0).cast("int") + 2 * (F.get("points", 0)["y"] > 0).cast("int")), "vec_id", "points", "block", "named", 0.2)
+    return G.nearest_labelled(rows, "vec_id", "points", None, "named", 0.2)
 
 
 @query("""WITH m AS (SELECT l_partkey AS c, CASE WHEN l_quantity > 25 THEN l_returnflag END AS l FROM lineitem), v AS (SELECT c, l, count(*) AS votes FROM m WHERE l IS NOT NULL GROUP BY 1, 2), z AS (SELECT c, count(*) AS size FROM m GROUP BY 1)

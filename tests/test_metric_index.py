@@ -87,3 +87,36 @@ def test_near_shapes_meet_in_chunks(spark, monkeypatch):
     assert "MapInArrow" in near._jdf.queryExecution().toString()
     got = sorted((r.a, r.b) for r in near.select(F.col("a.r").alias("a"), F.col("b.r").alias("b")).collect())
     assert got == [(i, j) for i in range(150) for j in range(i + 1, 150) if distance(shapes[i], shapes[j]) < 0.05] and got
+
+
+def test_near_shapes_at_the_edges_of_buckets_and_far_out(spark):
+    """Rounding may put outlines that are nearer than the threshold two buckets apart; outlines without end are near nothing."""
+    far = [(0, -3.7), (1, -3.65), (2, 1e300), (3, 1e300), (4, float("inf")), (5, float("inf")), (6, float("nan")), (7, 1e9), (8, 1e9 + 0.03125)]
+    at = [(10, 3.2499999999999996), (11, 3.2999999999999994), (12, 2.4), (13, 2.4499999999999997)]
+    d = spark.createDataFrame([(i, [(x, 0.0)], 1) for i, x in far + at], "r long, p array<struct<x:double,y:double>>, g int")
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(G, "shape_pivots", lambda *_: [[(-3.7, 0.0)]])
+        got = {(r.a, r.b) for r in G._near_shapes(d, d, F.col("a.r") < F.col("b.r"), 0.05).select(F.col("a.r").alias("a"), F.col("b.r").alias("b")).collect()}
+    assert got == {(i, j) for i, x in far + at for j, y in far + at if i < j and abs(x - y) < 0.05} and {(10, 11), (12, 13), (2, 3), (7, 8)} <= got
+    assert all(np.isfinite(q).all() for q in G.shape_pivots(d, "p"))
+
+
+def test_nearest_labelled_query_looks_at_the_whole_table(spark):
+    import __spark_entry__
+
+    sf = "/root/testdata/sf0.001"
+    rows = spark.read.parquet(f"{sf}/embeddings.parquet").select("vec_id", "label", "embedding").orderBy("vec_id").collect()
+    points = {r.vec_id: np.array(r.embedding, float).reshape(-1, 2) for r in rows}
+    clusters = {}
+    for r in rows:
+        near = [k for k in clusters if k[0] == r.label and distance(points[k[1]], points[r.vec_id]) < 0.2]
+        clusters.setdefault(near[0] if near else (r.label, r.vec_id), []).append(r.vec_id)
+    lent = [(v, label) for (label, _), members in clusters.items() if len(members) > 1 for v in members]
+    want = {}
+    for (_, v), members in clusters.items():
+        near = [(round(d, 9), w, label) for w, label in lent if (d := distance(points[v], points[w])) < 0.2] if len(members) == 1 else []
+        if near:
+            want[v] = (min(near)[2], round(min(near)[0], 6))
+    got = {r.vec_id: (r.suggested, r.distance) for r in __spark_entry__.queries()["g6_nearest_labelled"](spark, sf).collect()}
+    assert {v: x[0] for v, x in got.items()} == {v: x[0] for v, x in want.items()} and len(got) > 20
+    assert all(abs(got[v][1] - d) < 2e-6 for v, (_, d) in want.items())
