@@ -26,6 +26,14 @@ def gate(checks: list[DataFrame]) -> DataFrame:
     return rows.unionByName(total)
 
 
+def behind(verdict: DataFrame, df: DataFrame) -> DataFrame:
+    """V1: ``df`` if its ``gate`` is ok; nothing of it after a skip.  After a fail it can't be read: the error names the checks."""
+    failed = F.array_join(F.collect_list(F.when((F.col("status") == "fail") & (F.col("check") != "gate"), F.col("check"))), ", ")
+    total = verdict.agg(failed.alias("failed"), F.bool_and(F.col("status") == "ok").alias("ok"))
+    passed = F.when(F.col("failed") != "", F.raise_error(F.concat(F.lit("gate failed: "), "failed"))).otherwise(F.col("ok"))
+    return df.crossJoin(F.broadcast(total.where(passed).select(F.lit(True).alias("_ok")))).drop("_ok")
+
+
 def unique_and_total(df: DataFrame, key: str, group: str, number: str) -> DataFrame:
     """V2: is the key unique; do rows, the sum over groups and the sum of group maxima agree; is each group 1..N exactly once."""
     per = df.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.count_distinct(number).alias("d"), F.max(number).alias("m"), F.min(number).alias("lo"))

@@ -407,9 +407,10 @@ def s9_latest_version(t: Tables):
 
 @query()
 def p1_build_index(t: Tables):
+    """Documents as published: all of them behind the gate, with the number of words that no document before has."""
     words = t.tok_by_doc.select("doc_id", "line_no", "pos", "token", F.concat_ws(":", "doc_id", "line_no", "pos").alias("key"))
     parts = P.build_index(words, "doc_id", "token", "key", ["line_no", "pos"])
-    return parts["pages"].select("doc_id", "n", "first_key", "last_key").join(parts["manifest"].select("doc_id", "digest"), "doc_id")
+    return parts["published"].select("doc_id", "n", "first_key", "last_key", "digest", "first_seen")
 
 
 @query("SELECT count(*) AS rows, 0::BIGINT AS differing FROM documents")

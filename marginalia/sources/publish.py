@@ -6,7 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marginalia.operators.aggregates import first_seen, group_summary
-from marginalia.operators.gates import check, gate
+from marginalia.operators.common import counts, stored
+from marginalia.operators.gates import behind, check, gate
 
 
 def row_json(df: DataFrame, digits: int = 2) -> Column:
@@ -65,11 +66,22 @@ def publish_version(df: DataFrame, root: str, version: str) -> bool:
 
 
 def build_index(words: DataFrame, page: str, entity: str, key: str, order: list[str]) -> dict[str, DataFrame]:
-    """The publish chain over a word table: page summaries, an entity index, a digest per page and the gate."""
+    """The publish chain over a word table: page summaries, an entity index, a digest per page, the gate over all of them, and what is
+    ``published`` behind it: the pages with their digests and the number of entities that are ``first_seen`` there.  What is to be published
+    is written aside first (``spark.checkpoint.dir``), so that the gate looks at the same rows."""
     rows = F.concat_ws("\t", *[F.col(c).cast("string") for c in sorted(words.columns)])
     pages = group_summary(words, page, key, order, entity)
     index = first_seen(words, entity, [page, *order], [page, key])
-    return {"pages": pages, "index": index, "manifest": manifest(words, page, rows), "gate": gate([check(words, "key present", F.col(key).isNull()), check(pages, "page has rows", F.col("n") == 0)])}
+    digests = manifest(words, page, rows)
+    # A null page meets nothing here, and fails the gate.
+    whole = pages.drop("kinds").join(digests, page, "left").join(counts(index, page, n="_seen"), page, "left")
+    whole = stored(whole.withColumn("first_seen", F.coalesce("_seen", F.lit(0))).drop("_seen"), "index")
+    verdict = gate([
+        check(words, "page and key present", F.col(page).isNull() | F.col(key).isNull()),
+        check(whole, "page has rows", F.col("n") == 0),
+        check(whole, "digest holds the page", ~F.col("rows").eqNullSafe(F.col("n"))),
+    ])
+    return {"pages": pages, "index": index, "manifest": digests, "gate": verdict, "published": behind(verdict, whole.drop("rows"))}
 
 
 def profiles_differ(full: DataFrame, small: DataFrame, key: str, shared: str) -> DataFrame:

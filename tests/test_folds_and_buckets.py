@@ -4,6 +4,7 @@ import random
 from itertools import combinations_with_replacement
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from marginalia.functions import text as U
@@ -170,3 +171,17 @@ def test_index_of_pages(spark):
     assert rows(parts["pages"].select("page", "n", "first_key", "last_key")) == [(1, 3, "1:0", "1:2"), (2, 1, "2:0", "2:0"), (3, 2, "3:0", "3:1")]
     assert {(r.word, r.page) for r in parts["index"].collect()} == {("a", 1), ("b", 1), ("c", 3)}
     assert parts["manifest"].count() == 3
+
+
+def test_index_and_gate_decide_what_is_published(spark):
+    schema = "page long, pos long, word string, key string"
+    data = [(p, n, w, f"{p}:{n}") for p, text in ((1, "a b a"), (2, "b"), (3, "c a d")) for n, w in enumerate(text.split())]
+    parts = P.build_index(spark.createDataFrame(data, schema), "page", "word", "key", ["pos"])
+    digests = dict(rows(parts["manifest"].select("page", "digest")))
+    assert rows(parts["published"].select("page", "n", "first_key", "digest", "first_seen")) == [(1, 3, "1:0", digests[1], 2), (2, 1, "2:0", digests[2], 0), (3, 3, "3:0", digests[3], 2)]
+    for odd in ((3, 3, "e", None), (None, 0, "e", "x")):
+        parts = P.build_index(spark.createDataFrame([*data, odd], schema), "page", "word", "key", ["pos"])
+        assert {r.check: r.status for r in parts["gate"].collect()}["gate"] == "fail"
+        with pytest.raises(Exception, match="gate failed: page and key present"):
+            parts["published"].collect()
+    assert P.build_index(spark.createDataFrame([], schema), "page", "word", "key", ["pos"])["published"].collect() == []
