@@ -235,10 +235,10 @@ def box_union(df: DataFrame, group: str, kind: Column | None = None) -> DataFram
     return df.groupBy(group).agg(*aggs)
 
 
-def group_summary(df: DataFrame, group: str, key: str, order: str | list[str], distinct: str) -> DataFrame:
-    """Rows, first and last key in order, and the sorted distinct values of a column per group."""
+def group_summary(df: DataFrame, group: str, key: str, order: str | list[str], distinct: str, *more: Column) -> DataFrame:
+    """Rows, first and last key in order, and the sorted distinct values of a column per group; and more aggregates of it."""
     o = F.struct(*cols(order))
-    return df.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.min_by(key, o).alias("first_key"), F.max_by(key, o).alias("last_key"), F.array_sort(F.collect_set(distinct)).alias("kinds"))
+    return df.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.min_by(key, o).alias("first_key"), F.max_by(key, o).alias("last_key"), F.array_sort(F.collect_set(distinct)).alias("kinds"), *more)
 
 
 def division_map(df: DataFrame, group: str, name: str, value: str, order: str | list[str]) -> DataFrame:
@@ -250,9 +250,10 @@ def division_map(df: DataFrame, group: str, name: str, value: str, order: str |
 
 
 def first_seen(df: DataFrame, key: str | list[str], order: str | list[str], values: list[str]) -> DataFrame:
-    """The values of each key's first row in order."""
-    k = cols(key)
-    return df.groupBy(*k).agg(F.min_by(F.struct(*values), F.struct(*cols(order))).alias("_v")).select(*k, "_v.*")
+    """The values of each key's first row in order, then by value."""
+    k, o = cols(key), cols(order)
+    first = F.min(F.struct(*o, *[v for v in values if v not in o])).alias("_v")
+    return df.groupBy(*k).agg(first).select(*k, *[f"_v.{v}" for v in values])
 
 
 def ordered_text(df: DataFrame, group: str, order: list[str], token: str, line: str, sep: str = " ", line_sep: str = "\n") -> DataFrame:
